@@ -323,10 +323,8 @@ def heal_log(t, by=()):
     parts = []
     for d, s in SPECS.items():
         df, steps = t.incoming(d), heal.bronze_steps(d)
-        parts.append(heal.heal_events(df, steps, dataset=d, keys=s.key, by=by))
+        parts.append(heal.all_events(df, steps, s.rules, dataset=d, keys=s.key, by=by))
         parts.append(heal.duplicate_events(df, dataset=d, keys=s.key, by=by))
-        kept = heal.apply_steps(df.where(dedup.has_key(s.key)), steps)
-        parts.append(heal.rule_events(kept, s.rules, dataset=d, by=by))
     return profile.union_all(parts)
 
 

@@ -9,8 +9,7 @@ from siltgate.operators import drift, pii, profile, validate
 from siltgate.operators.profile import PATTERNS
 from siltgate.sources import readers
 from siltgate.spec import (
-    BETWEEN, CUSTOMERS, IN_SET, MATCH_REGEX, NOT_NULL, ORDER_STATUSES, ORDERS, PAYMENT_TYPES,
-    PAYMENTS, SPECS, STATES, UNIQUE, between, custom, in_set, match_regex, not_null, unique,
+    BETWEEN, IN_SET, MATCH_REGEX, NOT_NULL, ORDER_STATUSES, PAYMENT_TYPES, SPECS, STATES, UNIQUE, between, custom, in_set, match_regex, not_null, unique,
 )
 
 TYPE_OF = {
@@ -516,6 +515,3 @@ CUSTOM_RULES = {
     with_dataset(d, suite_sql(d, r)) for d, r in CUSTOM_RULES.items()))
 def custom_rule_expr(t):
     return _union(_tagged(d, validate.check_results(t.raw(d), r)) for d, r in CUSTOM_RULES.items())
-
-
-__all__ = ["CUSTOMERS", "ORDERS", "PAYMENTS"]

@@ -1,0 +1,40 @@
+"""Repeatable fault injection for testing data-quality jobs.
+
+The draw is a hash of the row key and a seed, so a lost partition is rebuilt
+with the same faults, and no row needs to know any other.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from siltgate.functions.columns import draw
+
+SCALE = 1_000_000
+
+
+def _hit(key: Column, seed: str, rate: float) -> Column:
+    return draw(key, seed, SCALE) < F.lit(int(rate * SCALE))
+
+
+def nulls(df: DataFrame, column: str, key: Column, rate: float, seed: str = "null") -> DataFrame:
+    return df.withColumn(column, F.when(~_hit(key, seed, rate), F.col(column)))
+
+
+def bad_values(df: DataFrame, column: str, bads: list[str], key: Column, rate: float,
+               seed: str = "bad") -> DataFrame:
+    pick = F.element_at(F.array(*[F.lit(b) for b in bads]),
+                        (draw(key, f"{seed}-pick", len(bads)) + 1).cast("int"))
+    hit = _hit(key, seed, rate) & F.col(column).isNotNull()
+    return df.withColumn(column, F.when(hit, pick).otherwise(F.col(column)))
+
+
+def negatives(df: DataFrame, column: str, key: Column, rate: float, seed: str = "sign") -> DataFrame:
+    return df.withColumn(column, F.when(_hit(key, seed, rate), -F.col(column)).otherwise(F.col(column)))
+
+
+def duplicates(df: DataFrame, key: Column, rate: float, seed: str = "dup",
+               load_order: str = "load_seq") -> DataFrame:
+    again = df.where(_hit(key, seed, rate)).withColumn(load_order, F.lit(2))
+    return df.withColumn(load_order, F.lit(1)).unionByName(again)

@@ -229,20 +229,37 @@ def heal_by_rules(df: DataFrame, rules: Sequence[Rule], mode_of=None) -> DataFra
     return df.select(*[folded.get(c, F.col(c)).alias(c) for c in df.columns])
 
 
-def rule_events(df: DataFrame, rules: Sequence[Rule], *, dataset: str, by=()) -> DataFrame:
-    """Silver-layer events of :func:`heal_by_rules`: how many rows each rule repairs."""
-    fixes = {
-        NOT_NULL: ("nulls after first pass", "filled UNKNOWN/0"),
-        IN_SET: ("values not in set", "most common valid value"),
-        BETWEEN: ("values out of range", "clamped"),
-    }
-    counters, events = [], []
-    for i, rule in enumerate(r for r in rules if r.kind in fixes and r.column in df.columns):
-        bad = failing(rule)
-        if rule.kind == IN_SET:
-            bad = ~C.is_in(F.col(rule.column).cast("string"), rule.values)
-        counters.append(F.count_if(bad).alias(f"r{i}"))
-        issue, fix = fixes[rule.kind]
+RULE_FIXES = {
+    NOT_NULL: ("nulls after first pass", "filled UNKNOWN/0"),
+    IN_SET: ("values not in set", "most common valid value"),
+    BETWEEN: ("values out of range", "clamped"),
+}
+
+
+def all_events(df: DataFrame, steps: Sequence[HealStep], rules: Sequence[Rule], *, dataset: str,
+               keys, by=()) -> DataFrame:
+    """First-pass and rule-driven events of a batch from one scan.
+
+    Rule events look at the repaired value of the rows that keep a usable key,
+    exactly what :func:`heal_by_rules` would change.
+    """
+    from siltgate.operators.dedup import has_key
+
+    steps = present(df, steps)
+    folded: dict[str, Column] = {}
+    for s in steps:
+        folded[s.column] = s.value(folded.get(s.column, F.col(s.column)))
+    counters = [F.count_if(s.needs(F.col(s.column))).alias(f"h{i}") for i, s in enumerate(steps)]
+    events = [
+        _event("BRONZE", dataset, s.column, s.issue, s.fix, F.col(f"h{i}")) for i, s in enumerate(steps)
+    ]
+    counters.append(F.count_if(F.col(keys[0]).isNull()).alias("hk"))
+    events.append(_event("BRONZE", dataset, keys[0], "null key", "quarantined", F.col("hk")))
+    for i, rule in enumerate(r for r in rules if r.kind in RULE_FIXES and r.column in df.columns):
+        now = folded.get(rule.column, F.col(rule.column))
+        bad = ~C.is_in(now.cast("string"), rule.values) if rule.kind == IN_SET else failing(rule, now)
+        counters.append(F.count_if(has_key(keys) & bad).alias(f"r{i}"))
+        issue, fix = RULE_FIXES[rule.kind]
         events.append(_event("SILVER", dataset, rule.column, issue, fix, F.col(f"r{i}")))
     counted = df.groupBy(*by).agg(*counters) if by else df.agg(*counters)
     return counted.select(*by, F.inline(F.array(*events))).where(F.col("healed_rows") > 0)

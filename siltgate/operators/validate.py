@@ -35,9 +35,12 @@ class Check:
     evaluated: Column
 
 
-def failing(rule: Rule) -> Column:
-    """True where a row breaks the rule.  Null breaks ``not_null`` only."""
-    c = F.col(rule.column) if rule.kind != CUSTOM else None
+def failing(rule: Rule, on: Column | None = None) -> Column:
+    """True where a row breaks the rule.  Null breaks ``not_null`` only.
+
+    ``on`` checks another expression (a repaired value) in place of the column.
+    """
+    c = on if on is not None else (F.col(rule.column) if rule.kind != CUSTOM else None)
     if rule.kind == NOT_NULL:
         return c.isNull()
     if rule.kind == IN_SET:
