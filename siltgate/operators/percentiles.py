@@ -2,72 +2,97 @@
 
 ``percentile`` keeps every distinct value of a group in one buffer.  Here the
 values are counted (hot values fold to one row), cut into ranges of similar
-size, and ranked inside each range; a small table of range totals turns the
-local ranks into global ones.
+size, and only the few ranges that hold a wanted rank are sorted.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-RANGES = 256
+SIDE = 16       # ranges per group = SIDE * SIDE
 
 
-def exact_percentiles(long: DataFrame, probs: Sequence[float], group: str = "metric",
-                      value: str = "value", ranges: int = RANGES) -> DataFrame:
+def _cuts(edges: Column, side: int) -> Column:
+    """The edges, and every ``side``-th of them for a first coarse look."""
+    heads = F.array(*[F.element_at(edges, i * side) for i in range(1, side)])
+    return F.struct(edges.alias("edges"), heads.alias("heads"))
+
+
+def _slot(value: str, cuts: Column, side: int) -> Column:
+    """How many edges lie below the value: first among the heads, then inside that
+    stretch, so a value meets ``2 * side`` edges at most."""
+    def below(some: Column) -> Column:
+        return F.size(F.filter(some, lambda e: e < F.col(value)))
+
+    coarse = below(cuts["heads"])
+    found = coarse * side + below(F.slice(cuts["edges"], coarse * side + 1, side - 1))
+    # Declared non-null: a null filter on the join key would be pushed below the
+    # counting, evaluated per raw row, and would keep the counted rows from being reused.
+    return F.coalesce(found, F.lit(0))
+
+
+def exact_percentiles(long: DataFrame, probs: Sequence[float], group: str | None = "metric",
+                      value: str = "value", side: int = SIDE) -> DataFrame:
     """Interpolated percentiles per group, one column ``p0 … pn`` per probability.
 
-    ``long`` holds (group, value) rows; null values are ignored.  The number of
-    groups is the number of profiled columns, so the range-edge table has one
-    small row per group and the totals table ``groups x ranges`` rows.
+    ``long`` holds (group, value) rows; null values are ignored.  What is
+    broadcast is bounded: one row of edges per group, and at most two ranges
+    per group and probability.
     """
+    by = [group] if group else []
     counted = (
-        long.where(F.col(value).isNotNull()).groupBy(group, value)
+        long.where(F.col(value).isNotNull()).groupBy(*by, value)
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    steps = [i / ranges for i in range(1, ranges)]
-    edges = counted.groupBy(group).agg(
-        F.percentile_approx(value, steps, F.lit(10_000)).alias("edges")
-    )
-    # Range number = how many edges lie below the value; edges are sorted.
-    placed = counted.join(edges, group).select(
-        group, value, "n",
-        F.size(F.filter("edges", lambda e: e < F.col(value))).alias("slot"),
-    )
-    slots = placed.groupBy(group, "slot").agg(F.sum("n").alias("slot_n"))
-    before = Window.partitionBy(group).orderBy("slot").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = slots.select(
-        group, "slot",
-        F.coalesce(F.sum("slot_n").over(before), F.lit(0)).alias("offset"),
-        F.sum("slot_n").over(Window.partitionBy(group)).alias("total"),
+    ranges = side * side
+    sketch = F.percentile_approx(value, [i / ranges for i in range(1, ranges)], F.lit(10_000))
+    cuts = counted.groupBy(*by).agg(sketch.alias("e")).select(*by, _cuts(F.col("e"), side).alias("cuts"))
+    with_cuts = counted.join(F.broadcast(cuts), by) if by else counted.withColumn("cuts", cuts.scalar())
+    placed = with_cuts.select(*by, value, "n", _slot(value, F.col("cuts"), side).alias("slot"))
+
+    sizes = placed.groupBy(*by, "slot").agg(F.sum("n").alias("slot_n"))
+    ordered = Window.partitionBy(*by).orderBy("slot").rowsBetween(Window.unboundedPreceding, -1)
+    totals = sizes.select(
+        *by, "slot", "slot_n",
+        F.coalesce(F.sum("slot_n").over(ordered), F.lit(0)).alias("offset"),
+        F.sum("slot_n").over(Window.partitionBy(*by)).alias("total"),
     )
-    inside = Window.partitionBy(group, "slot").orderBy(value)
-    ranked = placed.withColumn("upto", F.sum("n").over(inside)).join(offsets, [group, "slot"])
+
+    def ranks():
+        for p in probs:
+            spot = F.lit(p) * (F.col("total") - 1)
+            yield F.floor(spot), F.ceil(spot)
+
+    wanted = [r for pair in ranks() for r in pair]
+    holds = [(r >= F.col("offset")) & (r < F.col("offset") + F.col("slot_n")) for r in wanted]
+    needed = totals.where(reduce(lambda a, b: a | b, holds)).drop("slot_n")
+
+    inside = Window.partitionBy(*by, "slot").orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
+    ranked = placed.join(F.broadcast(needed), [*by, "slot"]).withColumn("upto", F.sum("n").over(inside))
     last = F.col("offset") + F.col("upto")      # rows at or before this value
     first = last - F.col("n")                   # rows before this value
     picks = []
-    for i, p in enumerate(probs):
-        spot = F.lit(p) * (F.col("total") - 1)
-        for tag, rank in (("lo", F.floor(spot)), ("hi", F.ceil(spot))):
-            picks.append(
-                F.max(F.when((rank >= first) & (rank < last), F.col(value))).alias(f"{tag}{i}")
-            )
-    found = ranked.groupBy(group).agg(*picks, F.max("total").alias("total"))
+    for i, (lo, hi) in enumerate(ranks()):
+        for tag, rank in (("lo", lo), ("hi", hi)):
+            picks.append(F.max(F.when((rank >= first) & (rank < last), F.col(value))).alias(f"{tag}{i}"))
+    picks.append(F.max("total").alias("total"))
+    found = ranked.groupBy(*by).agg(*picks) if by else ranked.agg(*picks)
     out = []
     for i, p in enumerate(probs):
         spot = F.lit(p) * (F.col("total") - 1)
         lo, hi = F.col(f"lo{i}"), F.col(f"hi{i}")
         out.append((lo + (hi - lo) * (spot - F.floor(spot))).alias(f"p{i}"))
-    return found.select(group, "total", *out)
+    return found.select(*by, "total", *out)
 
 
 def exact_median(df: DataFrame, column: str) -> DataFrame:
-    """One row, one column ``median``."""
-    long = df.select(F.lit("all").alias("metric"), F.col(column).cast("double").alias("value"))
-    return exact_percentiles(long, [0.5]).select(F.col("p0").alias("median"))
+    """One row, one column ``median`` (null for a column without values)."""
+    values = df.select(F.col(column).cast("double").alias("value"))
+    return exact_percentiles(values, [0.5], group=None).select(F.col("p0").alias("median"))
 
 
 def to_long(df: DataFrame, columns: Sequence[str]) -> DataFrame:

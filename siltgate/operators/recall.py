@@ -17,6 +17,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from siltgate.sources.shared import materialise
 from siltgate.spec import RECALL_THRESHOLD
 
 SHIP_BYTES = 64 * 1024 * 1024
@@ -63,7 +64,7 @@ def recall(incidents: DataFrame, memory: DataFrame, threshold: float = RECALL_TH
     ``earlier_only`` matches an incident with memory of smaller id only.
     """
     incidents = incidents.where(F.col("vec").isNotNull())
-    stored = distinct_memory(memory.where(F.col("vec").isNotNull()))
+    stored = materialise(distinct_memory(memory.where(F.col("vec").isNotNull())))
     size = stored.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("vec")).alias("dim")).first()
     if not size["n"]:
         return incidents.sparkSession.createDataFrame([], FOUND)

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from siltgate.operators.dedup import has_key, keep_one
-from siltgate.sources.layers import Layers, exists, write_table
+from siltgate.sources.layers import Layers, children, exists, write_table
 from siltgate.spec import DatasetSpec
 
 
@@ -114,6 +114,11 @@ class Store:
     def _snapshot_path(self, spec: DatasetSpec, upto: int) -> str:
         return f"{self.layers.root}/snapshots/{spec.name}/upto={upto}"
 
+    def newest_snapshot(self, spark: SparkSession, spec: DatasetSpec) -> int | None:
+        """The highest finished snapshot, or none."""
+        done = children(spark, f"{self.layers.root}/snapshots/{spec.name}", marker="_SUCCESS")
+        return max((int(n.split("=")[1]) for n in done if n.startswith("upto=")), default=None)
+
     def silver(self, spark: SparkSession, spec: DatasetSpec, snapshot: int | None = None) -> DataFrame | None:
         """Latest-wins Silver: a snapshot, if given, plus the batches after it."""
         log = self.read(spark, "silver", spec)

@@ -39,6 +39,17 @@ def exists(spark: SparkSession, path: str) -> bool:
     return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(where)
 
 
+def children(spark: SparkSession, path: str, marker: str) -> list[str]:
+    """Names of the sub-folders that hold a marker file."""
+    if not exists(spark, path):
+        return []
+    jvm = spark.sparkContext._jvm
+    where = jvm.org.apache.hadoop.fs.Path(path)
+    fs = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    names = [s.getPath().getName() for s in fs.listStatus(where)]
+    return [n for n in names if exists(spark, f"{path}/{n}/{marker}")]
+
+
 def write_table(df: DataFrame, path: str, mode: str = "overwrite", partition_by=()) -> int:
     """Write Parquet and return the row count seen by the same job (no second scan)."""
     seen = Observation()
