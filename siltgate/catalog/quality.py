@@ -235,7 +235,7 @@ def pii_classify(t):
 @query("pii_text_scan", f"""
 SELECT * FROM (SELECT doc_id, lang, source,
   CAST(len(regexp_extract_all(text, '{pii.EMAIL}')) AS INT) AS email_hits,
-  CAST(len(regexp_extract_all(text, '\\+[0-9]{{1,3}}[ -][0-9]{{2,4}}[ -][0-9]{{4,9}}')) AS INT) AS phone_hits
+  CAST(len(regexp_extract_all(text, '{pii.PHONE_IN_TEXT}')) AS INT) AS phone_hits
 FROM documents) WHERE email_hits > 0 OR phone_hits > 0""")
 def pii_text_scan(t):
     return pii.scan_text(t.table("documents"), "doc_id", "text", "lang", "source")

@@ -23,13 +23,12 @@ def observed_schema(feed: DataFrame, dataset: str) -> DataFrame:
     stats = []
     for i, c in enumerate(feed.columns):
         v = F.col(c)
-        stats += [F.count(v).alias(f"n{i}"), F.count_if(v.rlike(INT_TEXT)).alias(f"w{i}"),
-                  F.count_if(v.rlike(FLOAT_TEXT)).alias(f"f{i}")]
+        kind = F.when(v.isNull(), None).when(v.rlike(INT_TEXT), 1).when(v.rlike(FLOAT_TEXT), 2).otherwise(3)
+        stats += [F.count(v).alias(f"n{i}"), F.max(kind).alias(f"k{i}")]   # the widest kind seen
     entries = []
     for i, c in enumerate(feed.columns):
         n = F.col(f"n{i}")
-        family = (F.when((n > 0) & (F.col(f"w{i}") == n), "int")
-                  .when((n > 0) & (F.col(f"f{i}") == n), "float").otherwise("str"))
+        family = F.when(F.col(f"k{i}") == 1, "int").when(F.col(f"k{i}") == 2, "float").otherwise("str")
         entries.append(F.struct(
             F.lit(dataset).alias("dataset"), F.lit(c).alias("column_name"),
             family.alias("actual_type"), n.alias("non_null_rows")))

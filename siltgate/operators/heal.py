@@ -28,6 +28,7 @@ class HealStep:
     fix: str
     needs: Callable[[Column], Column]
     value: Callable[[Column], Column]
+    outputs: tuple[str, ...] = ()       # every value the step can leave, if that is a closed set
 
 
 def _state_needs(c: Column) -> Column:
@@ -38,9 +39,10 @@ def state_step(column="customer_state", aliases=False) -> HealStep:
     if aliases:
         return HealStep(
             column, "invalid or null state", "alias resolved, else UNKNOWN",
-            lambda c: _state_needs(c), C.state_code_with_aliases,
+            _state_needs, C.state_code_with_aliases, STATES + ("UNKNOWN",),
         )
-    return HealStep(column, "invalid or null state", "set to UNKNOWN", _state_needs, C.state_code)
+    return HealStep(column, "invalid or null state", "set to UNKNOWN", _state_needs, C.state_code,
+                    STATES + ("UNKNOWN",))
 
 
 def city_step(column="customer_city") -> HealStep:
@@ -51,7 +53,7 @@ def status_step(column="order_status") -> HealStep:
     return HealStep(
         column, "invalid or null status", "set to unknown",
         lambda c: ~C.is_in(F.lower(c), ORDER_STATUSES + ("unknown",)),
-        lambda c: C.one_of(c, ORDER_STATUSES, "unknown", lower=True),
+        lambda c: C.one_of(c, ORDER_STATUSES, "unknown", lower=True), ORDER_STATUSES + ("unknown",),
     )
 
 
@@ -74,7 +76,7 @@ def payment_type_step(column="payment_type") -> HealStep:
     return HealStep(
         column, "invalid or null type", "set to boleto",
         lambda c: ~C.is_in(F.lower(F.trim(c)), PAYMENT_TYPES),
-        lambda c: C.one_of(c, PAYMENT_TYPES, "boleto", lower=True, trim=True),
+        lambda c: C.one_of(c, PAYMENT_TYPES, "boleto", lower=True, trim=True), PAYMENT_TYPES,
     )
 
 
@@ -197,6 +199,22 @@ def most_common_valid(df: DataFrame, value: Column, allowed: Sequence[str]) -> D
     )
 
 
+def unsettled(rules: Sequence[Rule], steps: Sequence[HealStep]) -> list[Rule]:
+    """Rules that first-pass steps have not already made true.
+
+    A step with a closed output set satisfies an ``in_set`` rule (and a null rule)
+    that covers it, so the rule's search for the most common value, a second pass
+    over the data, can be left out.
+    """
+    closed = {s.column: set(s.outputs) for s in steps if s.outputs}
+
+    def settled(r: Rule) -> bool:
+        left = closed.get(r.column)
+        return left is not None and (r.kind == NOT_NULL or (r.kind == IN_SET and left <= set(r.values)))
+
+    return [r for r in rules if not settled(r)]
+
+
 def heal_by_rules(df: DataFrame, rules: Sequence[Rule], mode_of=None) -> DataFrame:
     """Repair what a rule list still finds, in list order.
 

@@ -24,7 +24,7 @@ PATTERNS = {
 NO_PATTERN_SUFFIXES = ("_id", "_phone", "_email", "_date", "_timestamp", "_at")
 
 
-def column_counts(df: DataFrame, exact_distinct: Sequence[str] = ()) -> DataFrame:
+def column_counts(df: DataFrame) -> DataFrame:
     """Per column: position, type, rows, nulls, null %, and an approximate distinct count.
 
     One scan and one aggregation whose state is a few counters and a sketch per
@@ -61,9 +61,16 @@ def distinct_counts(df: DataFrame, columns: Sequence[str] | None = None) -> Data
     )
 
 
-def profile(df: DataFrame) -> DataFrame:
-    """Schema, null counts and exact distinct counts, one row per column."""
-    counts = column_counts(df).drop("approx_distinct")
+def profile(df: DataFrame, exact: bool = True) -> DataFrame:
+    """Schema, null counts and distinct counts, one row per column.
+
+    ``exact=False`` takes the distinct counts from the sketches of the first
+    scan, which spares the shuffle of every distinct value.
+    """
+    counts = column_counts(df)
+    if not exact:
+        return counts.withColumnRenamed("approx_distinct", "distinct_count")
+    counts = counts.drop("approx_distinct")
     return counts.join(distinct_counts(df), "column_name")
 
 
@@ -198,7 +205,9 @@ def suggest(df: DataFrame, *, max_null_pct: float = 1.0, max_values: int = 50,
     fields = {f.name: f.dataType for f in df.schema.fields}
     strings = [c for c, t in fields.items() if isinstance(t, T.StringType)]
     numeric = [c for c, t in fields.items() if isinstance(t, T.NumericType)]
-    patterned = [c for c in fields if not c.endswith(NO_PATTERN_SUFFIXES)]
+    # No library pattern fits a printed floating-point number.
+    patterned = [c for c, t in fields.items()
+                 if not c.endswith(NO_PATTERN_SUFFIXES) and not isinstance(t, (T.DoubleType, T.FloatType))]
     stats = [F.count(F.lit(1)).alias("n")]
     for c in fields:
         stats += [F.count(c).alias(f"c:{c}"), F.approx_count_distinct(c).alias(f"d:{c}")]

@@ -104,12 +104,17 @@ class Store:
     def put(self, layer: str, spec: DatasetSpec, batch_id: int, df: DataFrame) -> int:
         return write_table(df, self.layers.batch_path(layer, spec.name, batch_id))
 
-    def read(self, spark: SparkSession, layer: str, spec: DatasetSpec) -> DataFrame | None:
-        """All batches of a layer; the folder name becomes the ``batch_id`` column."""
+    def read(self, spark: SparkSession, layer: str, spec: DatasetSpec,
+             merge_schema: bool = False) -> DataFrame | None:
+        """All batches of a layer; the folder name becomes the ``batch_id`` column.
+
+        Merging schemas opens every file's footer, so a changed schema is read
+        only when asked for.
+        """
         path = self.layers.path(layer, spec.name)
         if not exists(spark, path):
             return None
-        return spark.read.option("mergeSchema", True).parquet(path)
+        return spark.read.option("mergeSchema", merge_schema).parquet(path)
 
     def _snapshot_path(self, spec: DatasetSpec, upto: int) -> str:
         return f"{self.layers.root}/snapshots/{spec.name}/upto={upto}"

@@ -40,7 +40,7 @@ def refine(raw: DataFrame, spec: DatasetSpec, prefer=(), value_policy: str = "ab
     steps = heal.bronze_steps(spec.name, value_policy)
     latest = keep_one(keyed, list(spec.key), total_order(raw, spec.key, prefer))
     bronze = heal.apply_steps(latest, steps)
-    silver = heal.heal_by_rules(bronze, spec.rules)
+    silver = heal.heal_by_rules(bronze, heal.unsettled(spec.rules, steps))
     events = heal.all_events(raw, steps, spec.rules, dataset=spec.name, keys=spec.key).unionByName(
         heal.duplicate_events(raw, dataset=spec.name, keys=spec.key))
     return BatchResult(silver, unkeyed, events)

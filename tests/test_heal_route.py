@@ -98,3 +98,17 @@ def test_gold_sanity(spark):
     df = spark.createDataFrame([(float("nan"), float("inf"), -5.0, None)],
                                "avg_payment double, ratio double, total_revenue double, max_payment double")
     assert tuple(heal.heal_gold(df).first()) == (0.0, 0.0, 5.0, 0.0)
+
+
+def test_steps_with_closed_outputs_settle_rules():
+    steps = heal.bronze_steps("payments")
+    assert [r.column for r in heal.unsettled(PAYMENTS.rules, steps)] == ["order_id", "payment_value", "payment_value"]
+    assert heal.unsettled(PAYMENTS.rules, []) == list(PAYMENTS.rules)
+
+
+def test_closed_outputs_hold(inputs):
+    for dataset, spec in SPECS.items():
+        for step in heal.bronze_steps(dataset):
+            if step.outputs:
+                healed = heal.apply_steps(inputs.raw(dataset), [step])
+                assert healed.where(~C.is_in(F.col(step.column), step.outputs)).isEmpty()

@@ -126,3 +126,24 @@ def test_variant_payload(spark):
 def test_ordered_sample_shows_null_as_blank(dirty_customers):
     rows = readers.sample_rows(dirty_customers, [F.col("customer_unique_id")], 2).collect()
     assert rows[1]["customer_id"] == "" and rows[0]["customer_zip_code_prefix"] == "1310"
+
+
+def test_text_scan_equals_plain_search_and_reads_long_runs_once(spark):
+    import re
+    import time
+
+    texts = ["a@b.com_x@d.org", "x@y", "mail: q.w+e@host-1.co.uk, z@z.io.", "a@b@c.com", "a@b.comc@d.org", "none",
+             "call +55-11-91234567 or +1 202 5550100"]
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, text string")
+    got = {r["id"]: r["email_hits"] for r in pii.scan_text(df, "id", "text").collect()}
+    want = {i: len(re.findall(pii.EMAIL, t)) for i, t in enumerate(texts)}
+    assert {i: n for i, n in want.items() if n} == {i: n for i, n in got.items() if n}
+    long = spark.range(1).select("id", F.concat(F.repeat(F.lit("x"), 400_000), F.lit(" a@b.com")).alias("text"))
+    start = time.time()
+    assert pii.scan_text(long, "id", "text").first()["email_hits"] == 1
+    assert time.time() - start < 20
+
+
+def test_approximate_profile_spares_the_shuffle(customers):
+    got = {r["column_name"]: r["distinct_count"] for r in profile.profile(customers, exact=False).collect()}
+    assert got["customer_id"] == 5

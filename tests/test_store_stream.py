@@ -113,3 +113,16 @@ def test_stream_dedup_inside_the_watermark(spark, inputs, tmp_path):
          .option("checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True).start())
     q.awaitTermination()
     assert spark.read.parquet(str(tmp_path / "out")).count() == events.count()
+
+
+def test_observed_heals_reach_the_progress_report(spark, inputs, tmp_path):
+    from siltgate.streaming.runner import live_heals
+
+    raw = inputs.payments
+    path = str(tmp_path / "in")
+    raw.coalesce(1).write.parquet(path)
+    q = (live_heals(spark.readStream.schema(raw.schema).parquet(path), PAYMENTS).writeStream.format("noop")
+         .option("checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True).start())
+    q.awaitTermination()
+    seen = [p.observedMetrics["heals"] for p in q.recentProgress if p.observedMetrics]
+    assert sum(r["rows"] for r in seen) == raw.count() and sum(r["payment_type"] for r in seen) > 0
