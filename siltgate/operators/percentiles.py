@@ -13,7 +13,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-SIDE = 16       # ranges per group = SIDE * SIDE
+SIDE = 16           # ranges per group = SIDE * SIDE
+SMALL = 50_000      # distinct values that one buffer may hold
 
 
 def _cuts(edges: Column, side: int) -> Column:
@@ -49,7 +50,8 @@ def exact_percentiles(long: DataFrame, probs: Sequence[float], group: str | None
         .agg(F.count(F.lit(1)).alias("n"))
     )
     ranges = side * side
-    sketch = F.percentile_approx(value, [i / ranges for i in range(1, ranges)], F.lit(10_000))
+    points = F.split(F.lit(",".join(str(i / ranges) for i in range(1, ranges))), ",").cast("array<double>")
+    sketch = F.percentile_approx(value, points, F.lit(10_000))
     cuts = counted.groupBy(*by).agg(sketch.alias("e")).select(*by, _cuts(F.col("e"), side).alias("cuts"))
     with_cuts = counted.join(F.broadcast(cuts), by) if by else counted.withColumn("cuts", cuts.scalar())
     placed = with_cuts.select(*by, value, "n", _slot(value, F.col("cuts"), side).alias("slot"))
@@ -89,6 +91,30 @@ def exact_percentiles(long: DataFrame, probs: Sequence[float], group: str | None
     return found.select(*by, "total", *out)
 
 
+def column_percentiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float],
+                       sketches: dict[str, int] | None = None, small: int = SMALL) -> dict[str, list]:
+    """Exact percentiles of several columns as plain numbers (null without values).
+
+    Columns with few distinct values, by a sketch of the whole column, keep
+    their counts in one bounded buffer; the others take the ranged way.
+    """
+    columns = list(columns)
+    if not columns:
+        return {}
+    if sketches is None:
+        sketches = df.agg(*[F.approx_count_distinct(c).alias(c) for c in columns]).first().asDict()
+    few = [c for c in columns if sketches[c] <= small]
+    many = [c for c in columns if sketches[c] > small]
+    out: dict[str, list] = {}
+    if few:
+        row = df.agg(*[F.percentile(F.col(c).cast("double"), list(probs)).alias(c) for c in few]).first()
+        out.update({c: row[c] if row[c] is not None else [None] * len(probs) for c in few})
+    if many:
+        for r in exact_percentiles(to_long(df, many), probs).collect():
+            out[r["metric"]] = [r[f"p{i}"] for i in range(len(probs))]
+    return out
+
+
 def exact_median(df: DataFrame, column: str) -> DataFrame:
     """One row, one column ``median`` (null for a column without values)."""
     values = df.select(F.col(column).cast("double").alias("value"))

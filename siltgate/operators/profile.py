@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from siltgate.functions.columns import percent, to_number
-from siltgate.operators.percentiles import exact_percentiles, to_long
+from siltgate.operators.percentiles import column_percentiles
 from siltgate.operators.validate import failing
 from siltgate.sources.readers import type_family
 from siltgate.spec import BETWEEN, IN_SET, MATCH_REGEX, NOT_NULL, UNIQUE, DatasetSpec, Rule
@@ -99,10 +99,9 @@ def _severity(key_column: bool, rate):
 
 def outlier_bounds(df: DataFrame, columns: Sequence[str], reach: float = 3.0) -> dict:
     """Quartile fences per column; the result is two numbers per numeric column."""
-    quartiles = exact_percentiles(to_long(df, columns), [0.25, 0.75])
     return {
-        r["metric"]: (r["p0"] - reach * (r["p1"] - r["p0"]), r["p1"] + reach * (r["p1"] - r["p0"]))
-        for r in quartiles.collect()
+        c: (q1 - reach * (q3 - q1), q3 + reach * (q3 - q1))
+        for c, (q1, q3) in column_percentiles(df, columns, [0.25, 0.75]).items() if q1 is not None
     }
 
 
@@ -250,10 +249,10 @@ def suggest(df: DataFrame, *, max_null_pct: float = 1.0, max_values: int = 50,
             if kept:
                 rules.append(Rule(IN_SET, c, values=tuple(kept)))
 
-    if numeric:
-        for r in exact_percentiles(to_long(df, numeric), [low_p, high_p]).collect():
-            low = max(r["p0"], 0.0) if r["p0"] >= 0 else r["p0"]
-            rules.append(Rule(BETWEEN, r["metric"], min_value=round(low, 4), max_value=round(r["p1"], 4)))
+    sketches = {c: seen[f"d:{c}"] for c in numeric}
+    for c, (low, high) in column_percentiles(df, numeric, [low_p, high_p], sketches).items():
+        if low is not None:
+            rules.append(Rule(BETWEEN, c, min_value=round(low, 4), max_value=round(high, 4)))
 
     for c in patterned:
         for name, pattern in PATTERNS.items():

@@ -7,7 +7,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from siltgate.operators import recall
-from siltgate.operators.percentiles import exact_percentiles, exact_median, to_long
+from siltgate.operators.percentiles import column_percentiles, exact_median, exact_percentiles, to_long
 from siltgate.operators.profile import distinct_counts
 from siltgate.operators import validate
 from siltgate.spec import unique
@@ -23,6 +23,11 @@ def test_percentiles_match_numpy_with_a_hot_value(spark):
     for name, values in (("a", a), ("b", b)):
         want = np.percentile(values, [p * 100 for p in probs])
         assert np.allclose([got[name][f"p{i}"] for i in range(len(probs))], want)
+    # b has few distinct values, a has many: both ways in one call, and all on either way.
+    for small in (100, 0, 10**6):
+        both = column_percentiles(df, ["a", "b"], probs, small=small)
+        assert np.allclose(both["a"], np.percentile(a, [p * 100 for p in probs]))
+        assert np.allclose(both["b"], np.percentile(b, [p * 100 for p in probs]))
 
 
 @settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
