@@ -52,17 +52,20 @@ def exact_percentiles(long: DataFrame, probs: Sequence[float], group: str | None
     ranges = side * side
     points = F.split(F.lit(",".join(str(i / ranges) for i in range(1, ranges))), ",").cast("array<double>")
     sketch = F.percentile_approx(value, points, F.lit(10_000))
-    cuts = counted.groupBy(*by).agg(sketch.alias("e")).select(*by, _cuts(F.col("e"), side).alias("cuts"))
+    # The row total travels with the edges, so both sides need the same counted rows
+    # and share their shuffle.
+    found = counted.groupBy(*by).agg(sketch.alias("e"), F.sum("n").alias("total"))
+    cuts = found.select(*by, F.struct(_cuts(F.col("e"), side).alias("at"), "total").alias("cuts"))
     with_cuts = counted.join(F.broadcast(cuts), by) if by else counted.withColumn("cuts", cuts.scalar())
-    placed = with_cuts.select(*by, value, "n", _slot(value, F.col("cuts"), side).alias("slot"))
+    placed = with_cuts.select(
+        *by, value, "n", F.col("cuts.total").alias("total"),
+        _slot(value, F.col("cuts.at"), side).alias("slot"))
 
-    sizes = placed.groupBy(*by, "slot").agg(F.sum("n").alias("slot_n"))
+    sizes = placed.groupBy(*by, "slot").agg(F.sum("n").alias("slot_n"), F.max("total").alias("total"))
     ordered = Window.partitionBy(*by).orderBy("slot").rowsBetween(Window.unboundedPreceding, -1)
     totals = sizes.select(
-        *by, "slot", "slot_n",
-        F.coalesce(F.sum("slot_n").over(ordered), F.lit(0)).alias("offset"),
-        F.sum("slot_n").over(Window.partitionBy(*by)).alias("total"),
-    )
+        *by, "slot", "slot_n", "total",
+        F.coalesce(F.sum("slot_n").over(ordered), F.lit(0)).alias("offset"))
 
     def ranks():
         for p in probs:
@@ -74,7 +77,7 @@ def exact_percentiles(long: DataFrame, probs: Sequence[float], group: str | None
     needed = totals.where(reduce(lambda a, b: a | b, holds)).drop("slot_n")
 
     inside = Window.partitionBy(*by, "slot").orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
-    ranked = placed.join(F.broadcast(needed), [*by, "slot"]).withColumn("upto", F.sum("n").over(inside))
+    ranked = placed.drop("total").join(F.broadcast(needed), [*by, "slot"]).withColumn("upto", F.sum("n").over(inside))
     last = F.col("offset") + F.col("upto")      # rows at or before this value
     first = last - F.col("n")                   # rows before this value
     picks = []

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from siltgate.functions.columns import percent, to_number
 from siltgate.operators.percentiles import exact_median
@@ -46,9 +47,15 @@ def with_share(grouped: DataFrame, measure: str, share: str) -> DataFrame:
     """Add each group's percentage of the total.
 
     The total is a scalar subquery over the grouped rows, not ``sum() over ()``,
-    which would pull every group into one task.
+    which would pull every group into one task.  It touches all the measures, so
+    that its grouping is the very same one and its shuffle is reused; a narrower
+    subquery would read the table a second time.
     """
-    total = grouped.agg(F.sum(measure)).scalar()
+    others = [
+        F.max(f.name).alias(f.name) for f in grouped.schema.fields
+        if isinstance(f.dataType, T.NumericType) and f.name != measure
+    ]
+    total = grouped.agg(F.struct(F.sum(measure).alias("total"), *others).alias("s")).scalar()["total"]
     return grouped.withColumn(share, percent(F.col(measure), total))
 
 
