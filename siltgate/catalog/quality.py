@@ -154,9 +154,10 @@ FROM (SELECT SUM(c - 1) AS d, SUM(c) AS n FROM (SELECT COUNT(*) AS c FROM {table
 @query("inspect_issues", " UNION ALL ".join(_inspect_sql(d) for d in COLUMNS))
 def inspect_issues(t):
     declared = {"orders": {c: T.TimestampNTZType() for c in TIMES}}
-    return _union(
-        _tagged(d, profile.inspect(df, SPECS[d], declared=declared.get(d)))
-        for d, df in t.all_raw().items())
+    jobs = [
+        lambda d=d: _tagged(d, profile.inspect(t.raw(d), SPECS[d], declared=declared.get(d))) for d in SPECS
+    ]
+    return _union(profile.side_by_side(t.spark, jobs))
 
 
 # --- rule suggestion ----------------------------------------------------------
@@ -192,11 +193,11 @@ def _suggest_sql(dataset):
 
 @query("suggest_rules", " UNION ALL ".join(_suggest_sql(d) for d in COLUMNS))
 def suggest_rules(t):
-    out = []
-    for dataset, df in t.all_raw().items():
-        rules = profile.keep_usable(profile.suggest(df))
-        out.append(profile.rules_table(df, rules, dataset))
-    return _union(out)
+    def one(dataset):
+        df = t.raw(dataset)
+        return profile.rules_table(df, profile.keep_usable(profile.suggest(df)), dataset)
+
+    return _union(profile.side_by_side(t.spark, [lambda d=d: one(d) for d in SPECS]))
 
 
 # --- PII ---------------------------------------------------------------------

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark import inheritable_thread_target
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -91,9 +93,7 @@ def schema_table(df: DataFrame, table: str) -> DataFrame:
 # --- inspection --------------------------------------------------------------
 
 
-def _severity(key_column: bool, rate):
-    if key_column:
-        return F.lit("HIGH")
+def _severity(rate):
     return F.when(rate >= 10.0, "HIGH").when(rate >= 2.0, "MEDIUM").otherwise("LOW")
 
 
@@ -163,7 +163,7 @@ def inspect(df: DataFrame, spec: DatasetSpec, samples: int = 5,
     is_key = F.col("column_name").isin(*spec.key, "+".join(spec.key))
     found = issues.where(F.col("issue_rows") > 0).select(
         "column_name", "issue_type", "issue_rows", rate.alias("issue_pct"),
-        F.when(is_key, "HIGH").otherwise(_severity(False, rate)).alias("severity"),
+        F.when(is_key, "HIGH").otherwise(_severity(rate)).alias("severity"),
     )
     if not shown:
         return found.withColumn("sample_bad_values", F.lit(""))
@@ -292,5 +292,11 @@ def rules_table(df: DataFrame, rules: Sequence[Rule], dataset: str) -> DataFrame
     return df.agg(*counters).select(F.inline(F.array(*entries)))
 
 
+def side_by_side(spark: SparkSession, jobs: Sequence[Callable[[], object]]) -> list:
+    """Run independent driver steps at the same time, so their small Spark jobs overlap."""
+    with ThreadPoolExecutor(max_workers=max(1, len(jobs))) as pool:
+        return list(pool.map(lambda job: inheritable_thread_target(spark)(job)(), jobs))
+
+
 def union_all(frames: Sequence[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)
