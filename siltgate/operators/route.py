@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from siltgate.functions.columns import is_in
-from siltgate.operators.heal import HealStep, apply_steps
+from siltgate.operators.heal import HealStep, apply_steps, present, unsettled
 from siltgate.operators.validate import compile_suite
 from siltgate.spec import NOT_NULL, STATES, UNIQUE, Rule
 
@@ -17,12 +18,16 @@ NULL_KEY = "unfixable_null_primary_key"
 NULL_KEY_AFTER_RULES = "null_primary_key_after_silver_heal"
 
 
-def reasons(df: DataFrame, rules: Sequence[Rule]) -> Column:
-    """The labels of the row-level rules a row breaks, joined in rule order."""
-    checks, _, _ = compile_suite(df, [r for r in rules if r.kind != UNIQUE])
-    if not checks:
-        return F.lit("")
-    return F.concat_ws("; ", *[F.when(c.fails, F.lit(c.rule.label)) for c in checks])
+def _why(fails: list[tuple[Column, str]]) -> Column:
+    """Null for a row without failures, else the labels of the rules it breaks.
+
+    The outer condition is a plain OR, so ``reason is null`` in a filter or a
+    counter reduces to the predicates; no reason text is built for clean rows.
+    """
+    if not fails:
+        return F.lit(None).cast("string")
+    broken = reduce(lambda a, b: a | b, [f for f, _ in fails])
+    return F.when(broken, F.concat_ws("; ", *[F.when(f, F.lit(label)) for f, label in fails]))
 
 
 def tag(df: DataFrame, rules: Sequence[Rule], steps: Sequence[HealStep] = ()) -> DataFrame:
@@ -31,15 +36,15 @@ def tag(df: DataFrame, rules: Sequence[Rule], steps: Sequence[HealStep] = ()) ->
     Null rules look at the raw row, so a fill cannot hide a missing value that a
     rule demands; all other rules look at the repaired row.  No rules: all clean.
     """
-    on_raw = [r for r in rules if r.kind == NOT_NULL]
-    on_healed = [r for r in rules if r.kind not in (NOT_NULL, UNIQUE)]
-    marked = df.withColumn("_raw_reasons", reasons(df, on_raw))
-    healed = apply_steps(marked, steps)
-    joined = F.concat_ws(
-        "; ", F.nullif(F.col("_raw_reasons"), F.lit("")),
-        F.nullif(reasons(healed, on_healed), F.lit("")),
-    )
-    return healed.withColumn(REASON, F.nullif(joined, F.lit(""))).drop("_raw_reasons")
+    on_raw, _, _ = compile_suite(df, [r for r in rules if r.kind == NOT_NULL])
+    marks = {f"_missing{c.rule_id}": c.fails for c in on_raw}
+    healed = apply_steps(df.withColumns(marks), steps)
+    # Rules that a step's closed value set already guarantees need no check per row.
+    rest = [r for r in rules if r.kind not in (NOT_NULL, UNIQUE)]
+    on_healed, _, _ = compile_suite(healed, unsettled(rest, present(df, steps)))
+    fails = [(F.col(f"_missing{c.rule_id}"), c.rule.label) for c in on_raw]
+    fails += [(c.fails, c.rule.label) for c in on_healed]
+    return healed.withColumn(REASON, _why(fails)).drop(*marks)
 
 
 def clean(tagged: DataFrame) -> DataFrame:

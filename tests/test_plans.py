@@ -48,3 +48,17 @@ def test_scalar_filters_reach_the_scan(inputs):
 
     text = plan(usage_of(inputs.table("events")).where("node = 'click'"))
     assert "EqualTo(event_type,click)" in text
+
+
+def test_routing_filters_on_predicates_not_on_reason_text(inputs):
+    from siltgate.operators import route
+
+    clean = plan(route.clean(route.tag(inputs.payments, PAYMENTS.rules, heal.bronze_steps("payments"))))
+    assert "concat_ws" not in clean
+
+
+def test_share_of_total_reads_the_table_once(spark):
+    df = QUERIES["gold_revenue_by_type"](spark, FOLDER)
+    df.collect()
+    text = plan(df).split("Initial Plan")[0]
+    assert "ReusedExchange" in plan(df) and len(re.findall("FileScan", text)) <= 1
