@@ -119,3 +119,9 @@ def draw(key: Column, seed: str, scale: int = 1_000_000) -> Column:
     """
     digest = F.md5(F.concat(F.lit(f"{seed}:"), key.cast("string")))
     return F.pmod(F.conv(F.substring(digest, 1, 12), 16, 10).cast("bigint"), F.lit(scale))
+
+
+def may_be_number(c: Column) -> Column:
+    """Cheap first look before a number or phone pattern: a sign, point or digit leads."""
+    first = F.substring(c, 1, 1)
+    return (first >= "+") & (first <= "9")

@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from siltgate.functions.columns import may_be_number
 from siltgate.sources.readers import type_family
 from siltgate.spec import DatasetSpec
 
@@ -23,7 +24,8 @@ def observed_schema(feed: DataFrame, dataset: str) -> DataFrame:
     stats = []
     for i, c in enumerate(feed.columns):
         v = F.col(c)
-        kind = F.when(v.isNull(), None).when(v.rlike(INT_TEXT), 1).when(v.rlike(FLOAT_TEXT), 2).otherwise(3)
+        kind = (F.when(v.isNull(), None).when(~may_be_number(v), 3).when(v.rlike(INT_TEXT), 1)
+                .when(v.rlike(FLOAT_TEXT), 2).otherwise(3))
         stats += [F.count(v).alias(f"n{i}"), F.max(kind).alias(f"k{i}")]   # the widest kind seen
     entries = []
     for i, c in enumerate(feed.columns):
