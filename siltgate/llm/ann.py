@@ -17,18 +17,22 @@ from siltgate.llm.vectors import BLOCK_QUERIES, BLOCK_ROWS, best_per_query, matr
 #: Centres are fitted on at most this many rows, those with the smallest id hashes; every row is indexed.
 SAMPLE_ROWS = 20_000
 MAX_LISTS = 1_024
-#: Part of the lists that a query probes, and at least so many.
-PROBED, MIN_PROBED = 0.2, 24
+#: So many of the sample's rows show how many lists a query must probe for this recall within the sample.
+TRIED, RECALL = 200, 0.96
+#: So many of the sample's rows bound a query's k-th distance before its lists are scanned.
+SEEDS = 2_000
+#: Queries that meet the seeds at a time.
+SEED_QUERIES = 256
 COLUMNS = 16
 #: Width of the test: a row leaves when its scaled partial distance is beyond (1 + WIDTH / sqrt(columns))^2 of the best.
-WIDTH = 2.1
+WIDTH = 1.2
 SEED = 7
 
 
 class Model:
     """Centres and rotation for vectors of one length."""
 
-    def __init__(self, sample: np.ndarray, norm: float, lists: int):
+    def __init__(self, ids: np.ndarray, sample: np.ndarray, norm: float, lists: int, k: int):
         rng = np.random.default_rng(SEED)
         self.norm = norm
         dim = sample.shape[1] + 1
@@ -43,6 +47,32 @@ class Model:
             full = np.flatnonzero(count)
             sums = np.add.reduceat(points[order], (np.cumsum(count) - count)[full], axis=0)
             self.centres[full] = sums / count[full, None]
+        self.probed = self._enough(sample, self.nearest(points), k)
+        self.seed_ids, self.seeds = ids[:SEEDS].copy(), sample[:SEEDS].copy()
+
+    def _enough(self, sample: np.ndarray, near: np.ndarray, k: int) -> int:
+        """Lists to probe so that the sample's own rows find RECALL of their k nearest."""
+        tried = sample[:TRIED]
+        score = tried @ sample.T
+        score[np.arange(len(tried)), np.arange(len(tried))] = -np.inf
+        best = np.argsort(-score, axis=1)[:, :min(k, len(sample) - 1)]
+        rank = np.argsort(self.probes(tried, len(self.centres)), axis=1)
+        found = np.sort(np.take_along_axis(rank, near[best], axis=1).ravel())
+        return int(found[int(RECALL * (len(found) - 1))]) + 1 if len(found) else 1
+
+    def nearest_seeds(self, ids: np.ndarray, v: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Query index, row id and inner product of each query's k nearest seeds."""
+        q, r = np.nonzero(ids[:, None] != self.seed_ids[None, :])
+        return best_rows(v, q, self.seeds, self.seed_ids, r, k)
+
+    def limits(self, ids: np.ndarray, v: np.ndarray, k: int) -> np.ndarray:
+        """An upper bound of each query's k-th smallest distance, from the seeds."""
+        if len(self.seeds) <= k:
+            return np.full(len(v), np.inf)
+        score = v @ self.seeds.T
+        score[ids[:, None] == self.seed_ids[None, :]] = -np.inf
+        kth = np.partition(score, len(self.seeds) - k, axis=1)[:, len(self.seeds) - k]
+        return (v ** 2).sum(axis=1) + self.norm ** 2 - 2 * kth + 1e-9
 
     def lifted(self, v: np.ndarray) -> np.ndarray:
         """Rows with the component that gives all of them the same norm."""
@@ -61,39 +91,50 @@ class Model:
         return np.argsort(self.distances(points), axis=1, kind="stable")[:, :n]
 
 
-def scan_list(model: Model | None, queries: np.ndarray, query_ids: np.ndarray, rows: np.ndarray, ids: np.ndarray,
-              k: int) -> list[tuple[np.ndarray, np.ndarray]]:
-    """Per query the ids and exact inner products of the k nearest rows found in this list."""
-    out = []
-    if model is not None:
-        points = np.ascontiguousarray((model.lifted(rows) @ model.rotation).T)
-        turned = np.column_stack([queries, np.zeros(len(queries))]) @ model.rotation
-        dim = len(points)
-    for i in range(len(queries)):
-        alive = np.flatnonzero(ids != query_ids[i])
-        if model is not None and len(alive) > 4 * k:
-            q = turned[i][:, None]
-            seeds, rest = alive[:2 * k], alive[2 * k:]
-            limit = np.partition(((points[:, seeds] - q) ** 2).sum(axis=0), k - 1)[k - 1]
-            distance = np.zeros(len(rest))
-            for stop in range(COLUMNS, dim, COLUMNS):
-                distance += ((points[stop - COLUMNS:stop, rest] - q[stop - COLUMNS:stop]) ** 2).sum(axis=0)
-                stays = distance * (dim / stop) <= limit * (1 + WIDTH / np.sqrt(stop)) ** 2
-                rest, distance = rest[stays], distance[stays]
-            alive = np.concatenate([seeds, rest])
-        score = rows[alive] @ queries[i]
-        best = np.lexsort((ids[alive], -score))[:k]
-        out.append((ids[alive[best]], score[best]))
-    return out
+def best_rows(queries: np.ndarray, q: np.ndarray, rows: np.ndarray, ids: np.ndarray, r: np.ndarray,
+              k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of the pairs (query q, row r) the k of largest inner product for each query: q, row id, product."""
+    parts = [(rows[r[i:i + 65536]] * queries[q[i:i + 65536]]).sum(axis=1) for i in range(0, len(q), 65536)]
+    score = np.concatenate(parts or [np.array([])])
+    order = np.lexsort((ids[r], -score, q))
+    q, r, score = q[order], r[order], score[order]
+    best = np.arange(len(q)) - np.searchsorted(q, q) < k
+    return q[best], ids[r[best]], score[best]
+
+
+def scan_list(model: Model | None, queries: np.ndarray, query_ids: np.ndarray, limits: np.ndarray, rows: np.ndarray,
+              ids: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Query index, row id and exact inner product of each query's k nearest rows found in this list."""
+    stays = ids[None, :] != query_ids[:, None]
+    if model is not None and len(ids):
+        points, turned = model.lifted(rows) @ model.rotation, np.column_stack([queries, np.zeros(len(queries))]) @ model.rotation
+        dim, first = points.shape[1], slice(0, COLUMNS)
+        distance = ((turned[:, first] ** 2).sum(axis=1)[:, None] + (points[:, first] ** 2).sum(axis=1)[None, :]
+                    - 2 * turned[:, first] @ points[:, first].T)
+        stop = min(COLUMNS, dim)
+        stays &= distance * (dim / stop) <= (limits * (1 + WIDTH / np.sqrt(stop)) ** 2)[:, None]
+        q, r = np.nonzero(stays)
+        distance = distance[q, r]
+        while stop < dim and len(q):
+            block = slice(stop, stop + COLUMNS)
+            distance += ((points[r, block] - turned[q, block]) ** 2).sum(axis=1)
+            stop = min(stop + COLUMNS, dim)
+            width = (1 + WIDTH / np.sqrt(stop)) ** 2 if stop < dim else 1 + 1e-9
+            left = distance * (dim / stop) <= limits[q] * width + 1e-9
+            q, r, distance = q[left], r[left], distance[left]
+    else:
+        q, r = np.nonzero(stays)
+    return best_rows(queries, q, rows, ids, r, k)
 
 
 def nearest_neighbours(vectors: DataFrame, is_query: Column, k: int = 20, key: str = "vec_id",
-                       vector: str = "embedding", probed: float = PROBED) -> DataFrame:
+                       vector: str = "embedding") -> DataFrame:
     """query_id, rank, vec_id, score: the k rows of largest inner product found for each query, over all other rows.
 
+    Besides its lists a query meets the seeds that bound its distances, so it finds k rows wherever the sample has them.
     Scores are exact, in doubles, on the original vectors. Rows with a null id, or whose vector is null, zero or holds
-    a null or non-finite component, take no part; vectors of different lengths don't meet. Repeated ids: every row is
-    a candidate, the smallest vector is the query, and rows of the query's own id are left out. A length that the
+    a null or non-finite component, take no part; vectors of different lengths don't meet. Repeated ids: the
+    smallest vector is the query, rows of the query's own id are left out, and an id is found once, with its best score. A length that the
     sample lacks has no lists: its rows are searched whole. Other columns are ignored.
     """
     spark = vectors.sparkSession
@@ -104,19 +145,18 @@ def nearest_neighbours(vectors: DataFrame, is_query: Column, k: int = 20, key: s
     norm = F.max(F.sqrt(F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x)))
     n, top_norm = rows.agg(F.count("*"), norm).head()
     lists = int(min(MAX_LISTS, max(1, round(n ** 0.5))))
-    sample = rows.orderBy(F.xxhash64("id"), "id", "v").select("dim", "v").limit(SAMPLE_ROWS).toArrow()
+    sample = rows.orderBy(F.xxhash64("id"), "id", "v").select("id", "dim", "v").limit(SAMPLE_ROWS).toArrow()
     fitted: dict[int, Model] = {}
     for dim in set(sample["dim"].to_pylist()):
         own = sample.filter(pa.array([d == dim for d in sample["dim"].to_pylist()]))
-        fitted[dim] = Model(matrix(own["v"], dim), top_norm, lists)
+        fitted[dim] = Model(own["id"].to_numpy(), matrix(own["v"], dim), top_norm, lists, k)
     models = spark.sparkContext.broadcast(fitted)
-    wanted = max(MIN_PROBED, round(lists * probed))
 
     def assign(probe: bool):
         def run(batches):
             for batch in batches:
                 out_row, out_list = [np.array([], dtype=np.int64)], [np.array([], dtype=np.int64)]
-                dims = batch.column("dim").to_numpy()
+                dims, limits = batch.column("dim").to_numpy(), np.full(batch.num_rows, np.inf)
                 for dim in np.unique(dims):
                     at = np.flatnonzero(dims == dim)
                     model = models.value.get(int(dim))
@@ -124,7 +164,8 @@ def nearest_neighbours(vectors: DataFrame, is_query: Column, k: int = 20, key: s
                     if model is None:
                         to = np.full((len(at), 1), -1)
                     elif probe:
-                        to = model.probes(part, wanted)
+                        to = model.probes(part, model.probed)
+                        limits[at] = model.limits(batch.column("id").to_numpy()[at], part, k)
                     else:
                         to = model.nearest(model.lifted(part))[:, None]
                     out_row.append(np.repeat(at, to.shape[1]))
@@ -132,10 +173,11 @@ def nearest_neighbours(vectors: DataFrame, is_query: Column, k: int = 20, key: s
                 take = pa.array(np.concatenate(out_row))
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("id").take(take), batch.column("v").take(take), batch.column("dim").take(take),
-                     pa.array(np.concatenate(out_list).astype(np.int32))], ["id", "v", "dim", "list"])
+                     pa.array(np.concatenate(out_list).astype(np.int32)), pa.array(limits).take(take)],
+                    ["id", "v", "dim", "list", "bound"])
         return run
 
-    schema = "id long, v array<double>, dim int, list int"
+    schema = "id long, v array<double>, dim int, list int, bound double"
     indexed = rows.select("id", "v", "dim").mapInArrow(assign(False), schema)
     queries = one_per_id(rows.where("q"), "id", "v").withColumn("dim", F.size("v"))
     asking = queries.mapInArrow(assign(True), schema)
@@ -146,10 +188,10 @@ def nearest_neighbours(vectors: DataFrame, is_query: Column, k: int = 20, key: s
                        F.ceil(F.col("n_q") / BLOCK_QUERIES).cast("int").alias("parts"))
     to_all = lambda c: F.explode(F.sequence(F.lit(0), F.col(c) - 1))
     candidates = indexed.join(cuts, ["dim", "list"]).select(
-        "id", "v", "dim", "list", F.pmod(F.xxhash64("id", "v"), F.col("blocks")).cast("int").alias("block"),
+        "id", "v", "dim", "list", "bound", F.pmod(F.xxhash64("id", "v"), F.col("blocks")).cast("int").alias("block"),
         to_all("parts").alias("part"), F.lit(False).alias("asks"))
     asks = asking.join(cuts, ["dim", "list"]).select(
-        "id", "v", "dim", "list", to_all("blocks").alias("block"),
+        "id", "v", "dim", "list", "bound", to_all("blocks").alias("block"),
         F.pmod(F.xxhash64("id"), F.col("parts")).cast("int").alias("part"), F.lit(True).alias("asks"))
 
     def cell(group: pa.Table) -> pa.Table:
@@ -157,11 +199,24 @@ def nearest_neighbours(vectors: DataFrame, is_query: Column, k: int = 20, key: s
         dim = group["dim"][0].as_py()
         ids, v = group["id"].to_numpy(), matrix(group["v"], dim)
         model = models.value.get(dim) if group["list"][0].as_py() >= 0 else None
-        found = scan_list(model, v[asks], ids[asks], v[~asks], ids[~asks], k)
-        return pa.table({"query_id": np.repeat(ids[asks], [len(x) for x, _ in found]),
-                         "vec_id": np.concatenate([x for x, _ in found] or [np.array([], dtype=np.int64)]),
-                         "score": np.concatenate([s for _, s in found] or [np.array([])])})
+        q, near, score = scan_list(model, v[asks], ids[asks], group["bound"].to_numpy()[asks], v[~asks], ids[~asks], k)
+        return pa.table({"query_id": ids[asks][q], "vec_id": near, "score": score})
+
+    def meet_seeds(batches):
+        for batch in batches:
+            dims, ids = batch.column("dim").to_numpy(), batch.column("id").to_numpy()
+            for dim in np.unique(dims):
+                if (model := models.value.get(int(dim))) is None:
+                    continue
+                at = np.flatnonzero(dims == dim)
+                for rows in (at[i:i + SEED_QUERIES] for i in range(0, len(at), SEED_QUERIES)):
+                    v = matrix(batch.column("v").take(pa.array(rows)), int(dim))
+                    q, near, score = model.nearest_seeds(ids[rows], v, k)
+                    yield pa.RecordBatch.from_arrays([pa.array(ids[rows][q]), pa.array(near), pa.array(score)],
+                                                     ["query_id", "vec_id", "score"])
 
     found = candidates.unionByName(asks).groupBy("dim", "list", "block", "part").applyInArrow(
         cell, "query_id long, vec_id long, score double")
+    found = found.unionByName(queries.mapInArrow(meet_seeds, "query_id long, vec_id long, score double"))
+    found = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     return best_per_query(found, k)

@@ -110,9 +110,9 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 ORACLES["op1_mixing"] = mixing.mix_sql()
 
 ORACLES["op3_exact_topk"] = """
-WITH v AS (SELECT vec_id, list_transform(embedding, x -> floor(1024 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT) AS v FROM embeddings
   WHERE embedding IS NOT NULL AND vec_id IS NOT NULL
-    AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
 l AS (SELECT vec_id, len(v) AS dim, unnest(v) AS x, unnest(range(len(v))) AS i FROM v),
 s AS (SELECT q.vec_id AS query_id, c.vec_id, sum(q.x * c.x)::BIGINT AS score
   FROM l AS q JOIN l AS c ON q.i = c.i AND q.dim = c.dim WHERE q.vec_id % 100 = 0 AND c.vec_id <> q.vec_id GROUP BY ALL),
