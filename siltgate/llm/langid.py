@@ -15,6 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, DoubleType, StringType, StructField, StructType
 from pyspark.sql.window import Window
 
 BUCKETS = 1 << 14
@@ -197,11 +198,11 @@ def predict(docs: DataFrame, model: LangModel | None, text: str = "text") -> Dat
                 rejected.append(bool(p[best] < fitted.threshold))
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(lang, pa.string()), pa.array(score, pa.float64()),
-                 pa.array(rejected, pa.bool_())], [*docs.columns, "lang_pred", "lang_score", "lang_rejected"])
+                 pa.array(rejected, pa.bool_())], [*columns, "lang_pred", "lang_score", "lang_rejected"])
 
-    schema = docs.schema
-    for name, kind in (("lang_pred", "string"), ("lang_score", "double"), ("lang_rejected", "boolean")):
-        schema = schema.add(name, kind) if name not in docs.columns else schema
+    columns = docs.columns
+    schema = StructType([*docs.schema.fields, StructField("lang_pred", StringType()),
+                         StructField("lang_score", DoubleType()), StructField("lang_rejected", BooleanType())])
     return docs.mapInArrow(run, schema)
 
 

@@ -177,8 +177,10 @@ def find_private(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
 
 def report(found: DataFrame, key: str = "doc_id") -> DataFrame:
     """Counts of base spans by kind, their digest, and all spans as text."""
-    counts = [F.size(F.filter("base", lambda s, k=k: s["rank"] == k)).cast("long").alias(f"n_{kind}")
-              for k, kind in enumerate(KINDS)]
+    def of(rank: int) -> Column:
+        return F.size(F.filter("base", lambda s: s["rank"] == rank)).cast("long")
+
+    counts = [of(rank).alias(f"n_{kind}") for rank, kind in enumerate(KINDS)]
     return found.select(key, *counts, F.sha2(listed(F.col("base")).cast("binary"), 256).alias("base_sha256"),
                         listed(F.col("spans")).alias("spans"))
 
