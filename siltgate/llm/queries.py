@@ -59,6 +59,13 @@ def op4_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.nearest_neighbours(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
 
 
+@query
+def op5_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from siltgate.llm import html
+
+    return html.extract(table(spark, sf_dir, "pages"))
+
+
 @query
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from siltgate.llm import pack
