@@ -275,3 +275,14 @@ def join(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     own = F.when(F.col("n") == 0, F.col(key)).otherwise(F.when(F.col(key).isNotNull(), F.col("component_id")))
     return found.drop("prefix").join(named, ["d1", "d2"], "left").select(
         key, F.col("n").alias("n_shingles"), own.alias("component_id"))
+
+
+def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """Of each group of linked documents the one of the smallest key; rows without a key stay, repeated rows become one."""
+    found = join(docs, key, text)
+    kept = stored(found.where(F.col(key) == F.col("component_id")).groupBy(F.col(key).alias("kept_key")).agg(
+        F.count("*").alias("kept_rows")), "kept")
+    rows = docs.join(kept, F.col(key) == F.col("kept_key"))
+    once = rows.where(F.col("kept_rows") == 1).select(*docs.columns)
+    more = rows.where(F.col("kept_rows") > 1).select(*docs.columns).dropDuplicates([key])
+    return once.unionByName(more).unionByName(docs.where(F.col(key).isNull()))
