@@ -88,8 +88,8 @@ def encode_pieces(docs: DataFrame, tokenizer_path: str, key: str = "doc_id", tex
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             row, start, length, crc, tokens = [], [], [], [], []
-            for i, value in enumerate(batch.column(1).to_pylist()):
-                ids = wordbpe.id_bytes(tokenizer_path, value) + end
+            for i, found in enumerate(wordbpe.id_bytes(tokenizer_path, batch.column(1).to_pylist())):
+                ids = found + end
                 for at in range(0, len(ids), 4 * max_len):
                     piece = ids[at:at + 4 * max_len]
                     row.append(i)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -24,7 +25,7 @@ def _summaries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for text in batch.column(0).to_pylist():
             if text:
-                counts.update(wordbpe.pieces(text))
+                counts.update(wordbpe.pieces(text) or ())
                 if len(counts) > COUNTER_ENTRIES:
                     counts = Counter(dict(counts.most_common(COUNTER_ENTRIES // 2)))
     top = [(k, n) for k, n in counts.most_common(PER_TASK) if len(k) <= wordbpe.CACHED_CHARS]
@@ -53,22 +54,18 @@ def count_tokens(docs: DataFrame, tokenizer_path: str, key: str = "doc_id", text
     """
     spark = docs.sparkSession
     pieces = frequent_pieces(docs, text)
-    tokenizer = wordbpe._tokenizer(tokenizer_path)
-    lengths = [len(x.ids) for x in tokenizer.encode_batch(pieces, add_special_tokens=False)]
-    table = spark.sparkContext.broadcast(dict(zip(pieces, lengths, strict=True)))
+    known = wordbpe.PreTokens(tokenizer_path, len)
+    known.add(pieces)
+    table = spark.sparkContext.broadcast(dict(known))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cached = wordbpe._Counts(tokenizer_path, table.value).__getitem__
+        cached = wordbpe.PreTokens(tokenizer_path, len, table.value)
         for batch in batches:
-            n_bytes, n_tokens = [], []
-            for value in batch.column(1).to_pylist():
-                value = value or ""
-                n_bytes.append(len(value.encode()))
-                n_tokens.append(sum(map(cached, wordbpe.pieces(value))))
-            tokens = pa.array(n_tokens, pa.int64())
+            texts = batch.column(1).to_pylist()
+            n_bytes = [len((x or "").encode()) for x in texts]
+            n_tokens = np.fromiter(wordbpe.encoded(texts, cached, sum), dtype=np.int64, count=len(texts))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(n_bytes, pa.int64()), tokens,
-                 pa.array([n > limit for n in n_tokens], pa.bool_())],
+                [batch.column(0), pa.array(n_bytes, pa.int64()), pa.array(n_tokens), pa.array(n_tokens > limit)],
                 [key, "n_bytes", "n_tokens", "over_limit"])
 
     kind = docs.schema[key].dataType.simpleString()
