@@ -9,6 +9,7 @@ the remaining columns rule out. What leaves a block is a spanning forest of its
 from __future__ import annotations
 
 import hashlib
+import zlib
 from collections.abc import Iterator
 from functools import cache
 
@@ -23,11 +24,13 @@ from siltgate.llm.components import components
 WORDS = 4
 #: Link where 100 * intersection >= PERCENT * union.
 PERCENT = 85
-#: Counters of n-grams by hash. They only order columns: any order gives the same links.
-COUNTERS = 1 << 18
+#: Counters of n-grams by hash, and those of one shuffled row. They only order columns: any order gives the same links.
+COUNTERS, CHUNK = 1 << 20, 1 << 13
+#: A counter stands for a common n-gram from so many standard deviations above the mean.
+DEVIATIONS = 4.0
 HASH_BITS = 60
-#: Columns with more rows than this link their rows to one leader instead of pair by pair.
-PAIRED = 12
+#: Columns with more rows than this compare their rows' prefixes in blocks instead of pair by pair.
+PAIRED = 24
 #: A block holds about so many set members and so many rows at most.
 BLOCK_MEMBERS, BLOCK_ROWS = 150_000, 1_024
 COLUMN_BLOCK = 2_048
@@ -75,20 +78,36 @@ def need(size_a, size_b, percent: int = PERCENT):
 
 
 def column_levels(docs: DataFrame, text: str) -> np.ndarray:
-    """A level per counter: how far, in powers of two, its n-grams' count lies above the mean."""
+    """A level per counter over all n-grams: 0 for usual counts, more for each doubling beyond what chance explains."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(COUNTERS, dtype=np.int64)
+        held: list[np.ndarray] = []
+        size = 0
         for batch in batches:
             for value in batch.column(0).to_pylist():
-                np.add.at(total, shingles(value) & (COUNTERS - 1), 1)
-        full = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(full.astype(np.int32)), pa.array(total[full])], ["counter", "n"])
-
-    sums = docs.select(text).mapInArrow(count, "counter int, n long").groupBy("counter").agg(F.sum("n").alias("n"))
-    table = sums.toArrow()
-    counts = np.zeros(COUNTERS)
-    counts[table["counter"].to_numpy()] = table["n"].to_numpy()
-    return np.clip(np.floor(np.log2(np.maximum(counts, 1) / max(8.0, counts.mean()))), 0, 7).astype(np.int64)
+                held.append(shingles(value) & (COUNTERS - 1))
+                size += len(held[-1])
+                if size > COUNTERS:
+                    total += np.bincount(np.concatenate(held), minlength=COUNTERS)
+                    held, size = [], 0
+        if held:
+            total += np.bincount(np.concatenate(held), minlength=COUNTERS)
+        chunks = [zlib.compress(total[i:i + CHUNK].astype("<i8").tobytes(), 1) for i in range(0, COUNTERS, CHUNK)]
+        yield pa.RecordBatch.from_arrays([pa.array(range(len(chunks)), pa.int32()), pa.array(chunks, pa.binary())],
+                                         ["chunk", "counts"])
+
+    def add(group: pa.Table) -> pa.Table:
+        total = sum(np.frombuffer(zlib.decompress(c), dtype="<i8") for c in group["counts"].to_pylist())
+        return pa.table({"chunk": group["chunk"][:1], "counts": pa.array([total.tobytes()], pa.binary())})
+
+    schema = "chunk int, counts binary"
+    sums = docs.select(text).mapInArrow(count, schema).groupBy("chunk").applyInArrow(add, schema).toArrow()
+    counts = np.zeros((COUNTERS // CHUNK, CHUNK))
+    for chunk, values in zip(sums["chunk"].to_pylist(), sums["counts"].to_pylist(), strict=True):
+        counts[chunk] = np.frombuffer(values, dtype="<i8")
+    counts = counts.ravel()
+    usual = max(8.0, counts.mean() + DEVIATIONS * counts.mean() ** 0.5)
+    return np.where(counts > usual, 1 + np.clip(np.log2(np.maximum(counts, 1) / usual), 0, 6), 0).astype(np.int64)
 
 
 def _incidence(docs: DataFrame, key: str, text: str, levels: np.ndarray) -> DataFrame:
@@ -115,39 +134,61 @@ def _incidence(docs: DataFrame, key: str, text: str, levels: np.ndarray) -> Data
 
 def _candidates(rows: DataFrame) -> DataFrame:
     """rows: node, n, prefix -> u, v: rows that may link lie in one component of these edges."""
-    rows = rows.withColumn("p", F.size("prefix")).withColumn("last", F.element_at("prefix", -1))
-    columns = rows.select("node", "n", "p", "last", F.explode("prefix").alias("column"))
-    shared = columns.groupBy("column").agg(F.count("*").alias("df"), F.min("node").alias("leader")).where("df > 1")
-    columns = stored(columns.join(shared, "column"), "columns")
-    # Common columns: one edge per row. How many a row has bounds what its pairs miss below.
-    stars = columns.where(F.col("df") > PAIRED)
-    common = stars.groupBy("node").agg(F.count("*").alias("h"))
+    slim = rows.select("node", "n", F.size("prefix").alias("p"), F.element_at("prefix", -1).alias("last"),
+                       F.explode("prefix").alias("column"))
+    shared = slim.groupBy("column").agg(F.count("*").alias("df")).where("df > 1")
+    columns = stored(slim.join(shared, "column"), "columns")
+    common = columns.where(F.col("df") > PAIRED)
+    missed = common.groupBy("node").agg(F.count("*").alias("h"))
     rare = columns.where(F.col("df") <= PAIRED).select("column", "node", "n", "p", "last")
     a, b = (rare.select("column", *(F.col(c).alias(f"{c}_{x}") for c in ("node", "n", "p", "last"))) for x in "ab")
     sized = (F.col("n_a") * 100 >= F.col("n_b") * PERCENT) & (F.col("n_b") * 100 >= F.col("n_a") * PERCENT)
     pairs = a.join(b, "column").where((F.col("node_a") < F.col("node_b")) & sized)
     pairs = pairs.groupBy(*(f"{c}_{x}" for x in "ab" for c in ("node", "n", "p", "last"))).agg(
         F.count("*").alias("overlap"))
+    # Up to the smaller of the two last prefix columns all common columns are counted, but for common ones; the rest
+    # is at most what that row has beyond its prefix.
+    rest_a, rest_b = F.col("n_a") - F.col("p_a"), F.col("n_b") - F.col("p_b")
+    rest = F.when(F.col("last_a") < F.col("last_b"), rest_a).when(F.col("last_a") > F.col("last_b"), rest_b).otherwise(
+        F.least(rest_a, rest_b))
+    least = F.ceil((F.col("n_a") + F.col("n_b")) * PERCENT / (100 + PERCENT)) - rest
     for x in "ab":
-        pairs = pairs.join(common.select(F.col("node").alias(f"node_{x}"), F.col("h").alias(f"h_{x}")), f"node_{x}", "left")
-    # Up to the smaller of the two last prefix columns all common columns are counted; the rest is at most what that
-    # row has beyond its prefix.
-    rest = F.when(F.col("last_a") < F.col("last_b"), F.col("n_a") - F.col("p_a")).when(
-        F.col("last_a") > F.col("last_b"), F.col("n_b") - F.col("p_b")).otherwise(
-        F.least(F.col("n_a") - F.col("p_a"), F.col("n_b") - F.col("p_b")))
-    missed = F.least(F.coalesce("h_a", F.lit(0)), F.coalesce("h_b", F.lit(0)))
-    least = F.ceil((F.col("n_a") + F.col("n_b")) * PERCENT / (100 + PERCENT))
-    kept = pairs.where(F.col("overlap") + missed + rest >= least)
-    return kept.select(F.col("node_a").alias("u"), F.col("node_b").alias("v")).unionByName(
-        stars.select(F.col("node").alias("u"), F.col("leader").alias("v")))
-
-
-def _cells(rows: DataFrame, groups: DataFrame) -> DataFrame:
-    """rows: node, n; groups: node, component -> node, component, cell, side: the block products a row takes part in."""
-    inside = groups.unionByName(groups.select(F.col("component").alias("node"), "component").distinct())
-    inside = rows.select("node", "n").distinct().join(inside, "node").withColumn(
-        "step", F.floor(F.log(F.col("n").cast("double")) / SIZE_STEP).cast("int"))
-    inside = stored(inside, "grouped")
+        pairs = pairs.join(missed.select(F.col("node").alias(f"node_{x}"), F.col("h").alias(f"h_{x}")), f"node_{x}", "left")
+    unseen = F.least(F.coalesce("h_a", F.lit(0)), F.coalesce("h_b", F.lit(0)))
+    kept = pairs.where(F.col("overlap") + unseen >= least).select(F.col("node_a").alias("u"), F.col("node_b").alias("v"))
+    cells = _cells(common.select("node", "n", F.col("column").alias("component")))
+    return kept.unionByName(_prefix_edges(rows, cells))
+
+
+def _prefix_edges(rows: DataFrame, cells: DataFrame) -> DataFrame:
+    """u, v: within each cell a spanning forest of the pairs whose prefixes leave a link possible."""
+    def multiply(group: pa.Table) -> pa.Table:
+        node, side, component, n = (group[c].to_numpy() for c in ("node", "side", "component", "n"))
+        prefix = group["prefix"].combine_chunks()
+        starts, columns = prefix.offsets.to_numpy(), prefix.values.to_numpy()
+        u, v = [], []
+        order = np.lexsort((node, component))
+        for own in np.split(order, np.flatnonzero(np.diff(component[order])) + 1):
+            sets = [columns[starts[i]:starts[i + 1]] for i in own]
+            last, size = np.array([x[-1] for x in sets]), n[own]
+            rest = size - np.array([len(x) for x in sets])
+            first = last[:, None] < last[None, :]
+            equal = last[:, None] == last[None, :]
+            unseen = np.where(equal, np.minimum.outer(rest, rest), np.where(first, rest[:, None], rest[None, :]))
+            least = need(size[:, None], size[None, :])
+            possible = np.minimum.outer(size, size) >= least
+            label = block_links(sets, np.where(possible, least - unseen, 1 << 40), side[own])
+            moved = np.flatnonzero(label != np.arange(len(own)))
+            u.append(node[own[moved]])
+            v.append(node[own[label[moved]]])
+        return pa.table({"u": np.concatenate(u), "v": np.concatenate(v)})
+
+    return rows.select("node", "n", "prefix").join(cells, "node").groupBy("cell").applyInArrow(multiply, "u long, v long")
+
+
+def _cells(inside: DataFrame) -> DataFrame:
+    """inside: node, n, component -> node, component, cell, side: the block products a row takes part in."""
+    inside = stored(inside.withColumn("step", F.floor(F.log(F.col("n").cast("double")) / SIZE_STEP).cast("int")), "grouped")
     steps = inside.groupBy("component", "step").agg(F.sum("n").alias("members"), F.count("*").alias("docs"))
     whole = steps.groupBy("component").agg(F.sum("members").alias("members"), F.sum("docs").alias("docs"))
     small = (F.col("members") <= BLOCK_MEMBERS) & (F.col("docs") <= BLOCK_ROWS)
@@ -166,8 +207,7 @@ def _cells(rows: DataFrame, groups: DataFrame) -> DataFrame:
     for name, shift in (("above", -1), ("below", 1)):
         near = parts.select("component", (F.col("step") + shift).alias("step"), F.col("k").alias(name))
         large = large.join(near, ["component", "step"], "left")
-    part = F.pmod(F.xxhash64("node"), F.col("k")).cast("int")
-    large = large.withColumn("part", part)
+    large = large.withColumn("part", F.pmod(F.xxhash64("node"), F.col("k")).cast("int"))
     others = lambda k: F.when(F.col(k) > 0, F.sequence(F.lit(0), F.col(k) - 1)).otherwise(F.array().cast("array<int>"))
 
     def cell(step, i, step2, j, side):
@@ -183,8 +223,8 @@ def _cells(rows: DataFrame, groups: DataFrame) -> DataFrame:
     return tiny.unionByName(large)
 
 
-def block_links(sets: list[np.ndarray], side: np.ndarray) -> np.ndarray:
-    """For each set the smallest index it is connected to by links within this block.
+def block_links(sets: list[np.ndarray], least: np.ndarray, side: np.ndarray) -> np.ndarray:
+    """For each set the smallest index it is connected to by pairs whose overlap reaches `least` within this block.
 
     side: with both 0 and 1 present only pairs across are looked at. Overlaps accumulate over blocks of columns; after
     each, a row that no pair can bring to its bound any more leaves.
@@ -203,10 +243,9 @@ def block_links(sets: list[np.ndarray], side: np.ndarray) -> np.ndarray:
     order = np.argsort(column, kind="stable")
     row, column = row[order], column[order]
     left = np.bincount(row, minlength=m)
-    least = need(size[:, None], size[None, :])
-    pairs = np.ones((m, m), dtype=bool)
+    pairs = np.minimum.outer(size, size) >= least
     if side.any() and not side.all():
-        pairs = side[:, None] != side[None, :]
+        pairs &= side[:, None] != side[None, :]
     np.fill_diagonal(pairs, False)
     overlap = np.zeros((m, m), dtype=np.float32)
     alive = np.arange(m)
@@ -245,9 +284,11 @@ def _block_edges(docs: DataFrame, cells: DataFrame, key: str, text: str) -> Data
         component = group["component"].to_numpy()
         texts = group["text"]
         u, v = [], []
-        order = np.argsort(component, kind="stable")
+        order = np.lexsort((nodes, component))
         for own in np.split(order, np.flatnonzero(np.diff(component[order])) + 1):
-            label = block_links([shingles(texts[int(i)].as_py()) for i in own], side[own])
+            sets = [shingles(texts[int(i)].as_py()) for i in own]
+            size = np.array([len(x) for x in sets], dtype=np.int64)
+            label = block_links(sets, need(size[:, None], size[None, :]), side[own])
             moved = np.flatnonzero(label != np.arange(len(own)))
             u.append(nodes[own[moved]])
             v.append(nodes[own[label[moved]]])
@@ -268,7 +309,8 @@ def join(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     rows = stored(sets.groupBy("d1", "d2").agg(F.min(key).alias("node"), F.max("n").alias("n"),
                                                F.min_by("prefix", key).alias("prefix")), "rows")
     groups = components(_candidates(rows.select("node", "n", "prefix")))
-    cells = stored(_cells(rows, groups), "cells")
+    groups = groups.unionByName(groups.select(F.col("component").alias("node"), "component").distinct())
+    cells = stored(_cells(rows.select("node", "n").distinct().join(groups, "node")), "cells")
     linked = components(_block_edges(docs.where(F.col(text).isNotNull()), cells, key, text))
     named = rows.join(linked, "node", "left").select(
         "d1", "d2", F.coalesce("component", "node").alias("component_id"))
