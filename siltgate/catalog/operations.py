@@ -1,4 +1,4 @@
-"""Cumulative store, batch history, lineage, audit, operations and faults."""
+"""Cumulative store, batch history, lineage, audit, and operations."""
 
 from pyspark.sql import functions as F
 
@@ -10,7 +10,7 @@ from siltgate.catalog.registry import CTES, query
 from siltgate.catalog.silver_gold import _COLUMNS as COLUMNS
 from siltgate.catalog.silver_gold import _kpi_sql, _logs
 from siltgate.functions.columns import non_negative
-from siltgate.operators import faults, heal, lineage, ops, profile, recall, store
+from siltgate.operators import heal, lineage, ops, profile, recall, store
 from siltgate.operators.dedup import has_key, keep_one
 from siltgate.plans import gold, medallion
 from siltgate.spec import SPECS
@@ -385,7 +385,7 @@ def approval_latest(t):
 
 
 @query("incident_remember", """
-SELECT 'fix_' || left(sha256(text), 16) AS memory_id, arg_min(doc_id, doc_id) AS doc_id, arg_min(source, doc_id) AS source,
+SELECT 'fix_' || sha256(text) AS memory_id, arg_min(doc_id, doc_id) AS doc_id, arg_min(source, doc_id) AS source,
        arg_min(lang, doc_id) AS lang, COUNT(*) AS seen FROM documents GROUP BY 1""")
 def incident_remember(t):
     return ops.remember(t.table("documents"), "text", "doc_id", "source", "lang")
@@ -407,43 +407,3 @@ def incident_recall(t):
     fixes = table.select(F.col("id").alias("memory_id"), F.col("label").alias("recalled_fix"))
     return found.join(fixes, "memory_id").select(
         "new_id", "memory_id", F.round("distance", 6).alias("distance"), "recalled_fix")
-
-
-# --- fault injection ------------------------------------------------------------------
-
-
-def _draw_sql(key, seed, scale=faults.SCALE):
-    return f"(('0x' || substr(md5('{seed}:' || CAST({key} AS VARCHAR)), 1, 12))::BIGINT % {scale})"
-
-
-@query("inject_nulls", f"""
-SELECT o_orderkey, o_orderdate, CASE WHEN NOT {_draw_sql('o_orderkey', 'null')} < 50000 THEN o_orderstatus END AS o_orderstatus FROM orders""")
-def inject_nulls(t):
-    df = t.table("orders").select("o_orderkey", "o_orderdate", "o_orderstatus")
-    return faults.nulls(df, "o_orderstatus", F.col("o_orderkey"), 0.05)
-
-
-BADS = ["cash", "crypto", "INVALID"]
-
-
-@query("inject_bad_values", f"""
-SELECT o_orderkey, CASE WHEN {_draw_sql('o_orderkey', 'bad')} < 30000 AND o_orderpriority IS NOT NULL
-  THEN ['cash', 'crypto', 'INVALID'][{_draw_sql('o_orderkey', 'bad-pick', 3)} + 1] ELSE o_orderpriority END AS o_orderpriority FROM orders""")
-def inject_bad_values(t):
-    df = t.table("orders").select("o_orderkey", "o_orderpriority")
-    return faults.bad_values(df, "o_orderpriority", BADS, F.col("o_orderkey"), 0.03)
-
-
-@query("inject_negatives", f"""
-SELECT p_partkey, CASE WHEN {_draw_sql('p_partkey', 'sign')} < 80000 THEN -p_retailprice ELSE p_retailprice END AS p_retailprice FROM part""")
-def inject_negatives(t):
-    df = t.table("part").select("p_partkey", "p_retailprice")
-    return faults.negatives(df, "p_retailprice", F.col("p_partkey"), 0.08)
-
-
-@query("inject_duplicates", f"""
-SELECT c_custkey, c_name, c_nationkey, 1 AS load_seq FROM customer
-UNION ALL SELECT c_custkey, c_name, c_nationkey, 2 FROM customer WHERE {_draw_sql('c_custkey', 'dup')} < 50000""")
-def inject_duplicates(t):
-    df = t.table("customer").select("c_custkey", "c_name", "c_nationkey")
-    return faults.duplicates(df, F.col("c_custkey"), 0.05)

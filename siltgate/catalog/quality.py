@@ -64,6 +64,13 @@ SCHEMAS = {
     "supplier": "s_suppkey:int s_name:str s_nationkey:int s_acctbal:float",
     "events": "event_id:int ts:timestamp user_id:int event_type:str value:float props:str",
     "conversations": "conv_id:int turn:int role:str text:str",
+    "region": "r_regionkey:int r_name:str",
+    "nation": "n_nationkey:int n_name:str n_regionkey:int",
+    "documents": "doc_id:int text:str lang:str source:str n_chars:int",
+    "embeddings": "vec_id:int embedding:array<float> label:int",
+    "pages": "page_id:int url:str html:str",
+    "benchmark": "item_id:int text:str",
+    "labels": "doc_id:int quality:int toxic:int",
 }
 
 
@@ -432,10 +439,11 @@ QUALIFY sample_rank <= 5"""
     _samples_sql("customers", IN_SET, "customer_state", f"customer_state NOT IN ({texts(STATES + ('UNKNOWN',))})"),
     _samples_sql("orders", IN_SET, "order_status", f"order_status NOT IN ({texts(ORDER_STATUSES + ('unknown',))})"),
     _samples_sql("payments", IN_SET, "payment_type", f"payment_type NOT IN ({texts(PAYMENT_TYPES)})"),
-    _samples_sql("payments", BETWEEN, "payment_value", "payment_value < 0 OR payment_value > 999999")]))
+    _samples_sql("payments", BETWEEN, "payment_value", "payment_value < 0 OR payment_value > 999999"),
+    _samples_sql("products", BETWEEN, "product_weight_g", "product_weight_g < 0 OR product_weight_g > 100000")]))
 def validate_bad_samples(t):
     return _union(
-        _tagged(d, validate.bad_samples(t.raw(d), SPECS[d].rules)) for d in ("customers", "orders", "payments"))
+        _tagged(d, validate.bad_samples(t.raw(d), spec.rules)) for d, spec in SPECS.items())
 
 
 RANGE_RULES = {

@@ -10,7 +10,7 @@ from collections.abc import Iterable, Mapping
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from siltgate.spec import NULL_TOKENS, STATE_ALIASES, STATES, TS_SENTINEL
+from siltgate.spec import STATE_ALIASES, STATES, TS_SENTINEL
 
 
 def is_in(c: Column, values: Iterable[str]) -> Column:
@@ -18,11 +18,6 @@ def is_in(c: Column, values: Iterable[str]) -> Column:
     return F.coalesce(c.isin(*values), F.lit(False))
 
 
-def blank_tokens(c: Column) -> Column:
-    """Turn text such as ``nan`` / ``None`` / ``NULL`` into a real null."""
-    return F.when(F.lower(F.trim(c)).isin(*NULL_TOKENS), None).otherwise(c)
-
-
 def to_number(c: Column) -> Column:
     """Tolerant number: unparsable text and NaN become null."""
     return F.nanvl(c.try_cast("double"), F.lit(None).cast("double"))
@@ -112,15 +107,6 @@ def percent(part: Column, whole: Column, digits: int = 2) -> Column:
     return F.round(part.cast("double") * 100.0 / F.nullif(whole.cast("double"), F.lit(0.0)), digits)
 
 
-def draw(key: Column, seed: str, scale: int = 1_000_000) -> Column:
-    """A repeatable pseudo-random integer in ``[0, scale)`` from a row key.
-
-    Unlike ``rand()`` it does not change when a lost partition is recomputed.
-    """
-    digest = F.md5(F.concat(F.lit(f"{seed}:"), key.cast("string")))
-    return F.pmod(F.conv(F.substring(digest, 1, 12), 16, 10).cast("bigint"), F.lit(scale))
-
-
 def may_be_number(c: Column) -> Column:
     """Cheap first look before a number or phone pattern: a sign, point or digit leads."""
     first = F.substring(c, 1, 1)

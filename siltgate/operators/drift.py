@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -133,6 +132,3 @@ def stamp(events: DataFrame, run_id: str, detected_at: str) -> DataFrame:
     return events.withColumns({
         "run_id": F.lit(run_id), "detected_at": F.lit(detected_at).cast("timestamp_ntz")})
 
-
-def union_events(parts) -> DataFrame:
-    return reduce(DataFrame.unionByName, parts)

@@ -48,7 +48,7 @@ def usage_of(events: DataFrame) -> DataFrame:
     return events.select(
         F.col("event_type").alias("node"), F.to_date("ts").alias("usage_day"),
         F.floor("value").cast("bigint").alias("prompt_tokens"),
-        F.variant_get(F.parse_json("props"), "$.k", "bigint").alias("completion_tokens"))
+        F.try_variant_get(F.try_parse_json("props"), "$.k", "bigint").alias("completion_tokens"))
 
 
 def cost_by(usage: DataFrame, *columns: str) -> DataFrame:
@@ -79,7 +79,7 @@ def remember(log: DataFrame, text: str, order: str, *keep: str) -> DataFrame:
 
     The id is a content hash, equal in every process and on every retry.
     """
-    key = F.concat(F.lit("fix_"), F.left(F.sha2(F.col(text), 256), F.lit(16)))
+    key = F.concat(F.lit("fix_"), F.sha2(F.col(text), 256))
     first = F.min_by(F.struct(order, *keep), F.col(order)).alias("e")
     return (
         log.select(key.alias("memory_id"), order, *keep)

@@ -26,22 +26,24 @@ PATTERNS = {
 NO_PATTERN_SUFFIXES = ("_id", "_phone", "_email", "_date", "_timestamp", "_at")
 
 
-def column_counts(df: DataFrame) -> DataFrame:
-    """Per column: position, type, rows, nulls, null %, and an approximate distinct count.
+def column_counts(df: DataFrame, sketch: bool = True) -> DataFrame:
+    """Per column: position, type, rows, nulls, null %, and, with ``sketch``, an approximate distinct count.
 
     One scan and one aggregation whose state is a few counters and a sketch per
     column, so it does not shuffle data.
     """
     stats = [F.count(F.lit(1)).alias("n")]
     for i, c in enumerate(df.columns):
-        stats += [F.count(c).alias(f"c{i}"), F.approx_count_distinct(c).alias(f"d{i}")]
+        stats.append(F.count(c).alias(f"c{i}"))
+        if sketch:
+            stats.append(F.approx_count_distinct(c).alias(f"d{i}"))
     entries = [
         F.struct(
             F.lit(f.name).alias("column_name"), F.lit(i + 1).alias("position"),
             F.lit(f.dataType.simpleString()).alias("data_type"),
             F.col("n").alias("total_rows"), (F.col("n") - F.col(f"c{i}")).alias("null_count"),
             percent(F.col("n") - F.col(f"c{i}"), F.col("n")).alias("null_pct"),
-            F.col(f"d{i}").alias("approx_distinct"),
+            *([F.col(f"d{i}").alias("approx_distinct")] if sketch else []),
         ) for i, f in enumerate(df.schema.fields)
     ]
     return df.agg(*stats).select(F.inline(F.array(*entries)))
@@ -50,16 +52,22 @@ def column_counts(df: DataFrame) -> DataFrame:
 def distinct_counts(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Exact distinct non-null values per column.
 
-    One scan in long form; (column, value) pairs are folded per task before the
-    shuffle, and the second grouping only counts.
+    One scan in long form with one value field per data type, so that values are
+    compared as they are, never as text; (column, value) pairs are folded per task
+    before the shuffle, and the second grouping only counts.
     """
+    names = list(columns or df.columns)
+    kinds = list(dict.fromkeys(df.schema[c].dataType.simpleString() for c in names))
     pairs = [
-        F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("value"))
-        for c in (columns or df.columns)
+        F.struct(F.lit(c).alias("column_name"), *[
+            (F.col(c) if df.schema[c].dataType.simpleString() == kind else F.lit(None)).cast(kind).alias(f"v{i}")
+            for i, kind in enumerate(kinds)])
+        for c in names
     ]
+    values = [f"v{i}" for i in range(len(kinds))]
     long = df.select(F.inline(F.array(*pairs)))
-    return long.groupBy("column_name", "value").count().groupBy("column_name").agg(
-        F.count("value").alias("distinct_count")
+    return long.groupBy("column_name", *values).count().groupBy("column_name").agg(
+        F.count(F.coalesce(*[F.when(F.col(v).isNotNull(), 1) for v in values])).alias("distinct_count")
     )
 
 
@@ -69,10 +77,9 @@ def profile(df: DataFrame, exact: bool = True) -> DataFrame:
     ``exact=False`` takes the distinct counts from the sketches of the first
     scan, which spares the shuffle of every distinct value.
     """
-    counts = column_counts(df)
     if not exact:
-        return counts.withColumnRenamed("approx_distinct", "distinct_count")
-    counts = counts.drop("approx_distinct")
+        return column_counts(df).withColumnRenamed("approx_distinct", "distinct_count")
+    counts = column_counts(df, sketch=False)
     return counts.join(distinct_counts(df), "column_name")
 
 
@@ -184,7 +191,7 @@ def inspect(df: DataFrame, spec: DatasetSpec, samples: int = 5,
 
 def clean_columns(df: DataFrame, issues: DataFrame) -> DataFrame:
     """Columns with no reported issue."""
-    names = column_counts(df).select("column_name")
+    names = df.sparkSession.range(1).select(F.explode(F.array(*map(F.lit, df.columns))).alias("column_name"))
     return names.join(issues.select("column_name").distinct(), "column_name", "left_anti")
 
 

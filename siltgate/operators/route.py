@@ -8,7 +8,6 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from siltgate.functions.columns import is_in
 from siltgate.operators.heal import HealStep, apply_steps, present, unsettled
 from siltgate.operators.validate import compile_suite
 from siltgate.spec import NOT_NULL, STATES, UNIQUE, Rule
@@ -36,12 +35,14 @@ def tag(df: DataFrame, rules: Sequence[Rule], steps: Sequence[HealStep] = ()) ->
     Null rules look at the raw row, so a fill cannot hide a missing value that a
     rule demands; all other rules look at the repaired row.  No rules: all clean.
     """
-    on_raw, _, _ = compile_suite(df, [r for r in rules if r.kind == NOT_NULL])
+    on_raw, _, broken = compile_suite(df, [r for r in rules if r.kind == NOT_NULL])
     marks = {f"_missing{c.rule_id}": c.fails for c in on_raw}
     healed = apply_steps(df.withColumns(marks), steps)
     # Rules that a step's closed value set already guarantees need no check per row.
     rest = [r for r in rules if r.kind not in (NOT_NULL, UNIQUE)]
-    on_healed, _, _ = compile_suite(healed, unsettled(rest, present(df, steps)))
+    on_healed, _, more = compile_suite(healed, unsettled(rest, present(df, steps)))
+    if unusable := [f"{rule.label}: {why}" for _, rule, why in broken + more]:
+        raise ValueError("rules that cannot be checked would let every row pass: " + "; ".join(unusable))
     fails = [(F.col(f"_missing{c.rule_id}"), c.rule.label) for c in on_raw]
     fails += [(c.fails, c.rule.label) for c in on_healed]
     return healed.withColumn(REASON, _why(fails)).drop(*marks)
@@ -73,7 +74,10 @@ def sql_quarantine(customers: DataFrame) -> DataFrame:
     )
 
 
-def member_rows(df: DataFrame, column: str, values, keep: bool = True) -> DataFrame:
-    """Semi / anti filter against a literal set."""
-    hit = is_in(F.col(column).cast("string"), values)
-    return df.where(hit if keep else ~hit)
+def member_rows(df: DataFrame, column: str, allowed: DataFrame, keep: bool = True) -> DataFrame:
+    """Rows whose value is, or is not, in the first column of ``allowed``, which may be of any size.
+
+    Nulls are in no set: they go with ``keep=False``.
+    """
+    values = allowed.select(F.col(allowed.columns[0]).alias("_member")).distinct()
+    return df.join(values, F.col(column) == F.col("_member"), "left_semi" if keep else "left_anti")

@@ -8,9 +8,11 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from siltgate.operators.dedup import has_key, keep_one
-from siltgate.sources.layers import Layers, children, exists, write_table
+from siltgate.sources.layers import Layers, children, exists, stamps, write_table
 from siltgate.spec import DatasetSpec
 
+FOLDED = "batch bigint, finished bigint"
+
 
 def upsert(existing: DataFrame, incoming: DataFrame, keys) -> DataFrame:
     """Existing rows whose key is not in the batch, plus the batch.
@@ -96,7 +98,10 @@ class Store:
 
     Re-running a batch overwrites exactly its sub-folders, so a replay after a
     failure changes nothing.  Compaction writes a new snapshot folder and never
-    rewrites one that is being read.
+    rewrites one that is being read.  A snapshot lists the batches it has folded
+    and when each of them was finished: batches it lacks are read from the log
+    whatever their number, and a snapshot of a batch that has been written anew
+    since counts no longer.
     """
 
     layers: Layers
@@ -105,11 +110,11 @@ class Store:
         return write_table(df, self.layers.batch_path(layer, spec.name, batch_id))
 
     def read(self, spark: SparkSession, layer: str, spec: DatasetSpec,
-             merge_schema: bool = False) -> DataFrame | None:
+             merge_schema: bool = True) -> DataFrame | None:
         """All batches of a layer; the folder name becomes the ``batch_id`` column.
 
-        Merging schemas opens every file's footer, so a changed schema is read
-        only when asked for.
+        Columns that some batches lack are null there; a column whose type has
+        changed between batches fails the read.
         """
         path = self.layers.path(layer, spec.name)
         if not exists(spark, path):
@@ -119,28 +124,44 @@ class Store:
     def _snapshot_path(self, spec: DatasetSpec, upto: int) -> str:
         return f"{self.layers.root}/snapshots/{spec.name}/upto={upto}"
 
-    def newest_snapshot(self, spark: SparkSession, spec: DatasetSpec) -> int | None:
-        """The highest finished snapshot, or none."""
-        done = children(spark, f"{self.layers.root}/snapshots/{spec.name}", marker="_SUCCESS")
-        return max((int(n.split("=")[1]) for n in done if n.startswith("upto=")), default=None)
+    def _folded_path(self, spec: DatasetSpec, upto: int) -> str:
+        return f"{self.layers.root}/snapshots/{spec.name}_folded/upto={upto}"
 
-    def silver(self, spark: SparkSession, spec: DatasetSpec, snapshot: int | None = None) -> DataFrame | None:
-        """Latest-wins Silver: a snapshot, if given, plus the batches after it."""
+    def folded(self, spark: SparkSession, spec: DatasetSpec, snapshot: int) -> dict[int, int]:
+        """The batches a snapshot holds, each with the time its folder was finished."""
+        rows = spark.read.schema(FOLDED).parquet(self._folded_path(spec, snapshot)).collect()
+        return {r["batch"]: r["finished"] for r in rows}
+
+    def newest_snapshot(self, spark: SparkSession, spec: DatasetSpec) -> int | None:
+        """The highest finished snapshot whose batches are still as it has folded them, or none."""
+        found = children(spark, f"{self.layers.root}/snapshots/{spec.name}_folded", marker="_SUCCESS")
+        now = stamps(spark, self.layers.path("silver", spec.name))
+        for upto in sorted((int(n.split("=")[1]) for n in found if n.startswith("upto=")), reverse=True):
+            if all(now.get(b) == at for b, at in self.folded(spark, spec, upto).items()):
+                return upto
+        return None
+
+    def _log(self, spark: SparkSession, spec: DatasetSpec, snapshot: int | None, upto: int | None = None) -> DataFrame:
+        """A snapshot's rows and those of all batches that it lacks."""
         log = self.read(spark, "silver", spec)
-        if log is None:
-            return None
+        if upto is not None:
+            log = log.where(F.col("batch_id") <= upto)
         if snapshot is None:
-            return latest_view(log, spec.key)
+            return log
         base = spark.read.parquet(self._snapshot_path(spec, snapshot))
-        newer = log.where(F.col("batch_id") > snapshot)
-        return upsert(base, latest_view(newer, spec.key), spec.key)
+        rest = log.where(~F.col("batch_id").isin(*self.folded(spark, spec, snapshot)))
+        return append_with_missing([base, rest])
+
+    def silver(self, spark: SparkSession, spec: DatasetSpec, snapshot: int | None = None) -> DataFrame | None:
+        """Latest-wins Silver by batch number: a snapshot, if given, and every batch outside of it."""
+        if not exists(spark, self.layers.path("silver", spec.name)):
+            return None
+        return latest_view(self._log(spark, spec, snapshot), spec.key)
 
     def compact(self, spark: SparkSession, spec: DatasetSpec, upto: int, snapshot: int | None = None) -> int:
-        """Fold all batches up to ``upto`` into a new snapshot folder."""
-        log = self.read(spark, "silver", spec).where(F.col("batch_id") <= upto)
-        if snapshot is None:
-            folded = latest_view(log, spec.key)
-        else:
-            base = spark.read.parquet(self._snapshot_path(spec, snapshot))
-            folded = upsert(base, latest_view(log.where(F.col("batch_id") > snapshot), spec.key), spec.key)
-        return write_table(folded, self._snapshot_path(spec, upto))
+        """Fold all batches up to ``upto`` into a new snapshot folder, then record what it holds."""
+        held = {b: at for b, at in stamps(spark, self.layers.path("silver", spec.name)).items() if b <= upto}
+        rows = write_table(latest_view(self._log(spark, spec, snapshot, upto), spec.key), self._snapshot_path(spec, upto))
+        spark.createDataFrame(sorted(held.items()), FOLDED).coalesce(1).write.mode("overwrite").parquet(
+            self._folded_path(spec, upto))
+        return rows

@@ -151,7 +151,3 @@ class Inputs:
     def all_raw(self) -> dict[str, DataFrame]:
         return {d: getattr(self, d) for d in INCOMING}
 
-    def as_text(self, dataset: str) -> DataFrame:
-        """The dataset as an untyped text feed, every column a string."""
-        df = self.raw(dataset)
-        return df.select(*[F.col(c).cast("string").alias(c) for c in df.columns])

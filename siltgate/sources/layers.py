@@ -50,6 +50,19 @@ def children(spark: SparkSession, path: str, marker: str) -> list[str]:
     return [n for n in names if exists(spark, f"{path}/{n}/{marker}")]
 
 
+def stamps(spark: SparkSession, path: str) -> dict[int, int]:
+    """Batch id -> when its folder was finished, for every finished batch folder of a layer."""
+    done = children(spark, path, marker="_SUCCESS")
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    out = {}
+    for name in done:
+        if name.startswith("batch_id="):
+            where = jvm.org.apache.hadoop.fs.Path(f"{path}/{name}/_SUCCESS")
+            out[int(name.split("=")[1])] = where.getFileSystem(conf).getFileStatus(where).getModificationTime()
+    return out
+
+
 def write_table(df: DataFrame, path: str, mode: str = "overwrite", partition_by=()) -> int:
     """Write Parquet and return the row count seen by the same job (no second scan)."""
     seen = Observation()

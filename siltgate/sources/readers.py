@@ -56,6 +56,8 @@ def sample_rows(df: DataFrame, by: list, n: int = 5) -> DataFrame:
 def type_family(dtype: str) -> str:
     """Fold Spark, pandas and warehouse type names into a few families."""
     name = dtype.lower()
+    if name.startswith(("array", "map", "struct")):
+        return name
     for family, marks in (
         ("timestamp", ("timestamp", "date")),
         ("int", ("int", "long", "short", "byte")),

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
+from datetime import UTC, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,7 +20,8 @@ from siltgate.plans import gold, medallion
 from siltgate.sources.layers import exists, write_table
 from siltgate.spec import DatasetSpec
 
-HISTORY = "dataset string, batch_id bigint, status string, bronze_rows bigint, silver_rows bigint, quarantine_rows bigint, heal_events bigint, error string"
+HISTORY = "dataset string, batch_id bigint, status string, bronze_rows bigint, silver_rows bigint, quarantine_rows bigint, heal_events bigint, error string, attempts int, started_at timestamp, ended_at timestamp"
+FAILED = "error"
 
 
 @dataclass(frozen=True)
@@ -31,6 +33,7 @@ class Job:
     prefer: tuple = ()
     compact_every: int | None = None
     on_error: str = "record"      # or "raise" to stop the stream instead
+    retries: int = 2              # further tries before a batch counts as failed
 
     def _audit(self, name: str, batch_id: int) -> str:
         return self.store.layers.batch_path("audit", f"{name}_{self.spec.name}", batch_id)
@@ -40,34 +43,58 @@ class Job:
         spark = batch.sparkSession
         raw_path = self.store.layers.batch_path("raw", self.spec.name, batch_id)
         bronze = write_table(batch, raw_path)
-        try:
-            row = self._refine(spark, raw_path, batch_id, bronze)
-        except Exception as err:
-            if self.on_error == "raise":
-                raise
-            row = (self.spec.name, batch_id, "error", bronze, 0, 0, 0, str(err).splitlines()[0][:500])
-        spark.createDataFrame([row], HISTORY).coalesce(1).write.mode("overwrite").parquet(
-            self._audit("history", batch_id))
+        error = self._attempt(spark, raw_path, batch_id, bronze)
+        if error is not None and self.on_error == "raise":
+            raise error
 
     def replay(self, spark: SparkSession, batch_id: int) -> None:
         """Run a recorded (for example failed) batch again from its Bronze rows."""
         raw_path = self.store.layers.batch_path("raw", self.spec.name, batch_id)
-        bronze = spark.read.parquet(raw_path).count()
-        row = self._refine(spark, raw_path, batch_id, bronze)
+        error = self._attempt(spark, raw_path, batch_id, spark.read.parquet(raw_path).count())
+        if error is not None:
+            raise error
+
+    def failed(self, spark: SparkSession) -> list[int]:
+        """Batches whose last run failed; their Bronze rows wait for ``replay``."""
+        history = self.history(spark)
+        if history is None:
+            return []
+        return sorted(r["batch_id"] for r in history.where(F.col("status") == FAILED).select("batch_id").collect())
+
+    def retry_failed(self, spark: SparkSession) -> list[int]:
+        """Replay every failed batch; those that still fail stay on record and are returned."""
+        return [b for b in self.failed(spark) if self._attempt(
+            spark, path := self.store.layers.batch_path("raw", self.spec.name, b), b,
+            spark.read.parquet(path).count()) is not None]
+
+    def _attempt(self, spark: SparkSession, raw_path: str, batch_id: int, bronze: int) -> Exception | None:
+        """Run a batch, again if it fails; record what was really written either way."""
+        started, error = datetime.now(UTC), None
+        for attempt in range(1, self.retries + 2):
+            done = {"silver": 0, "quarantine": 0, "heals": 0}
+            try:
+                self._refine(spark, raw_path, batch_id, done)
+                error = None
+                break
+            except Exception as err:
+                error = err
+        row = (self.spec.name, batch_id, "complete" if error is None else FAILED, bronze, done["silver"],
+               done["quarantine"], done["heals"], None if error is None else str(error), attempt, started,
+               datetime.now(UTC))
         spark.createDataFrame([row], HISTORY).coalesce(1).write.mode("overwrite").parquet(
             self._audit("history", batch_id))
+        return error
 
-    def _refine(self, spark: SparkSession, raw_path: str, batch_id: int, bronze: int):
+    def _refine(self, spark: SparkSession, raw_path: str, batch_id: int, done: dict[str, int]) -> None:
         # Read the stored batch, not the source: later steps share one durable input.
         raw = spark.read.parquet(raw_path)
         result = medallion.refine(raw, self.spec, self.prefer)
-        silver = self.store.put("silver", self.spec, batch_id, result.silver)
-        bad = self.store.put("quarantine", self.spec, batch_id, result.quarantine)
-        events = write_table(result.events.coalesce(1), self._audit("heals", batch_id))
+        done["silver"] = self.store.put("silver", self.spec, batch_id, result.silver)
+        done["quarantine"] = self.store.put("quarantine", self.spec, batch_id, result.quarantine)
+        done["heals"] = write_table(result.events.coalesce(1), self._audit("heals", batch_id))
         if self.compact_every and (batch_id + 1) % self.compact_every == 0:
             self.store.compact(spark, self.spec, batch_id, self.store.newest_snapshot(spark, self.spec))
         self.recompute_gold(spark, batch_id)
-        return (self.spec.name, batch_id, "complete", bronze, silver, bad, events, None)
 
     def recompute_gold(self, spark: SparkSession, batch_id: int) -> None:
         """KPIs over the whole latest-wins Silver, stored per batch."""

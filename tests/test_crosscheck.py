@@ -3,10 +3,12 @@
 import pytest
 
 import __spark_entry__ as entry
+from siltgate.catalog import load
 from tests import crosscheck
 from tests.conftest import FOLDER
 
-QUERIES, SQL = entry.queries(), entry.oracle_sql()
+QUERIES = {name: fn for name, fn in entry.queries().items() if name in load.QUERIES}
+SQL = {name: sql for name, sql in entry.oracle_sql().items() if name in load.QUERIES}
 
 
 @pytest.fixture(scope="module")

@@ -75,7 +75,7 @@ def test_datasets_run_side_by_side(spark, inputs, tmp_path):
 def test_a_bad_batch_is_recorded_and_the_stream_goes_on(spark, inputs, tmp_path, monkeypatch):
     path, raw = split_source(spark, inputs, tmp_path, "payments")
     st = store.Store(Layers(str(tmp_path / "store")))
-    job = Job(PAYMENTS, st, PREFER)
+    job = Job(PAYMENTS, st, PREFER, retries=0)
     real, seen = medallion.refine, []
 
     def sometimes(*args, **kw):
@@ -126,3 +126,72 @@ def test_observed_heals_reach_the_progress_report(spark, inputs, tmp_path):
     q.awaitTermination()
     seen = [p.observedMetrics["heals"] for p in q.recentProgress if p.observedMetrics]
     assert sum(r["rows"] for r in seen) == raw.count() and sum(r["payment_type"] for r in seen) > 0
+
+
+def put(spark, st, batch, rows, schema="order_id string, customer_id string"):
+    st.put("silver", ORDERS, batch, spark.createDataFrame(rows, schema))
+
+
+def held(df):
+    return {r["order_id"]: r["customer_id"] for r in df.collect()}
+
+
+def test_a_batch_older_than_the_snapshot_is_read(spark, tmp_path):
+    st = store.Store(Layers(str(tmp_path / "store")))
+    put(spark, st, 0, [("a", "0"), ("b", "0")])
+    put(spark, st, 2, [("b", "2")])
+    st.compact(spark, ORDERS, 2)
+    put(spark, st, 1, [("b", "1"), ("c", "1")])
+    snap = st.newest_snapshot(spark, ORDERS)
+    assert snap == 2
+    assert held(st.silver(spark, ORDERS, snap)) == held(st.silver(spark, ORDERS)) == {"a": "0", "b": "2", "c": "1"}
+    st.compact(spark, ORDERS, 2, snap)
+    assert held(st.silver(spark, ORDERS, st.newest_snapshot(spark, ORDERS))) == {"a": "0", "b": "2", "c": "1"}
+
+
+def test_a_snapshot_of_a_rewritten_batch_counts_no_longer(spark, tmp_path):
+    st = store.Store(Layers(str(tmp_path / "store")))
+    put(spark, st, 0, [("a", "0")])
+    st.compact(spark, ORDERS, 0)
+    put(spark, st, 1, [("b", "1")])
+    st.compact(spark, ORDERS, 1, 0)
+    put(spark, st, 1, [("b", "new")])
+    assert st.newest_snapshot(spark, ORDERS) == 0
+    assert held(st.silver(spark, ORDERS, 0)) == {"a": "0", "b": "new"}
+
+
+def test_a_column_that_a_later_batch_adds_stays(spark, tmp_path):
+    st = store.Store(Layers(str(tmp_path / "store")))
+    put(spark, st, 0, [("a", "0")])
+    put(spark, st, 2, [("b", "2", 7)], "order_id string, customer_id string, extra int")
+    st.compact(spark, ORDERS, 2)
+    for snap in (None, 2):
+        assert {r["order_id"]: r["extra"] for r in st.silver(spark, ORDERS, snap).collect()} == {"a": None, "b": 7}
+    put(spark, st, 3, [("c", "3", "text")], "order_id string, customer_id string, extra string")
+    with pytest.raises(Exception, match="MERGE|merge"):
+        st.silver(spark, ORDERS).collect()
+
+
+def test_a_passing_fault_is_retried_and_history_tells_what_was_written(spark, inputs, tmp_path, monkeypatch):
+    raw = inputs.incoming("orders").drop("batch_id").limit(200)
+    st = store.Store(Layers(str(tmp_path / "store")))
+    job = Job(ORDERS, st, retries=1)
+    real, seen = Job.recompute_gold, []
+
+    def flaky(self, *args):
+        seen.append(1)
+        if len(seen) in fails:
+            raise RuntimeError("first line\nsecond line")
+        return real(self, *args)
+
+    monkeypatch.setattr(Job, "recompute_gold", flaky)
+    fails = {1}
+    job.process(raw, 0)
+    row = job.history(spark).where("batch_id = 0").first()
+    assert (row["status"], row["attempts"], row["error"]) == ("complete", 2, None) and row["ended_at"] >= row["started_at"]
+    fails = {3, 4}
+    job.process(raw, 1)
+    row = job.history(spark).where("batch_id = 1").first()
+    assert row["status"] == "error" and row["error"] == "first line\nsecond line"
+    assert row["silver_rows"] == st.read(spark, "silver", ORDERS).where("batch_id = 1").count() > 0
+    assert job.failed(spark) == [1] and job.retry_failed(spark) == [] and job.failed(spark) == []

@@ -84,3 +84,19 @@ def test_rules_on_an_empty_table(spark):
     df = spark.createDataFrame([], "id string")
     got = validate.check_results(df, [not_null("id"), unique("id")]).collect()
     assert [(r["failed_count"], r["status"]) for r in got] == [(0, "pass"), (0, "pass")]
+
+
+def test_a_unique_rule_counts_the_same_alone_and_in_a_suite(spark):
+    df = spark.sql("""SELECT * FROM VALUES
+        (1, timestamp_ntz'2024-01-01 00:00:00.000001', 0.0D, 'a'), (1, timestamp_ntz'2024-01-01 00:00:00.000002', -0.0D, 'a'),
+        (1, NULL, 1.5D, NULL), (1, NULL, NULL, NULL) AS t(k, at, v, s)""")
+    rules = [unique("at"), unique("v"), unique("s"), Rule(UNIQUE, "k", columns=("k", "at")), Rule(UNIQUE, "k", columns=("s", "v"))]
+    together = {r["rule_id"]: r["failed_count"] for r in validate.check_results(df, rules).collect()}
+    alone = {i: validate.check_results(df, [r]).first()["failed_count"] for i, r in enumerate(rules)}
+    assert together == alone == {0: 1, 1: 1, 2: 2, 3: 1, 4: 1}
+
+
+def test_a_suite_without_rules_is_a_reported_fail(customers):
+    results = validate.check_results(customers, [])
+    assert results.count() == 0
+    assert validate.suite_summary(results).first()["passed"] is False
