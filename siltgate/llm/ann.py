@@ -20,7 +20,7 @@ MAX_LISTS = 1_024
 #: So many of the sample's rows show how many lists a query must probe for this recall within the sample.
 TRIED, RECALL = 200, 0.96
 #: So many of the sample's rows bound a query's k-th distance before its lists are scanned.
-SEEDS = 2_000
+SEEDS = 8_000
 #: Queries that meet the seeds at a time.
 SEED_QUERIES = 256
 COLUMNS = 16
@@ -48,7 +48,8 @@ class Model:
             sums = np.add.reduceat(points[order], (np.cumsum(count) - count)[full], axis=0)
             self.centres[full] = sums / count[full, None]
         self.probed = self._enough(sample, self.nearest(points), k)
-        self.seed_ids, self.seeds = ids[:SEEDS].copy(), sample[:SEEDS].copy()
+        self.seed_ids, first = np.unique(ids[:SEEDS], return_index=True)
+        self.seeds = sample[first]
 
     def _enough(self, sample: np.ndarray, near: np.ndarray, k: int) -> int:
         """Lists to probe so that the sample's own rows find RECALL of their k nearest."""
@@ -96,10 +97,20 @@ def best_rows(queries: np.ndarray, q: np.ndarray, rows: np.ndarray, ids: np.ndar
     """Of the pairs (query q, row r) the k of largest inner product for each query: q, row id, product."""
     parts = [(rows[r[i:i + 65536]] * queries[q[i:i + 65536]]).sum(axis=1) for i in range(0, len(q), 65536)]
     score = np.concatenate(parts or [np.array([])])
-    order = np.lexsort((ids[r], -score, q))
-    q, r, score = q[order], r[order], score[order]
+    return first_k(q, ids[r], score, k)
+
+
+def first_k(q: np.ndarray, ids: np.ndarray, score: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The k ids of highest score of each query, ties to smaller ids; a repeated id counts with its best score."""
+    order = np.lexsort((-score, ids, q))
+    q, ids, score = q[order], ids[order], score[order]
+    new = np.ones(len(q), dtype=bool)
+    new[1:] = (q[1:] != q[:-1]) | (ids[1:] != ids[:-1])
+    q, ids, score = q[new], ids[new], score[new]
+    order = np.lexsort((ids, -score, q))
+    q, ids, score = q[order], ids[order], score[order]
     best = np.arange(len(q)) - np.searchsorted(q, q) < k
-    return q[best], ids[r[best]], score[best]
+    return q[best], ids[best], score[best]
 
 
 def scan_list(model: Model | None, queries: np.ndarray, query_ids: np.ndarray, limits: np.ndarray, rows: np.ndarray,
@@ -152,55 +163,74 @@ def nearest_neighbours(vectors: DataFrame, is_query: Column, k: int = 20, key: s
         fitted[dim] = Model(own["id"].to_numpy(), matrix(own["v"], dim), top_norm, lists, k)
     models = spark.sparkContext.broadcast(fitted)
 
-    def assign(probe: bool):
-        def run(batches):
-            for batch in batches:
-                out_row, out_list = [np.array([], dtype=np.int64)], [np.array([], dtype=np.int64)]
-                dims, limits = batch.column("dim").to_numpy(), np.full(batch.num_rows, np.inf)
-                for dim in np.unique(dims):
+    groups = max(1, -(-n // BLOCK_ROWS))
+
+    def index(batches):
+        for batch in batches:
+            dims, near = batch.column("dim").to_numpy(), np.full(batch.num_rows, -1, dtype=np.int32)
+            for dim in np.unique(dims):
+                if (model := models.value.get(int(dim))) is not None:
                     at = np.flatnonzero(dims == dim)
-                    model = models.value.get(int(dim))
-                    part = matrix(batch.column("v").take(pa.array(at)), int(dim))
-                    if model is None:
-                        to = np.full((len(at), 1), -1)
-                    elif probe:
-                        to = model.probes(part, model.probed)
-                        limits[at] = model.limits(batch.column("id").to_numpy()[at], part, k)
-                    else:
-                        to = model.nearest(model.lifted(part))[:, None]
-                    out_row.append(np.repeat(at, to.shape[1]))
-                    out_list.append(to.ravel())
-                take = pa.array(np.concatenate(out_row))
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column("id").take(take), batch.column("v").take(take), batch.column("dim").take(take),
-                     pa.array(np.concatenate(out_list).astype(np.int32)), pa.array(limits).take(take)],
-                    ["id", "v", "dim", "list", "bound"])
-        return run
-
-    schema = "id long, v array<double>, dim int, list int, bound double"
-    indexed = rows.select("id", "v", "dim").mapInArrow(assign(False), schema)
+                    near[at] = model.nearest(model.lifted(matrix(batch.column("v").take(pa.array(at)), int(dim))))
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("id", "v", "dim")), pa.array(near)],
+                                             ["id", "v", "dim", "list"])
+
+    def probe(batches):
+        """A query goes once to each group that holds lists it probes, with those lists."""
+        for batch in batches:
+            dims, ids = batch.column("dim").to_numpy(), batch.column("id").to_numpy()
+            row, group, lists, bounds = [], [], [], np.full(batch.num_rows, np.inf)
+            for dim in np.unique(dims):
+                at, model = np.flatnonzero(dims == dim), models.value.get(int(dim))
+                wanted = np.full((len(at), 1), -1)
+                if model is not None:
+                    v = matrix(batch.column("v").take(pa.array(at)), int(dim))
+                    wanted = model.probes(v, model.probed)
+                    for i in range(0, len(at), SEED_QUERIES):
+                        bounds[at[i:i + SEED_QUERIES]] = model.limits(ids[at[i:i + SEED_QUERIES]], v[i:i + SEED_QUERIES], k)
+                for i, own in zip(at, wanted, strict=True):
+                    for g in np.unique(own % groups):
+                        row.append(i), group.append(int(g)), lists.append(own[own % groups == g].astype(np.int32))
+            take = pa.array(row, pa.int64())
+            yield pa.RecordBatch.from_arrays(
+                [*(batch.column(c).take(take) for c in ("id", "v", "dim")), pa.array(group, pa.int32()),
+                 pa.array(lists, pa.list_(pa.int32())), pa.array(bounds).take(take)],
+                ["id", "v", "dim", "group", "lists", "bound"])
+
+    indexed = rows.select("id", "v", "dim").mapInArrow(index, "id long, v array<double>, dim int, list int").withColumn(
+        "group", F.pmod("list", F.lit(groups)))
     queries = one_per_id(rows.where("q"), "id", "v").withColumn("dim", F.size("v"))
-    asking = queries.mapInArrow(assign(True), schema)
-    # A long list is cut into blocks, and the queries that probe it into parts.
-    cuts = indexed.groupBy("dim", "list").agg(F.count("*").alias("n")).join(
-        asking.groupBy("dim", "list").agg(F.count("*").alias("n_q")), ["dim", "list"])
-    cuts = cuts.select("dim", "list", F.ceil(F.col("n") / BLOCK_ROWS).cast("int").alias("blocks"),
+    asking = queries.mapInArrow(probe, "id long, v array<double>, dim int, group int, lists array<int>, bound double")
+    # A group that a long list makes large is cut into blocks, and the queries that probe it into parts.
+    cuts = indexed.groupBy("dim", "group").agg(F.count("*").alias("n")).join(
+        asking.groupBy("dim", "group").agg(F.count("*").alias("n_q")), ["dim", "group"])
+    cuts = cuts.select("dim", "group", F.ceil(F.col("n") / (2 * BLOCK_ROWS)).cast("int").alias("blocks"),
                        F.ceil(F.col("n_q") / BLOCK_QUERIES).cast("int").alias("parts"))
     to_all = lambda c: F.explode(F.sequence(F.lit(0), F.col(c) - 1))
-    candidates = indexed.join(cuts, ["dim", "list"]).select(
-        "id", "v", "dim", "list", "bound", F.pmod(F.xxhash64("id", "v"), F.col("blocks")).cast("int").alias("block"),
+    candidates = indexed.join(cuts, ["dim", "group"]).select(
+        "id", "v", "dim", "group", F.array("list").alias("lists"), F.lit(0.0).alias("bound"),
+        F.pmod(F.xxhash64("id", "v"), F.col("blocks")).cast("int").alias("block"),
         to_all("parts").alias("part"), F.lit(False).alias("asks"))
-    asks = asking.join(cuts, ["dim", "list"]).select(
-        "id", "v", "dim", "list", "bound", to_all("blocks").alias("block"),
+    asks = asking.join(cuts, ["dim", "group"]).select(
+        "id", "v", "dim", "group", "lists", "bound", to_all("blocks").alias("block"),
         F.pmod(F.xxhash64("id"), F.col("parts")).cast("int").alias("part"), F.lit(True).alias("asks"))
 
     def cell(group: pa.Table) -> pa.Table:
         asks = group["asks"].to_numpy(zero_copy_only=False)
         dim = group["dim"][0].as_py()
-        ids, v = group["id"].to_numpy(), matrix(group["v"], dim)
-        model = models.value.get(dim) if group["list"][0].as_py() >= 0 else None
-        q, near, score = scan_list(model, v[asks], ids[asks], group["bound"].to_numpy()[asks], v[~asks], ids[~asks], k)
-        return pa.table({"query_id": ids[asks][q], "vec_id": near, "score": score})
+        model = models.value.get(dim)
+        ids, v, bounds = group["id"].to_numpy(), matrix(group["v"], dim), group["bound"].to_numpy()
+        lists = group["lists"].combine_chunks()
+        owner = np.repeat(np.arange(len(ids)), np.diff(lists.offsets.to_numpy()))
+        values = lists.flatten().to_numpy()
+        q, near, score = [np.array([], dtype=np.int64)], [np.array([], dtype=np.int64)], [np.array([])]
+        for at in np.unique(values):
+            own = owner[values == at]
+            who, rows = own[asks[own]], own[~asks[own]]
+            found = scan_list(model, v[who], ids[who], bounds[who], v[rows], ids[rows], k)
+            q.append(who[found[0]]), near.append(found[1]), score.append(found[2])
+        best, near, score = first_k(np.concatenate(q), np.concatenate(near), np.concatenate(score), k)
+        return pa.table({"query_id": ids[best], "vec_id": near, "score": score})
 
     def meet_seeds(batches):
         for batch in batches:
@@ -215,7 +245,7 @@ def nearest_neighbours(vectors: DataFrame, is_query: Column, k: int = 20, key: s
                     yield pa.RecordBatch.from_arrays([pa.array(ids[rows][q]), pa.array(near), pa.array(score)],
                                                      ["query_id", "vec_id", "score"])
 
-    found = candidates.unionByName(asks).groupBy("dim", "list", "block", "part").applyInArrow(
+    found = candidates.unionByName(asks).groupBy("dim", "group", "block", "part").applyInArrow(
         cell, "query_id long, vec_id long, score double")
     found = found.unionByName(queries.mapInArrow(meet_seeds, "query_id long, vec_id long, score double"))
     found = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
