@@ -60,7 +60,7 @@ def luhn(number: Column) -> Column:
     digits = F.reverse(F.regexp_replace(number, "[^0-9]", ""))
 
     def add(total: Column, i: Column) -> Column:
-        digit = F.substring(digits, i, F.lit(1)).cast("int")
+        digit = F.coalesce(F.substring(digits, i, F.lit(1)).try_cast("int"), F.lit(0))
         double = F.when(digit > 4, digit * 2 - 9).otherwise(digit * 2)
         return total + F.when(i % 2 == 0, double).otherwise(digit)
 
@@ -70,7 +70,7 @@ def luhn(number: Column) -> Column:
 
 def _small_parts(address: Column) -> Column:
     return F.forall(F.split(address, "\\."), lambda x: F.length(F.ltrim(x, F.lit("0"))).between(0, 3)
-                    & (F.coalesce(F.substring(F.ltrim(x, F.lit("0")), 1, 3).cast("int"), F.lit(0)) <= 255))
+                    & (F.coalesce(F.substring(F.ltrim(x, F.lit("0")), 1, 3).try_cast("int"), F.lit(0)) <= 255))
 
 
 _VALID = {
