@@ -237,7 +237,7 @@ def heal_from_checks(t):
     from siltgate.operators.validate import failed_checks
 
     bad = {r["rule_id"] for r in failed_checks(t.customers, CUSTOMERS.rules).select("rule_id").collect()}
-    return heal.heal_from_checks(t.customers, [r for i, r in enumerate(CUSTOMERS.rules) if i in bad])
+    return heal.heal_from_checks(t.customers, CUSTOMERS, [r for i, r in enumerate(CUSTOMERS.rules) if i in bad])
 
 
 @query("repair_update", "SELECT " + replaced(

@@ -10,9 +10,9 @@ from siltgate.catalog.registry import CTES, query
 from siltgate.catalog.silver_gold import _COLUMNS as COLUMNS
 from siltgate.catalog.silver_gold import _kpi_sql, _logs
 from siltgate.functions.columns import non_negative
-from siltgate.operators import heal, lineage, ops, profile, recall, store
+from siltgate.operators import heal, lineage, mask, ops, profile, recall, store
 from siltgate.operators.dedup import has_key, keep_one
-from siltgate.plans import gold, medallion
+from siltgate.plans import gold, medallion, silver
 from siltgate.spec import SPECS
 
 PREFER = {
@@ -259,18 +259,23 @@ def run_totals(t):
         lineage.run_counts(t.raw(d), s, heal.bronze_steps(d)) for d, s in SPECS.items()])
 
 
-@query("lineage_edges", """
-SELECT 'run' AS run_id, dataset, e.source_table, e.target_table, e.transformation, e.rows_in, e.rows_out
-FROM (SELECT dataset, unnest([
-  {'source_table': 'external', 'target_table': 'raw.' || dataset, 'transformation': 'raw_ingest', 'rows_in': raw_rows, 'rows_out': raw_rows},
-  {'source_table': 'raw.' || dataset, 'target_table': 'raw.' || dataset, 'transformation': 'validate_and_heal', 'rows_in': raw_rows, 'rows_out': raw_rows},
-  {'source_table': 'raw.' || dataset, 'target_table': 'silver.' || dataset, 'transformation': 'quality_filter', 'rows_in': raw_rows, 'rows_out': clean_rows},
-  {'source_table': 'raw.' || dataset, 'target_table': 'quarantine.' || dataset, 'transformation': 'quarantine_bad_rows', 'rows_in': raw_rows, 'rows_out': quarantine_rows},
-  {'source_table': 'silver.' || dataset, 'target_table': 'masked.' || dataset, 'transformation': 'pii_masking', 'rows_in': clean_rows, 'rows_out': clean_rows},
-  {'source_table': 'silver.' || dataset, 'target_table': 'gold.' || dataset, 'transformation': 'kpi_aggregation', 'rows_in': clean_rows,
-   'rows_out': CASE dataset WHEN 'customers' THEN 7 WHEN 'orders' THEN 6 WHEN 'payments' THEN 8 ELSE 5 END::BIGINT}]) AS e FROM run_totals)""")
+_LAYERS = {"bronze": "b", "silver": "s", "quarantine": "q", "masked": "s", "gold": "g"}
+
+
+@query("lineage_edges", f"""
+WITH kpis AS (SELECT dataset, COUNT(*) AS g FROM ({_kpi_sql(lambda d: f"silver_{d}")}) GROUP BY dataset),
+held AS (SELECT dataset, MAX(n_rows) FILTER (layer = 'bronze') AS b, MAX(n_rows) FILTER (layer = 'silver') AS s,
+         MAX(n_rows) FILTER (layer = 'quarantine') AS q FROM layer_rows GROUP BY dataset)
+""" + " UNION ALL ".join(
+    f"SELECT 'run' AS run_id, dataset, '{a}' AS source_layer, '{b}' AS target_layer, {_LAYERS[a]} AS rows_in, {_LAYERS[b]} AS rows_out "
+    "FROM held JOIN kpis USING (dataset)" for a, b in lineage.WRITES))
 def lineage_edges(t):
-    return lineage.table_edges(run_totals(t), "run")
+    frames = {}
+    for d, s in SPECS.items():
+        keys = t.raw(d).where(has_key(s.key)).select(*s.key).distinct()
+        frames["masked", d] = mask.mask_table(keys, s.pii)
+        frames["gold", d] = gold.kpi_rows(d, silver.BUILDERS[d](t.raw(d)))
+    return lineage.table_edges(layer_rows(t).unionByName(store.layer_counts(frames)), "run")
 
 
 def _column_edges_sql(dataset):
@@ -309,12 +314,11 @@ def audit_rows(t):
     return lineage.audit_rows(heal_log(t), run_totals(t), "run")
 
 
-@query("stage_status", " UNION ALL ".join(
-    f"SELECT dataset, '{node}' AS node, '{layer}' AS layer, CASE WHEN "
-    + ("failed_rules = 0" if node == "validator" else "clean_rows > 0" if layer in ("Silver", "Gold") else "raw_rows > 0")
-    + " THEN 'pass' ELSE 'fail' END AS status FROM run_totals" for node, layer in lineage.STAGES))
+@query("stage_status", """
+SELECT dataset, layer, n_rows, CASE WHEN n_rows > 0 THEN 'filled' WHEN layer = 'quarantine' THEN 'nothing held back'
+  ELSE 'empty' END AS status FROM layer_rows""")
 def stage_status(t):
-    return lineage.stage_status(run_totals(t))
+    return lineage.stage_status(layer_rows(t))
 
 
 @query("run_report", """

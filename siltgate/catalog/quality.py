@@ -344,7 +344,7 @@ def schema_rename(t):
 # --- validation --------------------------------------------------------------
 
 _RESULT = ("SELECT {i} AS rule_id, '{k}' AS expectation_type, '{c}' AS column_name, "
-           "CASE WHEN f > 0 THEN CAST(f AS VARCHAR) || '{t}' ELSE '' END AS issue, "
+           "CASE WHEN f > 0 THEN '{t}: ' || f || ' of ' || n ELSE '' END AS issue, "
            "f AS failed_count, n AS evaluated_count, CASE WHEN {ok} THEN 'pass' ELSE 'fail' END AS status "
            "FROM (SELECT {f} AS f, {n} AS n FROM {table})")
 
@@ -361,17 +361,11 @@ def check_sql(i, rule, table, ok="f = 0"):
         MATCH_REGEX: f"COUNT(*) FILTER (NOT regexp_matches(CAST({c} AS VARCHAR), '^(?:{rule.pattern})'))",
         UNIQUE: "CAST(COALESCE(SUM(k - 1), 0) AS BIGINT)",
     }.get(rule.kind) or f"COUNT(*) FILTER (NOT COALESCE({rule.expression}, FALSE))"
-    text = {
-        NOT_NULL: " null values found", UNIQUE: " duplicate values found",
-        IN_SET: " values not in allowed set",
-        BETWEEN: f" values outside range [{rule.min_value}, {rule.max_value}]",
-        MATCH_REGEX: f" values do not match ''{rule.pattern}''",
-    }.get(rule.kind, " rows break the expression")
     seen = f"COUNT({c})" if rule.kind in (IN_SET, BETWEEN, MATCH_REGEX) else "COUNT(*)"
     if rule.kind == UNIQUE:
         cols = ", ".join(rule.columns or (c,))
         table, seen = f"(SELECT COUNT(*) AS k FROM {table} GROUP BY {cols})", "CAST(SUM(k) AS BIGINT)"
-    return _RESULT.format(i=i, k=rule.kind, c=c, t=text, f=bad, n=seen, table=table, ok=ok)
+    return _RESULT.format(i=i, k=rule.kind, c=c, t=rule.label, f=bad, n=seen, table=table, ok=ok)
 
 
 def suite_sql(dataset, rules, first=0):
@@ -474,7 +468,7 @@ def validate_regex(t):
 
 
 @query("validate_missing_column", suite_sql("products", (not_null("product_id"),)) + f"""
-UNION ALL SELECT 1, '{NOT_NULL}', 'product_height_cm', 'Column ''product_height_cm'' not found in dataset',
+UNION ALL SELECT 1, '{NOT_NULL}', 'product_height_cm', 'no column product_height_cm',
   0::BIGINT, 0::BIGINT, 'missing' FROM (SELECT COUNT(*) FROM dirty_products)""")
 def validate_missing_column(t):
     return validate.check_results(t.products, [not_null("product_id"), not_null("product_height_cm")])

@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 
 from siltgate.functions import columns as C
 from siltgate.spec import (
-    BETWEEN, IN_SET, NOT_NULL, ORDER_STATUSES, PAYMENT_TYPES, PRODUCT_NUMERICS, STATES, Rule,
+    BETWEEN, IN_SET, NOT_NULL, ORDER_STATUSES, PAYMENT_TYPES, PRODUCT_NUMERICS, STATES, DatasetSpec, Rule,
 )
 from siltgate.operators.validate import failing
 
@@ -283,30 +283,22 @@ def all_events(df: DataFrame, steps: Sequence[HealStep], rules: Sequence[Rule],
     return counted.select(*by, F.inline(F.array(*events))).where(F.col("healed_rows") > 0)
 
 
-def heal_from_checks(df: DataFrame, failed: Sequence[Rule]) -> DataFrame:
-    """Repair only the columns whose checks failed; the first matching repair wins per check.
+def heal_from_checks(df: DataFrame, spec: DatasetSpec, failed: Sequence[Rule]) -> DataFrame:
+    """Repair only the columns whose checks failed.
 
-    A null failure is filled by type, a state column is standardised, a payment
-    type falls back to ``boleto``, and a range failure takes the absolute value.
+    A null failure takes the default of the column's type; any other failure
+    takes the repair that the dataset declares for that column, if it has one.
     """
-    types = {f.name: f.dataType for f in df.schema.fields}
-    folded: dict[str, Column] = {}
+    declared = {s.column: s.value for s in bronze_steps(spec.name)}
+    values = {c: F.col(c) for c in df.columns}
     for rule in failed:
-        name = rule.column
-        if name not in types:
+        if rule.column not in values:
             continue
-        now = folded.get(name, F.col(name))
-        if rule.kind == NOT_NULL:
-            default = typed_default(types[name])
-            if default is not None:
-                folded[name] = F.coalesce(now, default)
-        elif "state" in name:
-            folded[name] = C.state_code(now)
-        elif "payment_type" in name:
-            folded[name] = C.one_of(now, PAYMENT_TYPES, "boleto")
-        elif rule.kind == BETWEEN:
-            folded[name] = F.abs(C.to_number(now))
-    return df.select(*[folded.get(c, F.col(c)).alias(c) for c in df.columns])
+        if rule.kind != NOT_NULL:
+            values[rule.column] = declared.get(rule.column, lambda c: c)(values[rule.column])
+        elif (default := typed_default(df.schema[rule.column].dataType)) is not None:
+            values[rule.column] = F.coalesce(values[rule.column], default)
+    return df.select(*[v.alias(c) for c, v in values.items()])
 
 
 # --- user-supplied repairs -------------------------------------------------

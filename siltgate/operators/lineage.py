@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -12,13 +10,8 @@ from siltgate.operators.mask import masked
 from siltgate.operators import route
 from siltgate.spec import HIGH, MEDIUM, DatasetSpec
 
-KPI_KEYS = {"customers": 7, "orders": 6, "payments": 8, "products": 5}
-STAGES = (
-    ("profile", "Bronze"), ("bronze_inspector", "Bronze"), ("schema_drift", "Bronze"),
-    ("pii_detector", "Bronze"), ("rule_gen", "Bronze"), ("validator", "Bronze"),
-    ("transform", "Silver"), ("pii_masker", "Silver"), ("gold_kpi", "Gold"),
-    ("lineage_tracker", "Audit"), ("audit_writer", "Audit"),
-)
+#: What a batch writes: the layer it reads and the layer it fills.
+WRITES = (("bronze", "silver"), ("bronze", "quarantine"), ("silver", "masked"), ("silver", "gold"))
 
 
 def run_counts(raw: DataFrame, spec: DatasetSpec, steps: list[HealStep]) -> DataFrame:
@@ -40,29 +33,15 @@ def run_counts(raw: DataFrame, spec: DatasetSpec, steps: list[HealStep]) -> Data
 
 
 def table_edges(counts: DataFrame, run_id: str) -> DataFrame:
-    """Six edges per dataset with the rows that went in and came out."""
-    raw, clean, bad = F.col("raw_rows"), F.col("clean_rows"), F.col("quarantine_rows")
-    d = F.col("dataset")
-    kpis = reduce(lambda acc, kv: F.when(d == kv[0], kv[1]).otherwise(acc), KPI_KEYS.items(), F.lit(0))
-
-    def edge(source, target, step, rows_in, rows_out):
-        return F.struct(
-            source.alias("source_table"), target.alias("target_table"),
-            F.lit(step).alias("transformation"), rows_in.cast("bigint").alias("rows_in"),
-            rows_out.cast("bigint").alias("rows_out"))
-
-    def at(layer):
-        return F.concat(F.lit(f"{layer}."), d)
-
-    edges = [
-        edge(F.lit("external"), at("raw"), "raw_ingest", raw, raw),
-        edge(at("raw"), at("raw"), "validate_and_heal", raw, raw),
-        edge(at("raw"), at("silver"), "quality_filter", raw, clean),
-        edge(at("raw"), at("quarantine"), "quarantine_bad_rows", raw, bad),
-        edge(at("silver"), at("masked"), "pii_masking", clean, clean),
-        edge(at("silver"), at("gold"), "kpi_aggregation", clean, kpis),
-    ]
-    return counts.select(F.lit(run_id).alias("run_id"), "dataset", F.inline(F.array(*edges)))
+    """One edge per write of a batch, with the rows counted in both layers.
+
+    ``counts`` has a row per (layer, dataset).
+    """
+    per = counts.groupBy("dataset").agg(F.map_from_entries(F.collect_list(F.struct("layer", "n_rows"))).alias("rows"))
+    edges = [F.struct(F.lit(a).alias("source_layer"), F.lit(b).alias("target_layer"),
+                      F.try_element_at("rows", F.lit(a)).alias("rows_in"),
+                      F.try_element_at("rows", F.lit(b)).alias("rows_out")) for a, b in WRITES]
+    return per.select(F.lit(run_id).alias("run_id"), "dataset", F.inline(F.array(*edges)))
 
 
 def column_edges(raw: DataFrame, spec: DatasetSpec, steps: list[HealStep]) -> DataFrame:
@@ -118,19 +97,9 @@ def as_records(df: DataFrame, payload: list[str]) -> DataFrame:
 
 
 def stage_status(counts: DataFrame) -> DataFrame:
-    """Status of every stage per dataset: the validator fails with its rules, and a
-    stage that needs clean rows fails without them."""
-    rows = []
-    for node, layer in STAGES:
-        ok = F.col("raw_rows") > 0
-        if node == "validator":
-            ok = F.col("failed_rules") == 0
-        elif layer in ("Silver", "Gold"):
-            ok = F.col("clean_rows") > 0
-        rows.append(F.struct(
-            F.lit(node).alias("node"), F.lit(layer).alias("layer"),
-            F.when(ok, "pass").otherwise("fail").alias("status")))
-    return counts.select("dataset", F.inline(F.array(*rows)))
+    """What each layer holds of each dataset; only an empty quarantine is good news."""
+    state = F.when(F.col("n_rows") > 0, "filled").when(F.col("layer") == "quarantine", "nothing held back")
+    return counts.select("dataset", "layer", "n_rows", state.otherwise("empty").alias("status"))
 
 
 def run_report(counts: DataFrame, events: DataFrame, drift: DataFrame, log: DataFrame) -> DataFrame:

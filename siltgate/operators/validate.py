@@ -24,6 +24,8 @@ RESULT_COLUMNS = (
     "status",
 )
 
+ABSENT = "no column "
+
 
 @dataclass(frozen=True)
 class Check:
@@ -75,7 +77,7 @@ def _problem(df: DataFrame, rule: Rule) -> str | None:
     known = {c.lower() for c in df.columns}
     absent = [c for c in needed if c.lower() not in known]
     if absent:
-        return f"Column '{absent[0]}' not found in dataset"
+        return ABSENT + absent[0]
     if rule.kind == UNIQUE:
         return None
     try:
@@ -99,19 +101,9 @@ def compile_suite(df: DataFrame, rules: Sequence[Rule]):
     return rows, uniques, broken
 
 
-def _issue(rule: Rule, failed: Column) -> Column:
-    n = failed.cast("string")
-    if rule.kind == NOT_NULL:
-        return F.concat(n, F.lit(" null values found"))
-    if rule.kind == UNIQUE:
-        return F.concat(n, F.lit(" duplicate values found"))
-    if rule.kind == IN_SET:
-        return F.concat(n, F.lit(" values not in allowed set"))
-    if rule.kind == BETWEEN:
-        return F.concat(n, F.lit(f" values outside range [{rule.min_value}, {rule.max_value}]"))
-    if rule.kind == MATCH_REGEX:
-        return F.concat(n, F.lit(f" values do not match '{rule.pattern}'"))
-    return F.concat(n, F.lit(" rows break the expression"))
+def _issue(rule: Rule, failed: Column, seen: Column) -> Column:
+    """The rule and how much of what it looked at breaks it."""
+    return F.concat(F.lit(f"{rule.label}: "), failed.cast("string"), F.lit(" of "), seen.cast("string"))
 
 
 def _passes(rule: Rule, failed: Column, seen: Column) -> Column:
@@ -126,7 +118,7 @@ def _result(rule_id: int, rule: Rule, failed: Column, seen: Column) -> Column:
         F.lit(rule_id).alias("rule_id"),
         F.lit(rule.kind).alias("expectation_type"),
         F.lit(rule.column).alias("column_name"),
-        F.when(failed > 0, _issue(rule, failed)).otherwise(F.lit("")).alias("issue"),
+        F.when(failed > 0, _issue(rule, failed, seen)).otherwise(F.lit("")).alias("issue"),
         failed.cast("bigint").alias("failed_count"),
         seen.cast("bigint").alias("evaluated_count"),
         status.alias("status"),
@@ -141,7 +133,7 @@ def _row_results(df: DataFrame, checks: list[Check], broken) -> DataFrame:
     totals = df.agg(*(counters or [F.count(F.lit(1)).alias("rows")]))
     out = [_result(c.rule_id, c.rule, F.col(f"f{c.rule_id}"), F.col(f"n{c.rule_id}")) for c in checks]
     for i, rule, text in broken:
-        status = "missing" if "not found" in text else "error"
+        status = "missing" if text.startswith(ABSENT) else "error"
         out.append(F.struct(
             F.lit(i).alias("rule_id"), F.lit(rule.kind).alias("expectation_type"),
             F.lit(rule.column).alias("column_name"), F.lit(text).alias("issue"),

@@ -13,10 +13,15 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from siltgate.spec import STATES
+
+# A state per nation key, from the list of states that the rules know.
+STATE_OF_NATION = "CASE c_nationkey " + " ".join(f"WHEN {i} THEN '{s}'" for i, s in enumerate(STATES)) + " END"
+
 INCOMING_CUSTOMERS = """
 WITH base AS (
   SELECT c_custkey AS k, c_nationkey AS nk, n_name,
-         substr('ACALAPAMBACEDFESGOMAMTMSMGPAPBPRPEPIRJRNRSRORRSCSP', CAST(c_nationkey * 2 + 1 AS INT), 2) AS uf
+         """ + STATE_OF_NATION + """ AS uf
   FROM {customer} JOIN {nation} ON c_nationkey = n_nationkey),
 loads AS (SELECT *, 1 AS load_seq FROM base
           UNION ALL SELECT *, 2 AS load_seq FROM base WHERE k % 50 = 0)
