@@ -20,14 +20,15 @@ from pyspark.sql import functions as F
 
 from siltgate.llm.common import stored
 from siltgate.llm.components import components
+from siltgate.llm.urls import BITS_PER_KEY, MAX_BITS, Bloom
 
 WORDS = 4
 #: Link where 100 * intersection >= PERCENT * union.
 PERCENT = 85
 #: Counters of n-grams by hash, and those of one shuffled row. They only order columns: any order gives the same links.
-COUNTERS, CHUNK = 1 << 20, 1 << 13
+COUNTERS, CHUNK = 1 << 21, 1 << 14
 #: A counter stands for a common n-gram from so many standard deviations above the mean.
-DEVIATIONS = 4.0
+DEVIATIONS = 3.0
 HASH_BITS = 60
 #: Columns with more rows than this compare their rows' prefixes in blocks instead of pair by pair.
 PAIRED = 24
@@ -107,7 +108,7 @@ def column_levels(docs: DataFrame, text: str) -> np.ndarray:
         counts[chunk] = np.frombuffer(values, dtype="<i8")
     counts = counts.ravel()
     usual = max(8.0, counts.mean() + DEVIATIONS * counts.mean() ** 0.5)
-    return np.where(counts > usual, 1 + np.clip(np.log2(np.maximum(counts, 1) / usual), 0, 6), 0).astype(np.int64)
+    return np.where(counts > usual, 1 + np.clip(np.log2(np.maximum(counts, 1) / usual), 0, 6), 0).astype(np.uint8)
 
 
 def _incidence(docs: DataFrame, key: str, text: str, levels: np.ndarray) -> DataFrame:
@@ -119,7 +120,7 @@ def _incidence(docs: DataFrame, key: str, text: str, levels: np.ndarray) -> Data
             n, digest, prefix = [], [], []
             for value in batch.column(1).to_pylist():
                 grams = shingles(value)
-                columns = np.sort((shared.value[grams & (COUNTERS - 1)] << HASH_BITS) | grams)
+                columns = np.sort((shared.value[grams & (COUNTERS - 1)].astype(np.int64) << HASH_BITS) | grams)
                 n.append(len(grams))
                 digest.append(np.frombuffer(hashlib.blake2b(grams.tobytes(), digest_size=16).digest(), dtype="<i8"))
                 prefix.append(columns[:len(grams) - (-(-PERCENT * len(grams) // 100)) + 1] if len(grams) else columns)
@@ -134,10 +135,11 @@ def _incidence(docs: DataFrame, key: str, text: str, levels: np.ndarray) -> Data
 
 def _candidates(rows: DataFrame) -> DataFrame:
     """rows: node, n, prefix -> u, v: rows that may link lie in one component of these edges."""
-    slim = rows.select("node", "n", F.size("prefix").alias("p"), F.element_at("prefix", -1).alias("last"),
-                       F.explode("prefix").alias("column"))
+    # Most columns have one row: the shuffle that finds the others carries the row's number alone.
+    slim = rows.select("node", F.explode("prefix").alias("column"))
     shared = slim.groupBy("column").agg(F.count("*").alias("df")).where("df > 1")
-    columns = stored(slim.join(shared, "column"), "columns")
+    sizes = rows.select("node", "n", F.size("prefix").alias("p"), F.element_at("prefix", -1).alias("last"))
+    columns = stored(slim.join(shared, "column").join(sizes, "node"), "columns")
     common = columns.where(F.col("df") > PAIRED)
     missed = common.groupBy("node").agg(F.count("*").alias("h"))
     rare = columns.where(F.col("df") <= PAIRED).select("column", "node", "n", "p", "last")
@@ -277,7 +279,12 @@ def block_links(sets: list[np.ndarray], least: np.ndarray, side: np.ndarray) ->
 
 def _block_edges(docs: DataFrame, cells: DataFrame, key: str, text: str) -> DataFrame:
     """u, v: a spanning forest of the links in every cell."""
-    rows = docs.select(F.col(key).alias("node"), F.col(text).alias("text")).join(cells, "node")
+    rows = docs.select(F.col(key).alias("node"), F.col(text).alias("text"))
+    nodes = cells.select(F.col("node").alias("key")).distinct()
+    if 0 < (count := nodes.count()) * BITS_PER_KEY <= MAX_BITS:
+        # Few documents are near copies: most texts need not be shuffled.
+        rows = rows.where(Bloom(nodes, count, 0).has(F.col("node")))
+    rows = rows.join(cells, "node")
 
     def multiply(group: pa.Table) -> pa.Table:
         nodes, side = group["node"].to_numpy(), group["side"].to_numpy()
