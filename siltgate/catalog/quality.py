@@ -187,7 +187,8 @@ def _suggest_sql(dataset):
   (SELECT COUNT(*) AS n_all FROM {table}) WHERE values_seen BETWEEN 1 AND 50 AND values_seen / n_all <= 0.10""")
         else:
             parts.append(f"""SELECT '{dataset}', '{BETWEEN}', '{c}', '', lo, hi, '', (SELECT COUNT(*) FROM {table} WHERE
-   {c} IS NULL OR ({c} >= lo AND {c} <= hi)) FROM (SELECT ROUND(quantile_cont(CAST({c} AS DOUBLE), 0.001), 4) AS lo,
+   {c} IS NULL OR ({c} >= lo AND {c} <= hi)) FROM (SELECT CASE WHEN quantile_cont(CAST({c} AS DOUBLE), 0.001) >= 0 THEN 0.0
+   ELSE ROUND(quantile_cont(CAST({c} AS DOUBLE), 0.001), 4) END AS lo,
    ROUND(quantile_cont(CAST({c} AS DOUBLE), 0.999), 4) AS hi FROM {table})""")
         if not c.endswith(profile.NO_PATTERN_SUFFIXES):
             for i, (_, pattern) in enumerate(PATTERNS.items()):

@@ -259,7 +259,9 @@ def suggest(df: DataFrame, *, max_null_pct: float = 1.0, max_values: int = 50,
     sketches = {c: seen[f"d:{c}"] for c in numeric}
     for c, (low, high) in column_percentiles(df, numeric, [low_p, high_p], sketches).items():
         if low is not None:
-            rules.append(Rule(BETWEEN, c, min_value=round(low, 4), max_value=round(high, 4)))
+            # A column without negative values is not bound to its smallest one.
+            floor = 0.0 if low >= 0 else round(low, 4)
+            rules.append(Rule(BETWEEN, c, min_value=floor, max_value=round(high, 4)))
 
     for c in patterned:
         for name, pattern in PATTERNS.items():

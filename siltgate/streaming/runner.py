@@ -100,7 +100,7 @@ class Job:
         """KPIs over the whole latest-wins Silver, stored per batch."""
         snapshot = self.store.newest_snapshot(spark, self.spec)
         silver = self.store.silver(spark, self.spec, snapshot)
-        rows = gold.kpi_rows(self.spec.name, silver.drop("batch_id"))
+        rows = heal.heal_kpi_rows(gold.kpi_rows(self.spec.name, silver.drop("batch_id")))
         write_table(rows.coalesce(1), self.store.layers.batch_path("gold", self.spec.name, batch_id))
 
     def history(self, spark: SparkSession) -> DataFrame | None:

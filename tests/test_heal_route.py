@@ -112,3 +112,24 @@ def test_closed_outputs_hold(inputs):
             if step.outputs:
                 healed = heal.apply_steps(inputs.raw(dataset), [step])
                 assert healed.where(~C.is_in(F.col(step.column), step.outputs)).isEmpty()
+
+
+def test_gold_rows_are_made_sane_and_say_so(spark):
+    rows = [("p", "total_revenue", "-5.00"), ("p", "avg_installments", None), ("p", "total_payments", "3"),
+            ("p", "status_breakdown", '{"a":1}'), ("p", "min_payment_value", "-1.00"), ("p", "max_payment_value", "NaN")]
+    got = {r["kpi_key"]: (r["kpi_value"], r["kpi_issue"]) for r in heal.heal_kpi_rows(
+        spark.createDataFrame(rows, "dataset string, kpi_key string, kpi_value string")).collect()}
+    assert got == {"total_revenue": ("5.00", "negative"), "avg_installments": ("0", "not_a_number"),
+                   "total_payments": ("3", None), "status_breakdown": ('{"a":1}', None),
+                   "min_payment_value": ("-1.00", None), "max_payment_value": ("0", "not_a_number")}
+
+
+def test_a_misspelt_rule_stops_routing(dirty_customers):
+    with pytest.raises(ValueError, match="no column nope"):
+        route.tag(dirty_customers, [not_null("nope")])
+
+
+def test_members_of_a_set_of_any_size(spark, customers):
+    allowed = spark.createDataFrame([("SP",), ("SP",), ("RJ",), (None,)], "s string")
+    assert {r["customer_state"] for r in route.member_rows(customers, "customer_state", allowed).collect()} == {"SP", "RJ"}
+    assert route.member_rows(customers, "customer_state", allowed, keep=False).count() == 3
