@@ -23,6 +23,8 @@ GRAMS = (1, 2, 3)
 WIDTH = 16
 #: The classifier is fitted on at most this many labelled rows of each language, those with the smallest id hashes.
 TRAIN_ROWS = 600
+#: So many times more rows are drawn by hash before the smallest hashes are picked.
+THIN = 4
 #: Besides its whole text, a training row gives this many short runs of its words.
 SHORT_RUNS = 3
 EPOCHS, BATCH, RATE, SEED = 12, 64, 0.5, 11
@@ -106,8 +108,12 @@ def fit(labelled: DataFrame, key: str = "doc_id", text: str = "text", label: str
     known = labelled.where(F.col(text).isNotNull() & F.col(label).isNotNull()).select(
         F.coalesce(F.col(key).cast("string"), F.lit("")).alias("id"), F.col(label).alias("lang"),
         F.col(text).alias("text"))
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("id"), "id", F.xxhash64("text"))
-    sample = known.withColumn("n", F.row_number().over(order)).where(F.col("n") <= rows).drop("n")
+    # A thin draw first, so that the exact choice below sees a bounded number of rows of each language.
+    order = F.xxhash64("id", "text")
+    per_lang = known.groupBy("lang").agg((F.lit(THIN * rows) / F.count("*")).alias("part"))
+    drawn = known.join(per_lang, "lang").where(F.pmod(order, F.lit(1 << 30)) < F.col("part") * (1 << 30))
+    first = Window.partitionBy("lang").orderBy(order, "id", "text")
+    sample = drawn.withColumn("n", F.row_number().over(first)).where(F.col("n") <= rows).select("id", "lang", "text")
     table = sample.mapInArrow(_examples, "id string, part int, lang string, bucket array<int>, n array<int>").toArrow()
     if not table.num_rows:
         return None
