@@ -388,6 +388,14 @@ def approval_latest(t):
     return ops.latest_decision(log, ["user_id", "event_type"], "ts", "event_id")
 
 
+@query("approval_pending", """
+SELECT user_id, event_type, event_id, ts, 'PENDING' AS decision
+FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC, event_id DESC) AS rn FROM events)
+WHERE rn = 1 AND value < 20""")
+def approval_pending(t):
+    return ops.pending(approval_latest(t))
+
+
 @query("incident_remember", """
 SELECT 'fix_' || sha256(text) AS memory_id, arg_min(doc_id, doc_id) AS doc_id, arg_min(source, doc_id) AS source,
        arg_min(lang, doc_id) AS lang, COUNT(*) AS seen FROM documents GROUP BY 1""")

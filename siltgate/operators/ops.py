@@ -74,6 +74,17 @@ def latest_decision(log: DataFrame, keys, at: str, row_id: str) -> DataFrame:
     return log.groupBy(*keys).agg(newest).select(*keys, "e.*")
 
 
+def pending(decisions: DataFrame, waiting: str = "PENDING") -> DataFrame:
+    """Latest decisions that still wait for an answer."""
+    return decisions.where(F.col("decision") == waiting)
+
+
+def durations(history: DataFrame) -> DataFrame:
+    """Seconds per batch from its start and end."""
+    return history.withColumn("seconds", F.round(
+        (F.unix_micros("ended_at") - F.unix_micros("started_at")) / 1e6, 3))
+
+
 def remember(log: DataFrame, text: str, order: str, *keep: str) -> DataFrame:
     """Incident memory: one entry per distinct text, the first one wins.
 

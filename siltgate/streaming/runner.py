@@ -14,11 +14,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from siltgate.operators import heal
+from siltgate.operators import heal, ops
 from siltgate.operators.store import Store
 from siltgate.plans import gold, medallion
-from siltgate.sources.layers import exists, write_table
-from siltgate.spec import DatasetSpec
+from siltgate.sources.layers import exists, stamps, write_table
+from siltgate.spec import BATCH_HISTORY_KEPT, DatasetSpec
 
 HISTORY = "dataset string, batch_id bigint, status string, bronze_rows bigint, silver_rows bigint, quarantine_rows bigint, heal_events bigint, error string, attempts int, started_at timestamp, ended_at timestamp"
 FAILED = "error"
@@ -103,11 +103,20 @@ class Job:
         rows = heal.heal_kpi_rows(gold.kpi_rows(self.spec.name, silver.drop("batch_id")))
         write_table(rows.coalesce(1), self.store.layers.batch_path("gold", self.spec.name, batch_id))
 
-    def history(self, spark: SparkSession) -> DataFrame | None:
+    def history(self, spark: SparkSession, newest: int | None = None) -> DataFrame | None:
+        """The record of all batches, or of the ``newest`` ones; older folders are then not read at all."""
         path = self.store.layers.path("audit", f"history_{self.spec.name}")
         if not exists(spark, path):
             return None
-        return spark.read.schema(HISTORY).parquet(path)
+        if newest is None:
+            return spark.read.schema(HISTORY).parquet(path)
+        kept = sorted(stamps(spark, path))[-newest:]
+        return spark.read.schema(HISTORY).parquet(*[f"{path}/batch_id={b}" for b in kept])
+
+    def recent(self, spark: SparkSession) -> DataFrame | None:
+        """The batches that reports look at, with their duration."""
+        history = self.history(spark, BATCH_HISTORY_KEPT)
+        return None if history is None else ops.durations(history)
 
 
 def start(spark: SparkSession, job: Job, source: str, schema, checkpoint: str, *,
