@@ -27,8 +27,8 @@ WORDS = 4
 PERCENT = 85
 #: Counters of n-grams by hash, and those of one shuffled row. They only order columns: any order gives the same links.
 COUNTERS, CHUNK = 1 << 21, 1 << 14
-#: A counter stands for a common n-gram from so many standard deviations above the mean.
-DEVIATIONS = 3.0
+#: Levels by how many standard deviations a counter lies from the mean: a few bits of order, finest where prefixes end.
+DEVIATIONS = (-1.5, -1.0, -0.5, 0.5, 3.0, 10.0, 50.0)
 HASH_BITS = 60
 #: Columns with more rows than this compare their rows' prefixes in blocks instead of pair by pair.
 PAIRED = 24
@@ -79,7 +79,11 @@ def need(size_a, size_b, percent: int = PERCENT):
 
 
 def column_levels(docs: DataFrame, text: str) -> np.ndarray:
-    """A level per counter over all n-grams: 0 for usual counts, more for each doubling beyond what chance explains."""
+    """A level per counter over all n-grams: low where few n-grams fall, high where common ones do.
+
+    A document's prefix is its n-grams of the lowest levels; one that several documents have lifts its own counter and
+    is rarely among them.
+    """
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(COUNTERS, dtype=np.int64)
         held: list[np.ndarray] = []
@@ -107,8 +111,7 @@ def column_levels(docs: DataFrame, text: str) -> np.ndarray:
     for chunk, values in zip(sums["chunk"].to_pylist(), sums["counts"].to_pylist(), strict=True):
         counts[chunk] = np.frombuffer(values, dtype="<i8")
     counts = counts.ravel()
-    usual = max(8.0, counts.mean() + DEVIATIONS * counts.mean() ** 0.5)
-    return np.where(counts > usual, 1 + np.clip(np.log2(np.maximum(counts, 1) / usual), 0, 6), 0).astype(np.uint8)
+    return np.digitize((counts - counts.mean()) / max(1.0, counts.mean() ** 0.5), DEVIATIONS).astype(np.uint8)
 
 
 def _incidence(docs: DataFrame, key: str, text: str, levels: np.ndarray) -> DataFrame:
@@ -141,24 +144,23 @@ def _candidates(rows: DataFrame) -> DataFrame:
     sizes = rows.select("node", "n", F.size("prefix").alias("p"), F.element_at("prefix", -1).alias("last"))
     columns = stored(slim.join(shared, "column").join(sizes, "node"), "columns")
     common = columns.where(F.col("df") > PAIRED)
-    missed = common.groupBy("node").agg(F.count("*").alias("h"))
-    rare = columns.where(F.col("df") <= PAIRED).select("column", "node", "n", "p", "last")
-    a, b = (rare.select("column", *(F.col(c).alias(f"{c}_{x}") for c in ("node", "n", "p", "last"))) for x in "ab")
+    rare = columns.where(F.col("df") <= PAIRED).select("column", "node", "n")
+    a, b = (rare.select("column", *(F.col(c).alias(f"{c}_{x}") for c in ("node", "n"))) for x in "ab")
     sized = (F.col("n_a") * 100 >= F.col("n_b") * PERCENT) & (F.col("n_b") * 100 >= F.col("n_a") * PERCENT)
     pairs = a.join(b, "column").where((F.col("node_a") < F.col("node_b")) & sized)
-    pairs = pairs.groupBy(*(f"{c}_{x}" for x in "ab" for c in ("node", "n", "p", "last"))).agg(
-        F.count("*").alias("overlap"))
-    # Up to the smaller of the two last prefix columns all common columns are counted, but for common ones; the rest
+    pairs = pairs.groupBy("node_a", "node_b").agg(F.count("*").alias("overlap"))
+    # Up to the smaller of the two last prefix columns all common columns are counted, but for h common ones; the rest
     # is at most what that row has beyond its prefix.
+    known = sizes.join(common.groupBy("node").agg(F.count("*").alias("h")), "node", "left").fillna(0, ["h"])
+    for x in "ab":
+        pairs = pairs.join(known.select(*(F.col(c).alias(f"{c}_{x}") for c in known.columns)), f"node_{x}")
     rest_a, rest_b = F.col("n_a") - F.col("p_a"), F.col("n_b") - F.col("p_b")
     rest = F.when(F.col("last_a") < F.col("last_b"), rest_a).when(F.col("last_a") > F.col("last_b"), rest_b).otherwise(
         F.least(rest_a, rest_b))
     least = F.ceil((F.col("n_a") + F.col("n_b")) * PERCENT / (100 + PERCENT)) - rest
-    for x in "ab":
-        pairs = pairs.join(missed.select(F.col("node").alias(f"node_{x}"), F.col("h").alias(f"h_{x}")), f"node_{x}", "left")
-    unseen = F.least(F.coalesce("h_a", F.lit(0)), F.coalesce("h_b", F.lit(0)))
-    kept = pairs.where(F.col("overlap") + unseen >= least).select(F.col("node_a").alias("u"), F.col("node_b").alias("v"))
-    cells = _cells(common.select("node", "n", F.col("column").alias("component")))
+    kept = pairs.where(F.col("overlap") + F.least("h_a", "h_b") >= least).select(
+        F.col("node_a").alias("u"), F.col("node_b").alias("v"))
+    cells = stored(_cells(common.select("node", "n", F.col("column").alias("component"))), "cells")
     return kept.unionByName(_prefix_edges(rows, cells))
 
 
@@ -185,7 +187,15 @@ def _prefix_edges(rows: DataFrame, cells: DataFrame) -> DataFrame:
             v.append(node[own[label[moved]]])
         return pa.table({"u": np.concatenate(u), "v": np.concatenate(v)})
 
-    return rows.select("node", "n", "prefix").join(cells, "node").groupBy("cell").applyInArrow(multiply, "u long, v long")
+    rows = _only(rows.select("node", "n", "prefix"), cells)
+    return rows.join(cells, "node").groupBy("cell").applyInArrow(multiply, "u long, v long")
+
+
+def _only(rows: DataFrame, cells: DataFrame) -> DataFrame:
+    """The rows that may be in a cell: most are in none and need not be shuffled. A long list of nodes takes all rows."""
+    nodes = cells.select(F.col("node").alias("key")).distinct()
+    count = nodes.count()
+    return rows.where(Bloom(nodes, count, 0).has(F.col("node"))) if 0 < count * BITS_PER_KEY <= MAX_BITS else rows
 
 
 def _cells(inside: DataFrame) -> DataFrame:
@@ -280,10 +290,7 @@ def block_links(sets: list[np.ndarray], least: np.ndarray, side: np.ndarray) ->
 def _block_edges(docs: DataFrame, cells: DataFrame, key: str, text: str) -> DataFrame:
     """u, v: a spanning forest of the links in every cell."""
     rows = docs.select(F.col(key).alias("node"), F.col(text).alias("text"))
-    nodes = cells.select(F.col("node").alias("key")).distinct()
-    if 0 < (count := nodes.count()) * BITS_PER_KEY <= MAX_BITS:
-        # Few documents are near copies: most texts need not be shuffled.
-        rows = rows.where(Bloom(nodes, count, 0).has(F.col("node")))
+    rows = _only(rows, cells)
     rows = rows.join(cells, "node")
 
     def multiply(group: pa.Table) -> pa.Table:
