@@ -80,7 +80,8 @@ def mix(docs: DataFrame, key: str = "doc_id", source: str = "source", text: str
     have weight 0 and leave. Repeated rows and null keys stay rows of their own. Columns of docs must not start
     with mix_.
     """
-    counted = docs.withColumn("mix_tokens", word_count(F.col(text)))
+    # The tie-break goes before the joins, so that they need not carry texts that nobody asks for.
+    counted = docs.withColumn("mix_tokens", word_count(F.col(text))).withColumn("mix_tie", F.md5(text))
     name = F.struct(F.col(source)).alias("mix_source")  # a struct compares nulls as equal
     slim = stored(counted.select(name, F.col(key).alias("mix_key"), "mix_tokens"), "mix-tokens")
     totals = stored(slim.groupBy("mix_source").agg(F.sum("mix_tokens").alias("tokens"), F.count("*").alias("docs")),
@@ -123,7 +124,7 @@ def mix(docs: DataFrame, key: str = "doc_id", source: str = "source", text: str
     whole_uses = F.when((F.col("epochs") > 0) | (F.col("mix_last") & F.col("mix_left").isNull()), uses)
     sure = drawn(placed.withColumn("mix_epoch", F.explode(whole_uses)))
     cut = drawn(placed.where(F.col("mix_left").isNotNull()).withColumn("mix_epoch", F.col("epochs")))
-    within = Window.partitionBy("mix_source", "mix_block").orderBy("mix_draw", key, F.md5(text)).rowsBetween(
+    within = Window.partitionBy("mix_source", "mix_block").orderBy("mix_draw", key, "mix_tie").rowsBetween(
         Window.unboundedPreceding, 0)
     cut = cut.withColumn("mix_used", F.sum("mix_tokens").over(within)).where(F.col("mix_used") <= F.col("mix_left"))
     return sure.select(columns).unionByName(cut.select(columns))
