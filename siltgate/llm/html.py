@@ -1,9 +1,11 @@
 """HTML extraction by wrappers: union-free regular expressions inferred from the pages of one host.
 
-A page's tokens become a tree of tags. Pages of a host are aligned one after another with the host's wrapper: equal
-tags meet, a tag that comes again beside itself is a repeated group, one that some pages lack is optional, and text
-that differs is a slot. Wrappers align with wrappers in the same way, so tasks infer partial ones and few rows of
-bounded size meet per host. The finished wrapper tells which slots are the article.
+A page's tokens become a tree of tags in document order. Pages of a host are aligned one after another with the host's
+wrapper: a tag that comes again beside itself is a repeated group; groups of one tag that other tags part are matched
+first with first, second with second, as long as all pages have the same number of them, and become one repeated group
+where the numbers differ; a tag that some pages lack is optional, and text that differs is a slot. Each of these steps
+gives the same wrapper in any order, so tasks infer partial ones and few rows meet per host. The finished wrapper tells
+which slots are the article: an article or main element is one signal, which the slots outside of it can outweigh.
 """
 
 from __future__ import annotations
@@ -52,6 +54,10 @@ _DIGITS = re.compile("[0-9]+")
 #: Pages of a host that must agree on a text outside of articles before it counts as part of the template.
 AGREEING = 5
 MAX_LINKS = 0.5
+#: Main elements are the article unless the slots outside of them on the same pages hold more than 1 / MAIN_SHARE of theirs.
+MAIN_SHARE = 0.25
+#: Elements nested deeper count as part of the last one; a tag with more groups in one element is one repeated group.
+MAX_DEPTH, MAX_GROUPS = 100, 16
 #: A task hands its wrappers on beyond this many nodes.
 TASK_NODES = 200_000
 #: A host's partial wrappers are first aligned in so many groups.
@@ -76,6 +82,10 @@ def _dropped(key: str) -> bool:
     return name in DROPPED or role in _DROPPED_ROLE or any(_DROPPED_NAME.search(x) for x in names if x)
 
 
+def _is_main(key: str) -> bool:
+    return re.match(r"[^.#@]*", key)[0] in MAIN or key.endswith("@main")
+
+
 def walk(page: str) -> Iterator[tuple[str, str | None, bool]]:
     """The page's events: ("open", key, is inline), ("close", None, is inline), ("text", text, in a link), ("break", ...).
 
@@ -131,97 +141,204 @@ def walk(page: str) -> Iterator[tuple[str, str | None, bool]]:
         yield pop()
 
 
-class Wrapper:
-    """Nodes in order of first sight; each child's key is there once, so size follows the host's tags, not its pages.
+class Node:
+    """One tag of a wrapper. text is None (no text), a checksum (always the same text) or True (a slot).
 
-    A node is [parent, key, pages, repeated, text, chars, link chars]; text is None (no text), a checksum (always the
-    same text) or True (a slot). It is optional where it has fewer pages than its parent.
+    It is optional where it has fewer pages than its parent. `main_chars` are those of pages that have an article or main
+    element. `kids` holds, per key, the groups of that tag in their order, or one if `folded` has the key.
     """
 
-    def __init__(self, nodes: list[list] | None = None):
-        self.nodes = nodes if nodes is not None else [[-1, "", 0, False, None, 0, 0]]
-        self.children: dict[tuple[int, str], int] = {(n[0], n[1]): i for i, n in enumerate(self.nodes) if i}
+    __slots__ = ("pages", "repeated", "text", "chars", "links", "main_chars", "kids", "folded")
+
+    def __init__(self):
+        self.pages, self.repeated, self.text, self.chars, self.links, self.main_chars = 0, False, None, 0, 0, 0
+        self.kids: dict[str, list[Node]] = {}
+        self.folded: set[str] = set()
+
+    def fold(self, key: str) -> None:
+        """All groups of the key become one repeated group."""
+        first, *others = self.kids[key]
+        self.folded.add(key)
+        for other in others:
+            first.take(other, beside=True)
+        self.kids[key] = [first]
+
+    def take(self, other: Node, beside: bool = False) -> None:
+        """Resolve the mismatches with the same tag of other pages, or with one that stands beside it on the same ones."""
+        if beside:
+            self.repeated = True
+            self.text = None if self.text is other.text is None else True
+            self.pages = max(self.pages, other.pages)
+        else:
+            if not self.pages:
+                self.text = other.text
+            elif self.text != other.text:
+                self.text = True
+            self.repeated |= other.repeated
+            self.pages += other.pages
+        self.chars += other.chars
+        self.links += other.links
+        self.main_chars += other.main_chars
+        for key, theirs in other.kids.items():
+            mine = self.kids.get(key)
+            if mine is None:
+                self.kids[key] = theirs
+                if key in other.folded:
+                    self.folded.add(key)
+                continue
+            if key in self.folded or key in other.folded or len(mine) != len(theirs):
+                for node in (self, other):
+                    if key not in node.folded:
+                        node.fold(key)
+                mine, theirs = self.kids[key], other.kids[key]
+                mine[0].repeated = True
+            for x, y in zip(mine, theirs, strict=True):
+                x.take(y, beside)
+
+    def packed(self) -> list:
+        return [self.pages, self.repeated, self.text, self.chars, self.links, self.main_chars, sorted(self.folded),
+                {key: [kid.packed() for kid in kids] for key, kids in self.kids.items()}]
+
+    @classmethod
+    def unpacked(cls, row: list) -> Node:
+        self = cls()
+        self.pages, self.repeated, self.text, self.chars, self.links, self.main_chars, folded, kids = row
+        self.folded = set(folded)
+        self.kids = {key: [cls.unpacked(x) for x in rows] for key, rows in kids.items()}
+        return self
+
+    def size(self) -> int:
+        return 1 + sum(kid.size() for kids in self.kids.values() for kid in kids)
+
+
+class Frame:
+    """An open element of a page: its node, the groups of each tag seen in it so far, and in those before it."""
+
+    __slots__ = ("node", "last", "groups", "before")
+
+    def __init__(self, node, before: dict[str, int] | None = None):
+        self.node, self.last, self.groups, self.before = node, None, {}, before or {}
 
-    def child(self, parent: int, key: str) -> int:
-        at = self.children.get((parent, key))
-        if at is None:
-            at = self.children[parent, key] = len(self.nodes)
-            self.nodes.append([parent, key, 0, False, None, 0, 0])
-        return at
+    def group(self, key: str) -> int:
+        """The number of the group that a tag with this key belongs to."""
+        if key != self.last:
+            self.last = key
+            self.groups[key] = self.groups.get(key, -1) + 1
+        return self.groups[key]
+
+    def uneven(self) -> list[tuple[Node, str]]:
+        """Tags with another number of groups here than in the elements before that share the node, or with too many."""
+        return [(self.node, key) for key, last in self.groups.items()
+                if last >= MAX_GROUPS or self.before.get(key, last + 1) != last + 1]
+
+
+class Wrapper:
+    """A host's tags, aligned; size follows the host's tags, not its pages."""
+
+    def __init__(self, root: Node | None = None):
+        self.root = root or Node()
+
+    @property
+    def nodes(self) -> list[list]:
+        """[parent, key, pages, repeated, text] of every node."""
+        out: list[list] = []
+
+        def add(parent: int, key: str, node: Node) -> None:
+            at = len(out)
+            out.append([parent, key, node.pages, node.repeated, node.text])
+            for name, kids in node.kids.items():
+                for kid in kids:
+                    add(at, name, kid)
+
+        add(-1, "", self.root)
+        return out
 
     @classmethod
     def of_page(cls, page: str) -> Wrapper:
         self = cls()
+        self.root.pages = 1
         inline: list[bool] = []
         texts: dict[int, int] = {}
-        self.nodes[0][2] = 1
-        path = [0]
+        frames = [Frame(self.root)]
+        touched: list[Node] = []
+        uneven: list[tuple[Node, str]] = []
+        main = False
         for kind, value, flag in walk(page):
             if kind == "open":
                 plain = flag and value in INLINE
                 inline.append(plain)
                 if not plain:
-                    node = self.child(path[-1], value)
-                    # The same tag again under one parent folds into a repeated group.
-                    self.nodes[node][3] = self.nodes[node][3] or self.nodes[node][2] > 0
-                    self.nodes[node][2] = 1
-                    path.append(node)
+                    main = main or _is_main(value)
+                    frames.append(frames[-1] if len(frames) > MAX_DEPTH else self._open(frames[-1], value))
             elif kind == "close":
-                if not inline.pop():
-                    path.pop()
+                if not inline.pop() and (frame := frames.pop()) is not frames[-1]:
+                    uneven += frame.uneven()
             elif kind == "text" and not value.isspace():
-                node = self.nodes[path[-1]]
-                node[5] += len(value)
-                node[6] += len(value) if flag else 0
-                texts[path[-1]] = zlib.crc32(value.strip().encode("utf-8", "surrogatepass"), texts.get(path[-1], 0))
-        for node, value in texts.items():
-            self.nodes[node][4] = True if self.nodes[node][3] else value
+                node = frames[-1].node
+                node.chars += len(value)
+                node.links += len(value) if flag else 0
+                if id(node) not in texts:
+                    touched.append(node)
+                texts[id(node)] = zlib.crc32(value.strip().encode("utf-8", "surrogatepass"), texts.get(id(node), 0))
+        for node in touched:
+            node.text = True if node.repeated else texts[id(node)]
+            node.main_chars = node.chars if main else 0
+        # Inner elements come first, so what is folded is still part of the page.
+        for node, key in uneven + frames[0].uneven():
+            if key not in node.folded:
+                node.fold(key)
+                node.kids[key][0].repeated = True
         return self
 
+    @staticmethod
+    def _open(frame: Frame, key: str) -> Frame:
+        again = frame.last == key
+        at, groups = frame.group(key), frame.node.kids.setdefault(key, [])
+        if at == len(groups):
+            groups.append(Node())
+        node = groups[at]
+        before = {name: len(kids) for name, kids in node.kids.items()} if node.pages else {}
+        node.repeated = node.repeated or again or node.pages > 0
+        node.pages = 1
+        return Frame(node, before)
+
     def align(self, other: Wrapper) -> None:
-        """Resolve the mismatches with another page or wrapper of the host."""
-        seen = self.nodes[0][2]
-        place = [0] * len(other.nodes)
-        for i, (parent, key, pages, repeated, text, chars, links) in enumerate(other.nodes):
-            known = len(self.nodes)
-            at = place[i] = self.child(place[parent], key) if i else 0
-            mine = self.nodes[at]
-            if at == known or not seen:
-                mine[4] = text
-            elif mine[4] != text:
-                mine[4] = True
-            mine[2] += pages
-            mine[3] = mine[3] or repeated
-            mine[5] += chars
-            mine[6] += links
-
-    def article(self) -> list[list]:
-        """Per node [parent, key, taken in pages with a main element, taken in pages without one]."""
-        dropped, main, out = [False] * len(self.nodes), [False] * len(self.nodes), [[-1, "", False, False]]
-        for i, (parent, key, pages, _, text, chars, links) in enumerate(self.nodes):
-            if not i:
-                out[0][3] = True
-                continue
-            dropped[i] = dropped[parent] or _dropped(key)
-            main[i] = main[parent] or re.match(r"[^.#@]*", key)[0] in MAIN or key.endswith("@main")
-            template = text is not None and text is not True and pages >= AGREEING
-            menu = chars > 0 and links / chars > MAX_LINKS
-            out.append([parent, key, main[i] and not dropped[i], not (dropped[i] or template or menu)])
-        return out
+        """Resolve the mismatches with another page or wrapper of the host, whose nodes are used up."""
+        self.root.take(other.root)
+
+    def article(self) -> list:
+        """Whether main elements are the article, and per node [taken in it, taken outside, folded keys, kids]."""
+        totals = [0, 0]
+
+        def rules(key: str, node: Node, dropped: bool, main: bool) -> list:
+            dropped = dropped or (key != "" and _dropped(key))
+            main = main or (key != "" and _is_main(key))
+            constant = node.text is not None and node.text is not True
+            template = constant and node.pages >= AGREEING
+            menu = node.chars > 0 and node.links / node.chars > MAX_LINKS
+            outside = not (dropped or template or menu)
+            if main and not dropped:
+                totals[0] += node.main_chars
+            elif not main and outside:
+                totals[1] += node.main_chars
+            return [main and not dropped, outside, sorted(node.folded),
+                    {name: [rules(name, kid, dropped, main) for kid in kids] for name, kids in node.kids.items()}]
+
+        out = rules("", self.root, False, False)
+        return [totals[0] >= MAIN_SHARE * totals[1], out]
 
 
 class Rules:
     """A host's wrapper, ready for its pages."""
 
-    def __init__(self, rows: list[list]):
-        self.rows = rows
-        self.children = {(r[0], r[1]): i for i, r in enumerate(rows) if i}
+    def __init__(self, found: list):
+        self.use_main, self.root = found
 
     def text(self, page: str) -> str:
         """The article's blocks, one a line."""
         blocks: tuple[list[str], list[str]] = ([], [])
         current: tuple[list[str], list[str]] = ([], [])
-        path, inline, has_main = [0], [], False
+        frames, inline, has_main = [Frame(self.root)], [], False
 
         def flush() -> None:
             for done, parts in zip(blocks, current, strict=True):
@@ -231,11 +348,11 @@ class Rules:
 
         for kind, value, flag in walk(page):
             if kind == "text":
-                row = self.rows[path[-1]]
-                for parts, taken in zip(current, row[2:], strict=True):
+                row = frames[-1].node
+                for parts, taken in zip(current, row[:2], strict=True):
                     if taken:
                         parts.append(value)
-                has_main = has_main or (row[2] and not value.isspace())
+                has_main = has_main or (row[0] and not value.isspace())
             elif kind == "break":
                 for parts in current if flag else ():
                     parts.append(" ")
@@ -247,11 +364,16 @@ class Rules:
                 if kind == "open":
                     inline.append(flag and value in INLINE)
                     if not inline[-1]:
-                        path.append(self.children[path[-1], value])
+                        frames.append(frames[-1] if len(frames) > MAX_DEPTH else Frame(self._kid(frames[-1], value)))
                 elif not inline.pop():
-                    path.pop()
+                    frames.pop()
         flush()
-        return "\n".join(blocks[0] if has_main else blocks[1])
+        return "\n".join(blocks[0] if has_main and self.use_main else blocks[1])
+
+    @staticmethod
+    def _kid(frame: Frame, key: str) -> list:
+        at, groups = frame.group(key), frame.node[3][key]
+        return groups[0 if key in frame.node[2] else at]
 
 
 @lru_cache(maxsize=256)
@@ -265,15 +387,15 @@ def _partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     def rows() -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays(
-            [pa.array(list(found), pa.string()), pa.array([json.dumps(w.nodes) for w in found.values()], pa.string())],
+            [pa.array(list(found), pa.string()), pa.array([json.dumps(w.root.packed()) for w in found.values()], pa.string())],
             ["host", "wrapper"])
 
     for batch in batches:
         for host, page in zip(*(c.to_pylist() for c in batch.columns), strict=True):
             own = found.setdefault(host, Wrapper())
-            size -= len(own.nodes)
+            size -= own.root.size()
             own.align(Wrapper.of_page(page))
-            size += len(own.nodes)
+            size += own.root.size()
             if size > TASK_NODES:
                 yield rows()
                 found, size = {}, 0
@@ -283,8 +405,8 @@ def _partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _align_all(group: pa.Table) -> pa.Table:
     whole = Wrapper()
     for text in sorted(group["wrapper"].to_pylist()):
-        whole.align(Wrapper(json.loads(text)))
-    return pa.table({"host": [group["host"][0].as_py()], "wrapper": [json.dumps(whole.nodes)]})
+        whole.align(Wrapper(Node.unpacked(json.loads(text))))
+    return pa.table({"host": [group["host"][0].as_py()], "wrapper": [json.dumps(whole.root.packed())]})
 
 
 def infer_wrappers(pages: DataFrame) -> DataFrame:
@@ -297,15 +419,15 @@ def infer_wrappers(pages: DataFrame) -> DataFrame:
 
 def _to_rules(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        rules = [json.dumps(Wrapper(json.loads(w)).article()) for w in batch.column(1).to_pylist()]
+        rules = [json.dumps(Wrapper(Node.unpacked(json.loads(w))).article()) for w in batch.column(1).to_pylist()]
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(rules, pa.string())], ["rule_host", "rules"])
 
 
 def extract(pages: DataFrame, key: str = "page_id", url: str = "url", page: str = "html") -> DataFrame:
     """One row per page: key, url, text, n_chars.
 
-    Wrappers come from all pages of a host. A page's text is that of its article or main element where it has one,
-    otherwise all slots outside of menus, notices and the like. References are decoded, white space within a block is
+    Wrappers come from all pages of a host. A page's text is that of its article or main element where it has one and
+    the host's slots outside of it don't outweigh it, otherwise all slots outside of menus, notices and the like. References are decoded, white space within a block is
     one space, blocks are lines. Null or empty html gives an empty text, a null url the empty host; repeated rows and
     null keys stay; other columns are ignored.
     """

@@ -168,6 +168,39 @@ def test_wrappers_align_in_any_order():
     assert node["p"][3] and node["h2"][2] == 3 < node["div"][2]
 
 
+def host_texts(pages):
+    """The texts of one host's pages, aligned in two orders."""
+    found = []
+    for order in (pages, pages[::-1]):
+        wrapper = html.Wrapper()
+        for page in order:
+            wrapper.align(html.Wrapper.of_page(page))
+        wrapper = html.Wrapper(html.Node.unpacked(html.json.loads(html.json.dumps(wrapper.root.packed()))))
+        rules = html.Rules(wrapper.article())
+        found.append([rules.text(page) for page in pages])
+    assert found[0] == found[1]
+    return found[0]
+
+
+def test_wrappers_keep_the_order_of_equal_tags():
+    pages = [f"<div>Menu text of the site</div><h2>Story {i}</h2><div>Words {i}</div>" + ("<ul><li>x</ul>" if i % 2 else "")
+             for i in range(6)]
+    assert [t.split("\n")[:2] for t in host_texts(pages)] == [[f"Story {i}", f"Words {i}"] for i in range(6)]
+    # Another number of groups makes them one repeated group, in one element's siblings too.
+    pages.append("<div>a</div><h2>b</h2><div>c</div><h2>d</h2><div>e</div>")
+    assert host_texts(pages)[0] == "Menu text of the site\nStory 0\nWords 0"
+    assert host_texts(["<section><b>a</b><h2>b</h2><div>c</div><h2>d</h2></section><section><h2>e</h2></section>"] * 2)[0]
+    deep = "<div><h2>x</h2></div>" * 3 + "<div>" * 300 + "deep<p>er" + "</div>" * 300 + "<i>end" + "<p>1<h2>2</h2>" * 40
+    assert host_texts([deep, "<p>q"])[0].split("\n")[3:7] == ["deep", "er", "end", "1"]
+
+
+def test_slots_outweigh_a_small_main_element():
+    pages = [f"<article><h3>Teaser {i}</h3></article><div><p>{f'long words {i} ' * 30}<p>more {i}</div>" for i in range(6)]
+    assert host_texts(pages)[2].split("\n") == ["Teaser 2", " ".join(["long words 2"] * 30), "more 2"]
+    pages = [f"<article><h3>Title {i}</h3><p>{f'long words {i} ' * 30}</article><div><p>Other {i}</div>" for i in range(6)]
+    assert host_texts(pages)[2].split("\n") == ["Title 2", " ".join(["long words 2"] * 30)]
+
+
 def test_urls(spark):
     rows = [("http://WWW.Example.COM/en/x", "allow", "www.example.com/en/"), ("http://a.example.com/en/", "block", "example.com/en/"),
             ("http://example.com/fr/?q#f", "allow", "com/"), ("x://b.net/fr/a", "block", "net/fr/"), ("x://b.net/frx", "allow", None),
