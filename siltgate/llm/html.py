@@ -40,10 +40,12 @@ ENDS = {
 #: Never part of an article.
 DROPPED = frozenset("head nav header footer aside form script style title textarea noscript template iframe button "
                     "select svg canvas object menu dialog".split())
-_DROPPED_NAME = re.compile(
-    r"(?:^|[-_ ])(?:ad|ads|advert\w*|sponsor\w*|promo\w*|banner\w*|cookie\w*|consent|notice\w*|alert\w*|popup|modal|"
+_NAME = (
+    r"(?:ad|ads|advert\w*|sponsor\w*|promo\w*|banner\w*|cookie\w*|consent|notice\w*|alert\w*|popup|modal|"
     r"newsletter|subscri\w*|nav\w*|menu\w*|breadcrumb\w*|sidebar\w*|footer|header|masthead|comment\w*|disqus\w*|repl(?:y|ies)|"
-    r"share|sharing|social|related|widget\w*|toolbar|pagination|pager|login|search)(?:$|[-_ 0-9])")
+    r"share|sharing|social|related|widget\w*|toolbar|pagination|pager|login|search)")
+#: A class or id that is such a name; one that has it as a part, which alone means nothing.
+_WHOLE_NAME, _PART_NAME = re.compile(_NAME + "[0-9]*"), re.compile(f"(?:^|[-_]){_NAME}(?:$|[-_0-9])")
 _DROPPED_ROLE = frozenset("navigation banner contentinfo complementary search form alert dialog menu menubar".split())
 MAIN = frozenset(("article", "main"))
 
@@ -75,11 +77,15 @@ def _key(name: str, attributes: str) -> str:
 
 
 @lru_cache(maxsize=4096)
-def _dropped(key: str) -> bool:
+def _unwanted(key: str) -> int:
+    """3: dropped by tag or role; 2: a class or id is a name of things around articles; 1: it has one as a part; 0."""
     name, marks = re.match(r"([^.#@]*)(.*)", key, re.S).groups()
-    role = marks.partition("@")[2]
-    names = re.split(r"[.#@ ]", marks)
-    return name in DROPPED or role in _DROPPED_ROLE or any(_DROPPED_NAME.search(x) for x in names if x)
+    if name in DROPPED or marks.partition("@")[2] in _DROPPED_ROLE:
+        return 3
+    if name in ("html", "body") or _is_main(key):
+        return 0
+    names = re.split(r"[.# ]", marks.partition("@")[0])
+    return 2 if any(map(_WHOLE_NAME.fullmatch, names)) else 1 if any(map(_PART_NAME.search, names)) else 0
 
 
 def _is_main(key: str) -> bool:
@@ -211,6 +217,23 @@ class Node:
         return 1 + sum(kid.size() for kids in self.kids.values() for kid in kids)
 
 
+class Held:
+    """What an element and those in it hold: characters, a main element, slot text inside and outside of main elements."""
+
+    __slots__ = ("chars", "links", "main", "agreed", "inside", "outside")
+
+    def __init__(self, chars: int, links: int, main: bool):
+        self.chars, self.links, self.main, self.agreed, self.inside, self.outside = chars, links, main, True, 0, 0
+
+    def add(self, part: Held) -> None:
+        self.chars += part.chars
+        self.links += part.links
+        self.main |= part.main
+        self.agreed &= part.agreed
+        self.inside += part.inside
+        self.outside += part.outside
+
+
 class Frame:
     """An open element of a page: its node, the groups of each tag seen in it so far, and in those before it."""
 
@@ -309,10 +332,35 @@ class Wrapper:
     def article(self) -> list:
         """Whether main elements are the article, and per node [taken in it, taken outside, folded keys, kids]."""
         totals = [0, 0]
+        held: dict[int, Held] = {}
+
+        def measure(key: str, node: Node, main: bool) -> Held:
+            main = main or _is_main(key)
+            own = held[id(node)] = Held(node.chars, node.links, main)
+            template = node.text is not None and node.text is not True and node.pages >= AGREEING
+            own.agreed = node.text is None or template
+            own.inside, own.outside = (0, 0) if template else (node.chars, 0) if main else (0, node.chars - node.main_chars)
+            for name, kids in node.kids.items():
+                for kid in kids:
+                    part = measure(name, kid, main)
+                    if _unwanted(name) < 3:
+                        own.add(part)
+            return own
+
+        whole = measure("", self.root, False)
+
+        def leaves(key: str, node: Node, main: bool) -> bool:
+            """A name drops nothing that holds a main element or most slots; a part of a name needs links or one text."""
+            kind, own = _unwanted(key), held[id(node)]
+            if kind in (0, 3):
+                return kind == 3
+            if (own.main and not main) or 2 * own.inside > whole.inside > 0 or 2 * own.outside > whole.outside > 0:
+                return False
+            return kind == 2 or own.agreed or own.links > MAX_LINKS * own.chars
 
         def rules(key: str, node: Node, dropped: bool, main: bool) -> list:
-            dropped = dropped or (key != "" and _dropped(key))
-            main = main or (key != "" and _is_main(key))
+            dropped = dropped or leaves(key, node, main)
+            main = main or _is_main(key)
             constant = node.text is not None and node.text is not True
             template = constant and node.pages >= AGREEING
             menu = node.chars > 0 and node.links / node.chars > MAX_LINKS

@@ -201,6 +201,18 @@ def test_slots_outweigh_a_small_main_element():
     assert host_texts(pages)[2].split("\n") == ["Title 2", " ".join(["long words 2"] * 30)]
 
 
+@pytest.mark.parametrize("around, inside", [
+    ('<body class="has-sidebar">', "<article>"), ("<body class=search>", ""), ("<div class=content-sidebar-wrap>", "<main>"),
+    ("<div class=page-with-header>", ""), ("<div id=search>", "<article>"), ("<div class=notice>", ""),
+    ("", "<article class=category-social>"), ("", '<article class="post tag-notice">'), ("", "<main class=search>")])
+def test_names_drop_no_article(around, inside):
+    pages = [f"{around}{inside}<h1>Title {i}</h1><p>Words {i}<p>more {i}<div class=share>Share</div>"
+             f"<div class=post-share><a>Send {i}</a></div><div class=post-notice>note {i}</div>" for i in range(6)]
+    # Without an article element, a page's slots hold the note in a named part too; whole names and link lists leave.
+    assert [t.split("\n") for t in host_texts(pages)] == [[f"Title {i}", f"Words {i}", f"more {i}", f"note {i}"]
+                                                          for i in range(6)]
+
+
 def test_urls(spark):
     rows = [("http://WWW.Example.COM/en/x", "allow", "www.example.com/en/"), ("http://a.example.com/en/", "block", "example.com/en/"),
             ("http://example.com/fr/?q#f", "allow", "com/"), ("x://b.net/fr/a", "block", "net/fr/"), ("x://b.net/frx", "allow", None),
