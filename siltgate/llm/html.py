@@ -10,6 +10,7 @@ which slots are the article: an article or main element is one signal, which the
 
 from __future__ import annotations
 
+import hashlib
 import html
 import json
 import re
@@ -53,8 +54,9 @@ _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>?|
                     r"<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>|<(?=[a-zA-Z/])[^>]*>?|[^<]+|<", re.S)
 _ATTRIBUTE = re.compile(r"(?:^|\s)(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 _DIGITS = re.compile("[0-9]+")
-#: Pages of a host that must agree on a text outside of articles before it counts as part of the template.
-AGREEING = 5
+#: Pages of a host, different in their text, that must agree on a text outside of articles before it counts as part of the
+#: template. Shared text of LARGE characters a page or more is not, where it is more than what differs.
+AGREEING, LARGE = 5, 100
 MAX_LINKS = 0.5
 #: Main elements are the article unless the slots outside of them on the same pages hold more than 1 / MAIN_SHARE of theirs.
 MAIN_SHARE = 0.25
@@ -151,13 +153,15 @@ class Node:
     """One tag of a wrapper. text is None (no text), a checksum (always the same text) or True (a slot).
 
     It is optional where it has fewer pages than its parent. `main_chars` are those of pages that have an article or main
-    element. `kids` holds, per key, the groups of that tag in their order, or one if `folded` has the key.
+    element. `texts` are the least AGREEING checksums of the whole text of its pages: copies of a page count once.
+    `kids` holds, per key, the groups of that tag in their order, or one if `folded` has the key.
     """
 
-    __slots__ = ("pages", "repeated", "text", "chars", "links", "main_chars", "kids", "folded")
+    __slots__ = ("pages", "repeated", "text", "chars", "links", "main_chars", "texts", "kids", "folded")
 
     def __init__(self):
         self.pages, self.repeated, self.text, self.chars, self.links, self.main_chars = 0, False, None, 0, 0, 0
+        self.texts: list[int] = []
         self.kids: dict[str, list[Node]] = {}
         self.folded: set[str] = set()
 
@@ -185,6 +189,8 @@ class Node:
         self.chars += other.chars
         self.links += other.links
         self.main_chars += other.main_chars
+        if len(self.texts) < AGREEING or other.texts and other.texts[0] < self.texts[-1]:
+            self.texts = sorted({*self.texts, *other.texts})[:AGREEING]
         for key, theirs in other.kids.items():
             mine = self.kids.get(key)
             if mine is None:
@@ -202,17 +208,21 @@ class Node:
                 x.take(y, beside)
 
     def packed(self) -> list:
-        return [self.pages, self.repeated, self.text, self.chars, self.links, self.main_chars, sorted(self.folded),
+        return [self.pages, self.repeated, self.text, self.chars, self.links, self.main_chars, self.texts, sorted(self.folded),
                 {key: [kid.packed() for kid in kids] for key, kids in self.kids.items()}]
 
     @classmethod
     def unpacked(cls, row: list) -> Node:
         self = cls()
-        self.pages, self.repeated, self.text, self.chars, self.links, self.main_chars, folded, kids = row
+        self.pages, self.repeated, self.text, self.chars, self.links, self.main_chars, self.texts, folded, kids = row
         self.folded = set(folded)
         self.kids = {key: [cls.unpacked(x) for x in rows] for key, rows in kids.items()}
         return self
 
+    def template(self) -> bool:
+        """One text on enough different pages."""
+        return self.text is not None and self.text is not True and len(self.texts) >= AGREEING
+
     def size(self) -> int:
         return 1 + sum(kid.size() for kids in self.kids.values() for kid in kids)
 
@@ -285,7 +295,7 @@ class Wrapper:
         frames = [Frame(self.root)]
         touched: list[Node] = []
         uneven: list[tuple[Node, str]] = []
-        main = False
+        main, whole = False, hashlib.blake2b(digest_size=6)
         for kind, value, flag in walk(page):
             if kind == "open":
                 plain = flag and value in INLINE
@@ -302,8 +312,12 @@ class Wrapper:
                 node.links += len(value) if flag else 0
                 if id(node) not in texts:
                     touched.append(node)
-                texts[id(node)] = zlib.crc32(value.strip().encode("utf-8", "surrogatepass"), texts.get(id(node), 0))
+                token = value.strip().encode("utf-8", "surrogatepass")
+                texts[id(node)] = zlib.crc32(token, texts.get(id(node), 0))
+                whole.update(token + b"\n")
+        own = [int.from_bytes(whole.digest())]
         for node in touched:
+            node.texts = own
             node.text = True if node.repeated else texts[id(node)]
             node.main_chars = node.chars if main else 0
         # Inner elements come first, so what is folded is still part of the page.
@@ -329,15 +343,29 @@ class Wrapper:
         """Resolve the mismatches with another page or wrapper of the host, whose nodes are used up."""
         self.root.take(other.root)
 
+    def copies(self) -> bool:
+        """Whether pages share more than differs, and enough to be an article: variants of one page, not of one template."""
+        sums = [0, 0]
+
+        def add(node: Node) -> None:
+            if node.links <= MAX_LINKS * node.chars:
+                sums[node.template()] += node.chars
+            for key, kids in node.kids.items():
+                for kid in kids if _unwanted(key) < 3 else ():
+                    add(kid)
+
+        add(self.root)
+        return sums[True] > sums[False] and sums[True] >= LARGE * self.root.pages
+
     def article(self) -> list:
-        """Whether main elements are the article, and per node [taken in it, taken outside, folded keys, kids]."""
+        """Whether main elements are the article, and per node [taken in it, outside, outside with shared text, folded keys, kids]."""
         totals = [0, 0]
         held: dict[int, Held] = {}
 
         def measure(key: str, node: Node, main: bool) -> Held:
             main = main or _is_main(key)
             own = held[id(node)] = Held(node.chars, node.links, main)
-            template = node.text is not None and node.text is not True and node.pages >= AGREEING
+            template = node.template() and not copies
             own.agreed = node.text is None or template
             own.inside, own.outside = (0, 0) if template else (node.chars, 0) if main else (0, node.chars - node.main_chars)
             for name, kids in node.kids.items():
@@ -347,6 +375,7 @@ class Wrapper:
                         own.add(part)
             return own
 
+        copies = self.copies()
         whole = measure("", self.root, False)
 
         def leaves(key: str, node: Node, main: bool) -> bool:
@@ -361,15 +390,14 @@ class Wrapper:
         def rules(key: str, node: Node, dropped: bool, main: bool) -> list:
             dropped = dropped or leaves(key, node, main)
             main = main or _is_main(key)
-            constant = node.text is not None and node.text is not True
-            template = constant and node.pages >= AGREEING
+            template = node.template() and not copies
             menu = node.chars > 0 and node.links / node.chars > MAX_LINKS
             outside = not (dropped or template or menu)
             if main and not dropped:
                 totals[0] += node.main_chars
-            elif not main and outside:
+            elif outside and not main and not node.template():
                 totals[1] += node.main_chars
-            return [main and not dropped, outside, sorted(node.folded),
+            return [main and not dropped, outside, not (dropped or menu), sorted(node.folded),
                     {name: [rules(name, kid, dropped, main) for kid in kids] for name, kids in node.kids.items()}]
 
         out = rules("", self.root, False, False)
@@ -384,8 +412,8 @@ class Rules:
 
     def text(self, page: str) -> str:
         """The article's blocks, one a line."""
-        blocks: tuple[list[str], list[str]] = ([], [])
-        current: tuple[list[str], list[str]] = ([], [])
+        blocks: tuple[list[str], ...] = ([], [], [])
+        current: tuple[list[str], ...] = ([], [], [])
         frames, inline, has_main = [Frame(self.root)], [], False
 
         def flush() -> None:
@@ -397,7 +425,7 @@ class Rules:
         for kind, value, flag in walk(page):
             if kind == "text":
                 row = frames[-1].node
-                for parts, taken in zip(current, row[:2], strict=True):
+                for parts, taken in zip(current, row[:3], strict=True):
                     if taken:
                         parts.append(value)
                 has_main = has_main or (row[0] and not value.isspace())
@@ -416,12 +444,13 @@ class Rules:
                 elif not inline.pop():
                     frames.pop()
         flush()
-        return "\n".join(blocks[0] if has_main and self.use_main else blocks[1])
+        # Nothing but shared text is the page's own.
+        return "\n".join(blocks[0] if has_main and self.use_main else blocks[1] or blocks[2])
 
     @staticmethod
     def _kid(frame: Frame, key: str) -> list:
-        at, groups = frame.group(key), frame.node[3][key]
-        return groups[0 if key in frame.node[2] else at]
+        at, groups = frame.group(key), frame.node[4][key]
+        return groups[0 if key in frame.node[3] else at]
 
 
 @lru_cache(maxsize=256)

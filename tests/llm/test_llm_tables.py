@@ -213,6 +213,23 @@ def test_names_drop_no_article(around, inside):
                                                           for i in range(6)]
 
 
+def test_copies_are_no_template(spark):
+    page = "<div><h1>Title</h1><p>%s</p></div><table><tr><td>cell</table>" % ("The only text " * 20)
+    want = "\n".join(["Title", " ".join(["The only text"] * 20), "cell"])
+    assert host_texts([page] * 12) == [want] * 12
+    # Variants of one page: print and session forms.
+    assert host_texts([f"{page}<i>session {i}</i>" for i in range(12)]) == [f"{want} session {i}".replace("cell ", "cell\n")
+                                                                         for i in range(12)]
+    assert host_texts([f"<div class=page-notice>{page}</div><p>{i}" for i in range(12)])[3] == f"{want}\n3"
+    assert host_texts([f"<p>short</p><nav>{i}</nav>" for i in range(12)]) == ["short"] * 12
+    # Copies among other pages count once, and text of the template still leaves.
+    pages = [f"<h1>Story {i % 3}</h1><div>Shared</div>" for i in range(12)]
+    assert host_texts(pages)[1] == "Story 1\nShared"
+    assert host_texts(pages + [f"<h1>Story {i}</h1><div>Shared</div>" for i in range(9)])[1] == "Story 1"
+    rows = [(i, "http://a/x", page, None, None, None) for i in range(8)]
+    assert {r.text for r in html.extract(spark.createDataFrame(rows, PAGES)).collect()} == {want}
+
+
 def test_urls(spark):
     rows = [("http://WWW.Example.COM/en/x", "allow", "www.example.com/en/"), ("http://a.example.com/en/", "block", "example.com/en/"),
             ("http://example.com/fr/?q#f", "allow", "com/"), ("x://b.net/fr/a", "block", "net/fr/"), ("x://b.net/frx", "allow", None),
