@@ -15,11 +15,12 @@ import html
 import json
 import re
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from siltgate.llm.common import stored
@@ -38,6 +39,10 @@ ENDS = {
     "td": (("td", "th"), ("table",)), "th": (("td", "th"), ("table",)), "tr": (("tr",), ("table",)),
     "option": (("option",), ("select",)),
 }
+TAGS = VOID | RAW | INLINE | CLOSES_P | frozenset(
+    "html head body li dt dd tr td th thead tbody tfoot caption colgroup figcaption hgroup search details summary dialog menu "
+    "option optgroup select button label legend datalist output progress meter map picture video audio canvas svg math "
+    "object center font frameset frame noframes ruby rt rp slot".split())
 #: Never part of an article.
 DROPPED = frozenset("head nav header footer aside form script style title textarea noscript template iframe button "
                     "select svg canvas object menu dialog".split())
@@ -62,6 +67,8 @@ MAX_LINKS = 0.5
 MAIN_SHARE = 0.25
 #: Elements nested deeper count as part of the last one; a tag with more groups in one element is one repeated group.
 MAX_DEPTH, MAX_GROUPS = 100, 16
+#: A host's wrapper tells at most so many marked tags apart, each of this share of its pages or more; it has so many nodes.
+MAX_KEYS, KEY_SHARE, MAX_NODES, MAX_MARKS = 256, 0.01, 2_000, 200
 #: A task hands its wrappers on beyond this many nodes.
 TASK_NODES = 200_000
 #: A host's partial wrappers are first aligned in so many groups.
@@ -75,7 +82,7 @@ def _key(name: str, attributes: str) -> str:
     classes = " ".join(sorted(found.get("class", "").lower().split()))
     marks = "".join(f"{sign}{value}" for sign, value in ((".", classes), ("#", found.get("id", "").lower()),
                                                         ("@", found.get("role", "").lower())) if value)
-    return name + _DIGITS.sub("0", marks)
+    return name + _DIGITS.sub("0", marks)[:MAX_MARKS]
 
 
 @lru_cache(maxsize=4096)
@@ -94,6 +101,21 @@ def _is_main(key: str) -> bool:
     return re.match(r"[^.#@]*", key)[0] in MAIN or key.endswith("@main")
 
 
+@lru_cache(maxsize=4096)
+def _bare(key: str) -> str:
+    """The tag without marks of its own: only what they say about articles stays."""
+    name = re.match(r"[^.#@]*", key)[0]
+    name = name if name in TAGS else "other"
+    kind = _unwanted(key)
+    if _is_main(key):
+        return name if name in MAIN else name + "@main"
+    return name if kind == _unwanted(name) else name + ("", ".x-ad", ".ad", "@navigation")[kind]
+
+
+def _folded(key: str, known: frozenset | None) -> str:
+    return key if known is None or key in known or key in TAGS else _bare(key)
+
+
 def walk(page: str) -> Iterator[tuple[str, str | None, bool]]:
     """The page's events: ("open", key, is inline), ("close", None, is inline), ("text", text, in a link), ("break", ...).
 
@@ -219,6 +241,29 @@ class Node:
         self.kids = {key: [cls.unpacked(x) for x in rows] for key, rows in kids.items()}
         return self
 
+    def cut(self) -> None:
+        """Beyond MAX_NODES, the tags of the fewest pages become text of the elements that hold them."""
+        if self.size() <= MAX_NODES:
+            return
+        units, todo = [], [(self, 0)]
+        for node, depth in todo:
+            for key, kids in node.kids.items():
+                units.append((-max(k.pages for k in kids), depth, len(units), node, key))
+                todo += [(kid, depth + 1) for kid in kids]
+        room, kept = MAX_NODES // 2, {id(self)}
+        for *_, node, key in sorted(units, key=lambda u: u[:3]):
+            kids = node.kids[key]
+            if id(node) in kept and len(kids) <= room:
+                room -= len(kids)
+                kept.update(map(id, kids))
+        for *_, node, key in reversed(units):
+            if id(node.kids[key][0]) not in kept:
+                for kid in node.kids.pop(key):
+                    node.text = True if kid.text is not None else node.text
+                    node.chars, node.links = node.chars + kid.chars, node.links + kid.links
+                    node.main_chars += kid.main_chars
+                node.folded.discard(key)
+
     def template(self) -> bool:
         """One text on enough different pages."""
         return self.text is not None and self.text is not True and len(self.texts) >= AGREEING
@@ -287,7 +332,7 @@ class Wrapper:
         return out
 
     @classmethod
-    def of_page(cls, page: str) -> Wrapper:
+    def of_page(cls, page: str, known: frozenset | None = None) -> Wrapper:
         self = cls()
         self.root.pages = 1
         inline: list[bool] = []
@@ -301,6 +346,7 @@ class Wrapper:
                 plain = flag and value in INLINE
                 inline.append(plain)
                 if not plain:
+                    value = _folded(value, known)
                     main = main or _is_main(value)
                     frames.append(frames[-1] if len(frames) > MAX_DEPTH else self._open(frames[-1], value))
             elif kind == "close":
@@ -341,7 +387,9 @@ class Wrapper:
 
     def align(self, other: Wrapper) -> None:
         """Resolve the mismatches with another page or wrapper of the host, whose nodes are used up."""
+        other.root.cut()
         self.root.take(other.root)
+        self.root.cut()
 
     def copies(self) -> bool:
         """Whether pages share more than differs, and enough to be an article: variants of one page, not of one template."""
@@ -408,7 +456,8 @@ class Rules:
     """A host's wrapper, ready for its pages."""
 
     def __init__(self, found: list):
-        self.use_main, self.root = found
+        self.use_main, self.root, *known = found
+        self.known = frozenset(known[0]) if known else None
 
     def text(self, page: str) -> str:
         """The article's blocks, one a line."""
@@ -440,7 +489,8 @@ class Rules:
                 if kind == "open":
                     inline.append(flag and value in INLINE)
                     if not inline[-1]:
-                        frames.append(frames[-1] if len(frames) > MAX_DEPTH else Frame(self._kid(frames[-1], value)))
+                        frames.append(frames[-1] if len(frames) > MAX_DEPTH else
+                                      Frame(self._kid(frames[-1], _folded(value, self.known))))
                 elif not inline.pop():
                     frames.pop()
         flush()
@@ -449,8 +499,12 @@ class Rules:
 
     @staticmethod
     def _kid(frame: Frame, key: str) -> list:
-        at, groups = frame.group(key), frame.node[4][key]
-        return groups[0 if key in frame.node[3] else at]
+        at, groups = frame.group(key), frame.node[4].get(key)
+        if groups:
+            return groups[0 if key in frame.node[3] else min(at, len(groups) - 1)]
+        # Cut from the wrapper: as the element around it, but for its own tag and names.
+        taken = frame.node[:3] if _unwanted(key) < 2 else [False] * 3
+        return [taken[0] or _is_main(key) and taken[2], *taken[1:], [], {}]
 
 
 @lru_cache(maxsize=256)
@@ -468,10 +522,10 @@ def _partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             ["host", "wrapper"])
 
     for batch in batches:
-        for host, page in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+        for host, page, keys in zip(*(c.to_pylist() for c in batch.columns), strict=True):
             own = found.setdefault(host, Wrapper())
             size -= own.root.size()
-            own.align(Wrapper.of_page(page))
+            own.align(Wrapper.of_page(page, frozenset(keys or ())))
             size += own.root.size()
             if size > TASK_NODES:
                 yield rows()
@@ -486,8 +540,37 @@ def _align_all(group: pa.Table) -> pa.Table:
     return pa.table({"host": [group["host"][0].as_py()], "wrapper": [json.dumps(whole.root.packed())]})
 
 
+def _count_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    found: Counter[tuple[str, str]] = Counter()
+
+    def rows() -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays(
+            [pa.array([h for h, _ in found], pa.string()), pa.array([k for _, k in found], pa.string()),
+             pa.array(found.values(), pa.int64())], ["host", "key", "n"])
+
+    for batch in batches:
+        for host, page in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            marked = {_key(m[2].lower(), m[3]) for m in _TOKEN.finditer(page) if m[2] and not m[1] and "=" in m[3]}
+            found.update((host, key) for key in {"", *marked})
+            if len(found) > TASK_NODES:
+                yield rows()
+                found.clear()
+    yield rows()
+
+
+def common_keys(pages: DataFrame) -> DataFrame:
+    """pages: host, html -> one row per host: host, and the at most MAX_KEYS marked tags that enough of its pages share."""
+    counts = pages.mapInArrow(_count_keys, "host string, key string, n long").groupBy("host", "key").agg(F.sum("n").alias("n"))
+    # The empty key counts all pages, so it is the first.
+    ranked = counts.withColumn("rank", F.row_number().over(Window.partitionBy("host").orderBy(F.desc("n"), "key")))
+    kept = ranked.where(F.col("rank") <= MAX_KEYS + 1).groupBy("host").agg(
+        F.max("n").alias("pages"), F.array_sort(F.collect_list(F.struct("key", "n"))).alias("keys"))
+    keys = F.transform(F.filter("keys", lambda k: (k["key"] != "") & (k["n"] >= KEY_SHARE * F.col("pages"))), lambda k: k["key"])
+    return kept.select(F.col("host").alias("key_host"), keys.alias("keys"))
+
+
 def infer_wrappers(pages: DataFrame) -> DataFrame:
-    """pages: host, html -> one row per host: host, wrapper."""
+    """pages: host, html, keys -> one row per host: host, wrapper of at most MAX_NODES nodes."""
     schema = "host string, wrapper string"
     parts = pages.mapInArrow(_partial, schema).withColumn("salt", F.pmod(F.xxhash64("wrapper"), F.lit(SALTS)))
     parts = parts.groupBy("host", "salt").applyInArrow(_align_all, schema)
@@ -496,7 +579,8 @@ def infer_wrappers(pages: DataFrame) -> DataFrame:
 
 def _to_rules(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        rules = [json.dumps(Wrapper(Node.unpacked(json.loads(w))).article()) for w in batch.column(1).to_pylist()]
+        rules = [json.dumps([*Wrapper(Node.unpacked(json.loads(w))).article(), keys or []])
+                 for w, keys in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True)]
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(rules, pa.string())], ["rule_host", "rules"])
 
 
@@ -510,7 +594,9 @@ def extract(pages: DataFrame, key: str = "page_id", url: str = "url", page: str
     """
     given = pages.select(F.col(key).alias(key), F.col(url).alias("url"), host_and_path(F.col(url))[0].alias("host"),
                          F.coalesce(page, F.lit("")).alias("html"))
-    wrappers = infer_wrappers(given.select("host", "html"))
+    keys = stored(common_keys(given.select("host", "html")), "keys")
+    wrappers = infer_wrappers(given.join(keys, F.col("host") == F.col("key_host")).select("host", "html", "keys"))
+    wrappers = wrappers.join(keys, F.col("host") == F.col("key_host")).select("host", "wrapper", "keys")
     rules = stored(wrappers.mapInArrow(_to_rules, "rule_host string, rules string"), "wrappers")
     joined = given.join(rules, F.col("host") == F.col("rule_host")).select(key, "url", "html", "rules")
 

@@ -230,6 +230,28 @@ def test_copies_are_no_template(spark):
     assert {r.text for r in html.extract(spark.createDataFrame(rows, PAGES)).collect()} == {want}
 
 
+def test_wrappers_of_own_names_stay_small(spark, monkeypatch):
+    page = '<div class="css-{0}"><article id="post-{0}"><h1>Title {1}</h1><p class=lead>Words {1}</article></div><div class="ad {0}">Buy {1}</div>'
+    pages = [page.format("".join(chr(97 + int(c)) for c in f"{i:04}"), i) for i in range(300)]
+    rows = [(i, "http://a/x", p, None, None, None) for i, p in enumerate(pages)]
+    df = spark.createDataFrame(rows, PAGES)
+    given = df.select(F.lit("a").alias("host"), "html")
+    keys = html.common_keys(given).collect()
+    assert [(r.key_host, r["keys"]) for r in keys] == [("a", ["p.lead"])]
+    wrapper = html.infer_wrappers(given.withColumn("keys", F.array(F.lit("p.lead")))).collect()[0].wrapper
+    assert html.Node.unpacked(html.json.loads(wrapper)).size() == 6
+    want = {i: f"Title {i}\nWords {i}" for i in range(300)}
+    assert {r.page_id: r.text for r in html.extract(df).collect()} == want
+    # Whatever the names are, the size has a bound, and what is cut from the wrapper is still text.
+    monkeypatch.setattr(html, "MAX_NODES", 20)
+    whole = html.Wrapper()
+    for p in pages:
+        whole.align(html.Wrapper.of_page(p))
+        assert whole.root.size() <= 20
+    rules = html.Rules(whole.article())
+    assert [rules.text(p) for p in pages] == list(want.values())
+
+
 def test_urls(spark):
     rows = [("http://WWW.Example.COM/en/x", "allow", "www.example.com/en/"), ("http://a.example.com/en/", "block", "example.com/en/"),
             ("http://example.com/fr/?q#f", "allow", "com/"), ("x://b.net/fr/a", "block", "net/fr/"), ("x://b.net/frx", "allow", None),
