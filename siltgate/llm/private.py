@@ -30,8 +30,11 @@ SPACE = "\\x20\\x09-\\x0D"
 #: An identifier-like token has MIN_DIGITS digits, or an @ inside.
 MIN_DIGITS, MAX_TOKEN = 7, 64
 TOKEN = f"(?<![^{SPACE}])[^{SPACE}0-9@]*+[0-9@][^{SPACE}]*+"
+#: Groups of digits joined by single spaces, dots, hyphens or brackets, whole; a group that a letter ends isn't part of it.
+GROUP = "[0-9]++(?![A-Za-z@])"
+RUN = f"(?<![A-Za-z0-9@])\\+?(?:\\((?=[0-9]+\\)))?{GROUP}(?:(?:[ .-]\\(?|\\)[ .-]?\\(?|\\(){GROUP})++"
 CONTEXT_CHARS = 48
-#: Rounds of scoring; the distinct seeds a pattern needs; the trust from which on a token is named.
+#: Rounds of scoring; the distinct seeds or trusted values a pattern needs; the trust from which on a token is named.
 ROUNDS, MIN_SEEDS, MIN_TRUST = 3, 4, 0.8
 
 _SPAN = "array<struct<start:int,rank:int,end:int>>"
@@ -97,7 +100,7 @@ def listed(spans: Column) -> Column:
 
 
 def _tokens(text: Column) -> Column:
-    """Spans of identifier-like tokens, without the punctuation around them (rank -1)."""
+    """Spans of identifier-like tokens, without the punctuation around them, and of runs of digit groups (rank -1)."""
     lead = lambda m: F.length(m) - F.length(F.regexp_replace(m, "^[^A-Za-z0-9+(]+", ""))
     tail = lambda m: F.length(m) - F.length(F.regexp_replace(m, "[^A-Za-z0-9)]+$", ""))
     shaped = lambda m: (F.length(F.regexp_replace(m, "[^0-9]", "")) >= MIN_DIGITS) | m.contains("@")
@@ -105,7 +108,9 @@ def _tokens(text: Column) -> Column:
     value = lambda s: F.substring(text, s["start"] + 1, s["end"] - s["start"])
     trimmed = F.transform(found, lambda s: F.struct(
         (s["start"] + lead(value(s))).alias("start"), s["rank"].alias("rank"), (s["end"] - tail(value(s))).alias("end")))
-    return F.filter(trimmed, lambda s: s["start"] < s["end"])
+    runs = F.when(F.rlike(text, F.lit("[0-9][ ().-]{1,3}[0-9]")), _marked(
+        text, RUN, lambda m: (F.length(m) <= MAX_TOKEN) & shaped(m), -1)).otherwise(F.array().cast(_SPAN))
+    return F.array_distinct(F.concat(F.filter(trimmed, lambda s: s["start"] < s["end"]), runs))
 
 
 def _patterns(text: Column, span: Column) -> Column:
@@ -127,16 +132,19 @@ def _scores(instances: DataFrame) -> DataFrame:
     """instances: pattern, value, seed (rank or null) -> value and the best rank of each trusted unseen value."""
     ranks = range(len(KINDS))
     edges = instances.groupBy("pattern", "value").agg(F.max("seed").alias("seed"))
-    seeds = [F.count(F.when(F.col("seed") == k, 1)) for k in ranks]
-    support = edges.groupBy("pattern").agg(*(n.alias(f"seeds{k}") for k, n in zip(ranks, seeds, strict=True)))
-    support = support.where(F.greatest(*(F.col(f"seeds{k}") for k in ranks)) >= MIN_SEEDS)
-    edges = stored(edges.join(support, "pattern"), "pii-graph")
+    # What fewer values surround than a pattern needs can't be trusted in any round.
+    enough = edges.groupBy("pattern").agg(F.count("*").alias("values")).where(F.col("values") >= MIN_SEEDS)
+    edges = stored(edges.join(enough, "pattern"), "pii-graph")
     trust = edges.where("false").select("value", *(F.lit(0.0).alias(f"t{k}") for k in ranks))
     for _ in range(ROUNDS):
         own = [F.when(F.col("seed") == k, 1.0).when(F.col("seed").isNotNull(), 0.0).otherwise(
             F.coalesce(f"t{k}", F.lit(0.0))) for k in ranks]
-        patterns = edges.join(trust, "value", "left").groupBy("pattern", *(f"seeds{k}" for k in ranks)).agg(
-            *((F.sum(x) / (F.count("*") + 1)).alias(f"sum{k}") for k, x in zip(ranks, own, strict=True)))
+        # Support comes from the seeds and from what the rounds before have named.
+        seeds = [F.count(F.when(F.col("seed").isNull() & (F.col(f"t{k}") >= MIN_TRUST) | (F.col("seed") == k), 1)) for k in ranks]
+        patterns = edges.join(trust, "value", "left").groupBy("pattern").agg(
+            *((F.sum(x) / (F.count("*") + 1)).alias(f"sum{k}") for k, x in zip(ranks, own, strict=True)),
+            *(n.alias(f"seeds{k}") for k, n in zip(ranks, seeds, strict=True)))
+        patterns = patterns.where(F.greatest(*(F.col(f"seeds{k}") for k in ranks)) >= MIN_SEEDS)
         patterns = patterns.select("pattern", *(F.when(F.col(f"seeds{k}") >= MIN_SEEDS, F.col(f"sum{k}")).otherwise(
             0.0).alias(f"p{k}") for k in ranks))
         # A value is an identifier unless all its patterns are wrong.
@@ -171,7 +179,11 @@ def find_private(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
         F.col("span.start").alias("start"), F.col("rank").alias("rank"), F.col("span.end").alias("end"))).alias("extra"))
     extra = extra.withColumnRenamed("key", "extra_key").withColumnRenamed("text_hash", "extra_hash")
     joined = found.join(extra, F.col("key").eqNullSafe(F.col("extra_key")) & (F.col("text_hash") == F.col("extra_hash")), "left")
-    spans = F.array_sort(F.concat("base", F.coalesce("extra", F.array().cast(_SPAN))))
+    extra = F.coalesce("extra", F.array().cast(_SPAN))
+    # A token inside of a named run is part of it.
+    whole = F.filter(extra, lambda s: ~F.exists(extra, lambda o: (
+        (o["start"] <= s["start"]) & (o["end"] >= s["end"]) & (o["end"] - o["start"] > s["end"] - s["start"]))))
+    spans = F.array_sort(F.concat("base", whole))
     return joined.select(F.col("key").alias(key), "text_hash", "base", spans.alias("spans"))
 
 

@@ -189,6 +189,22 @@ def test_trusted_patterns_name_unseen_identifiers(spark):
     assert masked[21] == "the sum is 1234567 units" and masked[51] is None and masked[0] == masked[20]
 
 
+def test_spaced_identifiers_and_patterns_found_in_rounds(spark):
+    rows = [(i, f"please call him at +1 (234) 555-{1000 + i} today") for i in range(12)]
+    spaced = ["(523) 555-1055", "523 555 1055", "(523) 555 1057", "523.555.1058"]
+    rows += [(20 + i, f"please call him at {x} today") for i, x in enumerate(spaced)]
+    rows += [(30, "please call him at 523 555 1099, today"), (31, "it weighs 523 555 1066 grams"), (32, "1 " * 40000 + "a")]
+    # The new words surround no base match, only what the first round names.
+    rows += [(40 + i, f"office line: {x} (main)") for i, x in enumerate(spaced)] + [(50, "office line: 77 555 1234 (main)")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    masked = {r.doc_id: r.text for r in private.mask_private(df).collect()}
+    assert [masked[20 + i] for i in range(4)] == ["please call him at [PHONE] today"] * 4
+    assert masked[30] == "please call him at [PHONE], today" and masked[31] == dict(rows)[31] and masked[32] == dict(rows)[32]
+    assert {masked[i] for i in (40, 41, 42, 43, 50)} == {"office line: [PHONE] (main)"}
+    spans = {r.doc_id: r.spans for r in private.report(private.find_private(df)).collect()}
+    assert spans[20] == "phone:19:33" and spans[50] == "phone:13:24"
+
+
 def shingle_set(text):
     words = re.findall(r"[^\x20\x09-\x0D]+", "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or ""))
     return frozenset([tuple(words)]) if 0 < len(words) < 4 else frozenset(tuple(words[i:i + 4]) for i in range(len(words) - 3))
