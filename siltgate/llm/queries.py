@@ -114,6 +114,17 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.count_tokens(table(spark, sf_dir, "documents"), word_bpe())
 
 
+@query
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from siltgate.llm import align
+
+    a, b = (public_tokenizers.path(name) for name in ("byte_bpe_50k.json", "piece_bpe_32k.model"))
+    found = align.align(table(spark, sf_dir, "documents"), a, b, digest=True)
+    return found.withColumnRenamed("groups", "groups_sha256")
+
+
 ORACLES["op1_mixing"] = mixing.mix_sql()
 
 ORACLES["op3_exact_topk"] = """
