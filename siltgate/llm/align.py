@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from siltgate.llm.common import shuffle_width, stored
+from siltgate.llm.common import shuffle_width, squeezed, stored, unsqueezed
 
 #: Documents of about so many bytes share a dictionary of pairs; so many dictionaries meet in one task at most.
 CHUNK_BYTES, CHUNKS_MET = 4_000_000, 256
@@ -169,19 +169,6 @@ class Alignment:
         self.pairs = (array_a[link_a] << 32) | array_b[link_b]
 
 
-def _squeezed(x: np.ndarray) -> bytes:
-    """An array of small or rising numbers as bytes: differences in their narrowest form, compressed."""
-    steps = np.diff(x, prepend=x.dtype.type(0))
-    kind = np.min_scalar_type(int(steps.max(initial=0))) if steps.min(initial=0) >= 0 else np.dtype("int64")
-    data = steps.astype(kind.newbyteorder("<")).tobytes()
-    return kind.str[1:].encode() + len(data).to_bytes(8, "little") + pa.compress(data, "zstd", asbytes=True)
-
-
-def _array(data: bytes) -> np.ndarray:
-    raw = pa.decompress(data[10:], int.from_bytes(data[2:10], "little"), "zstd", asbytes=True)
-    return np.cumsum(np.frombuffer(raw, dtype="<" + data[:2].decode()), dtype=np.int64)
-
-
 _COUNTS = ("n_a", "n_b", "n_groups", "n_links")
 _CHUNK = ("chunk long, keys array<{key}>, n_a array<long>, n_b array<long>, n_groups array<long>, n_links array<long>, "
           "groups array<string>, {sizes}")
@@ -215,7 +202,7 @@ def align_chunks(docs: DataFrame, a: str, b: str, key: str = "doc_id", text: str
             return pa.RecordBatch.from_arrays(
                 [pa.array([task | (number - 1)], pa.int64()), pa.array([keys], pa.list_(key_type)),
                  *(pa.array([rows[c]], pa.list_(pa.int64())) for c in _COUNTS), pa.array([rows["groups"]], pa.list_(pa.string())),
-                 *(pa.array([_squeezed(x)], pa.binary()) for x in parts)],
+                 *(pa.array([squeezed(x)], pa.binary()) for x in parts)],
                 ["chunk", "keys", *_COUNTS, "groups", *_PARTS])
 
         for batch in batches:
@@ -253,14 +240,14 @@ def _asked(chunks: DataFrame, buckets: int, salts: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for chunk, pairs, docs_of in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                pairs, docs_of = _array(pairs), _array(docs_of)
+                pairs, docs_of = unsqueezed(pairs), unsqueezed(docs_of)
                 to = _bucket(pairs, buckets)
                 rows = [(k, to == k) for k in np.unique(to).tolist()]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([chunk] * len(rows), pa.int64()), pa.array([k for k, _ in rows], pa.int32()),
                      pa.array([(chunk ^ chunk >> 32) % salts] * len(rows), pa.int32()),
-                     pa.array([_squeezed(pairs[m]) for _, m in rows], pa.binary()),
-                     pa.array([_squeezed(docs_of[m]) for _, m in rows], pa.binary())],
+                     pa.array([squeezed(pairs[m]) for _, m in rows], pa.binary()),
+                     pa.array([squeezed(docs_of[m]) for _, m in rows], pa.binary())],
                     ["chunk", "bucket", "salt", "pairs", "docs_of"])
 
     return chunks.select("chunk", "pairs", "docs_of").mapInArrow(run, _ASKED)
@@ -268,25 +255,25 @@ def _asked(chunks: DataFrame, buckets: int, salts: int) -> DataFrame:
 
 def _add(group: pa.Table) -> pa.Table:
     """Documents per pair over the rows of a group; best: whether a pair's count is the highest of its first id."""
-    every = np.concatenate([_array(x) for x in group["pairs"].to_pylist()])
+    every = np.concatenate([unsqueezed(x) for x in group["pairs"].to_pylist()])
     pairs, at = np.unique(every, return_inverse=True)
     total = np.zeros(len(pairs), dtype=np.int64)
-    np.add.at(total, at, np.concatenate([_array(x) for x in group["docs_of"].to_pylist()]))
+    np.add.at(total, at, np.concatenate([unsqueezed(x) for x in group["docs_of"].to_pylist()]))
     first = pairs >> 32
     starts = np.flatnonzero(np.diff(first, prepend=-1))
     highest = np.repeat(np.maximum.reduceat(total, starts), np.diff(starts, append=len(first)))
     best = (total == highest).astype(np.int64)
-    return pa.table({"bucket": group["bucket"][:1], "salt": group["salt"][:1], "pairs": pa.array([_squeezed(pairs)]),
-                     "docs_of": pa.array([_squeezed(total)]), "best": pa.array([_squeezed(best)])})
+    return pa.table({"bucket": group["bucket"][:1], "salt": group["salt"][:1], "pairs": pa.array([squeezed(pairs)]),
+                     "docs_of": pa.array([squeezed(total)]), "best": pa.array([squeezed(best)])})
 
 
 def _answer(asked: pa.Table, known: pa.Table) -> pa.Table:
     """Per asking chunk the corpus-wide count and mark of its pairs in this bucket."""
-    pairs, docs_of, best = (_array(known[c][0].as_py()) for c in ("pairs", "docs_of", "best"))
-    found = [np.searchsorted(pairs, _array(x)) for x in asked["pairs"].to_pylist()]
+    pairs, docs_of, best = (unsqueezed(known[c][0].as_py()) for c in ("pairs", "docs_of", "best"))
+    found = [np.searchsorted(pairs, unsqueezed(x)) for x in asked["pairs"].to_pylist()]
     return pa.table({"chunk": asked["chunk"], "bucket": asked["bucket"],
-                     "docs_of": pa.array([_squeezed(docs_of[at]) for at in found], pa.binary()),
-                     "best": pa.array([_squeezed(best[at]) for at in found], pa.binary())})
+                     "docs_of": pa.array([squeezed(docs_of[at]) for at in found], pa.binary()),
+                     "best": pa.array([squeezed(best[at]) for at in found], pa.binary())})
 
 
 def align(docs: DataFrame, a: str, b: str, key: str = "doc_id", text: str = "text", digest: bool = False) -> DataFrame:
@@ -310,11 +297,11 @@ def align(docs: DataFrame, a: str, b: str, key: str = "doc_id", text: str = "tex
 
     def finish(chunk: pa.Table, told: pa.Table) -> pa.Table:
         keys, groups = (chunk[c].combine_chunks().flatten() for c in ("keys", "groups"))
-        pair_of, times, of_doc, pairs = (_array(chunk[c][0].as_py()) for c in _PARTS[:-1])
+        pair_of, times, of_doc, pairs = (unsqueezed(chunk[c][0].as_py()) for c in _PARTS[:-1])
         count, best = np.zeros(len(pairs), np.int64), np.zeros(len(pairs), np.int64)
         to = _bucket(pairs, buckets)
         for k, x, y in zip(*(told[c].to_pylist() for c in ("bucket", "docs_of", "best")), strict=True):
-            count[to == k], best[to == k] = _array(x), _array(y)
+            count[to == k], best[to == k] = unsqueezed(x), unsqueezed(y)
         doc = np.repeat(np.arange(len(of_doc)), of_doc)
         sums = []
         for each in (best, count):

@@ -6,6 +6,8 @@ import tempfile
 import uuid
 from functools import cache
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -29,3 +31,16 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 
 def shuffle_width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def squeezed(x: np.ndarray) -> bytes:
+    """An array of small or rising numbers as bytes: differences in their narrowest form, compressed."""
+    steps = np.diff(x, prepend=x.dtype.type(0))
+    kind = np.min_scalar_type(int(steps.max(initial=0))) if steps.min(initial=0) >= 0 else np.dtype("int64")
+    data = steps.astype(kind.newbyteorder("<")).tobytes()
+    return kind.str[1:].encode() + len(data).to_bytes(8, "little") + pa.compress(data, "zstd", asbytes=True)
+
+
+def unsqueezed(data: bytes) -> np.ndarray:
+    raw = pa.decompress(data[10:], int.from_bytes(data[2:10], "little"), "zstd", asbytes=True)
+    return np.cumsum(np.frombuffer(raw, dtype="<" + data[:2].decode()), dtype=np.int64)

@@ -114,6 +114,13 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.count_tokens(table(spark, sf_dir, "documents"), word_bpe())
 
 
+@query
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from siltgate.llm import lexical
+
+    return lexical.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 @query
 def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
@@ -139,6 +146,23 @@ SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10
 """
 
 _ALPHABET = ("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+_TERMS = f"regexp_extract_all(translate(text, '{_ALPHABET[0]}', '{_ALPHABET[1]}'), " + (
+    "'[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')")
+ORACLES["op11_lexical_search"] = f"""
+WITH t AS (SELECT doc_id, unnest({_TERMS}) AS term FROM documents WHERE text IS NOT NULL),
+q AS (SELECT item_id, term, count(*) AS times FROM (SELECT item_id, unnest({_TERMS}) AS term FROM benchmark) GROUP BY ALL),
+n AS (SELECT doc_id, count(*) AS n FROM t GROUP BY ALL),
+s AS (SELECT count(*)::BIGINT AS docs, sum(n)::BIGINT AS terms FROM n),
+m AS (SELECT doc_id, 100 - 25 + ((25 * n * docs) // terms) AS m FROM n, s),
+f AS (SELECT doc_id, term, count(*) AS tf FROM t WHERE term IN (SELECT term FROM q) GROUP BY ALL),
+w AS (SELECT term, floor(1000 * ln((2 * docs + 2) / (2 * df + 1)))::BIGINT AS w
+  FROM (SELECT term, count(*) AS df FROM f GROUP BY ALL), s),
+p AS (SELECT item_id, doc_id, sum(times * w * ((1000000000 * tf) // (1000 * tf + 12 * m)))::BIGINT AS score
+  FROM q JOIN w USING (term) JOIN f USING (term) JOIN m USING (doc_id) GROUP BY ALL),
+r AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INTEGER AS rank FROM p WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM r WHERE rank <= 20
+"""
+
 _LONGEST_FIRST = sorted(URL_RULES, key=lambda r: (-len(r[0] + r[1]), -len(r[0]), r[2]))
 _FITS = [f"WHEN (host = '{h}' OR ends_with(host, '.{h}')) AND starts_with(path, '{p}') THEN" for h, p, _ in _LONGEST_FIRST]
 ORACLES["op8_url_filters"] = f"""
