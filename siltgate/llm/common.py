@@ -34,13 +34,20 @@ def shuffle_width(spark: SparkSession) -> int:
 
 
 def squeezed(x: np.ndarray) -> bytes:
-    """An array of small or rising numbers as bytes: differences in their narrowest form, compressed."""
-    steps = np.diff(x, prepend=x.dtype.type(0))
-    kind = np.min_scalar_type(int(steps.max(initial=0))) if steps.min(initial=0) >= 0 else np.dtype("int64")
-    data = steps.astype(kind.newbyteorder("<")).tobytes()
-    return kind.str[1:].encode() + len(data).to_bytes(8, "little") + pa.compress(data, "zstd", asbytes=True)
+    """Integers as bytes: rising ones as steps, others above their least, in the narrowest form and compressed."""
+    steps = np.diff(x, prepend=x[:1])
+    rising = not len(x) or bool(steps.min() >= 0)
+    base = int(x[0] if rising else x.min()) if len(x) else 0
+    values = steps if rising else x - base
+    most = int(values.max(initial=0))
+    kind = np.min_scalar_type(most) if values.min(initial=0) >= 0 else np.dtype("int64")
+    data = values.astype(kind.newbyteorder("<")).tobytes()
+    head = kind.str[1:].encode() + (b"+" if rising else b"=") + base.to_bytes(8, "little", signed=True)
+    return head + len(data).to_bytes(8, "little") + pa.compress(data, "zstd", asbytes=True)
 
 
 def unsqueezed(data: bytes) -> np.ndarray:
-    raw = pa.decompress(data[10:], int.from_bytes(data[2:10], "little"), "zstd", asbytes=True)
-    return np.cumsum(np.frombuffer(raw, dtype="<" + data[:2].decode()), dtype=np.int64)
+    raw = pa.decompress(data[19:], int.from_bytes(data[11:19], "little"), "zstd", asbytes=True)
+    values = np.frombuffer(raw, dtype="<" + data[:2].decode()).astype(np.int64)
+    base = int.from_bytes(data[3:11], "little", signed=True)
+    return (np.cumsum(values, dtype=np.int64) if data[2:3] == b"+" else values) + base
