@@ -78,11 +78,23 @@ SALTS = 32
 @lru_cache(maxsize=4096)
 def _key(name: str, attributes: str) -> str:
     """The tag as the wrapper sees it: name, classes, id and role, digits alike."""
-    found = {m[1].lower(): next(x for x in m.groups()[1:] if x is not None) for m in _ATTRIBUTE.finditer(attributes)}
-    classes = " ".join(sorted(found.get("class", "").lower().split()))
-    marks = "".join(f"{sign}{value}" for sign, value in ((".", classes), ("#", found.get("id", "").lower()),
-                                                        ("@", found.get("role", "").lower())) if value)
-    return name + _DIGITS.sub("0", marks)[:MAX_MARKS]
+    found = {m[1].lower(): next(x for x in m.groups()[1:] if x is not None).lower().replace("@", "_")
+             for m in _ATTRIBUTE.finditer(attributes)}
+    classes, own, role = sorted(found.get("class", "").split()), found.get("id", ""), found.get("role", "")
+    marks = "".join(f"{sign}{value}" for sign, value in ((".", " ".join(classes)), ("#", own)) if value)
+    role = f"@{role}" if role and len(role) < MAX_MARKS else ""
+    if len(marks) + len(role) > MAX_MARKS:
+        # What the names say is judged on all of them; the wrapper's key holds the verdict and those that fit.
+        marks = ("", ".x-ad", ".ad")[_names_kind([*classes, *re.split("[.# ]", own)])]
+        for mark in (*(f".{c}" for c in classes), f"#{own}"):
+            if len(marks) + len(mark) + len(role) <= MAX_MARKS and not _names_kind(re.split("[.# ]", mark)):
+                marks += mark
+    return name + _DIGITS.sub("0", marks + role)
+
+
+def _names_kind(names: list[str]) -> int:
+    """2: one is a name of things around articles; 1: one has such a name as a part; 0."""
+    return 2 if any(map(_WHOLE_NAME.fullmatch, names)) else 1 if any(map(_PART_NAME.search, names)) else 0
 
 
 @lru_cache(maxsize=4096)
@@ -93,8 +105,7 @@ def _unwanted(key: str) -> int:
         return 3
     if name in ("html", "body") or _is_main(key):
         return 0
-    names = re.split(r"[.# ]", marks.partition("@")[0])
-    return 2 if any(map(_WHOLE_NAME.fullmatch, names)) else 1 if any(map(_PART_NAME.search, names)) else 0
+    return _names_kind(re.split(r"[.# ]", marks.partition("@")[0]))
 
 
 def _is_main(key: str) -> bool:
@@ -122,12 +133,12 @@ def walk(page: str) -> Iterator[tuple[str, str | None, bool]]:
     Ends that HTML leaves out are put in; comments and the content of scripts and styles are left out.
     """
     stack: list[str] = []
-    links, at = 0, 0
+    inside: Counter[str] = Counter()
+    at = 0
 
     def pop() -> tuple[str, None, bool]:
-        nonlocal links
         name = stack.pop()
-        links -= name == "a"
+        inside[name] -= 1
         return "close", None, name in INLINE
 
     while match := _TOKEN.match(page, at):
@@ -136,16 +147,16 @@ def walk(page: str) -> Iterator[tuple[str, str | None, bool]]:
         if name is None:
             token = match[0]
             if token[0] != "<" or token == "<":
-                yield "text", token, links > 0
+                yield "text", token, inside["a"] > 0
             continue
         name = name.lower()
         if match[1]:
-            if name in stack:
+            if inside[name]:
                 while stack[-1] != name:
                     yield pop()
                 yield pop()
             continue
-        if name in CLOSES_P and "p" in stack:
+        if name in CLOSES_P and inside["p"]:
             ended, barrier = ("p",), ("button", "table", "li", "div", "article", "section", "td")
         else:
             ended, barrier = ENDS.get(name, ((), ()))
@@ -162,7 +173,7 @@ def walk(page: str) -> Iterator[tuple[str, str | None, bool]]:
         if match[3].rstrip().endswith("/") and name not in INLINE and name not in CLOSES_P and name not in RAW:
             continue
         stack.append(name)
-        links += name == "a"
+        inside[name] += 1
         yield "open", _key(name, match[3]), name in INLINE
         if name in RAW:
             end = re.compile(f"</{re.escape(name)}(?=[\\s/>])", re.I).search(page, at)
