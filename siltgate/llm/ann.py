@@ -35,7 +35,7 @@ class Model:
     def __init__(self, ids: np.ndarray, sample: np.ndarray, norm: float, lists: int, k: int):
         rng = np.random.default_rng(SEED)
         self.norm = norm
-        dim = sample.shape[1] + 1
+        dim = sample.shape[1]
         self.rotation = np.linalg.qr(rng.standard_normal((dim, dim)))[0]
         points = self.lifted(sample)
         lists = max(1, min(lists, len(points)))
@@ -72,13 +72,13 @@ class Model:
         return best_rows(v, q[other], self.seeds, self.seed_ids, r[other], k)
 
     def limits(self, ids: np.ndarray, v: np.ndarray, k: int) -> np.ndarray:
-        """An upper bound of each query's k-th smallest distance, from the seeds."""
+        """From the seeds: less than this above a row's own square is its distance, if it may be among the k nearest."""
         if len(self.seeds) <= k:
             return np.full(len(v), np.inf)
         score = v @ self.seeds.T
         score[ids[:, None] == self.seed_ids[None, :]] = -np.inf
         kth = np.partition(score, len(self.seeds) - k, axis=1)[:, len(self.seeds) - k]
-        return (v ** 2).sum(axis=1) + self.norm ** 2 - 2 * kth + 1e-9
+        return (v ** 2).sum(axis=1) - 2 * kth
 
     def lifted(self, v: np.ndarray) -> np.ndarray:
         """Rows with the component that gives all of them the same norm."""
@@ -123,21 +123,25 @@ def scan_list(model: Model | None, queries: np.ndarray, query_ids: np.ndarray, l
     """Query index, row id and exact inner product of each query's k nearest rows found in this list."""
     stays = ids[None, :] != query_ids[:, None]
     if model is not None and len(ids):
-        points, turned = model.lifted(rows) @ model.rotation, np.column_stack([queries, np.zeros(len(queries))]) @ model.rotation
+        # The lifted component is the same for all of a row's queries: it moves the row's limit and stays out of the test.
+        points, turned, square = rows @ model.rotation, queries @ model.rotation, (rows ** 2).sum(axis=1)
         dim, first = points.shape[1], slice(0, COLUMNS)
         distance = ((turned[:, first] ** 2).sum(axis=1)[:, None] + (points[:, first] ** 2).sum(axis=1)[None, :]
                     - 2 * turned[:, first] @ points[:, first].T)
         stop = min(COLUMNS, dim)
-        stays &= distance * (dim / stop) <= (limits * (1 + WIDTH / np.sqrt(stop)) ** 2)[:, None]
+        width = (1 + WIDTH / np.sqrt(stop)) ** 2 if stop < dim else 1 + 1e-9
+        slack = 1e-9 * (1 + square[None, :] + (queries ** 2).sum(axis=1)[:, None])
+        limit = limits[:, None] + square[None, :] + slack
+        stays &= distance * (dim / stop) <= limit * width
         q, r = np.nonzero(stays)
-        distance = distance[q, r]
+        distance, limit = distance[q, r], limit[q, r]
         while stop < dim and len(q):
             block = slice(stop, stop + COLUMNS)
             distance += ((points[r, block] - turned[q, block]) ** 2).sum(axis=1)
             stop = min(stop + COLUMNS, dim)
             width = (1 + WIDTH / np.sqrt(stop)) ** 2 if stop < dim else 1 + 1e-9
-            left = distance * (dim / stop) <= limits[q] * width + 1e-9
-            q, r, distance = q[left], r[left], distance[left]
+            left = distance * (dim / stop) <= limit * width
+            q, r, distance, limit = q[left], r[left], distance[left], limit[left]
     else:
         q, r = np.nonzero(stays)
     return best_rows(queries, q, rows, ids, r, k)
