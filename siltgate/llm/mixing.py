@@ -23,6 +23,8 @@ STEPS = 4_096
 TARGET_ENTROPY = 0.97
 MAX_REPEATS = 4.0
 BLOCK_DOCS = 1_024
+#: A budget that misses a whole number by no more than this is that number: sums of doubles depend on their order.
+ROUNDING = 1e-6
 
 
 def word_count(text: Column) -> Column:
@@ -34,8 +36,10 @@ def draw(*parts: Column) -> Column:
     return F.substring(F.md5(F.concat_ws("|", *parts)), 1, 15)
 
 
-def block_of(doc: Column, blocks: Column) -> Column:
-    return F.conv(F.substring(F.md5(doc.cast("string")), 25, 8), 16, 10).cast("long") % blocks
+def block_draw(doc: Column, tie: Column) -> Column:
+    """32 bits of a digest of key and text: its remainder is a row's block. A null key is a word of its own."""
+    whole = F.concat_ws("|", F.coalesce(doc.cast("string"), F.lit("null")), F.coalesce(tie, F.lit("")))
+    return F.conv(F.substring(F.md5(whole), 25, 8), 16, 10).cast("long")
 
 
 def bisect(holds: Callable[[int], bool], low: int, high: int) -> int:
@@ -82,8 +86,9 @@ def mix(docs: DataFrame, key: str = "doc_id", source: str = "source", text: str
     """
     # The tie-break goes before the joins, so that they need not carry texts that nobody asks for.
     counted = docs.withColumn("mix_tokens", word_count(F.col(text))).withColumn("mix_tie", F.md5(text))
+    counted = counted.withColumn("mix_hash", block_draw(F.col(key), F.col("mix_tie")))
     name = F.struct(F.col(source)).alias("mix_source")  # a struct compares nulls as equal
-    slim = stored(counted.select(name, F.col(key).alias("mix_key"), "mix_tokens"), "mix-tokens")
+    slim = stored(counted.select(name, "mix_hash", "mix_tokens"), "mix-tokens")
     totals = stored(slim.groupBy("mix_source").agg(F.sum("mix_tokens").alias("tokens"), F.count("*").alias("docs")),
                     "mix-totals")
     if budget is None:
@@ -93,14 +98,14 @@ def mix(docs: DataFrame, key: str = "doc_id", source: str = "source", text: str
     raised = F.pow(share, F.lit(step / STEPS))
     whole = totals.where("tokens > 0").agg(F.sum(raised)).head()[0] or 1.0
     plan = totals.where("tokens > 0").withColumn(
-        "grant", F.floor(F.lit(float(budget)) * raised / F.lit(whole)).cast("long")).select(
+        "grant", F.floor(F.lit(float(budget)) * raised / F.lit(whole) + ROUNDING).cast("long")).select(
         "mix_source", F.ceil(F.col("docs") / block_docs).alias("blocks"),
         F.expr("`grant` div tokens").alias("epochs"), (F.col("grant") % F.col("tokens")).alias("rest"))
     plan = stored(plan, "mix-plan")
 
     # The partial epoch: whole blocks in permuted order up to the one in which the budget ends.
     epoch = F.col("epochs").cast("string")
-    blocks = slim.join(plan, "mix_source").withColumn("mix_block", block_of(F.col("mix_key"), F.col("blocks")))
+    blocks = slim.join(plan, "mix_source").withColumn("mix_block", F.col("mix_hash") % F.col("blocks"))
     blocks = blocks.groupBy("mix_source", "mix_block", "epochs", "rest").agg(F.sum("mix_tokens").alias("tokens"))
     order = Window.partitionBy("mix_source").orderBy(
         draw(F.lit("block"), epoch, F.col("mix_block").cast("string")), "mix_block")
@@ -110,7 +115,7 @@ def mix(docs: DataFrame, key: str = "doc_id", source: str = "source", text: str
     last = last.select("mix_source", "mix_block", F.col("left").alias("mix_left"), F.lit(True).alias("mix_last"))
 
     placed = counted.withColumn("mix_source", name).join(plan, "mix_source")
-    placed = placed.withColumn("mix_block", block_of(F.col(key), F.col("blocks"))).join(
+    placed = placed.withColumn("mix_block", F.col("mix_hash") % F.col("blocks")).join(
         last, ["mix_source", "mix_block"], "left")
     columns = [*docs.columns, "mix_tokens", "mix_epoch", "mix_block", "mix_draw"]
 
@@ -142,10 +147,11 @@ p AS (SELECT s, z, ln(z) - rl / z AS h, most * budget / z AS rep, k FROM (
     SELECT s, tokens, pow(tokens / budget, s / {STEPS}.0) AS r FROM t, g, range(0, {STEPS + 1}) AS x(s)) GROUP BY s), g),
 e AS (SELECT coalesce(max(s), 0) AS s FROM p WHERE h >= {entropy} * ln(k)),
 c AS (SELECT coalesce(min(p.s), {STEPS}) AS s FROM p, e WHERE p.s >= e.s AND rep <= {repeats}),
-w AS (SELECT source, tokens, docs, floor(budget * pow(tokens / budget, p.s / {STEPS}.0) / z)::BIGINT AS gr
+w AS (SELECT source, tokens, docs, floor(budget * pow(tokens / budget, p.s / {STEPS}.0) / z + {ROUNDING})::BIGINT AS gr
   FROM t, g, p WHERE p.s = (SELECT s FROM c)),
 pl AS (SELECT source, (docs + {block_docs - 1}) // {block_docs} AS blocks, gr // tokens AS epochs, gr % tokens AS rest FROM w),
-b AS (SELECT d.*, epochs, rest, ('0x' || substr(md5(doc_id::VARCHAR), 25, 8))::BIGINT % blocks AS mix_block
+b AS (SELECT d.*, epochs, rest, ('0x' || substr(md5(coalesce(doc_id::VARCHAR, 'null') || '|' || coalesce(h, '')), 25, 8))::BIGINT
+    % blocks AS mix_block
   FROM d JOIN pl ON d.source IS NOT DISTINCT FROM pl.source),
 bt AS (SELECT source, mix_block, epochs, rest, sum(mix_tokens) AS tokens FROM b GROUP BY ALL),
 bo AS (SELECT source, mix_block, rest, tokens, sum(tokens) OVER (PARTITION BY source ORDER BY
