@@ -111,7 +111,8 @@ def fit(labelled: DataFrame, key: str = "doc_id", text: str = "text", label: str
     # A thin draw first, so that the exact choice below sees a bounded number of rows of each language.
     order = F.xxhash64("id", "text")
     per_lang = known.groupBy("lang").agg((F.lit(THIN * rows) / F.count("*")).alias("part"))
-    drawn = known.join(per_lang, "lang").where(F.pmod(order, F.lit(1 << 30)) < F.col("part") * (1 << 30))
+    # One row per language, each a class of the model on the driver anyway: texts stay where they are.
+    drawn = known.join(F.broadcast(per_lang), "lang").where(F.pmod(order, F.lit(1 << 30)) < F.col("part") * (1 << 30))
     first = Window.partitionBy("lang").orderBy(order, "id", "text")
     sample = drawn.withColumn("n", F.row_number().over(first)).where(F.col("n") <= rows).select("id", "lang", "text")
     table = sample.mapInArrow(_examples, "id string, part int, lang string, bucket array<int>, n array<int>").toArrow()
