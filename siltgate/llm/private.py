@@ -214,10 +214,11 @@ def mask(text: Column, spans: Column) -> Column:
 
 
 def mask_private(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """docs with all found spans masked in the text; a null text stays null."""
-    found = find_private(docs, key, text).where(F.size("spans") > 0).select(
-        F.col(key).alias("mask_key"), F.col("text_hash").alias("mask_hash"), F.col("spans").alias("mask_spans"))
-    found = found.dropDuplicates(["mask_key", "mask_hash"])
-    at = F.col(key).eqNullSafe(F.col("mask_key")) & (F.xxhash64(text) == F.col("mask_hash"))
-    masked = F.when(F.col("mask_spans").isNull(), F.col(text)).otherwise(mask(F.col(text), F.col("mask_spans")))
-    return docs.join(found, at, "left").withColumn(text, masked).select(*docs.columns)
+    """docs with all found spans masked in the text; a null text stays null; columns of any name stay as they are."""
+    found = find_private(docs, key, text).where(F.size("spans") > 0).select(F.col(key).alias("key"), "text_hash", "spans")
+    found = found.dropDuplicates(["key", "text_hash"]).alias("m")
+    own = F.col(f"d.{text}")
+    at = F.col(f"d.{key}").eqNullSafe(F.col("m.key")) & (F.xxhash64(own) == F.col("m.text_hash"))
+    masked = F.when(F.col("m.spans").isNull(), own).otherwise(mask(own, F.col("m.spans")))
+    return docs.alias("d").join(found, at, "left").select(
+        *(masked.alias(c) if c == text else F.col(f"d.{c}") for c in docs.columns))
