@@ -6,7 +6,7 @@ from siltgate.catalog.registry import CTES, query, texts
 from siltgate.catalog.silver_gold import _COLUMNS as COLUMNS
 from siltgate.functions import columns as C
 from siltgate.operators import dedup, heal, profile, route
-from siltgate.plans import silver
+from siltgate.plans import medallion, silver
 from siltgate.spec import (
     CUSTOMERS, ORDER_STATUSES, ORDERS, PAYMENT_TYPES, PAYMENTS, SPECS, STATES, between, in_set,
     not_null,
@@ -295,22 +295,29 @@ _NEEDS = {
 }
 
 
+#: Which of a key's rows is the newest: the stated columns, then all others by value.
+PREFER = {
+    "customers": (("load_seq", "desc"),), "orders": (("load_seq", "desc"),), "products": (),
+    "payments": (("payment_value", "desc"), ("payment_type", "asc"), ("payment_installments", "asc")),
+}
+
+
 def _events_sql(dataset, by):
-    key, cols = SPECS[dataset].record_id, ", ".join(SPECS[dataset].key)
+    cols, stated = SPECS[dataset].key, dict(PREFER[dataset])
+    order = [f"{c} {'DESC' if d == 'desc' else 'ASC'} NULLS LAST" for c, d in stated.items()]
+    order += [f"{c} ASC NULLS LAST" for c in COLUMNS[dataset] if c not in stated and c not in cols]
     lead, group = (f"{by}, ", f" GROUP BY {by}") if by else ("", "")
-    rows = _NEEDS[dataset] + [(key, "null key", "quarantined", f"{key} IS NULL")]
-    parts = [
-        f"SELECT {lead}'BRONZE' AS layer, '{dataset}' AS dataset, '{c}' AS column_name, '{issue}' AS issue, "
-        f"'{fix}' AS fix, COUNT(*) FILTER ({cond}) AS healed_rows FROM incoming_{dataset}{group}"
-        for c, issue, fix, cond in rows]
-    parts.append(
-        f"SELECT {lead}'BRONZE', '{dataset}', '{'+'.join(SPECS[dataset].key)}', 'duplicate rows', 'kept last occurrence', "
-        f"CAST(COALESCE(SUM(k - 1), 0) AS BIGINT) AS healed_rows FROM (SELECT {lead}COUNT(*) AS k FROM incoming_{dataset} "
-        f"WHERE {key} IS NOT NULL GROUP BY {lead}{cols}){group}")
+    keyed = " AND ".join(f"{c} IS NOT NULL" for c in cols)
+    newest = (f"(SELECT *, {keyed} AS keyed, CASE WHEN {keyed} THEN ROW_NUMBER() OVER (PARTITION BY {lead}{', '.join(cols)} "
+              f"ORDER BY {', '.join(order)}) END AS rn FROM incoming_{dataset})")
+    rows = [("BRONZE", c, issue, fix, f"rn = 1 AND ({cond})") for c, issue, fix, cond in _NEEDS[dataset]]
+    rows += [("BRONZE", "+".join(cols), "null key", "quarantined", "NOT keyed"),
+             ("BRONZE", "+".join(cols), "duplicate rows", "kept last occurrence", "rn > 1")]
     if dataset == "orders":
-        parts.append(
-            f"SELECT {lead}'SILVER', 'orders', 'customer_id', 'nulls after first pass', 'filled UNKNOWN/0', "
-            f"COUNT(*) FILTER (customer_id IS NULL AND order_id IS NOT NULL) AS healed_rows FROM incoming_orders{group}")
+        rows.append(("SILVER", "customer_id", "nulls after first pass", "filled UNKNOWN/0", "rn = 1 AND customer_id IS NULL"))
+    parts = [f"SELECT {lead}'{layer}' AS layer, '{dataset}' AS dataset, '{c}' AS column_name, '{issue}' AS issue, "
+             f"'{fix}' AS fix, COUNT(*) FILTER ({cond}) AS healed_rows FROM {newest}{group}"
+             for layer, c, issue, fix, cond in rows]
     return " UNION ALL ".join(f"SELECT * FROM ({p}) WHERE healed_rows > 0" for p in parts)
 
 
@@ -319,12 +326,13 @@ CTES["batch_heal_log"] = " UNION ALL ".join(_events_sql(d, "batch_id") for d in
 
 
 def heal_log(t, by=()):
-    """All Bronze and Silver heal events of the four datasets."""
+    """All Bronze and Silver heal events of the four datasets, repairs counted on the rows that deduplication keeps."""
     parts = []
     for d, s in SPECS.items():
-        df, steps = t.incoming(d), heal.bronze_steps(d)
-        parts.append(heal.all_events(df, steps, s.rules, dataset=d, keys=s.key, by=by))
-        parts.append(heal.duplicate_events(df, dataset=d, keys=s.key, by=by))
+        raw = t.incoming(d)
+        keys = [*by, *s.key]
+        latest = dedup.keep_one(raw.where(dedup.has_key(s.key)), keys, medallion.total_order(raw, keys, PREFER[d]))
+        parts.append(heal.batch_events(raw, latest, heal.bronze_steps(d), s.rules, dataset=d, keys=s.key, by=by))
     return profile.union_all(parts)
 
 

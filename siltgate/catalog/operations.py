@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from siltgate.catalog.healing import (
-    ABS_SQL, HEALED, NULL_RULED, TYPE_SQL, _NEEDS, heal_log, pay_order, replaced,
+    ABS_SQL, HEALED, NULL_RULED, PREFER, TYPE_SQL, _NEEDS, heal_log, pay_order, replaced,
 )
 from siltgate.catalog.quality import all_drift
 from siltgate.catalog.registry import CTES, query
@@ -15,10 +15,6 @@ from siltgate.operators.dedup import has_key, keep_one
 from siltgate.plans import gold, medallion, silver
 from siltgate.spec import SPECS
 
-PREFER = {
-    "customers": (("load_seq", "desc"),), "orders": (("load_seq", "desc"),), "products": (),
-    "payments": (("payment_value", "desc"), ("payment_type", "asc"), ("payment_installments", "asc")),
-}
 PAYS = ["order_id", "payment_sequential"]
 
 
@@ -122,14 +118,8 @@ CTES["layer_rows"] = " UNION ALL ".join(
 
 
 def layer_rows(t):
-    """Silver has one row per usable key, so its count needs the keys only."""
-    frames = {}
-    for d, s in SPECS.items():
-        raw = t.raw(d)
-        frames[("bronze", d)] = raw
-        frames[("silver", d)] = raw.where(has_key(s.key)).select(*s.key).distinct()
-        frames[("quarantine", d)] = raw.where(~has_key(s.key))
-    return store.layer_counts(frames)
+    """Silver has one row per usable key: one grouping of the keys gives all three layers."""
+    return profile.union_all([store.keyed_layers(t.raw(d), d, s.key) for d, s in SPECS.items()])
 
 
 @query("layer_counts", "SELECT * FROM layer_rows")
@@ -270,12 +260,12 @@ held AS (SELECT dataset, MAX(n_rows) FILTER (layer = 'bronze') AS b, MAX(n_rows)
     f"SELECT 'run' AS run_id, dataset, '{a}' AS source_layer, '{b}' AS target_layer, {_LAYERS[a]} AS rows_in, {_LAYERS[b]} AS rows_out "
     "FROM held JOIN kpis USING (dataset)" for a, b in lineage.WRITES))
 def lineage_edges(t):
-    frames = {}
-    for d, s in SPECS.items():
-        keys = t.raw(d).where(has_key(s.key)).select(*s.key).distinct()
-        frames["masked", d] = mask.mask_table(keys, s.pii)
-        frames["gold", d] = gold.kpi_rows(d, silver.BUILDERS[d](t.raw(d)))
-    return lineage.table_edges(layer_rows(t).unionByName(store.layer_counts(frames)), "run")
+    """Masked holds what Silver holds, and Gold a KPI row per key of its dataset; neither is computed to be counted."""
+    rows = layer_rows(t)
+    masked = rows.where("layer = 'silver'").withColumn("layer", F.lit("masked"))
+    kpis = [(d, "gold", len(gold.KPI_KEYS[d])) for d in SPECS]
+    given = t.spark.createDataFrame(kpis, "dataset string, layer string, n_rows bigint")
+    return lineage.table_edges(rows.unionByName(masked).unionByName(given), "run")
 
 
 def _column_edges_sql(dataset):

@@ -150,18 +150,6 @@ def heal_events(df: DataFrame, steps: Sequence[HealStep], *, dataset: str, layer
     return counted.select(*by, F.inline(F.array(*events))).where(F.col("healed_rows") > 0)
 
 
-def duplicate_events(df: DataFrame, *, dataset: str, keys, layer="BRONZE", by=()) -> DataFrame:
-    """Rows beyond the first per key, per group; counted per key first, so skew folds early."""
-    from siltgate.operators.dedup import has_key
-
-    per_key = df.where(has_key(keys)).groupBy(*by, *keys).count()
-    extra = F.sum(F.col("count") - 1).alias("extra")
-    total = per_key.groupBy(*by).agg(extra) if by else per_key.agg(extra)
-    event = _event(layer, dataset, "+".join(keys), "duplicate rows", "kept last occurrence",
-                   F.coalesce(F.col("extra"), F.lit(0)))
-    return total.select(*by, F.inline(F.array(event))).where(F.col("healed_rows") > 0)
-
-
 # --- generic fills ---------------------------------------------------------
 
 
@@ -254,33 +242,45 @@ RULE_FIXES = {
 }
 
 
-def all_events(df: DataFrame, steps: Sequence[HealStep], rules: Sequence[Rule], *, dataset: str,
-               keys, by=()) -> DataFrame:
-    """First-pass and rule-driven events of a batch from one scan.
+def batch_events(raw: DataFrame, latest: DataFrame, steps: Sequence[HealStep], rules: Sequence[Rule], *, dataset: str,
+                 keys, by=()) -> DataFrame:
+    """All heal events of a batch: repairs are counted on ``latest``, the rows that survive deduplication.
 
-    Rule events look at the repaired value of the rows that keep a usable key,
-    exactly what :func:`heal_by_rules` would change.
+    A row that a newer version replaces is never repaired; it counts as a duplicate.  Rows without a usable key are
+    quarantined.  Rule events look at the repaired value, exactly what :func:`heal_by_rules` would change.  One
+    aggregation over the keys of ``raw``, one over ``latest``; ``by`` counts per group (for example per batch).
     """
     from siltgate.operators.dedup import has_key
 
-    steps = present(df, steps)
-    folded: dict[str, Column] = {}
+    steps = present(latest, steps)
+    repaired: dict[str, Column] = {}
     for s in steps:
-        folded[s.column] = s.value(folded.get(s.column, F.col(s.column)))
-    counters = [F.count_if(s.needs(F.col(s.column))).alias(f"h{i}") for i, s in enumerate(steps)]
-    events = [
-        _event("BRONZE", dataset, s.column, s.issue, s.fix, F.col(f"h{i}")) for i, s in enumerate(steps)
-    ]
-    counters.append(F.count_if(F.col(keys[0]).isNull()).alias("hk"))
-    events.append(_event("BRONZE", dataset, keys[0], "null key", "quarantined", F.col("hk")))
-    for i, rule in enumerate(r for r in rules if r.kind in RULE_FIXES and r.column in df.columns):
-        now = folded.get(rule.column, F.col(rule.column))
-        bad = ~C.is_in(now.cast("string"), rule.values) if rule.kind == IN_SET else failing(rule, now)
-        counters.append(F.count_if(has_key(keys) & bad).alias(f"r{i}"))
+        repaired[s.column] = s.value(repaired.get(s.column, F.col(s.column)))
+    counters = {f"h{i}": F.count_if(s.needs(F.col(s.column))) for i, s in enumerate(steps)}
+    events = [_event("BRONZE", dataset, s.column, s.issue, s.fix, F.col(f"h{i}")) for i, s in enumerate(steps)]
+    for i, rule in enumerate(r for r in rules if r.kind in RULE_FIXES and r.column in latest.columns):
+        now = repaired.get(rule.column, F.col(rule.column))
+        counters[f"r{i}"] = F.count_if(
+            ~C.is_in(now.cast("string"), rule.values) if rule.kind == IN_SET else failing(rule, now))
         issue, fix = RULE_FIXES[rule.kind]
         events.append(_event("SILVER", dataset, rule.column, issue, fix, F.col(f"r{i}")))
-    counted = df.groupBy(*by).agg(*counters) if by else df.agg(*counters)
-    return counted.select(*by, F.inline(F.array(*events))).where(F.col("healed_rows") > 0)
+    key = "+".join(keys)
+    events.append(_event("BRONZE", dataset, key, "null key", "quarantined", F.col("unkeyed")))
+    events.append(_event("BRONZE", dataset, key, "duplicate rows", "kept last occurrence", F.col("keyed") - F.col("kept")))
+    arrived = raw.groupBy(*by).agg(F.count_if(~has_key(keys)).alias("unkeyed"), F.count_if(has_key(keys)).alias("keyed"))
+    kept = latest.groupBy(*by).agg(F.count(F.lit(1)).alias("kept"), *[c.alias(n) for n, c in counters.items()])
+    # Both sides hold one row per group; a batch without any usable key has no kept rows.
+    both = arrived.join(kept, list(by), "left") if by else arrived.join(kept)
+    both = both.fillna(0, ["kept", *counters])
+    return both.select(*by, F.inline(F.array(*events))).where(F.col("healed_rows") > 0)
+
+
+def kpi_events(rows: DataFrame) -> DataFrame:
+    """The repairs of :func:`heal_kpi_rows` as heal events."""
+    return rows.where(F.col("kpi_issue").isNotNull()).select(
+        F.lit("GOLD").alias("layer"), "dataset", F.col("kpi_key").alias("column_name"), F.col("kpi_issue").alias("issue"),
+        F.when(F.col("kpi_issue") == "negative", "absolute value").otherwise("set to 0").alias("fix"),
+        F.lit(1).cast("bigint").alias("healed_rows"))
 
 
 def heal_from_checks(df: DataFrame, spec: DatasetSpec, failed: Sequence[Rule]) -> DataFrame:

@@ -155,6 +155,17 @@ def null_rate_pct(df: DataFrame) -> Column:
 # --- the long (dataset, key, value) form ------------------------------------
 
 
+#: The keys that each dataset's Gold has, whatever its rows.
+KPI_KEYS = {
+    "customers": ("total_customers", "unique_customers", "states_covered", "cities_covered", "null_rate_pct", "top_states",
+                  "top_cities"),
+    "orders": ("total_orders", "unique_customers", "delivered_pct", "canceled_pct", "null_rate_pct", "status_breakdown"),
+    "payments": ("total_payments", "total_revenue", "avg_payment_value", "max_payment_value", "min_payment_value",
+                 "avg_installments", "null_rate_pct", "payment_type_breakdown"),
+    "products": ("total_products", "unique_categories", "avg_weight_g", "null_rate_pct", "top_categories"),
+}
+
+
 def _num(c: Column) -> Column:
     """Two fixed decimals, so the text is the same whatever prints it."""
     return c.cast("decimal(30,2)").cast("string")

@@ -32,18 +32,20 @@ def total_order(df: DataFrame, keys, prefer=()):
 def refine(raw: DataFrame, spec: DatasetSpec, prefer=(), value_policy: str = "abs") -> BatchResult:
     """Raw rows to clean rows, quarantined rows and heal events.
 
-    Every raw row ends in exactly one place: Silver, quarantine (no usable key)
-    or the duplicate count.
+    Every raw row ends in exactly one place: Silver, quarantine (no usable key,
+    when it arrives or after the rules have repaired what they can) or the
+    duplicate count.
     """
     keyed = raw.where(has_key(spec.key))
     unkeyed = raw.where(~has_key(spec.key)).withColumn(route.REASON, F.lit(route.NULL_KEY))
     steps = heal.bronze_steps(spec.name, value_policy)
     latest = keep_one(keyed, list(spec.key), total_order(raw, spec.key, prefer))
     bronze = heal.apply_steps(latest, steps)
-    silver = heal.heal_by_rules(bronze, heal.unsettled(spec.rules, steps))
-    events = heal.all_events(raw, steps, spec.rules, dataset=spec.name, keys=spec.key).unionByName(
-        heal.duplicate_events(raw, dataset=spec.name, keys=spec.key))
-    return BatchResult(silver, unkeyed, events)
+    ruled = heal.heal_by_rules(bronze, heal.unsettled(spec.rules, steps))
+    # A repair may turn a key into no key (a custom step, a cast): those rows leave in a second stage.
+    lost = ruled.where(~has_key(spec.key)).withColumn(route.REASON, F.lit(route.NULL_KEY_AFTER_RULES))
+    events = heal.batch_events(raw, latest, steps, spec.rules, dataset=spec.name, keys=spec.key)
+    return BatchResult(ruled.where(has_key(spec.key)), unkeyed.unionByName(lost), events)
 
 
 def batch_history(incoming: DataFrame, spec: DatasetSpec, min_pass_pct: float = 95.0,

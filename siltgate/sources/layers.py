@@ -65,13 +65,18 @@ def stamps(spark: SparkSession, path: str) -> dict[int, int]:
 
 def write_table(df: DataFrame, path: str, mode: str = "overwrite", partition_by=()) -> int:
     """Write Parquet and return the row count seen by the same job (no second scan)."""
+    return write_observed(df, path, {}, mode, partition_by)["rows"]
+
+
+def write_observed(df: DataFrame, path: str, metrics: dict, mode: str = "overwrite", partition_by=()) -> dict[str, int]:
+    """Write Parquet; the same job counts ``rows`` and the named aggregates."""
     seen = Observation()
-    watched = df.observe(seen, F.count(F.lit(1)).alias("rows"))
+    watched = df.observe(seen, F.count(F.lit(1)).alias("rows"), *[c.alias(n) for n, c in metrics.items()])
     writer = watched.write.mode(mode)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
-    return seen.get["rows"]
+    return {k: v or 0 for k, v in seen.get.items()}
 
 
 def save_table(df: DataFrame, name: str, mode: str = "overwrite") -> None:

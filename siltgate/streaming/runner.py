@@ -1,7 +1,8 @@
 """Continuous Bronze -> Silver -> Gold with Structured Streaming.
 
-One query per dataset.  Every micro-batch is written under its own
-``batch_id`` folder, so a replay after a failure rewrites the same files.
+One query per dataset.  A micro-batch first keeps its raw rows under its own
+``batch_id``; all it makes of them is committed together, so a failed try
+leaves nothing behind and a replay takes the place of the whole batch.
 """
 
 from __future__ import annotations
@@ -14,9 +15,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from siltgate.operators import heal, ops
-from siltgate.operators.store import Store
+from siltgate.operators import drift, heal, lineage, mask, ops
+from siltgate.operators.store import Attempt, Store
 from siltgate.plans import gold, medallion
+from siltgate.plans.incremental import GoldState
 from siltgate.sources.layers import exists, stamps, write_table
 from siltgate.spec import BATCH_HISTORY_KEPT, DatasetSpec
 
@@ -32,6 +34,8 @@ class Job:
     store: Store
     prefer: tuple = ()
     compact_every: int | None = None
+    sweep_every: int | None = None
+    incremental: bool = False     # Gold from retractable state instead of all of Silver
     on_error: str = "record"      # or "raise" to stop the stream instead
     retries: int = 2              # further tries before a batch counts as failed
 
@@ -42,7 +46,8 @@ class Job:
         """The ``foreachBatch`` body: contain a bad batch, keep the stream alive."""
         spark = batch.sparkSession
         raw_path = self.store.layers.batch_path("raw", self.spec.name, batch_id)
-        bronze = write_table(batch, raw_path)
+        at = datetime.now(UTC).strftime("%Y-%m-%d %H:%M:%S")
+        bronze = write_table(batch.withColumn("ingested_at", F.lit(at).cast("timestamp_ntz")), raw_path)
         error = self._attempt(spark, raw_path, batch_id, bronze)
         if error is not None and self.on_error == "raise":
             raise error
@@ -71,9 +76,9 @@ class Job:
         """Run a batch, again if it fails; record what was really written either way."""
         started, error = datetime.now(UTC), None
         for attempt in range(1, self.retries + 2):
-            done = {"silver": 0, "quarantine": 0, "heals": 0}
+            done = {"bronze": bronze, "silver": 0, "quarantine": 0, "heals": 0}
             try:
-                self._refine(spark, raw_path, batch_id, done)
+                self._refine(spark, raw_path, batch_id, started, done)
                 error = None
                 break
             except Exception as err:
@@ -85,23 +90,54 @@ class Job:
             self._audit("history", batch_id))
         return error
 
-    def _refine(self, spark: SparkSession, raw_path: str, batch_id: int, done: dict[str, int]) -> None:
+    def _refine(self, spark: SparkSession, raw_path: str, batch_id: int, started: datetime, done: dict[str, int]) -> None:
+        """Every table of the batch in folders of this try, then one commit; nothing is visible before it."""
         # Read the stored batch, not the source: later steps share one durable input.
-        raw = spark.read.parquet(raw_path)
+        arrived = spark.read.parquet(raw_path)
+        raw = arrived.drop("ingested_at")
+        name, run_id = self.spec.name, f"{self.spec.name}-{batch_id}"
+        attempt = self.store.begin(spark, self.spec, batch_id)
         result = medallion.refine(raw, self.spec, self.prefer)
-        done["silver"] = self.store.put("silver", self.spec, batch_id, result.silver)
-        done["quarantine"] = self.store.put("quarantine", self.spec, batch_id, result.quarantine)
-        done["heals"] = write_table(result.events.coalesce(1), self._audit("heals", batch_id))
+        attempt.put("silver", result.silver)
+        attempt.put("quarantine", result.quarantine)
+        attempt.put("masked", mask.mask_table(attempt.written("silver"), self.spec.pii))
+        attempt.put("gold", self.recompute_gold(spark, attempt).coalesce(1))
+        heals = result.events.unionByName(heal.kpi_events(attempt.written("gold")))
+        attempt.put("audit", heals.coalesce(1), f"heals_{name}")
+        events = attempt.written("audit", f"heals_{name}")
+        changes = drift.drift_events(drift.declared_schema(raw, name), self.spec)
+        attempt.put("audit", drift.stamp(changes, run_id, started.strftime("%Y-%m-%d %H:%M:%S")).coalesce(1), f"drift_{name}")
+        # Rows as the writes have counted them: no table is read again for its lineage.
+        rows = {layer: attempt.entries[f"{layer}/{name}"].rows for layer in ("silver", "quarantine", "masked", "gold")}
+        arrived_rows = done["bronze"]
+        counts = spark.createDataFrame([(name, layer, n) for layer, n in {"bronze": arrived_rows, **rows}.items()],
+                                       "dataset string, layer string, n_rows bigint")
+        attempt.put("audit", lineage.table_edges(counts, run_id).coalesce(1), f"lineage_{name}")
+        totals = spark.createDataFrame([(name, rows["silver"], rows["quarantine"], arrived_rows)],
+                                       "dataset string, clean_rows bigint, quarantine_rows bigint, raw_rows bigint")
+        attempt.put("audit", lineage.audit_rows(events, totals, run_id).coalesce(1), f"audit_{name}")
+        attempt.commit()
+        done |= {"silver": rows["silver"], "quarantine": rows["quarantine"],
+                 "heals": attempt.entries[f"audit/heals_{name}"].rows}
         if self.compact_every and (batch_id + 1) % self.compact_every == 0:
             self.store.compact(spark, self.spec, batch_id, self.store.newest_snapshot(spark, self.spec))
-        self.recompute_gold(spark, batch_id)
-
-    def recompute_gold(self, spark: SparkSession, batch_id: int) -> None:
-        """KPIs over the whole latest-wins Silver, stored per batch."""
+        if self.sweep_every and (batch_id + 1) % self.sweep_every == 0:
+            self.store.sweep(spark, self.spec)
+
+    def recompute_gold(self, spark: SparkSession, attempt: Attempt) -> DataFrame:
+        """KPIs over the whole latest-wins Silver, the batch that is being written included."""
+        if self.incremental:
+            state = GoldState(self.store, spark, self.spec)
+            state.catch_up()
+            state.apply(attempt)
+            return heal.heal_kpi_rows(state.kpi_rows())
         snapshot = self.store.newest_snapshot(spark, self.spec)
-        silver = self.store.silver(spark, self.spec, snapshot)
-        rows = heal.heal_kpi_rows(gold.kpi_rows(self.spec.name, silver.drop("batch_id")))
-        write_table(rows.coalesce(1), self.store.layers.batch_path("gold", self.spec.name, batch_id))
+        silver = self.store.silver(spark, self.spec, snapshot, attempt)
+        return heal.heal_kpi_rows(gold.kpi_rows(self.spec.name, silver.drop("batch_id")))
+
+    def log(self, spark: SparkSession, kind: str) -> DataFrame | None:
+        """The heals, drift, lineage or audit rows of all committed batches."""
+        return self.store.read(spark, "audit", self.spec, f"{kind}_{self.spec.name}")
 
     def history(self, spark: SparkSession, newest: int | None = None) -> DataFrame | None:
         """The record of all batches, or of the ``newest`` ones; older folders are then not read at all."""
