@@ -329,8 +329,8 @@ def audit_variant_extract(t):
     events = t.table("events").select("event_id", "event_type", F.parse_json("props").alias("props"), "value")
     records = lineage.as_records(events, ["props", "value"])
     return records.select(
-        "event_id", "event_type", F.variant_get("payload", "$.props.k", "bigint").alias("k"),
-        F.variant_get("payload", "$.value", "double").alias("amount"))
+        "event_id", "event_type", F.try_variant_get("payload", "$.props.k", "bigint").alias("k"),
+        F.try_variant_get("payload", "$.value", "double").alias("amount"))
 
 
 # --- usage and decisions -------------------------------------------------------------

@@ -105,7 +105,7 @@ def profile_columns(t):
 @query("profile_nulls", " UNION ALL ".join(_profile_sql(d, False) for d in COLUMNS))
 def profile_nulls(t):
     return _union(
-        _tagged(d, profile.column_counts(df)).select("dataset", "column_name", "null_count", "null_pct")
+        _tagged(d, profile.column_counts(df, sketch=False)).select("dataset", "column_name", "null_count", "null_pct")
         for d, df in t.all_raw().items())
 
 

@@ -92,7 +92,7 @@ def audit_rows(events: DataFrame, counts: DataFrame, run_id: str) -> DataFrame:
 def as_records(df: DataFrame, payload: list[str]) -> DataFrame:
     """Fold free-form columns into one open ``payload`` variant column."""
     fixed = [c for c in df.columns if c not in payload]
-    body = F.parse_json(F.to_json(F.struct(*payload)))
+    body = F.try_parse_json(F.to_json(F.struct(*payload)))
     return df.select(*fixed, body.alias("payload"))
 
 

@@ -186,52 +186,70 @@ def _map_entry(dataset: str, key: str, rows: DataFrame, column: str) -> DataFram
     )
 
 
+#: Columns whose values are counted for the KPIs, those that are averaged, and the maps: key -> (column, most frequent k).
+COUNTED = {"customers": ("customer_unique_id", "customer_state", "customer_city"), "orders": ("customer_id", "order_status"),
+           "payments": ("payment_type",), "products": ("product_category_name",)}
+MEASURED = {"customers": (), "orders": (), "payments": ("payment_value", "payment_installments"),
+            "products": ("product_weight_g",)}
+MAPS = {"customers": {"top_states": ("customer_state", 5), "top_cities": ("customer_city", 5)},
+        "orders": {"status_breakdown": ("order_status", None)}, "payments": {"payment_type_breakdown": ("payment_type", None)},
+        "products": {"top_categories": ("product_category_name", 10)}}
+
+
+def value_counts(dataset: str, silver: DataFrame) -> DataFrame:
+    """(metric, value, n) of all counted columns in one scan; the row of metric '' holds the sums of the whole table."""
+    missing = sum((F.col(c).isNull().cast("int") for c in silver.columns), start=F.lit(0))
+    measures = {c: to_number(F.col(c)) for c in MEASURED[dataset]}
+    pairs = [F.struct(F.lit("").alias("metric"), F.lit(None).cast("string").alias("value"))] + [
+        F.struct(F.lit(c).alias("metric"), F.col(c).cast("string").alias("value")) for c in COUNTED[dataset]]
+    long = silver.select(missing.alias("missing"), *[v.alias(f"m_{c}") for c, v in measures.items()], F.inline(F.array(*pairs)))
+    whole = F.col("metric") == ""
+    aggs = [F.sum(F.when(whole, F.col("missing"))).alias("missing")]
+    for c in measures:
+        v = F.when(whole, F.col(f"m_{c}"))
+        aggs += [F.sum(v).alias(f"sum_{c}"), F.count(v).alias(f"n_{c}"), F.max(v).alias(f"max_{c}"), F.min(v).alias(f"min_{c}")]
+    return long.groupBy("metric", "value").agg(F.count(F.lit(1)).alias("n"), *aggs)
+
+
 def kpi_rows(dataset: str, silver: DataFrame) -> DataFrame:
-    """Gold KPIs of one dataset as (dataset, kpi_key, kpi_value) text rows."""
-    if dataset == "customers":
-        wide = customer_kpis(silver)
-        keys = ("total_customers", "unique_customers", "states_covered", "cities_covered")
-        maps = [("top_states", top_values(silver, "customer_state", 5), "customer_state"),
-                ("top_cities", top_values(silver, "customer_city", 5), "customer_city")]
-        entries = [_entry(k, F.col(k)) for k in keys]
-    elif dataset == "orders":
-        wide = order_kpis(silver)
-        entries = [
-            _entry("total_orders", F.col("total_orders")),
-            _entry("unique_customers", F.col("unique_customers_with_orders")),
-            _entry("delivered_pct", _num(percent(F.col("delivered_orders"), F.col("total_orders"), 1))),
-            _entry("canceled_pct", _num(percent(F.col("canceled_orders"), F.col("total_orders"), 1))),
-        ]
-        maps = [("status_breakdown", counts_by(silver, "order_status"), "order_status")]
-    elif dataset == "payments":
-        v = to_number(F.col("payment_value"))
-        wide = silver.agg(
-            F.count(F.lit(1)).alias("n"), F.sum(v).alias("s"), F.avg(v).alias("a"),
-            F.max(v).alias("x"), F.min(v).alias("m"), F.avg("payment_installments").alias("i"),
-        )
-        entries = [
-            _entry("total_payments", F.col("n")),
-            _entry("total_revenue", _num(_money(F.col("s")))),
-            _entry("avg_payment_value", _num(_money(F.col("a")))),
-            _entry("max_payment_value", _num(_money(F.col("x")))),
-            _entry("min_payment_value", _num(_money(F.col("m")))),
-            _entry("avg_installments", _num(_money(F.col("i")))),
-        ]
-        maps = [("payment_type_breakdown", counts_by(silver, "payment_type"), "payment_type")]
-    else:
-        wide = product_kpis(silver)
-        entries = [
-            _entry("total_products", F.col("total_products")),
-            _entry("unique_categories", F.col("unique_categories")),
-            _entry("avg_weight_g", _num(F.col("avg_weight_g"))),
-        ]
-        maps = [("top_categories", top_values(silver, "product_category_name", 10),
-                 "product_category_name")]
-    rates = _long(dataset, silver.agg(null_rate_pct(silver).alias("r")),
-                  [_entry("null_rate_pct", _num(F.col("r")))])
-    out = _long(dataset, wide, entries).unionByName(rates)
-    for key, rows, column in maps:
-        out = out.unionByName(_map_entry(dataset, key, rows, column))
+    """Gold KPIs of one dataset as (dataset, kpi_key, kpi_value) text rows, all from one scan of Silver."""
+    long = value_counts(dataset, silver)
+    whole, n = F.col("metric") == "", F.col("n")
+    rows = F.coalesce(F.sum(F.when(whole, n)), F.lit(0))
+    of = lambda name: F.max(F.when(whole, F.col(name)))
+    mean = lambda c: of(f"sum_{c}") / F.nullif(of(f"n_{c}"), F.lit(0))
+    distinct = lambda c: F.count_if((F.col("metric") == c) & F.col("value").isNotNull())
+    having = lambda c, v: F.coalesce(F.sum(F.when((F.col("metric") == c) & (F.col("value") == v), n)), F.lit(0))
+    rate = F.round(of("missing").cast("double") / rows.cast("double") / F.lit(float(len(silver.columns))) * 100.0, 2)
+    values = {
+        "customers": lambda: {
+            "total_customers": rows, "unique_customers": distinct("customer_unique_id"),
+            "states_covered": distinct("customer_state"), "cities_covered": distinct("customer_city")},
+        "orders": lambda: {
+            "total_orders": rows, "unique_customers": distinct("customer_id"),
+            "delivered_pct": _num(percent(having("order_status", "delivered"), rows, 1)),
+            "canceled_pct": _num(percent(having("order_status", "canceled"), rows, 1))},
+        "payments": lambda: {
+            "total_payments": rows, "total_revenue": _num(_money(of("sum_payment_value"))),
+            "avg_payment_value": _num(_money(mean("payment_value"))),
+            "max_payment_value": _num(_money(of("max_payment_value"))),
+            "min_payment_value": _num(_money(of("min_payment_value"))),
+            "avg_installments": _num(_money(mean("payment_installments")))},
+        "products": lambda: {
+            "total_products": rows, "unique_categories": distinct("product_category_name"),
+            "avg_weight_g": _num(_money(mean("product_weight_g")))},
+    }[dataset]() | {"null_rate_pct": _num(rate)}
+    # Each part names all measures and filters on an aggregate, so all parts need the same counted rows and share them.
+    same = F.greatest(n, *[F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in long.columns[3:]]) >= 0
+    out = _long(dataset, long.where(same).agg(*[v.cast("string").alias(k) for k, v in values.items()]),
+                [_entry(k, F.col(k)) for k in values])
+    for key, (column, k) in MAPS[dataset].items():
+        # The metric is compared behind an aggregate: a plain comparison would be pushed below the counting.
+        counted = long.where(same & (F.when(n > 0, F.col("metric")) == column)).select(
+            F.col("value").alias(column), n.alias("rows"))
+        if k is not None:
+            counted = counted.where(F.col(column).isNotNull()).orderBy(F.desc("rows"), F.asc(column)).limit(k)
+        out = out.unionByName(_map_entry(dataset, key, counted, column))
     return out
 
 
