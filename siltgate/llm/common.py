@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
 from functools import cache
 
 import numpy as np
@@ -11,6 +12,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 
+_WRITING = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
+            "spark.sql.execution.arrow.maxBytesPerBatch": "8388608b"}
+
+
 @cache
 def _own_folder() -> str:
     return tempfile.mkdtemp(prefix="siltgate-scratch-")
@@ -23,9 +28,21 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
-    """Write df once to the shared folder and read it back: cuts the lineage and survives lost executors."""
+    """Write df once to the shared folder and read it back: cuts the lineage and survives lost executors.
+
+    The write's own shuffle files go when it ends, not when the driver happens to collect its garbage, and Python workers
+    get their rows in small batches.
+    """
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    conf = df.sparkSession.conf
+    before = {k: conf.get(k) for k in _WRITING}
+    try:
+        for k, v in _WRITING.items():
+            conf.set(k, v)
+        df.write.parquet(path)
+    finally:
+        for k, v in before.items():
+            conf.set(k, v)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -51,3 +68,15 @@ def unsqueezed(data: bytes) -> np.ndarray:
     values = np.frombuffer(raw, dtype="<" + data[:2].decode()).astype(np.int64)
     base = int.from_bytes(data[3:11], "little", signed=True)
     return (np.cumsum(values, dtype=np.int64) if data[2:3] == b"+" else values) + base
+
+
+_CACHES: dict[str, object] = {}
+
+
+def worker_cache(name: str, make: Callable[[], object]):
+    """This Python worker's cache of one kind. Workers outlive their stage: asking for one kind drops the others."""
+    if name not in _CACHES:
+        _CACHES.clear()
+        pa.default_memory_pool().release_unused()
+        _CACHES[name] = make()
+    return _CACHES[name]

@@ -9,22 +9,22 @@ the remaining columns rule out. What leaves a block is a spanning forest of its
 from __future__ import annotations
 
 import hashlib
+import math
 import zlib
 from collections.abc import Iterator
-from functools import cache
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from siltgate.llm.common import stored
+from siltgate.llm.common import stored, worker_cache
 from siltgate.llm.components import components
 from siltgate.llm.urls import BITS_PER_KEY, MAX_BITS, Bloom
 
-WORDS = 4
-#: Link where 100 * intersection >= PERCENT * union.
-PERCENT = 85
+#: Words of an n-gram; two documents link where 100 * intersection >= PERCENT * union.
+WORDS, PERCENT = 4, 85
 #: Counters of n-grams by hash, and those of one shuffled row. They only order columns: any order gives the same links.
 COUNTERS, CHUNK = 1 << 21, 1 << 14
 #: Levels by how many standard deviations a counter lies from the mean: a few bits of order, finest where prefixes end.
@@ -36,13 +36,28 @@ PAIRED = 24
 BLOCK_MEMBERS, BLOCK_ROWS = 150_000, 1_024
 COLUMN_BLOCK = 2_048
 WORD_CACHE = 300_000
-#: Step of log size: rows of linked documents lie in one or in neighbouring steps (ln(100 / 85) is 0.16252).
-SIZE_STEP = 0.1626
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _MIX2 = np.uint64(0xC2B2AE3D27D4EB4F)
 
 
+@dataclass(frozen=True)
+class Likeness:
+    """What links two documents: n-grams of so many words, and the part of them in percent that both share."""
+
+    words: int = WORDS
+    percent: int = PERCENT
+
+    def need(self, size_a, size_b):
+        """The smallest intersection with which sets of these sizes link."""
+        return -(-self.percent * (size_a + size_b) // (100 + self.percent))
+
+    @property
+    def size_step(self) -> float:
+        """Step of log size: rows of linked documents lie in one or in neighbouring steps."""
+        return math.log(100 / self.percent) + 1e-4
+
+
 class _WordHashes(dict):
     def __missing__(self, word: bytes) -> int:
         value = int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little")
@@ -53,9 +68,8 @@ class _WordHashes(dict):
         return value
 
 
-@cache
 def _word_hashes() -> _WordHashes:
-    return _WordHashes()
+    return worker_cache("word hashes", _WordHashes)
 
 
 def shingles(text: str | None, words: int = WORDS) -> np.ndarray:
@@ -63,7 +77,8 @@ def shingles(text: str | None, words: int = WORDS) -> np.ndarray:
     found = text.encode("utf-8", "surrogatepass").lower().split() if text else []
     if not found:
         return np.empty(0, dtype=np.int64)
-    hashes = np.fromiter(map(_word_hashes().__getitem__, found), dtype=np.uint64, count=len(found))
+    known = _word_hashes()
+    hashes = np.fromiter(map(known.__getitem__, found), dtype=np.uint64, count=len(found))
     n = min(words, len(found))
     out = np.full(len(found) - n + 1, n, dtype=np.uint64)
     for k in range(n):
@@ -73,12 +88,7 @@ def shingles(text: str | None, words: int = WORDS) -> np.ndarray:
     return np.unique(out.astype(np.int64))
 
 
-def need(size_a, size_b, percent: int = PERCENT):
-    """The smallest intersection with which sets of these sizes link."""
-    return -(-percent * (size_a + size_b) // (100 + percent))
-
-
-def column_levels(docs: DataFrame, text: str) -> np.ndarray:
+def column_levels(docs: DataFrame, text: str, like: Likeness) -> np.ndarray:
     """A level per counter over all n-grams: low where few n-grams fall, high where common ones do.
 
     A document's prefix is its n-grams of the lowest levels; one that several documents have lifts its own counter and
@@ -89,10 +99,10 @@ def column_levels(docs: DataFrame, text: str) -> np.ndarray:
         held: list[np.ndarray] = []
         size = 0
         for batch in batches:
-            for value in batch.column(0).to_pylist():
-                held.append(shingles(value) & (COUNTERS - 1))
+            for value in batch.column(0):
+                held.append((shingles(value.as_py(), like.words) & (COUNTERS - 1)).astype(np.int32))
                 size += len(held[-1])
-                if size > COUNTERS:
+                if size > COUNTERS // 8:
                     total += np.bincount(np.concatenate(held), minlength=COUNTERS)
                     held, size = [], 0
         if held:
@@ -114,19 +124,19 @@ def column_levels(docs: DataFrame, text: str) -> np.ndarray:
     return np.digitize((counts - counts.mean()) / max(1.0, counts.mean() ** 0.5), DEVIATIONS).astype(np.uint8)
 
 
-def _incidence(docs: DataFrame, key: str, text: str, levels: np.ndarray) -> DataFrame:
+def _incidence(docs: DataFrame, key: str, text: str, levels: np.ndarray, like: Likeness) -> DataFrame:
     """Per row of docs: key, n (set size), d1 and d2 (digest of the set), prefix (its first ordered columns)."""
     shared = docs.sparkSession.sparkContext.broadcast(levels)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             n, digest, prefix = [], [], []
-            for value in batch.column(1).to_pylist():
-                grams = shingles(value)
+            for value in batch.column(1):
+                grams = shingles(value.as_py(), like.words)
                 columns = np.sort((shared.value[grams & (COUNTERS - 1)].astype(np.int64) << HASH_BITS) | grams)
                 n.append(len(grams))
                 digest.append(np.frombuffer(hashlib.blake2b(grams.tobytes(), digest_size=16).digest(), dtype="<i8"))
-                prefix.append(columns[:len(grams) - (-(-PERCENT * len(grams) // 100)) + 1] if len(grams) else columns)
+                prefix.append(columns[:len(grams) - (-(-like.percent * len(grams) // 100)) + 1] if len(grams) else columns)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(n, pa.int64()), pa.array([d[0] for d in digest], pa.int64()),
                  pa.array([d[1] for d in digest], pa.int64()), pa.array(prefix, pa.list_(pa.int64()))],
@@ -136,7 +146,7 @@ def _incidence(docs: DataFrame, key: str, text: str, levels: np.ndarray) -> Data
     return docs.select(key, text).mapInArrow(run, f"`{key}` {kind}, n long, d1 long, d2 long, prefix array<long>")
 
 
-def _candidates(rows: DataFrame) -> DataFrame:
+def _candidates(rows: DataFrame, like: Likeness) -> DataFrame:
     """rows: node, n, prefix -> u, v: rows that may link lie in one component of these edges."""
     # Most columns have one row: the shuffle that finds the others carries the row's number alone.
     slim = rows.select("node", F.explode("prefix").alias("column"))
@@ -146,7 +156,7 @@ def _candidates(rows: DataFrame) -> DataFrame:
     common = columns.where(F.col("df") > PAIRED)
     rare = columns.where(F.col("df") <= PAIRED).select("column", "node", "n")
     a, b = (rare.select("column", *(F.col(c).alias(f"{c}_{x}") for c in ("node", "n"))) for x in "ab")
-    sized = (F.col("n_a") * 100 >= F.col("n_b") * PERCENT) & (F.col("n_b") * 100 >= F.col("n_a") * PERCENT)
+    sized = (F.col("n_a") * 100 >= F.col("n_b") * like.percent) & (F.col("n_b") * 100 >= F.col("n_a") * like.percent)
     pairs = a.join(b, "column").where((F.col("node_a") < F.col("node_b")) & sized)
     pairs = pairs.groupBy("node_a", "node_b").agg(F.count("*").alias("overlap"))
     # Up to the smaller of the two last prefix columns all common columns are counted, but for h common ones; the rest
@@ -157,14 +167,14 @@ def _candidates(rows: DataFrame) -> DataFrame:
     rest_a, rest_b = F.col("n_a") - F.col("p_a"), F.col("n_b") - F.col("p_b")
     rest = F.when(F.col("last_a") < F.col("last_b"), rest_a).when(F.col("last_a") > F.col("last_b"), rest_b).otherwise(
         F.least(rest_a, rest_b))
-    least = F.ceil((F.col("n_a") + F.col("n_b")) * PERCENT / (100 + PERCENT)) - rest
+    least = F.ceil((F.col("n_a") + F.col("n_b")) * like.percent / (100 + like.percent)) - rest
     kept = pairs.where(F.col("overlap") + F.least("h_a", "h_b") >= least).select(
         F.col("node_a").alias("u"), F.col("node_b").alias("v"))
-    cells = stored(_cells(common.select("node", "n", F.col("column").alias("component"))), "cells")
-    return kept.unionByName(_prefix_edges(rows, cells))
+    cells = stored(_cells(common.select("node", "n", F.col("column").alias("component")), like), "cells")
+    return kept.unionByName(_prefix_edges(rows, cells, like))
 
 
-def _prefix_edges(rows: DataFrame, cells: DataFrame) -> DataFrame:
+def _prefix_edges(rows: DataFrame, cells: DataFrame, like: Likeness) -> DataFrame:
     """u, v: within each cell a spanning forest of the pairs whose prefixes leave a link possible."""
     def multiply(group: pa.Table) -> pa.Table:
         node, side, component, n = (group[c].to_numpy() for c in ("node", "side", "component", "n"))
@@ -179,7 +189,7 @@ def _prefix_edges(rows: DataFrame, cells: DataFrame) -> DataFrame:
             first = last[:, None] < last[None, :]
             equal = last[:, None] == last[None, :]
             unseen = np.where(equal, np.minimum.outer(rest, rest), np.where(first, rest[:, None], rest[None, :]))
-            least = need(size[:, None], size[None, :])
+            least = like.need(size[:, None], size[None, :])
             possible = np.minimum.outer(size, size) >= least
             label = block_links(sets, np.where(possible, least - unseen, 1 << 40), side[own])
             moved = np.flatnonzero(label != np.arange(len(own)))
@@ -198,9 +208,9 @@ def _only(rows: DataFrame, cells: DataFrame) -> DataFrame:
     return rows.where(Bloom(nodes, count, 0).has(F.col("node"))) if 0 < count * BITS_PER_KEY <= MAX_BITS else rows
 
 
-def _cells(inside: DataFrame) -> DataFrame:
+def _cells(inside: DataFrame, like: Likeness) -> DataFrame:
     """inside: node, n, component -> node, component, cell, side: the block products a row takes part in."""
-    inside = stored(inside.withColumn("step", F.floor(F.log(F.col("n").cast("double")) / SIZE_STEP).cast("int")), "grouped")
+    inside = stored(inside.withColumn("step", F.floor(F.log(F.col("n").cast("double")) / like.size_step).cast("int")), "grouped")
     steps = inside.groupBy("component", "step").agg(F.sum("n").alias("members"), F.count("*").alias("docs"))
     whole = steps.groupBy("component").agg(F.sum("members").alias("members"), F.sum("docs").alias("docs"))
     small = (F.col("members") <= BLOCK_MEMBERS) & (F.col("docs") <= BLOCK_ROWS)
@@ -287,7 +297,7 @@ def block_links(sets: list[np.ndarray], least: np.ndarray, side: np.ndarray) ->
         label = new
 
 
-def _block_edges(docs: DataFrame, cells: DataFrame, key: str, text: str) -> DataFrame:
+def _block_edges(docs: DataFrame, cells: DataFrame, key: str, text: str, like: Likeness) -> DataFrame:
     """u, v: a spanning forest of the links in every cell."""
     rows = docs.select(F.col(key).alias("node"), F.col(text).alias("text"))
     rows = _only(rows, cells)
@@ -300,9 +310,9 @@ def _block_edges(docs: DataFrame, cells: DataFrame, key: str, text: str) -> Data
         u, v = [], []
         order = np.lexsort((nodes, component))
         for own in np.split(order, np.flatnonzero(np.diff(component[order])) + 1):
-            sets = [shingles(texts[int(i)].as_py()) for i in own]
+            sets = [shingles(texts[int(i)].as_py(), like.words) for i in own]
             size = np.array([len(x) for x in sets], dtype=np.int64)
-            label = block_links(sets, need(size[:, None], size[None, :]), side[own])
+            label = block_links(sets, like.need(size[:, None], size[None, :]), side[own])
             moved = np.flatnonzero(label != np.arange(len(own)))
             u.append(nodes[own[moved]])
             v.append(nodes[own[label[moved]]])
@@ -311,21 +321,22 @@ def _block_edges(docs: DataFrame, cells: DataFrame, key: str, text: str) -> Data
     return rows.groupBy("cell").applyInArrow(multiply, "u long, v long")
 
 
-def join(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+def join(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """One row per row of docs: key, n_shingles, component_id (the smallest key reachable by links).
 
-    A set is the distinct 4-word n-grams of a whole text, A-Z lower-cased; null texts and texts without words have none
+    A set is the distinct n-grams of so many words of a whole text, A-Z lower-cased; null texts and texts without words have none
     and link with nothing. Rows with equal sets are linked. Keys are long and meant to be unique; repeated rows count as
     copies. A row without a key links nothing and has a null component. Other columns are ignored.
     """
-    found = stored(_incidence(docs, key, text, column_levels(docs, text)), "incidence")
+    like = Likeness(words, percent)
+    found = stored(_incidence(docs, key, text, column_levels(docs, text, like), like), "incidence")
     sets = found.where(F.col(key).isNotNull() & (F.col("n") > 0))
     rows = stored(sets.groupBy("d1", "d2").agg(F.min(key).alias("node"), F.max("n").alias("n"),
                                                F.min_by("prefix", key).alias("prefix")), "rows")
-    groups = components(_candidates(rows.select("node", "n", "prefix")))
+    groups = components(_candidates(rows.select("node", "n", "prefix"), like))
     groups = groups.unionByName(groups.select(F.col("component").alias("node"), "component").distinct())
-    cells = stored(_cells(rows.select("node", "n").distinct().join(groups, "node")), "cells")
-    linked = components(_block_edges(docs.where(F.col(text).isNotNull()), cells, key, text))
+    cells = stored(_cells(rows.select("node", "n").distinct().join(groups, "node"), like), "cells")
+    linked = components(_block_edges(docs.where(F.col(text).isNotNull()), cells, key, text, like))
     named = rows.join(linked, "node", "left").select(
         "d1", "d2", F.coalesce("component", "node").alias("component_id"))
     own = F.when(F.col("n") == 0, F.col(key)).otherwise(F.when(F.col(key).isNotNull(), F.col("component_id")))
@@ -333,12 +344,15 @@ def join(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
         key, F.col("n").alias("n_shingles"), own.alias("component_id"))
 
 
-def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Of each group of linked documents the one of the smallest key; rows without a key stay, repeated rows become one."""
-    found = join(docs, key, text)
-    kept = stored(found.where(F.col(key) == F.col("component_id")).groupBy(F.col(key).alias("kept_key")).agg(
-        F.count("*").alias("kept_rows")), "kept")
-    rows = docs.join(kept, F.col(key) == F.col("kept_key"))
-    once = rows.where(F.col("kept_rows") == 1).select(*docs.columns)
-    more = rows.where(F.col("kept_rows") > 1).select(*docs.columns).dropDuplicates([key])
+def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = WORDS,
+             percent: int = PERCENT) -> DataFrame:
+    """Of each group of linked documents the one of the smallest key; rows without a key stay, repeated rows become one.
+
+    All columns of docs stay as they are, whatever their names.
+    """
+    found = join(docs, key, text, words, percent)
+    kept = stored(found.where(F.col(key) == F.col("component_id")).groupBy(key).agg(F.count("*").alias("rows")), "kept")
+    rows = docs.alias("d").join(kept.select(F.col(key).alias("key"), "rows").alias("k"), F.col(f"d.{key}") == F.col("k.key"))
+    once, more = (rows.where(F.col("k.rows") == 1).select("d.*"), rows.where(F.col("k.rows") > 1).select("d.*"))
+    more = more.dropDuplicates([key])
     return once.unionByName(more).unionByName(docs.where(F.col(key).isNull()))

@@ -13,6 +13,8 @@ from functools import cache
 
 import numpy as np
 
+from siltgate.llm.common import worker_cache
+
 #: ASCII without control characters other than white space, and the letters of Latin-1.
 _OTHER = re.compile("[^\\t\\n\\r -~À-ÖØ-öø-ÿ]")
 _PRE_TOKEN = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^\\sa-z0-9ß-öø-ÿ]+")
@@ -99,10 +101,9 @@ def encoded(texts: Iterable[str | None], cached: PreTokens, join: Callable) -> I
     yield from flush()
 
 
-@cache
 def ids_cache(path: str) -> PreTokens:
     """This worker's cache of ids, as little-endian unsigned 32-bit bytes."""
-    return PreTokens(path, lambda ids: ids.tobytes())
+    return worker_cache(f"ids {path}", lambda: PreTokens(path, lambda ids: ids.tobytes()))
 
 
 def id_bytes(path: str, texts: Iterable[str | None]) -> Iterator[bytes]:
