@@ -20,9 +20,13 @@ def known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return langid.predict(docs, model).where(~F.col("lang_rejected")).select(*docs.columns)
 
 
+#: Near copies of this stage: n-grams of so many words, and the part of them in percent that both share.
+NEAR_WORDS, NEAR_PERCENT = 5, 80
+
+
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document of the smallest id of each group of near copies."""
-    return ngram_join.keep_one(docs)
+    """The document of the smallest id of each group of near copies; rows without an id stay."""
+    return ngram_join.keep_one(docs, words=NEAR_WORDS, percent=NEAR_PERCENT)
 
 
 def without_private_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
