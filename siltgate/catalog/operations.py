@@ -10,9 +10,11 @@ from siltgate.catalog.registry import CTES, query
 from siltgate.catalog.silver_gold import _COLUMNS as COLUMNS
 from siltgate.catalog.silver_gold import _kpi_sql, _logs
 from siltgate.functions.columns import non_negative
-from siltgate.operators import heal, lineage, mask, ops, profile, recall, store
+from siltgate.operators import drift, heal, lineage, ops, profile, recall, route, store
 from siltgate.operators.dedup import has_key, keep_one
-from siltgate.plans import gold, medallion, silver
+from siltgate.plans import gold, medallion
+from siltgate.sources.layers import Layers
+from siltgate.sources.shared import materialise, scratch_folder
 from siltgate.spec import SPECS
 
 PAYS = ["order_id", "payment_sequential"]
@@ -290,7 +292,7 @@ def lineage_columns(t):
         lineage.column_edges(t.raw(d), s, heal.bronze_steps(d)) for d, s in SPECS.items()])
 
 
-@query("audit_rows", """
+_AUDIT_SQL = """
 WITH e AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY dataset ORDER BY layer, column_name, issue) AS i,
            COUNT(*) OVER (PARTITION BY dataset) AS heal_count FROM heal_log),
 h AS (SELECT dataset, COUNT(*) AS heal_count FROM heal_log GROUP BY dataset)
@@ -299,11 +301,67 @@ SELECT 'run-' || dataset || '-heal-' || i AS audit_id, 'run' AS run_id, dataset,
   clean_rows, quarantine_rows, raw_rows, heal_count FROM e JOIN run_totals USING (dataset)
 UNION ALL SELECT 'run-' || dataset || '-summary', 'run', dataset, 'RUN_SUMMARY', 'none', '', 'completed',
   CASE WHEN clean_rows > 0 THEN 'SUCCESS' ELSE 'ESCALATED' END, clean_rows, quarantine_rows, raw_rows,
-  COALESCE(heal_count, 0) FROM run_totals LEFT JOIN h USING (dataset)""")
+  COALESCE(heal_count, 0) FROM run_totals LEFT JOIN h USING (dataset)"""
+
+
+@query("audit_rows", _AUDIT_SQL)
 def audit_rows(t):
     return lineage.audit_rows(heal_log(t), run_totals(t), "run")
 
 
+def appended(t, layer, name, tables):
+    """Each dataset's rows written and committed to a store, the whole batch replayed once, and read back."""
+    st, out = store.Store(Layers(scratch_folder(t.spark))), []
+    for d, df in tables.items():
+        for _ in range(2):
+            attempt = st.begin(t.spark, SPECS[d], 0)
+            attempt.put(layer, df, name(d))
+            attempt.commit()
+        out.append(st.read(t.spark, layer, SPECS[d], name(d)).drop("batch_id").withColumn("dataset", F.lit(d)))
+    return store.append_with_missing(out)
+
+
+@query("audit_log_append", _AUDIT_SQL)
+def audit_log_append(t):
+    """The audit log as a store holds it: a replay takes the place of a batch's rows and appends nothing twice."""
+    rows = materialise(audit_rows(t))
+    return appended(t, "audit", lambda d: f"audit_{d}", {d: rows.where(F.col("dataset") == d) for d in SPECS})
+
+
+@query("quarantine_append", " UNION ALL BY NAME ".join(
+    f"SELECT '{d}' AS dataset, batch_id AS arrived, *, 'unfixable_null_primary_key' AS quarantine_reason "
+    f"FROM (SELECT * FROM incoming_{d}) WHERE {' OR '.join(f'{c} IS NULL' for c in SPECS[d].key)}" for d in SPECS).replace(
+        "batch_id AS arrived, *", "batch_id AS arrived, * EXCLUDE (batch_id)"))
+def quarantine_append(t):
+    """Rows without a usable key, as the quarantine of a store holds them."""
+    return appended(t, "quarantine", lambda d: d, {
+        d: t.incoming(d).where(~has_key(s.key)).withColumnRenamed("batch_id", "arrived").withColumn(
+            route.REASON, F.lit(route.NULL_KEY)) for d, s in SPECS.items()})
+
+
+def _shape_sql(dataset):
+    shape = ", ".join(f"CASE WHEN COUNT({c}) > 0 THEN '{c}' END" for c in COLUMNS[dataset])
+    return (f"SELECT '{dataset}' AS dataset, batch_id, COUNT(*) AS n_rows, concat_ws(',', {shape}) AS shape "
+            f"FROM incoming_{dataset} GROUP BY batch_id")
+
+
+_EXCEPT = "array_to_string(list_filter(string_split({a}, ','), lambda x: NOT list_contains(string_split({b}, ','), x)), ',')"
+
+
+@query("drift_trend", f"""
+WITH shapes AS ({' UNION ALL '.join(_shape_sql(d) for d in SPECS)}),
+marked AS (SELECT *, LAG(shape) OVER (PARTITION BY dataset ORDER BY batch_id) AS prior FROM shapes),
+numbered AS (SELECT *, SUM(CASE WHEN shape = prior THEN 0 ELSE 1 END) OVER (PARTITION BY dataset ORDER BY batch_id) AS segment FROM marked),
+folded AS (SELECT dataset, CAST(segment AS BIGINT) AS segment, MIN(batch_id) AS first_batch, MAX(batch_id) AS last_batch,
+  COUNT(*) AS batches, CAST(SUM(n_rows) AS BIGINT) AS n_rows, arg_min(shape, batch_id) AS shape, arg_min(COALESCE(prior, ''), batch_id) AS prior
+  FROM numbered GROUP BY dataset, segment)
+SELECT dataset, segment, first_batch, last_batch, batches, n_rows, {_EXCEPT.format(a='shape', b='prior')} AS added,
+  {_EXCEPT.format(a='prior', b='shape')} AS removed FROM folded""")
+def drift_trend(t):
+    """When the columns that hold values changed, over all batches of the four datasets."""
+    return drift.trend(profile.union_all([drift.batch_shapes(t.incoming(d), d) for d in SPECS]))
+
+
 @query("stage_status", """
 SELECT dataset, layer, n_rows, CASE WHEN n_rows > 0 THEN 'filled' WHEN layer = 'quarantine' THEN 'nothing held back'
   ELSE 'empty' END AS status FROM layer_rows""")

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from siltgate.functions.columns import may_be_number
@@ -132,3 +132,30 @@ def stamp(events: DataFrame, run_id: str, detected_at: str) -> DataFrame:
     return events.withColumns({
         "run_id": F.lit(run_id), "detected_at": F.lit(detected_at).cast("timestamp_ntz")})
 
+
+def batch_shapes(df: DataFrame, dataset: str, by: str = "batch_id") -> DataFrame:
+    """Per batch its rows and its shape: the columns that hold a value in it, in their order."""
+    columns = [c for c in df.columns if c != by]
+    shape = F.array_join(F.array_compact(F.array(*[F.when(F.count(c) > 0, F.lit(c)) for c in columns])), ",")
+    return df.groupBy(by).agg(F.count(F.lit(1)).alias("n_rows"), shape.alias("shape")).select(
+        F.lit(dataset).alias("dataset"), by, "n_rows", "shape")
+
+
+def trend(shapes: DataFrame, by: str = "batch_id") -> DataFrame:
+    """Segments of successive batches of one shape, each with what it adds to and lacks of the one before.
+
+    One row per batch and dataset is ordered, never the rows of the batches.
+    """
+    order = Window.partitionBy("dataset").orderBy(by)
+    before = F.lag("shape").over(order)
+    marked = shapes.withColumn("before", before).withColumn("new", F.coalesce((F.col("shape") != before).cast("int"), F.lit(1)))
+    numbered = marked.withColumn("segment", F.sum("new").over(order))
+    parts = lambda c: F.split(F.coalesce(c, F.lit("")), ",")
+    found = numbered.groupBy("dataset", "segment").agg(
+        F.min(by).alias("first_batch"), F.max(by).alias("last_batch"), F.count(F.lit(1)).alias("batches"),
+        F.sum("n_rows").alias("n_rows"), F.min_by("shape", by).alias("shape"), F.min_by("before", by).alias("before"))
+    return found.select(
+        "dataset", "segment", "first_batch", "last_batch", "batches", "n_rows",
+        F.array_join(F.array_except(parts(F.col("shape")), parts(F.col("before"))), ",").alias("added"),
+        F.when(F.col("before").isNull(), "").otherwise(
+            F.array_join(F.array_except(parts(F.col("before")), parts(F.col("shape"))), ",")).alias("removed"))

@@ -10,6 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -187,6 +188,18 @@ def most_common_valid(df: DataFrame, value: Column, allowed: Sequence[str]) -> D
     )
 
 
+def common_valid(df: DataFrame, wanted: Sequence[tuple[int, Column, Sequence[str]]]) -> DataFrame:
+    """One row, one map: for each (number, value, allowed values) the most frequent allowed value, ties to the smallest.
+
+    One scan and one grouping, whatever the number of rules; a rule holds at most its own value set.
+    """
+    pairs = [F.struct(F.lit(i).alias("rule"), F.when(C.is_in(now.cast("string"), allowed), now.cast("string")).alias("v"))
+             for i, now, allowed in wanted]
+    counted = df.select(F.inline(F.array(*pairs))).where(F.col("v").isNotNull()).groupBy("rule", "v").count()
+    best = counted.groupBy("rule").agg(F.min_by("v", F.struct(-F.col("count"), "v")).alias("v"))
+    return best.agg(F.map_from_entries(F.collect_list(F.struct("rule", "v"))).alias("modes"))
+
+
 def unsettled(rules: Sequence[Rule], steps: Sequence[HealStep]) -> list[Rule]:
     """Rules that first-pass steps have not already made true.
 
@@ -209,11 +222,27 @@ def heal_by_rules(df: DataFrame, rules: Sequence[Rule], mode_of=None) -> DataFra
     ``not_null`` fills a typed default, ``in_set`` writes the most common valid
     value (null counts as invalid here), ``between`` clamps.  Later rules see
     earlier repairs because each column's expression is folded; only ``in_set``
-    needs data, and it enters as a scalar subquery of at most one row.
+    needs data: one scan gives the values of all such rules, but for a second one
+    on the same column, which depends on the first.
     """
     types = {f.name: f.dataType for f in df.schema.fields}
     folded: dict[str, Column] = {}
-    for rule in rules:
+    modes = None
+    if mode_of is None:
+        before: dict[str, Column] = {}
+        asked = []
+        for i, rule in enumerate(rules):
+            now = before.get(rule.column, F.col(rule.column))
+            if rule.kind == NOT_NULL and rule.column in types and (default := typed_default(types[rule.column])) is not None:
+                before[rule.column] = F.coalesce(now, default)
+            elif rule.kind == BETWEEN and rule.column in types:
+                before[rule.column] = _bounded(now, rule, types[rule.column])
+            elif rule.kind == IN_SET and rule.values and rule.column in types and all(
+                    r.column != rule.column for r in rules[:i] if r.kind == IN_SET):
+                asked.append((i, now, rule.values))
+        modes = common_valid(df, asked) if asked else None
+        known = {i for i, *_ in asked}
+    for i, rule in enumerate(rules):
         if rule.column not in types:
             continue
         now = folded.get(rule.column, F.col(rule.column))
@@ -222,19 +251,21 @@ def heal_by_rules(df: DataFrame, rules: Sequence[Rule], mode_of=None) -> DataFra
             if default is not None:
                 folded[rule.column] = F.coalesce(now, default)
         elif rule.kind == IN_SET and rule.values:
-            best = (mode_of or most_common_valid)(df, now, rule.values)
-            filler = F.coalesce(best.scalar(), F.lit(rule.values[0])).cast(types[rule.column])
+            best = (F.try_element_at(modes.scalar(), F.lit(i)) if modes is not None and i in known else
+                    (mode_of or most_common_valid)(df, now, rule.values).scalar())
+            filler = F.coalesce(best, F.lit(rule.values[0])).cast(types[rule.column])
             valid = C.is_in(now.cast("string"), rule.values)
             folded[rule.column] = F.when(valid, now).otherwise(filler)
         elif rule.kind == BETWEEN:
-            v = C.to_number(now)
-            bounded = C.clamp(v, rule.min_value, rule.max_value)
-            folded[rule.column] = F.when(v.isNull(), now).otherwise(
-                bounded.cast(types[rule.column])
-            )
+            folded[rule.column] = _bounded(now, rule, types[rule.column])
     return df.select(*[folded.get(c, F.col(c)).alias(c) for c in df.columns])
 
 
+def _bounded(now: Column, rule: Rule, dtype: T.DataType) -> Column:
+    v = C.to_number(now)
+    return F.when(v.isNull(), now).otherwise(C.clamp(v, rule.min_value, rule.max_value).cast(dtype))
+
+
 RULE_FIXES = {
     NOT_NULL: ("nulls after first pass", "filled UNKNOWN/0"),
     IN_SET: ("values not in set", "most common valid value"),
@@ -303,9 +334,6 @@ def heal_from_checks(df: DataFrame, spec: DatasetSpec, failed: Sequence[Rule]) -
 
 # --- user-supplied repairs -------------------------------------------------
 
-_FORBIDDEN = (" over ", " over(", "select ", "count(", "sum(", "avg(", "min(", "max(", "explode(")
-
-
 @dataclass(frozen=True)
 class RepairSpec:
     """Set ``column`` to an SQL expression on the rows where a condition holds."""
@@ -322,9 +350,18 @@ class DropSpec:
     where_expr: str
 
 
-def _row_expression(text: str) -> Column:
-    flat = f" {' '.join(text.lower().split())} "
-    if any(f in flat for f in _FORBIDDEN):
+def _row_expression(df: DataFrame, text: str) -> Column:
+    """An SQL expression over the columns of df that looks at one row alone.
+
+    Decided on the plan that Spark's analysis makes of it: an aggregate, window or generator changes the plan around
+    the projection, a subquery hangs below it, and an unknown column fails.
+    """
+    try:
+        plan = df.select(F.expr(text))._jdf.queryExecution().analyzed()
+    except AnalysisException as err:
+        raise ValueError(f"a repair may only use row-level expressions over known columns: {err}") from err
+    own = df._jdf.queryExecution().analyzed()
+    if plan.nodeName() != "Project" or not plan.child().equals(own) or not plan.subqueries().isEmpty():
         raise ValueError("a repair may only use row-level expressions")
     return F.expr(text)
 
@@ -332,14 +369,14 @@ def _row_expression(text: str) -> Column:
 def repair(df: DataFrame, specs: Sequence[RepairSpec | DropSpec]) -> DataFrame:
     """Apply repairs in order as projections and filters; no statement is executed."""
     for spec in specs:
-        hit = F.coalesce(_row_expression(spec.where_expr), F.lit(False))
+        hit = F.coalesce(_row_expression(df, spec.where_expr), F.lit(False))
         if isinstance(spec, DropSpec):
             df = df.where(~hit)
             continue
         if spec.column not in df.columns:
             raise ValueError(f"unknown column {spec.column!r}")
         dtype = df.schema[spec.column].dataType
-        fixed = F.when(hit, _row_expression(spec.set_expr).cast(dtype)).otherwise(F.col(spec.column))
+        fixed = F.when(hit, _row_expression(df, spec.set_expr).cast(dtype)).otherwise(F.col(spec.column))
         df = df.withColumn(spec.column, fixed)
     return df
 

@@ -7,6 +7,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from siltgate.operators import recall
+from siltgate.operators import percentiles
 from siltgate.operators.percentiles import column_percentiles, exact_median, exact_percentiles, to_long
 from siltgate.operators.profile import distinct_counts
 from siltgate.operators import validate
@@ -90,3 +91,26 @@ def test_hot_keys_count_right(spark):
     assert got == {"k": 6001, "n": 4500}
     res = validate.check_results(df, [unique("k"), unique("n"), unique("k", "n")]).collect()
     assert [r["failed_count"] for r in sorted(res, key=lambda r: r["rule_id"])] == [2999, 4499, 1499]
+
+
+@pytest.mark.parametrize("n", [900, 9_000])
+def test_what_one_task_sorts_stays_bounded(spark, monkeypatch, n):
+    """Ten times the rows take more levels, not larger ranges; answers stay exact, skewed values and hot ones included."""
+    rng = np.random.default_rng(n)
+    values = np.concatenate([rng.exponential(1, n) ** 6, rng.integers(0, 5, n // 3).astype(float)])
+    df = spark.createDataFrame([(float(v),) for v in values], "a double").repartition(4)
+    bound, side, seen = 60, 2, []
+    real = percentiles._narrowed
+
+    def narrowed(rows, by, *args):
+        out = real(rows, by, *args)
+        seen.append(out.groupBy(*by, "path").count().agg(F.max("count")).head()[0])
+        return out
+
+    monkeypatch.setattr(percentiles, "_narrowed", narrowed)
+    levels = percentiles.levels_for(n, bound, side)
+    probs = [0.0, 0.01, 0.5, 0.977, 1.0]
+    got = exact_percentiles(to_long(df, ["a"]), probs, side=side, levels=levels).first()
+    assert np.allclose([got[f"p{i}"] for i in range(5)], np.quantile(values, probs))
+    assert len(seen) == levels and seen[-1] <= 2 * bound
+    assert percentiles.levels_for(9_000, bound, side) > percentiles.levels_for(900, bound, side)

@@ -133,3 +133,36 @@ def test_members_of_a_set_of_any_size(spark, customers):
     allowed = spark.createDataFrame([("SP",), ("SP",), ("RJ",), (None,)], "s string")
     assert {r["customer_state"] for r in route.member_rows(customers, "customer_state", allowed).collect()} == {"SP", "RJ"}
     assert route.member_rows(customers, "customer_state", allowed, keep=False).count() == 3
+
+
+def test_repairs_are_judged_by_the_analysed_expression(spark):
+    df = spark.createDataFrame([(1, "select one"), (2, "b")], "a int, b string")
+    found = heal.repair(df, [heal.RepairSpec("b", "'select one'", "b = 'b'")])
+    assert [r.b for r in found.collect()] == ["select one", "select one"]
+    refused = ("percentile(a, 0.5)", "max_by(a, b)", "count (1)", "sum(a) over (order by a)", "explode(array(a))",
+               "(select max(1))", "nothing", "a in (select 1)")
+    for text in refused:
+        with pytest.raises(ValueError, match="row-level"):
+            heal.repair(df, [heal.RepairSpec("a", text, "true")])
+        with pytest.raises(ValueError, match="row-level"):
+            heal.repair(df, [heal.DropSpec(f"{text} is null")])
+
+
+def test_one_scan_fills_every_value_rule(spark, tmp_path):
+    rows = [("a", "x", 1.0), ("a", "y", None), ("z", "y", 5.0), (None, None, 99.0)]
+    spark.createDataFrame(rows, "p string, q string, v double").write.parquet(str(tmp_path / "t"))
+    df = spark.read.parquet(str(tmp_path / "t"))
+    rules = [in_set("p", ["a", "b"]), in_set("q", ["x", "y"]), not_null("v"), between("v", 0, 10)]
+    found = heal.heal_by_rules(df, rules)
+    assert sorted(map(tuple, found.collect())) == [("a", "x", 1.0), ("a", "y", 0.0), ("a", "y", 5.0), ("a", "y", 10.0)]
+
+    def scans(plan):
+        return plan._jdf.queryExecution().optimizedPlan().toString().count("Relation [")
+
+    # The subquery of all rules is one plan: more rules make no more of it.
+    assert scans(heal.heal_by_rules(df, rules[:1])) == 2
+    found.collect()
+    executed = found._jdf.queryExecution().executedPlan().toString()
+    assert executed.split("Initial Plan")[0].count("FileScan") <= 2
+    again = heal.heal_by_rules(df, [in_set("p", ["a", "b"]), in_set("p", ["b", "z"])])
+    assert {r.p for r in again.collect()} == {"b"}

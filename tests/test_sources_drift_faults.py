@@ -135,3 +135,12 @@ def test_text_scan_equals_plain_search_and_reads_long_runs_once(spark):
 def test_approximate_profile_spares_the_shuffle(customers):
     got = {r["column_name"]: r["distinct_count"] for r in profile.profile(customers, exact=False).collect()}
     assert got["customer_id"] == 5
+
+
+def test_trend_folds_batches_of_one_shape(spark):
+    rows = [(1, "a", None, None), (1, None, None, None), (2, "a", None, None), (4, "a", 1, None), (5, None, 1, 2.0), (9, "b", 1, None)]
+    df = spark.createDataFrame(rows, "batch_id long, x string, y int, z double")
+    found = drift.trend(drift.batch_shapes(df, "d")).orderBy("segment").collect()
+    assert [tuple(r)[1:] for r in found] == [
+        (1, 1, 2, 2, 3, "x", ""), (2, 4, 4, 1, 1, "y", ""), (3, 5, 5, 1, 1, "z", "x"), (4, 9, 9, 1, 1, "x", "z")]
+    assert drift.trend(drift.batch_shapes(df.limit(0), "d")).count() == 0
