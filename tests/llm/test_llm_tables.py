@@ -2,6 +2,7 @@
 
 import html as references
 import re
+import time
 
 import numpy as np
 import pytest
@@ -111,6 +112,32 @@ def test_lists_are_cut_into_blocks(spark, monkeypatch):
     assert np.mean([len({i for i, _ in found[q]} & {i for i, _ in want[q]}) / 20 for q in want]) >= 0.9
 
 
+@pytest.mark.parametrize("dim", [64, 240, 300])
+@pytest.mark.parametrize("long", [1.0, 1000.0])
+def test_recall_of_the_lists_alone(monkeypatch, dim, long):
+    """Few seeds bound the distances and give no answers; one vector may be far longer than all others."""
+    monkeypatch.setattr(ann, "SEEDS", 200)
+    rng = np.random.default_rng(dim)
+    data = rng.standard_normal((6000, dim)) / 2 + rng.standard_normal((60, dim))[rng.integers(0, 60, 6000)]
+    data /= np.linalg.norm(data, axis=1, keepdims=True)
+    data[17] *= long
+    ids = np.arange(6000)
+    model = ann.Model(ids, data, float(np.linalg.norm(data, axis=1).max()), 77, 20)
+    near, asked = model.nearest(model.lifted(data)), ids[::60]
+    bounds = model.limits(asked, data[asked], 20)
+    score = data[asked] @ data.T
+    score[np.arange(len(asked)), asked] = -np.inf
+    want = np.argsort(-score, axis=1)[:, :20]
+    hits, walked = 0, 0
+    for i, lists in enumerate(model.probes(data[asked], model.probed)):
+        found = [ann.scan_list(model, data[asked[i:i + 1]], asked[i:i + 1], bounds[i:i + 1], data[near == x], ids[near == x], 20)
+                 for x in lists]
+        best = ann.first_k(*(np.concatenate([f[k] for f in found]) for k in range(3)), 20)[1]
+        hits += len(set(best.tolist()) & set(want[i].tolist()))
+        walked += sum(near[near == x].size for x in lists)
+    assert hits / (20 * len(asked)) >= 0.9 and walked < 0.5 * 6000 * len(asked)
+
+
 def test_whole_vectors_only(odd):
     assert {r.vec_id for r in odd.where(~vectors.whole(F.col("embedding"))).collect()} == {300, 400, 500, 900}
 
@@ -155,6 +182,28 @@ def test_html_parts_that_leave(spark):
     assert html.extract(df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("mark", ['class="%s" role="navigation"', 'class="%s sidebar"', 'class="%s" id="sidebar"',
+                                  'id="sidebar" class="%s zz-%s"'])
+def test_long_marks_are_judged_whole(spark, mark):
+    many = " ".join(f"md:utility-class-{x}-of-a-long-name" for x in "abcdefghijklmnop")
+    menu = f"<div {mark.replace('%s', many)}><a href=/a>menu entry 0</a> <a href=/b>home</a></div>"
+    pages = [(i, f"http://h.com/{i}", f"<body>{menu}<div class='{many} text'><p>Own text number {i} of the page</p></div></body>",
+              None, None, None) for i in range(8)]
+    found = html.extract(spark.createDataFrame(pages, PAGES)).collect()
+    assert {r.page_id: r.text for r in found} == {i: f"Own text number {i} of the page" for i in range(8)}
+    assert html._key("div", f' class="{many}" role=main').endswith("@main") and len(html._key("p", f" class='{many}'")) < 210
+
+
+def test_deep_markup_takes_linear_time():
+    def seconds(n):
+        start = time.perf_counter()
+        assert sum(1 for _ in html.walk("<div><p>" * n + "x" + "</p></div>" * n)) > 2 * n
+        return time.perf_counter() - start
+
+    seconds(500)
+    assert seconds(32_000) < 24 * seconds(4_000) + 0.1
+
+
 def test_wrappers_align_in_any_order():
     pages = [f"<div><p>{i}</p>" + ("<p>x</p>" if i % 2 else "<h2>y</h2>") + "<p>same</p></div>" for i in range(6)]
     one, parts = html.Wrapper(), [html.Wrapper(), html.Wrapper()]

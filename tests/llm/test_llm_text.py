@@ -205,14 +205,14 @@ def test_spaced_identifiers_and_patterns_found_in_rounds(spark):
     assert spans[20] == "phone:19:33" and spans[50] == "phone:13:24"
 
 
-def shingle_set(text):
+def shingle_set(text, n=4):
     words = re.findall(r"[^\x20\x09-\x0D]+", "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or ""))
-    return frozenset([tuple(words)]) if 0 < len(words) < 4 else frozenset(tuple(words[i:i + 4]) for i in range(len(words) - 3))
+    return frozenset([tuple(words)]) if 0 < len(words) < n else frozenset(tuple(words[i:i + n]) for i in range(len(words) - n + 1))
 
 
-def linked(rows):
+def linked(rows, words=4, percent=85):
     """doc_id -> smallest id, by every pair."""
-    sets = [(k, shingle_set(t)) for k, t in rows]
+    sets = [(k, shingle_set(t, words)) for k, t in rows]
     root = list(range(len(sets)))
 
     def find(i):
@@ -223,9 +223,9 @@ def linked(rows):
     for a, (_, x) in enumerate(sets):
         for b in range(a):
             y = sets[b][1]
-            if x and y and 100 * min(len(x), len(y)) >= 85 * max(len(x), len(y)):
+            if x and y and 100 * min(len(x), len(y)) >= percent * max(len(x), len(y)):
                 both = len(x & y)
-                if 100 * both >= 85 * (len(x) + len(y) - both):
+                if 100 * both >= percent * (len(x) + len(y) - both):
                     root[find(a)] = find(b)
     least = {}
     for i, (k, _) in enumerate(sets):
@@ -275,6 +275,23 @@ def test_ngram_join_of_odd_rows(odd, none):
     assert ngram_join.join(none).count() == 0
     kept = ngram_join.keep_one(odd)
     assert kept.columns == odd.columns and Counter(r.doc_id for r in kept.collect()) == Counter(set(by_id))
+    clash = odd.withColumns({c: F.lit(1) for c in ("key", "rows", "kept_key", "kept_rows", "component_id", "spans")})
+    assert ngram_join.keep_one(clash).columns == clash.columns and ngram_join.keep_one(clash).count() == kept.count()
+
+
+@pytest.mark.parametrize(("words", "percent"), [(5, 80), (2, 50), (1, 99)])
+def test_ngram_join_of_other_likeness(spark, words, percent):
+    texts = copies(30, 60, 4, 1) + copies(20, 200, 30, 2) + copies(20, 9, 2, 3)
+    rows = list(enumerate(texts))
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    found = {r.doc_id: r.component_id for r in ngram_join.join(df, words=words, percent=percent).collect()}
+    assert found == linked(rows, words, percent)
+
+
+def test_masked_columns_of_any_name(odd):
+    clash = odd.withColumns({c: F.lit("x") for c in ("key", "text_hash", "spans", "mask_key", "mask_spans", "base")})
+    found = private.mask_private(clash)
+    assert found.columns == clash.columns and found.count() == clash.count()
 
 
 def test_components(spark):
@@ -304,7 +321,23 @@ def test_mixing_meets_the_weights(spark):
     # Blocks before the last are whole.
     per_block = Counter((r.source, r.mix_block) for r in found.where("source = 'hot'").select("source", "mix_block").collect())
     full = Counter((r.source, r.b) for r in df.where("source = 'hot'").select(
-        "source", mixing.block_of(F.col("doc_id"), F.lit(-(-sum(s == "hot" for _, _, s in rows) // 64) or 1)).alias("b")).collect())
+        "source", (mixing.block_draw(F.col("doc_id"), F.md5("text")) % F.lit(-(-sum(s == "hot" for _, _, s in rows) // 64) or 1)).alias(
+            "b")).collect())
     assert sum(per_block[k] != full[k] for k in per_block) <= 2
     assert mixing.mix(df.limit(0)).count() == 0
     assert mixing.bisect(lambda s: s <= 37, 0, 100) == 37 and mixing.bisect(lambda s: False, 3, 9) == 3
+
+
+def test_mixing_uses_rows_without_a_key(spark):
+    rows = [(i, f"w {i}", "a") for i in range(1400)] + [(None, f"n {i}", "a") for i in range(400)] + [(None, "same", "a")] * 3
+    rows += [(5000 + i, "b b", "b") for i in range(100)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    found = mixing.mix(df, budget=2400, entropy=0.9, repeats=1.0, block_docs=64)
+    used = Counter(r.doc_id is None for r in found.where("source = 'a' and mix_epoch = 0").collect())
+    assert 0.15 < used[True] / (used[True] + used[False]) < 0.3 and used[False] < 1400
+    import duckdb
+
+    documents = df.toPandas().astype({"doc_id": "Int64"})  # noqa: F841
+    want = Counter(duckdb.sql(mixing.mix_sql(0.9, 4.0, 64)).fetchall())
+    got = mixing.mix(df, entropy=0.9, repeats=4.0, block_docs=64)
+    assert Counter((r.doc_id, r.source, r.mix_tokens, r.mix_epoch, r.mix_block, r.mix_draw) for r in got.collect()) == want
