@@ -299,7 +299,7 @@ h AS (SELECT dataset, COUNT(*) AS heal_count FROM heal_log GROUP BY dataset)
 SELECT 'run-' || dataset || '-heal-' || i AS audit_id, 'run' AS run_id, dataset, layer AS node_name, issue AS error_type,
   healed_rows || ' rows in ' || column_name AS error_message, fix AS fix_applied, 'HEALED' AS pipeline_status,
   clean_rows, quarantine_rows, raw_rows, heal_count FROM e JOIN run_totals USING (dataset)
-UNION ALL SELECT 'run-' || dataset || '-summary', 'run', dataset, 'RUN_SUMMARY', 'none', '', 'completed',
+UNION ALL SELECT 'run-' || dataset || '-summary', 'run', dataset, 'PIPELINE_SUMMARY', 'none', '', 'completed',
   CASE WHEN clean_rows > 0 THEN 'SUCCESS' ELSE 'ESCALATED' END, clean_rows, quarantine_rows, raw_rows,
   COALESCE(heal_count, 0) FROM run_totals LEFT JOIN h USING (dataset)"""
 

@@ -13,6 +13,11 @@ from siltgate.spec import HIGH, MEDIUM, DatasetSpec
 #: What a batch writes: the layer it reads and the layer it fills.
 WRITES = (("bronze", "silver"), ("bronze", "quarantine"), ("silver", "masked"), ("silver", "gold"))
 
+#: The audit record's fields and states (fixed values: readers of the log know them by these names).
+AUDIT_FIELDS = ("audit_id", "run_id", "dataset", "node_name", "error_type", "error_message", "fix_applied", "pipeline_status",
+                "clean_rows", "quarantine_rows", "raw_rows", "heal_count")
+HEALED, SUMMARY = "HEALED", "PIPELINE_SUMMARY"
+
 
 def run_counts(raw: DataFrame, spec: DatasetSpec, steps: list[HealStep]) -> DataFrame:
     """Raw, clean and quarantined rows and the number of failing rules, in one scan."""
@@ -70,22 +75,21 @@ def audit_rows(events: DataFrame, counts: DataFrame, run_id: str) -> DataFrame:
     Events number a few per dataset, so ranking them per dataset is cheap.
     """
     order = Window.partitionBy("dataset").orderBy("layer", "column_name", "issue")
-    numbered = events.withColumn("i", F.row_number().over(order))
-    per = events.groupBy("dataset").agg(F.count(F.lit(1)).alias("heal_count"))
-    totals = counts.join(per, "dataset", "left").fillna(0, ["heal_count"])
-    tail = ["clean_rows", "quarantine_rows", "raw_rows", "heal_count"]
-    heals = numbered.join(totals, "dataset").select(
-        F.concat(F.lit(f"{run_id}-"), F.col("dataset"), F.lit("-heal-"), F.col("i").cast("string")).alias("audit_id"),
-        F.lit(run_id).alias("run_id"), "dataset", F.col("layer").alias("node_name"),
-        F.col("issue").alias("error_type"),
-        F.concat(F.col("healed_rows").cast("string"), F.lit(" rows in "), F.col("column_name")).alias("error_message"),
-        F.col("fix").alias("fix_applied"), F.lit("HEALED").alias("pipeline_status"), *tail)
-    summary = totals.select(
-        F.concat(F.lit(f"{run_id}-"), F.col("dataset"), F.lit("-summary")).alias("audit_id"),
-        F.lit(run_id).alias("run_id"), "dataset", F.lit("RUN_SUMMARY").alias("node_name"),
-        F.lit("none").alias("error_type"), F.lit("").alias("error_message"),
-        F.lit("completed").alias("fix_applied"),
-        F.when(F.col("clean_rows") > 0, "SUCCESS").otherwise("ESCALATED").alias("pipeline_status"), *tail)
+    events = events.withColumn("heal_count", F.count(F.lit(1)).over(Window.partitionBy("dataset"))).withColumn(
+        "i", F.row_number().over(order))
+    known = events.select("dataset", "heal_count").distinct()
+    totals = counts.join(known, "dataset", "left").fillna(0, ["heal_count"])
+
+    def record(df: DataFrame, suffix, node, kind, message, fix, status) -> DataFrame:
+        values = dict(zip(AUDIT_FIELDS, (F.concat_ws("-", F.lit(run_id), "dataset", suffix), F.lit(run_id), F.col("dataset"),
+                                         node, kind, message, fix, status), strict=False))
+        return df.select(*[values.get(f, F.col(f)).alias(f) for f in AUDIT_FIELDS])
+
+    heals = record(events.drop("heal_count").join(totals, "dataset"), F.concat(F.lit("heal-"), F.col("i").cast("string")),
+                   F.col("layer"), F.col("issue"), F.concat(F.col("healed_rows").cast("string"), F.lit(" rows in "), F.col("column_name")),
+                   F.col("fix"), F.lit(HEALED))
+    summary = record(totals, F.lit("summary"), F.lit(SUMMARY), F.lit("none"), F.lit(""), F.lit("completed"),
+                     F.when(F.col("clean_rows") > 0, "SUCCESS").otherwise("ESCALATED"))
     return heals.unionByName(summary)
 
 
