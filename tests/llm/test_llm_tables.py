@@ -3,6 +3,7 @@
 import html as references
 import re
 import time
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -12,8 +13,9 @@ from tests.conftest import FOLDER
 
 import __spark_entry__ as entry
 import corpus_pipeline
-from siltgate.llm import ann, html, queries, topk, urls, vectors
-from tests.llm.test_llm_text import held_packing
+from siltgate.llm import ann, html, langid, mixing, private, queries, topk, urls, vectors
+from siltgate.llm.common import stored
+from tests.llm.test_llm_text import held_packing, linked
 
 
 @pytest.mark.parametrize("name", sorted(queries.ORACLES))
@@ -356,3 +358,65 @@ def test_pipeline(spark):
     assert held_packing(before.collect(), texts) > 0.9
     again = corpus_pipeline.run(spark, FOLDER)
     assert again.columns == before.columns and again.count() == before.count()
+
+
+def plain_mask(text, spans):
+    """Spans replaced by their kind; overlapping ones become one."""
+    out, at = "", 0
+    for s in spans:
+        if s.start >= at:
+            out += text[at:s.start] + f"[{private.KINDS[s.rank].upper()}]"
+        at = max(at, s.end)
+    return out + text[at:]
+
+
+def test_pipeline_against_plain_python(spark):
+    """Every stage on its own input, with null keys and texts, copies, repeated rows and columns of clashing names."""
+    import duckdb
+
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    rows = [(*r, "x", "y") for r in docs.where("doc_id < 120").collect()]
+    long = max((r for r in rows if len(r[1]) < 4000), key=lambda r: len(r[1].split()))
+    rows += [(None, rows[0][1], "en", "src1", 10, "x", "y"), (None, "mail me at a.b@c.de, please: 10.0.0.1", "en", None, 1, "x", "y"),
+             (500, None, "en", "src1", None, None, None), (501, "", "en", "src1", 0, None, None), (None, None, None, None, None, None, None),
+             (502, long[1] + " one more word", "en", "src2", 1, "x", "y"), (503, long[1], None, "src2", 1, "x", "y"),
+             (503, long[1], None, "src2", 1, "x", "y"), (504, "1 2 3 ...", "en", "src0", 1, "x", "y")]
+    kind = "doc_id long, text string, lang string, source string, n_chars long, spans string, key string"
+    before = spark.createDataFrame(rows, kind).repartition(3)
+    stages = dict(corpus_pipeline.STAGES)
+
+    def step(name):
+        return stored(stages[name](spark, before, FOLDER), name)
+
+    model = langid.fit(before)
+    after = step("language_id")
+    counts = [(r, langid.subwords(r.text) if r.text else None) for r in before.collect()]
+    want = Counter(tuple(r) for r, c in counts if c is not None and model.score(c).max() >= model.threshold)
+    assert Counter(map(tuple, after.collect())) == want and after.columns == before.columns
+    before = after
+    after = step("ngram_join")
+    held = before.collect()
+    linked_to = linked(list({r.doc_id: (r.doc_id, r.text) for r in held if r.doc_id is not None}.values()), 5, 80)
+    want = {tuple(r) for r in held if r.doc_id is not None and linked_to[r.doc_id] == r.doc_id}
+    assert Counter(map(tuple, after.where("doc_id is not null").collect())) == Counter(want)
+    assert Counter(tuple(r) for r in held if r.doc_id is None) == Counter(map(tuple, after.where("doc_id is null").collect()))
+    assert 502 in linked_to and linked_to[502] != 502
+    before = after
+    after = step("private_data")
+    spans = {(r.doc_id, r.text_hash): r.spans for r in private.find_private(before).collect()}
+    hashes = before.select("*", F.xxhash64("text").alias("h")).collect()
+    texts = [plain_mask(r.text, spans[r.doc_id, r.h]) for r in hashes]
+    want = Counter((r.doc_id, t, r.lang, r.source, len(t), r.spans, r.key) for r, t in zip(hashes, texts, strict=True))
+    assert Counter(map(tuple, after.collect())) == want and any("[EMAIL]" in t for t in texts)
+    before = after
+    after = step("mixing")
+    documents = before.toPandas().astype({"doc_id": "Int64"})  # noqa: F841
+    want = Counter(duckdb.sql(f"SELECT doc_id, source FROM ({mixing.mix_sql()})").fetchall())
+    assert Counter((r.doc_id, r.source) for r in after.collect()) == want
+    before = after
+    found = step("packing")
+    assert held_packing(found.collect(), [(r.doc_id, r.text) for r in before.collect()]) > 0.5
+    before = spark.createDataFrame([], kind)
+    for name in stages:
+        before = step(name)
+        assert before.count() == 0
