@@ -31,6 +31,8 @@ SPLIT_BYTES = 2_000_000
 FILTER_BITS = 1 << 22
 #: Queries that are answered together in one task.
 QUERIES = 1_024
+#: Blocks that share a copy of their queries.
+SHARED = 4
 #: The share of blocks whose scores the others have to beat.
 FIRST = 16
 #: Neighbours by weight that a query's term is paired with.
@@ -234,7 +236,7 @@ def _near(terms: list[int]) -> Iterator[tuple[int, int]]:
             yield (i, j) if i < j else (j, i)
 
 
-def build_index(found: DataFrame, asked: DataFrame, parts: int, documents: int, all_terms: int) -> DataFrame:
+def build_index(found: DataFrame, asked: DataFrame, parts: int, spread: int, documents: int, all_terms: int) -> DataFrame:
     """Each block with each part of the queries: the lists of the part's terms with their impacts, and its term pairs' joint maxima."""
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -258,21 +260,20 @@ def build_index(found: DataFrame, asked: DataFrame, parts: int, documents: int,
                     [*(batch.column(c).slice(row, 1) for c in ("block", "part", "keys")),
                      *(pa.array([squeezed(x)], pa.binary()) for x in parts_of)], ["block", "part", "keys", *_INDEX])
 
-    spread = found.drop("docs", "all_terms").withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
+    rows = found.drop("docs", "all_terms").withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
     keys = found.schema["keys"].dataType.simpleString()
-    return _meet(spread, asked).mapInArrow(build, f"block long, part int, keys {keys}, " +
+    return _meet(rows, asked, spread).mapInArrow(build, f"block long, part int, keys {keys}, " +
                                            ", ".join(f"{c} binary" for c in _INDEX))
 
 
-def _meet(rows: DataFrame, asked: DataFrame) -> DataFrame:
-    """Rows of blocks with their part of the queries; copies of a part are dealt over the tasks."""
-    salts = shuffle_width(rows.sparkSession)
-    rows = rows.withColumn("salt", F.pmod(F.xxhash64("block"), F.lit(salts)).cast("int"))
-    copies = asked.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return rows.join(copies, ["part", "salt"])
+def _meet(rows: DataFrame, asked: DataFrame, spread: int) -> DataFrame:
+    """Rows of blocks with their part of the queries, of which `spread` copies are dealt over the tasks, never broadcast."""
+    rows = rows.withColumn("salt", F.pmod(F.xxhash64("block"), F.lit(spread)).cast("int"))
+    copies = asked.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(spread - 1))))
+    return rows.join(copies.hint("merge"), ["part", "salt"])
 
 
-def search_index(index: DataFrame, asked: DataFrame, key: str, top: int) -> DataFrame:
+def search_index(index: DataFrame, asked: DataFrame, spread: int, key: str, top: int) -> DataFrame:
     """no, key, score: per block what may be among a query's best. asked: part, asked (no, term, weight), beat (no -> score)."""
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -298,7 +299,7 @@ def search_index(index: DataFrame, asked: DataFrame, key: str, top: int) -> Data
                          pa.array(np.concatenate(score), pa.int64())], ["no", key, "score"])
 
     kind = index.schema["keys"].dataType.elementType.simpleString()
-    return _meet(index, asked).mapInArrow(search, f"no long, `{key}` {kind}, score long")
+    return _meet(index, asked, spread).mapInArrow(search, f"no long, `{key}` {kind}, score long")
 
 
 def search(docs: DataFrame, queries: DataFrame, key: str = "doc_id", text: str = "text", item: str = "item_id",
@@ -316,7 +317,8 @@ def search(docs: DataFrame, queries: DataFrame, key: str = "doc_id", text: str =
     wanted = np.zeros(FILTER_BITS, dtype=bool)
     wanted[words.toPandas()["bit"].to_numpy(dtype=np.int64)] = True
     found = stored(blocks(docs, wanted, key, text), "blocks")
-    total = found.agg(F.coalesce(F.sum("docs"), F.lit(0)), F.coalesce(F.sum("all_terms"), F.lit(0))).head()
+    total = found.agg(F.coalesce(F.sum("docs"), F.lit(0)), F.coalesce(F.sum("all_terms"), F.lit(0)), F.count("*")).head()
+    spread = max(1, min(shuffle_width(spark), total[2] // SHARED))
 
     def lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -329,14 +331,14 @@ def search(docs: DataFrame, queries: DataFrame, key: str = "doc_id", text: str =
     part = F.pmod(F.xxhash64("no"), F.lit(parts)).cast("int").alias("part")
     weights = stored(terms.join(held, "term").select(part, "no", "term", (idf * F.col("times")).alias("weight")), "weights")
     asked = weights.groupBy("part").agg(F.collect_list(F.struct("no", "term", "weight")).alias("asked"))
-    index = stored(build_index(found, asked, parts, total[0], total[1]), "index")
+    index = stored(build_index(found, asked, parts, spread, total[0], total[1]), "index")
     best = Window.partitionBy("no").orderBy(F.desc("score"), F.asc_nulls_last(key))
     first = F.pmod(F.xxhash64("block", F.lit(1)), F.lit(FIRST)) == 0
     none = F.lit(None).cast("map<bigint,bigint>")
-    early = stored(search_index(index.where(first), asked.withColumn("beat", none), key, top), "early")
+    early = stored(search_index(index.where(first), asked.withColumn("beat", none), spread, key, top), "early")
     beat = early.withColumn("rank", F.row_number().over(best)).where(F.col("rank") == top).select(part, "no", "score")
     beat = beat.groupBy("part").agg(F.map_from_entries(F.collect_list(F.struct("no", "score"))).alias("beat"))
-    late = search_index(index.where(~first), asked.join(beat, "part", "left"), key, top)
+    late = search_index(index.where(~first), asked.join(beat, "part", "left"), spread, key, top)
     ranked = early.unionByName(late).withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= top)
     names = terms.select("no", item).distinct()
     return ranked.join(names, "no").select(item, F.col("rank").cast("int").alias("rank"), key, "score")
