@@ -13,6 +13,8 @@ import json
 import re
 from collections.abc import Iterator
 from functools import cache
+from itertools import accumulate
+from operator import add
 
 import numpy as np
 import pyarrow as pa
@@ -88,40 +90,66 @@ def tokenizer(path: str) -> ByteLevel | Pieces:
 
 
 @cache
-def _tables(path: str) -> tuple[np.ndarray, list[str]]:
-    """Bytes per id, and ids as text."""
+def _tables(path: str, bar: str = "") -> tuple[list[int], list[str]]:
+    """Bytes per id, and ids as text; those of the second side after a bar."""
     found = tokenizer(path).bytes
-    return np.array([len(b) for b in found], dtype=np.int64), [str(i) for i in range(len(found))]
+    return [len(b) for b in found], [f"{bar}{i}" for i in range(len(found))]
 
 
-def runs(a: list[int], b: list[int]) -> Iterator[tuple[int, int, int, int]]:
-    """a, b: increasing ends of the same bytes -> (i, j, n_a, n_b): n_a == n_b > 0 one-to-one tokens from i and j on,
-    or, told apart by a negative n_a, one irregular group of -n_a and n_b tokens."""
+def runs(a: list[int], b: list[int]) -> tuple[list[tuple[int, int, int, int]], list[int], list[int]]:
+    """a, b: increasing ends of the same bytes -> groups (i, j, n_a, n_b), and the token indices of every overlap.
+
+    n_a > 0: that many one-to-one tokens from i and j on; n_a < 0: one irregular group of -n_a and n_b tokens.
+    """
+    found, link_a, link_b = [], [], []
     i = j = 0
     n = len(a)
     while i < n:
-        first, shift, step = i, j - i, 1
-        while i < n and a[i:i + step] == b[i + shift:i + shift + step]:
-            i += step
-            step *= 2
-        while step > 1:
-            step //= 2
-            if i + step <= n and a[i:i + step] == b[i + shift:i + shift + step]:
+        first, shift, step = i, j - i, 8
+        near = min(n, i + 4)
+        while i < near and a[i] == b[j]:
+            i += 1
+            j += 1
+        if near == i < n:
+            # The run is longer: compare stretches, each twice as long, then find its end in the one that differs.
+            while i < n and a[i:i + step] == b[i + shift:i + shift + step]:
                 i += step
-        i = min(i, n)
-        if i > first:
-            yield first, first + shift, i - first, i - first
-        if i == n:
-            return
+                step += step
+            if i < n:
+                while step > 8:
+                    step >>= 1
+                    if a[i:i + step] == b[i + shift:i + shift + step]:
+                        i += step
+                j = i + shift
+                while a[i] == b[j]:
+                    i += 1
+                    j += 1
+            else:
+                i = n
         j = i + shift
+        if i > first:
+            found.append((first, first + shift, i - first, i - first))
+            link_a += range(first, i)
+            link_b += range(first + shift, j)
+            if i == n:
+                break
+        # Within a group no two ends are equal: each step past the smaller end is one more overlap.
         x, y = i, j
-        while a[x] != b[y]:
-            if a[x] < b[y]:
+        end_a, end_b = a[x], b[y]
+        while True:
+            link_a.append(x)
+            link_b.append(y)
+            if end_a < end_b:
                 x += 1
-            else:
+                end_a = a[x]
+            elif end_b < end_a:
                 y += 1
-        yield i, j, i - x - 1, y + 1 - j
+                end_b = b[y]
+            else:
+                break
+        found.append((i, j, i - x - 1, y + 1 - j))
         i, j = x + 1, y + 1
+    return found, link_a, link_b
 
 
 class Alignment:
@@ -140,33 +168,18 @@ class Alignment:
             if max(ids) >= len(table) or b"".join(map(table.__getitem__, ids)) != wanted:
                 return
         self.a, self.b = ids_a, ids_b
-        (len_a, name_a), (len_b, name_b) = _tables(a), _tables(b)
-        array_a, array_b = np.array(ids_a), np.array(ids_b)
-        end_a, end_b = np.cumsum(len_a[array_a]).tolist(), np.cumsum(len_b[array_b]).tolist()
-        shown_a, shown_b = [name_a[i] for i in ids_a], [name_b[i] for i in ids_b]
+        (len_a, name_a), (len_b, name_b) = _tables(a), _tables(b, "|")
+        found, link_a, link_b = runs(list(accumulate(map(len_a.__getitem__, ids_a))),
+                                     list(accumulate(map(len_b.__getitem__, ids_b))))
+        shown_a, shown_b = list(map(name_a.__getitem__, ids_a)), list(map(name_b.__getitem__, ids_b))
         text_of: list[str] = []
-        link_a: list[int] = []
-        link_b: list[int] = []
-        for i, j, n, m in runs(end_a, end_b):
+        for i, j, n, m in found:
             if n > 0:
-                text_of += [f"{x}|{y}" for x, y in zip(shown_a[i:i + n], shown_b[j:j + n], strict=True)]
-                link_a += range(i, i + n)
-                link_b += range(j, j + n)
-                continue
-            text_of.append(f"{','.join(shown_a[i:i - n])}|{','.join(shown_b[j:j + m])}")
-            # Inside a group no two ends are equal, so each step past the smaller end is one more overlap.
-            last_a, last_b = i - n - 1, j + m - 1
-            link_a.append(i)
-            link_b.append(j)
-            while i < last_a or j < last_b:
-                if end_a[i] < end_b[j]:
-                    i += 1
-                else:
-                    j += 1
-                link_a.append(i)
-                link_b.append(j)
+                text_of += map(add, shown_a[i:i + n], shown_b[j:j + n])
+            else:
+                text_of.append(",".join(shown_a[i:i - n]) + ",".join(shown_b[j:j + m]).replace(",|", ","))
         self.groups, self.n_groups, self.n_links = ";".join(text_of), len(text_of), len(link_a)
-        self.pairs = (array_a[link_a] << 32) | array_b[link_b]
+        self.pairs = (np.array(ids_a, dtype=np.int64)[link_a] << 32) | np.array(ids_b, dtype=np.int64)[link_b]
 
 
 _COUNTS = ("n_a", "n_b", "n_groups", "n_links")

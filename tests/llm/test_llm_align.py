@@ -77,7 +77,11 @@ def test_runs_cover_both_sides(x, y):
     a, b = sorted(x | {61}), sorted(y | {61})
     i = j = 0
     common = []
-    for p, q, n, m in align.runs(a, b):
+    found, link_a, link_b = align.runs(a, b)
+    starts_a, starts_b = [0, *a], [0, *b]
+    assert list(zip(link_a, link_b, strict=True)) == [(p, q) for p in range(len(a)) for q in range(len(b))
+                                                      if starts_a[p] < b[q] and starts_b[q] < a[p]]
+    for p, q, n, m in found:
         assert (p, q) == (i, j)
         if n > 0:
             assert n == m and a[i:i + n] == b[j:j + n]
