@@ -22,13 +22,22 @@ def _own_folder() -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new path in the folder that the cluster shares (spark.checkpoint.dir); a local one only where that is unset."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or _own_folder()
+    """A new path in the folder that the cluster shares (spark.checkpoint.dir); a local one only for a local session."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if base is None:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        base = _own_folder()
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
-    """Write df once to the shared folder and read it back: cuts the lineage and survives lost executors.
+    """Write df once to the shared folder and read it back: cuts the lineage and survives lost executors."""
+    return stored_in(df, name)[0]
+
+
+def stored_in(df: DataFrame, name: str, by: str | None = None) -> tuple[DataFrame, str]:
+    """The same, and the folder, which :func:`discard` can drop; with `by`, rows of one value lie in `folder/by=value`.
 
     The write's own shuffle files go when it ends, not when the driver happens to collect its garbage, and Python workers
     get their rows in small batches.
@@ -39,11 +48,18 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     try:
         for k, v in _WRITING.items():
             conf.set(k, v)
-        df.write.parquet(path)
+        (df.write.partitionBy(by) if by else df.write).parquet(path)
     finally:
         for k, v in before.items():
             conf.set(k, v)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path).select(df.columns), path
+
+
+def discard(spark: SparkSession, *folders: str) -> None:
+    """Drop stored folders that nothing reads any more."""
+    for folder in folders:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def shuffle_width(spark: SparkSession) -> int:

@@ -19,16 +19,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from siltgate.llm.common import squeezed, stored, unsqueezed
+from siltgate.llm.common import discard, squeezed, stored_in, unsqueezed
 from siltgate.llm.urls import BITS_PER_KEY, MAX_BITS, Bloom
 
 LENGTH = 50
 #: Batches of a whole table; a level of n batches is merged with the next level of n.
 BATCHES = 4
 #: Suffixes per bucket of the suffix order, about; a sampled suffix stands for about so many bytes.
-BUCKET_SUFFIXES, SAMPLED = 500_000, 15
+BUCKET_SUFFIXES, SAMPLED = 120_000, 15
 #: Bytes that are sampled in one go, and those whose suffixes a task sorts before it sends them on.
-PIECE, SORTED = 1 << 19, 16_000_000
+PIECE, SORTED = 1 << 17, 4_000_000
 LAST_KEY = 2**63 - 1
 #: Stands for a K-gram of several contexts, all of which have been sent to the comparison by windows.
 _SEVERAL = 1 << 48
@@ -78,7 +78,8 @@ def samples(data: np.ndarray, ends: np.ndarray, length: int = LENGTH) -> tuple[n
     cut = (ends[:, None] - np.arange(1, length)).ravel()
     whole[cut[(cut >= 0) & (cut < n)]] = False
     hashes = Hashes(data)
-    grams = _mixed(hashes(k), 40)
+    grams, windows = _mixed(hashes(k), 40), hashes(length)
+    del hashes
     low = np.uint64((1 << 21) - 1)
     least = _least((grams & ~low) | np.arange(len(grams), dtype=np.uint64), length - k + 1)
     window = np.flatnonzero(whole)
@@ -88,7 +89,6 @@ def samples(data: np.ndarray, ends: np.ndarray, length: int = LENGTH) -> tuple[n
     first = np.flatnonzero(new)
     last = np.append(first[1:], len(at))[:len(first)] - 1
     at, lo, hi = at[first], window[first], window[last]
-    windows = hashes(length)
     where = ((hi - lo) * length + at - lo).astype(np.uint64)
     context = _mixed(_mixed(windows[lo] + where, 44) * _ODD[50] + windows[hi], 46) >> np.uint64(16)
     return grams[at], context, lo, hi - lo
@@ -133,15 +133,14 @@ class Entries:
             ["kind", "bucket", *_COLUMNS])
 
 
-def _read(table: pa.Table, k: bool = True) -> Entries:
-    none = [np.empty(0, np.int64)]
-    columns = {c: np.concatenate([unsqueezed(x) for x in table[c].to_pylist()] or none) for c in _COLUMNS if k or c not in "kc"}
+def _read(table: pa.Table, k: bool = True) -> tuple[Entries, list[int]]:
+    """The entries of packed rows, and how many each row has."""
+    columns, sizes = {}, []
+    for c in _COLUMNS if k else _COLUMNS[2:]:
+        parts = [unsqueezed(x.as_py()) for x in table[c]]
+        columns[c], sizes = np.concatenate(parts), [len(x) for x in parts]
     columns = {"k": columns["lo"], "c": columns["lo"]} | columns
-    return Entries(*(columns[c] for c in _COLUMNS))
-
-
-def _empty() -> Entries:
-    return Entries(*(np.empty(0, np.int64),) * len(_COLUMNS))
+    return Entries(*(columns[c] for c in _COLUMNS)), sizes
 
 
 def merge_scan(entries: Entries, place: np.ndarray) -> tuple[Entries, Entries, Entries]:
@@ -181,7 +180,8 @@ class SuffixFamily:
 
     def __init__(self, buckets: int, length: int = LENGTH):
         self.buckets, self.length = buckets, length
-        self.levels: list[tuple[int, DataFrame]] = []
+        self.levels: list[tuple[int, DataFrame, str]] = []
+        self.folders: list[str] = []
 
     def _sampled(self, docs: DataFrame) -> DataFrame:
         """docs: ord, copy, text -> a task's suffixes, each K-gram's contexts merged before they leave it."""
@@ -197,6 +197,7 @@ class SuffixFamily:
                 bucket = (grams >> shift).astype(np.int64) if shift is not None else np.zeros(len(grams), np.int64)
                 k = (bucket << 32) | (grams & np.uint64(0xFFFFFFFF)).astype(np.int64)
                 every = Entries(k, context.astype(np.int64), ords, copies, lo, span)
+                held.clear()
                 removed, compare, level = merge_scan(every, np.zeros(len(k), dtype=np.int8))
                 # What stays of a document that has its own context again must stay as often: another may be smaller.
                 rest = _repeated_within(every, level)
@@ -221,32 +222,39 @@ class SuffixFamily:
 
         return docs.select("ord", "copy", "text").mapInArrow(run, _ROW)
 
-    def add(self, docs: DataFrame, last: bool = False) -> list[DataFrame]:
+    def add(self, docs: DataFrame, last: bool = False) -> DataFrame:
         """Rows REMOVED and COMPARE of a batch. With `last` the levels are not kept up for further batches."""
-        sampled = stored(self._sampled(docs), "suffixes")
         merged = 0
         size = 1
         while merged < len(self.levels) and self.levels[-1 - merged][0] == size:
             merged, size = merged + 1, size * 2
-        rows = sampled.where(F.col("kind") == SUFFIX).withColumn("place", F.lit(0))
-        for i, (_, level) in enumerate(reversed(self.levels)):
+        rows = self._sampled(docs).withColumn("place", F.lit(0))
+        for i, (_, level, _) in enumerate(reversed(self.levels)):
             rows = rows.unionByName(level.withColumn("place", F.lit(1 if i < merged else 2)))
         buckets = self.buckets
 
         def scan(group: pa.Table) -> pa.Table:
-            entries = _read(group)
-            sizes = [len(unsqueezed(x)) for x in group["lo"].to_pylist()]
+            # What a task has settled by itself passes through.
+            suffix = np.array(group["kind"].to_numpy() == SUFFIX)
+            done = group.filter(pa.array(~suffix)).drop_columns(["place"])
+            group = group.filter(pa.array(suffix))
+            if not group.num_rows:
+                return done
+            entries, sizes = _read(group)
             place = np.repeat(group["place"].to_numpy(), sizes)
             entries.k |= int(group["bucket"][0].as_py()) << 32
             removed, compare, level = merge_scan(entries, place)
             out = [x.rows(kind, buckets) for kind, x in ((SUFFIX, level), (REMOVED, removed), (COMPARE, compare))
                    if len(x) and not (last and kind == SUFFIX)]
-            return pa.Table.from_batches(out) if out else group.select(["kind", *group.column_names[1:8]]).slice(0, 0)
+            return pa.concat_tables([done, *(pa.Table.from_batches([x]).cast(done.schema) for x in out)])
 
-        found = stored(rows.groupBy("bucket").applyInArrow(scan, _ROW), "level")
-        level = found.where(F.col("kind") == SUFFIX)
-        self.levels = self.levels[:len(self.levels) - merged] + [(size, level)]
-        return [x.where(F.col("kind") != SUFFIX) for x in (sampled, found)]
+        found, folder = stored_in(rows.groupBy("bucket").applyInArrow(scan, _ROW), "level", "kind")
+        self.folders.append(folder)
+        # Levels that are part of the new one, and all of them behind the last batch, are read no more.
+        kept = [] if last else self.levels[:len(self.levels) - merged]
+        discard(docs.sparkSession, *(f for _, _, f in self.levels[len(kept):]))
+        self.levels = kept + [(size, found.where(F.col("kind") == SUFFIX), f"{folder}/kind={SUFFIX}")]
+        return found.where(F.col("kind") != SUFFIX)
 
 
 def _repeated_within(every: Entries, level: Entries) -> Entries:
@@ -291,8 +299,7 @@ def _united(lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 def by_document(found: DataFrame, length: int = LENGTH) -> DataFrame:
     """Rows REMOVED and COMPARE -> ord, copy, starts, ends (removed), lo, span (to compare and not removed already)."""
     def gather(group: pa.Table) -> pa.Table:
-        entries = _read(group, k=False)
-        sizes = [len(unsqueezed(x)) for x in group["lo"].to_pylist()]
+        entries, sizes = _read(group, k=False)
         compare = np.repeat(group["kind"].to_numpy() == COMPARE, sizes)
         order = np.lexsort((entries.lo, entries.copy, entries.ord))
         entries, compare = entries.take(order), compare[order]
@@ -325,8 +332,8 @@ def _touched(docs: DataFrame, rows: DataFrame):
     return Bloom(keys, max(1, count), 0).has(F.col("ord")) if count * BITS_PER_KEY <= MAX_BITS else None
 
 
-def compare_windows(docs: DataFrame, rows: DataFrame, buckets: int, length: int = LENGTH) -> list[DataFrame]:
-    """Rows REMOVED: of the windows in rows' suffixes those that a smaller document has."""
+def compare_windows(docs: DataFrame, rows: DataFrame, buckets: int, length: int = LENGTH) -> tuple[DataFrame, list[str]]:
+    """Rows REMOVED: of the windows in rows' suffixes those that a smaller document has. And the folders they lie in."""
     touched = _touched(docs, rows)
     texts = (docs if touched is None else docs.where(touched)).select("ord", "copy", "text")
     bits = (buckets - 1).bit_length()
@@ -365,14 +372,16 @@ def compare_windows(docs: DataFrame, rows: DataFrame, buckets: int, length: int
         if held:
             yield from flush()
 
-    sent = stored(texts.join(rows.select("ord", "copy", "lo", "span"), ["ord", "copy"]).mapInArrow(run, _ROW), "windows")
+    sent, folder = stored_in(texts.join(rows.select("ord", "copy", "lo", "span"), ["ord", "copy"]).mapInArrow(run, _ROW),
+                             "windows", "kind")
 
     def scan(group: pa.Table) -> pa.Table:
-        removed, _ = _smaller_elsewhere(_read(group))
+        removed, _ = _smaller_elsewhere(_read(group)[0])
         return pa.Table.from_batches([removed.rows(REMOVED, buckets)]) if len(removed) else group.slice(0, 0)
 
-    met = sent.where(F.col("kind") == SUFFIX).groupBy("bucket").applyInArrow(scan, _ROW)
-    return [sent.where(F.col("kind") == REMOVED), stored(met, "met")]
+    met, own = stored_in(sent.where(F.col("kind") == SUFFIX).groupBy("bucket").applyInArrow(scan, _ROW), "met")
+    discard(docs.sparkSession, f"{folder}/kind={SUFFIX}")
+    return sent.where(F.col("kind") == REMOVED).unionByName(met), [folder, own]
 
 
 def _smaller_elsewhere(entries: Entries) -> tuple[Entries, Entries]:
@@ -416,16 +425,16 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", len
     for low, high in zip(edges, edges[1:], strict=False):
         part = rows.where(F.lit(True) if low is None else (F.col("key") > low) | F.col("key").isNull())
         part = part.where(F.lit(True) if high is None else F.col("key") <= high)
-        found += family.add(part, last=high is None)
+        found.append(family.add(part, last=high is None))
     every = found[0]
     for more in found[1:]:
         every = every.unionByName(more)
-    per = stored(by_document(every, length), "repeats")
-    windows = compare_windows(rows, per.where(F.col("lo").isNotNull()), buckets, length)
-    every = every.where(F.col("kind") == REMOVED)
-    for more in windows:
-        every = every.unionByName(more)
-    cuts = stored(by_document(every, length).select("ord", "copy", "starts", "ends"), "cuts")
+    per, folder = stored_in(by_document(every, length), "repeats")
+    windows, folders = compare_windows(rows, per.where(F.col("lo").isNotNull()), buckets, length)
+    discard(docs.sparkSession, folder)
+    every = every.where(F.col("kind") == REMOVED).unionByName(windows)
+    cuts, _ = stored_in(by_document(every, length).select("ord", "copy", "starts", "ends"), "cuts")
+    discard(docs.sparkSession, *family.folders, *folders)
     key_type = to_arrow_type(docs.schema[key].dataType)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

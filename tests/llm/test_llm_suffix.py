@@ -89,10 +89,10 @@ def test_levels_merge_geometrically(spark):
     sizes = []
     for i in range(6):
         family.add(docs.where(docs.key.between(i * 30, i * 30 + 29)))
-        sizes.append([n for n, _ in family.levels])
+        sizes.append([n for n, *_ in family.levels])
     assert sizes == [[1], [2], [2, 1], [4], [4, 1], [4, 2]]
     held = defaultdict(int)
-    for _, level in family.levels:
+    for _, level, _ in family.levels:
         for r in level.collect():
             for k in suffix.unsqueezed(r.k).tolist():
                 held[r.bucket, k] += 1
