@@ -301,8 +301,9 @@ def batch_events(raw: DataFrame, latest: DataFrame, steps: Sequence[HealStep], r
     arrived = raw.groupBy(*by).agg(F.count_if(~has_key(keys)).alias("unkeyed"), F.count_if(has_key(keys)).alias("keyed"))
     kept = latest.groupBy(*by).agg(F.count(F.lit(1)).alias("kept"), *[c.alias(n) for n, c in counters.items()])
     # Both sides hold one row per group; a batch without any usable key has no kept rows.
-    both = arrived.join(kept, list(by), "left") if by else arrived.join(kept)
-    both = both.fillna(0, ["kept", *counters])
+    names = ["unkeyed", "keyed", "kept", *counters]
+    both = arrived.unionByName(kept, allowMissingColumns=True).groupBy(*by).agg(
+        *[F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in names])
     return both.select(*by, F.inline(F.array(*events))).where(F.col("healed_rows") > 0)
 
 

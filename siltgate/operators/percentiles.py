@@ -74,7 +74,7 @@ def exact_percentiles(long: DataFrame, probs: Sequence[float], group: str | None
         .agg(F.count(F.lit(1)).alias("n"))
     )
     totals = counted.groupBy(*by).agg(F.sum("n").alias("total"))
-    rows = (counted.join(F.broadcast(totals), by) if by else counted.join(F.broadcast(totals))).select(
+    rows = (counted.join(F.broadcast(totals), by) if by else counted.withColumn("total", totals.scalar())).select(
         *by, F.lit("").alias("path"), value, "n", F.lit(0).cast("bigint").alias("offset"), "total")
 
     def ranks():
