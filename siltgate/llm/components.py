@@ -12,13 +12,13 @@ def _large_star(edges: DataFrame) -> DataFrame:
     """Every node links its larger neighbours to the smallest node it sees."""
     both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
     least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-    return both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+    return both.where("v > u").join(least.hint("merge"), "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     """Every node links itself and its smaller neighbours to the smallest of them."""
     least = edges.groupBy("u").agg(F.min("v").alias("m"))
-    rest = edges.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+    rest = edges.join(least.hint("merge"), "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
     return rest.unionByName(least.select("u", F.col("m").alias("v"))).distinct()
 
 
@@ -29,7 +29,8 @@ def _state(edges: DataFrame) -> tuple:
 def components(edges: DataFrame) -> DataFrame:
     """edges: u, v in any order, repeats allowed -> node, component (its smallest node), for nodes other than it.
 
-    Each round is two stored tables of at most as many rows as there are edges; no component meets in one task.
+    Each round is two stored tables of at most as many rows as there are edges; no component meets in one task. Rounds
+    join by merging at any size: many rounds' small tables would else go through the driver, one broadcast after another.
     """
     edges = stored(edges.where("u <> v").select(
         F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "cc")

@@ -18,6 +18,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DoubleType, StringType, StructField, StructType
 from pyspark.sql.window import Window
 
+from siltgate.llm.common import squeezed, unsqueezed
+
 BUCKETS = 1 << 14
 GRAMS = (1, 2, 3)
 WIDTH = 16
@@ -92,11 +94,11 @@ def _examples(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 counts = subwords(own)
                 if counts is not None:
                     full = np.flatnonzero(counts)
-                    out.append((key, part, lang, full.astype(np.int32), counts[full].astype(np.int32)))
+                    out.append((key, part, lang, squeezed(full), squeezed(counts[full])))
         yield pa.RecordBatch.from_arrays(
             [pa.array([x[0] for x in out], pa.string()), pa.array([x[1] for x in out], pa.int32()),
-             pa.array([x[2] for x in out], pa.string()), pa.array([x[3] for x in out], pa.list_(pa.int32())),
-             pa.array([x[4] for x in out], pa.list_(pa.int32()))], ["id", "part", "lang", "bucket", "n"])
+             pa.array([x[2] for x in out], pa.string()), pa.array([x[3] for x in out], pa.binary()),
+             pa.array([x[4] for x in out], pa.binary())], ["id", "part", "lang", "bucket", "n"])
 
 
 def fit(labelled: DataFrame, key: str = "doc_id", text: str = "text", label: str = "lang",
@@ -115,12 +117,12 @@ def fit(labelled: DataFrame, key: str = "doc_id", text: str = "text", label: str
     drawn = known.join(F.broadcast(per_lang), "lang").where(F.pmod(order, F.lit(1 << 30)) < F.col("part") * (1 << 30))
     first = Window.partitionBy("lang").orderBy(order, "id", "text")
     sample = drawn.withColumn("n", F.row_number().over(first)).where(F.col("n") <= rows).select("id", "lang", "text")
-    table = sample.mapInArrow(_examples, "id string, part int, lang string, bucket array<int>, n array<int>").toArrow()
+    table = sample.mapInArrow(_examples, "id string, part int, lang string, bucket binary, n binary").toArrow()
     if not table.num_rows:
         return None
     table = table.sort_by([("lang", "ascending"), ("id", "ascending"), ("part", "ascending")])
     return _train(table["id"].to_pylist(), table["part"].to_numpy(), table["lang"].to_pylist(),
-                  [x.values.to_numpy() for x in table["bucket"]], [x.values.to_numpy() for x in table["n"]])
+                  *([unsqueezed(x.as_py()).astype(np.int32) for x in table[c]] for c in ("bucket", "n")))
 
 
 def _train(ids: list[str], part: np.ndarray, langs: list[str], bucket: list[np.ndarray],

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from siltgate.llm.common import stored, worker_cache
+from siltgate.llm.common import discard, stored, stored_in, worker_cache
 from siltgate.llm.components import components
 from siltgate.llm.urls import BITS_PER_KEY, MAX_BITS, Bloom
 
@@ -113,15 +113,29 @@ def column_levels(docs: DataFrame, text: str, like: Likeness) -> np.ndarray:
 
     def add(group: pa.Table) -> pa.Table:
         total = sum(np.frombuffer(zlib.decompress(c), dtype="<i8") for c in group["counts"].to_pylist())
-        return pa.table({"chunk": group["chunk"][:1], "counts": pa.array([total.tobytes()], pa.binary())})
+        return pa.table({"chunk": group["chunk"][:1], "total": pa.array([int(total.sum())], pa.int64()),
+                         "counts": pa.array([zlib.compress(total.tobytes(), 1)], pa.binary())})
 
     schema = "chunk int, counts binary"
-    sums = docs.select(text).mapInArrow(count, schema).groupBy("chunk").applyInArrow(add, schema).toArrow()
-    counts = np.zeros((COUNTERS // CHUNK, CHUNK))
-    for chunk, values in zip(sums["chunk"].to_pylist(), sums["counts"].to_pylist(), strict=True):
-        counts[chunk] = np.frombuffer(values, dtype="<i8")
-    counts = counts.ravel()
-    return np.digitize((counts - counts.mean()) / max(1.0, counts.mean() ** 0.5), DEVIATIONS).astype(np.uint8)
+    sums, folder = stored_in(docs.select(text).mapInArrow(count, schema).groupBy("chunk").applyInArrow(
+        add, "chunk int, total long, counts binary"), "counters")
+    mean = (sums.agg(F.sum("total")).head()[0] or 0) / COUNTERS
+
+    def level(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = []
+            for packed in batch.column("counts").to_pylist():
+                counts = np.frombuffer(zlib.decompress(packed), dtype="<i8")
+                levels = np.digitize((counts - mean) / max(1.0, mean ** 0.5), DEVIATIONS)
+                found.append(zlib.compress(levels.astype(np.uint8).tobytes(), 1))
+            yield pa.RecordBatch.from_arrays([batch.column("chunk"), pa.array(found, pa.binary())], ["chunk", "levels"])
+
+    levels = np.zeros((COUNTERS // CHUNK, CHUNK), dtype=np.uint8)
+    # The driver gets levels, a byte a counter and packed: the counters are eight times as large.
+    for row in sums.select("chunk", "counts").mapInArrow(level, "chunk int, levels binary").collect():
+        levels[row.chunk] = np.frombuffer(zlib.decompress(row.levels), dtype=np.uint8)
+    discard(docs.sparkSession, folder)
+    return levels.ravel()
 
 
 def _incidence(docs: DataFrame, key: str, text: str, levels: np.ndarray, like: Likeness) -> DataFrame:
