@@ -15,6 +15,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
@@ -94,6 +95,26 @@ def samples(data: np.ndarray, ends: np.ndarray, length: int = LENGTH) -> tuple[n
     return grams[at], context, lo, hi - lo
 
 
+def _order(*keys: np.ndarray) -> np.ndarray:
+    """What np.lexsort(keys) gives, by one sort of the last keys that fit 63 bits together; its ties alone are sorted by all."""
+    packed, bits, used = np.zeros(len(keys[-1]), dtype=np.int64), 0, 0
+    for key in reversed(keys):
+        low = int(key.min(initial=0))
+        width = (int(key.max(initial=0)) - low).bit_length()
+        if used and bits + width > 63:
+            break
+        packed = (packed << width) | (key - low) if used else key
+        bits, used = bits + width, used + 1
+    order = np.argsort(packed)
+    packed = packed[order]
+    tied = np.zeros(len(order), dtype=bool)
+    tied[1:] = packed[1:] == packed[:-1]
+    tied[:-1] |= tied[1:]
+    some = np.sort(order[tied])
+    order[tied] = some[np.lexsort([key[some] for key in keys])]
+    return order
+
+
 _ROW = "kind byte, bucket int, k binary, c binary, ord binary, copy binary, lo binary, span binary"
 _COLUMNS = ("k", "c", "ord", "copy", "lo", "span")
 #: Kinds of rows: suffixes by bucket of their order; by bucket of their document what is removed, what is to compare.
@@ -149,7 +170,7 @@ def merge_scan(entries: Entries, place: np.ndarray) -> tuple[Entries, Entries, E
     place: 0 of the batch, 1 of a level that becomes part of the new one, 2 of a level that stays. Of a K-gram of one
     context a level keeps one suffix of its first document, of several contexts a mark; what has a mark was sent before.
     """
-    order = np.lexsort((entries.ord, entries.c, entries.k))
+    order = _order(entries.ord, entries.c, entries.k)
     entries, place = entries.take(order), place[order]
     n = len(entries)
     if not n:
@@ -259,7 +280,7 @@ class SuffixFamily:
 
 def _repeated_within(every: Entries, level: Entries) -> Entries:
     """The level of a task with all suffixes of the first document of a context instead of one; marks stay as they are."""
-    order = np.lexsort((every.ord, every.c, every.k))
+    order = _order(every.ord, every.c, every.k)
     every = every.take(order)
     at = np.searchsorted(level.k, every.k)
     own = (level.c[at] == every.c) & (level.ord[at] == every.ord)
@@ -296,30 +317,41 @@ def _united(lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return lo[new], hi[np.append(np.flatnonzero(new)[1:], len(lo)) - 1] if len(lo) else hi
 
 
+def _per_document(values: np.ndarray, doc: np.ndarray, count: int) -> pa.Array:
+    """Rising documents' values as one binary a document, empty without values."""
+    cuts = np.cumsum(np.bincount(doc, minlength=count))[:-1]
+    return pa.array([squeezed(x) if len(x) else b"" for x in np.split(values, cuts)], pa.binary())
+
+
+def _values(data: bytes) -> np.ndarray:
+    return unsqueezed(data) if data else np.empty(0, dtype=np.int64)
+
+
 def by_document(found: DataFrame, length: int = LENGTH) -> DataFrame:
     """Rows REMOVED and COMPARE -> ord, copy, starts, ends (removed), lo, span (to compare and not removed already)."""
     def gather(group: pa.Table) -> pa.Table:
         entries, sizes = _read(group, k=False)
         compare = np.repeat(group["kind"].to_numpy() == COMPARE, sizes)
         order = np.lexsort((entries.lo, entries.copy, entries.ord))
-        entries, compare = entries.take(order), compare[order]
-        new = (np.diff(entries.ord, prepend=entries.ord[0]) != 0) | (np.diff(entries.copy, prepend=entries.copy[0]) != 0)
-        rows: list[list] = []
-        for at in np.split(np.arange(len(entries)), np.flatnonzero(new)):
-            if not len(at):
-                continue
-            lo, hi, left = entries.lo[at], entries.lo[at] + entries.span[at] + length, compare[at]
-            starts, ends = _united(lo[~left], hi[~left])
-            inside = np.searchsorted(starts, lo, side="right") - 1
-            covered = np.zeros(len(lo), dtype=bool)
-            if len(starts):
-                covered = (inside >= 0) & (hi <= ends[inside])
-            left &= ~covered
-            rows.append([int(entries.ord[at[0]]), int(entries.copy[at[0]]), squeezed(starts), squeezed(ends),
-                         squeezed(lo[left]) if left.any() else None, squeezed(entries.span[at][left])])
-        names = ("ord", "copy", "starts", "ends", "lo", "span")
-        kinds = (pa.int64(), pa.int64(), *(pa.binary(),) * 4)
-        return pa.table([pa.array(x, t) for x, t in zip(zip(*rows, strict=True), kinds, strict=True)], names)
+        entries = entries.take(order)
+        new = np.ones(len(entries), dtype=bool)
+        new[1:] = (np.diff(entries.ord) != 0) | (np.diff(entries.copy) != 0)
+        doc = np.cumsum(new) - 1
+        # All documents at once: each has a stretch of its own.
+        lo, left = entries.lo, compare[order]
+        hi = lo + entries.span + length
+        stretch = int(hi.max()) + 1
+        starts, ends = _united((lo + doc * stretch)[~left], (hi + doc * stretch)[~left])
+        if len(starts):
+            inside = np.searchsorted(starts, lo + doc * stretch, side="right") - 1
+            left &= (inside < 0) | (hi + doc * stretch > ends[inside])
+        cut, rest, count = starts // stretch, doc[left], int(doc[-1]) + 1
+        some = pa.array(np.bincount(rest, minlength=count) > 0)
+        return pa.table({
+            "ord": entries.ord[new], "copy": entries.copy[new], "starts": _per_document(starts % stretch, cut, count),
+            "ends": _per_document(ends - cut * stretch, cut, count),
+            "lo": pc.if_else(some, _per_document(lo[left], rest, count), pa.scalar(None, pa.binary())),
+            "span": _per_document(entries.span[left], rest, count)})
 
     return found.groupBy("bucket").applyInArrow(
         gather, "ord long, copy long, starts binary, ends binary, lo binary, span binary")
@@ -349,26 +381,12 @@ def compare_windows(docs: DataFrame, rows: DataFrame, buckets: int, length: int
                 if len(part):
                     yield part.rows(kind, buckets)
 
-        for batch in batches:
-            data = batch.column("text").cast(pa.binary())
-            for i in range(batch.num_rows):
-                text = np.frombuffer(data[i].as_py(), np.uint8)
-                lo, span = (unsqueezed(batch.column(c)[i].as_py()) for c in ("lo", "span"))
-                at = np.repeat(lo, span + 1) + np.arange((span + 1).sum()) - np.repeat(np.cumsum(span + 1) - span - 1, span + 1)
-                hashes = np.empty(len(at), dtype=np.uint64)
-                for offset in range(0, len(text) - length + 1, PIECE):
-                    x, y = np.searchsorted(at, [offset, offset + PIECE])
-                    if y > x:
-                        hashes[x:y] = Hashes(text[offset:offset + PIECE + length - 1])(length)[at[x:y] - offset]
-                one, two = _mixed(hashes, 70), _mixed(hashes, 80)
-                bucket = (one >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(at), np.int64)
-                k = (bucket << 32) | (one & np.uint64(0xFFFFFFFF)).astype(np.int64)
-                same = lambda c: np.full(len(at), batch.column(c)[i].as_py())  # noqa: B023, E731
-                held.append(Entries(k, (two >> np.uint64(16)).astype(np.int64), same("ord"), same("copy"), at, np.zeros_like(at)))
-                size += len(at)
-                if size >= SORTED // 8:
-                    yield from flush()
-                    held, size = [], 0
+        for pieces in _windowed(batches, length):
+            held.append(_windows(pieces, bits, length))
+            size += len(held[-1])
+            if size >= SORTED // 8:
+                yield from flush()
+                held, size = [], 0
         if held:
             yield from flush()
 
@@ -384,13 +402,73 @@ def compare_windows(docs: DataFrame, rows: DataFrame, buckets: int, length: int
     return sent.where(F.col("kind") == REMOVED).unionByName(met), [folder, own]
 
 
+def _spread(lo: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """lo, lo + 1, ... for each of the places, `size` numbers of it."""
+    return np.repeat(lo - np.cumsum(size) + size, size) + np.arange(size.sum())
+
+
+def _windowed(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[list[tuple]]:
+    """(ord, copy, offset, bytes, lo in the piece, span): texts whole, or cut as by _pieces; together two PIECEs at most."""
+    held: list[tuple] = []
+    size = 0
+    for batch in batches:
+        columns = (batch.column(c) for c in ("ord", "copy", "text", "lo", "span"))
+        for one, copy, text, lo, span in zip(*(c.cast(pa.binary()) if c.type == pa.string() else c for c in columns),
+                                             strict=True):
+            one, copy, text, lo, span = one.as_py(), copy.as_py(), text.as_py(), _values(lo.as_py()), _values(span.as_py())
+            if len(text) < PIECE + length:
+                parts = [(one, copy, 0, text, lo, span)]
+            else:
+                at, parts = _spread(lo, span + 1), []
+                for offset in range(0, len(text) - length + 1, PIECE):
+                    own = at[(at >= offset) & (at < offset + PIECE)] - offset
+                    if len(own):
+                        parts.append((one, copy, offset, text[offset:offset + PIECE + length - 1], own, np.zeros_like(own)))
+            for part in parts:
+                if size + len(part[3]) > 2 * PIECE and held:
+                    yield held
+                    held, size = [], 0
+                held.append(part)
+                size += len(part[3])
+    if held:
+        yield held
+
+
+def _windows(pieces: list[tuple], bits: int, length: int) -> Entries:
+    """The windows of places in pieces, one by one."""
+    ords, copies, offsets = (np.array([p[i] for p in pieces], np.int64) for i in range(3))
+    sizes = np.array([len(p[3]) for p in pieces])
+    starts, span = np.cumsum(sizes) - sizes, np.concatenate([p[5] for p in pieces])
+    piece = np.repeat(np.arange(len(pieces)), [len(p[4]) for p in pieces])
+    at, piece = _spread(np.concatenate([p[4] for p in pieces]) + starts[piece], span + 1), np.repeat(piece, span + 1)
+    hashes = Hashes(np.frombuffer(b"".join(p[3] for p in pieces), np.uint8))(length)[at]
+    one, two = _mixed(hashes, 70), _mixed(hashes, 80)
+    bucket = (one >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(at), np.int64)
+    k = (bucket << 32) | (one & np.uint64(0xFFFFFFFF)).astype(np.int64)
+    return Entries(k, (two >> np.uint64(16)).astype(np.int64), ords[piece], copies[piece],
+                   at + (offsets - starts)[piece], np.zeros_like(at))
+
+
 def _smaller_elsewhere(entries: Entries) -> tuple[Entries, Entries]:
-    """(entries that a smaller document has too, the others), sorted."""
-    entries = entries.take(np.lexsort((entries.ord, entries.c, entries.k)))
-    new = np.ones(len(entries), dtype=bool)
-    new[1:] = (entries.k[1:] != entries.k[:-1]) | (entries.c[1:] != entries.c[:-1])
-    later = entries.ord > entries.ord[new][np.cumsum(new) - 1]
-    return entries.take(later), entries.take(~later)
+    """(entries that a smaller document has too, the others), equal ones side by side."""
+    if not len(entries):
+        return entries, entries
+    order = np.argsort(entries.k)
+    k, c = entries.k[order], entries.c[order]
+    new = np.ones(len(k), dtype=bool)
+    new[1:] = k[1:] != k[:-1]
+    other = ~new
+    other[1:] &= c[1:] != c[:-1]
+    if other.any():
+        # Few have another window's k, and only those are sorted by c.
+        run = np.cumsum(new) - 1
+        at = np.flatnonzero((np.bincount(run, other) > 0)[run])
+        order[at] = order[at][np.lexsort((c[at], k[at]))]
+        c = entries.c[order]
+        new[1:] |= c[1:] != c[:-1]
+    ords = entries.ord[order]
+    later = ords > np.minimum.reduceat(ords, np.flatnonzero(new))[np.cumsum(new) - 1]
+    return entries.take(order[later]), entries.take(order[~later])
 
 
 def _identified(docs: DataFrame, key: str, text: str) -> DataFrame:
@@ -430,6 +508,7 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", len
     for more in found[1:]:
         every = every.unionByName(more)
     per, folder = stored_in(by_document(every, length), "repeats")
+    discard(docs.sparkSession, *(f"{f}/kind={COMPARE}" for f in family.folders))
     windows, folders = compare_windows(rows, per.where(F.col("lo").isNotNull()), buckets, length)
     discard(docs.sparkSession, folder)
     every = every.where(F.col("kind") == REMOVED).unionByName(windows)
@@ -443,7 +522,7 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", len
             for text, starts, ends in zip(batch.column("text").cast(pa.binary()), *(
                     batch.column(c) for c in ("starts", "ends")), strict=True):
                 text, starts, ends = text.as_py(), starts.as_py(), ends.as_py()
-                spans = [] if starts is None else list(zip(unsqueezed(starts).tolist(), unsqueezed(ends).tolist(), strict=True))
+                spans = [] if starts is None else list(zip(_values(starts).tolist(), _values(ends).tolist(), strict=True))
                 removed.append([{"start": x, "end": y} for x, y in spans])
                 edges = [0, *(e for span in spans for e in span), len(text)]
                 kept.append(b"".join(text[x:y] for x, y in zip(edges[::2], edges[1::2], strict=True)))
