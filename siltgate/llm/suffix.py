@@ -28,6 +28,9 @@ LENGTH = 50
 BATCHES = 4
 #: Suffixes per bucket of the suffix order, about; a sampled suffix stands for about so many bytes.
 BUCKET_SUFFIXES, SAMPLED = 120_000, 15
+#: Every task and bucket sends a row to every bucket, so beyond FEW buckets they get larger instead of more, up to so many
+#: times as large; what lies in one is worked on by parts of about BUCKET_SUFFIXES.
+FEW, LARGER = 512, 16
 #: Bytes that are sampled in one go, and those whose suffixes a task sorts before it sends them on.
 PIECE, SORTED = 1 << 17, 4_000_000
 LAST_KEY = 2**63 - 1
@@ -95,23 +98,42 @@ def samples(data: np.ndarray, ends: np.ndarray, length: int = LENGTH) -> tuple[n
     return grams[at], context, lo, hi - lo
 
 
+def _buckets(n: int, each: int) -> int:
+    """How many buckets (a power of two) n entries get: of `each` about; beyond FEW buckets, of LARGER * BUCKET_SUFFIXES at most."""
+    return max(min(1 << (n // each).bit_length(), FEW), 1 << (n // (LARGER * BUCKET_SUFFIXES)).bit_length())
+
+
 def _order(*keys: np.ndarray) -> np.ndarray:
-    """What np.lexsort(keys) gives, by one sort of the last keys that fit 63 bits together; its ties alone are sorted by all."""
-    packed, bits, used = np.zeros(len(keys[-1]), dtype=np.int64), 0, 0
-    for key in reversed(keys):
-        low = int(key.min(initial=0))
-        width = (int(key.max(initial=0)) - low).bit_length()
-        if used and bits + width > 63:
+    """What np.lexsort(keys) gives: sorted by as many bits, from the last key on, as fit one number; then ties alone by the next."""
+    n = len(keys[-1])
+    todo = []
+    for key in (np.arange(n), *keys):
+        low = int(key.min(initial=key[0])) if n else 0
+        todo.append((key.view(np.uint64) - np.uint64(low & 0xFFFFFFFFFFFFFFFF), (int(key.max(initial=low)) - low).bit_length()))
+    order, some = np.arange(n), np.arange(n)
+    place = some
+    run, bits = np.zeros(n, dtype=np.uint64), 0
+    while len(some):
+        packed = run
+        while todo and bits < 64:
+            key, width = todo.pop()
+            take = min(width, 64 - bits)
+            if take:
+                packed = (packed << np.uint64(take) if bits else 0) | (key[some] >> np.uint64(width - take))
+                bits += take
+            if take < width:
+                todo.append((key & np.uint64((1 << width - take) - 1), width - take))
+        by = np.argsort(packed)
+        some, packed = some[by], packed[by]
+        order[place] = some
+        new = np.ones(len(some), dtype=bool)
+        new[1:] = packed[1:] != packed[:-1]
+        tied = ~new
+        tied[:-1] |= tied[1:]
+        if not todo:
             break
-        packed = (packed << width) | (key - low) if used else key
-        bits, used = bits + width, used + 1
-    order = np.argsort(packed)
-    packed = packed[order]
-    tied = np.zeros(len(order), dtype=bool)
-    tied[1:] = packed[1:] == packed[:-1]
-    tied[:-1] |= tied[1:]
-    some = np.sort(order[tied])
-    order[tied] = some[np.lexsort([key[some] for key in keys])]
+        some, place, run = some[tied], place[tied], np.cumsum(new[tied], dtype=np.uint64)
+        bits = int(run[-1]).bit_length() if len(run) else 0
     return order
 
 
@@ -133,13 +155,13 @@ class Entries:
     def __len__(self) -> int:
         return len(self.k)
 
-    def rows(self, kind: int, buckets: int) -> pa.RecordBatch:
-        """Packed rows, one per bucket: sorted as they are for suffixes, by document for the other kinds."""
+    def rows(self, kind: int, documents: int) -> pa.RecordBatch:
+        """Packed rows, one per bucket: sorted as they are for suffixes, by document in so many buckets for the other kinds."""
         if kind == SUFFIX:
             entries, bucket = self, self.k >> 32
         else:
-            bucket = (_mixed(self.ord.view(np.uint64), 60) % np.uint64(buckets)).astype(np.int64)
-            order = np.lexsort((self.lo, self.copy, self.ord, bucket))
+            bucket = (_mixed(self.ord.view(np.uint64), 60) % np.uint64(documents)).astype(np.int64)
+            order = _order(self.lo, self.copy, self.ord, bucket)
             entries, bucket = self.take(order), bucket[order]
         cuts = np.flatnonzero(np.diff(bucket, prepend=-1))
         bounds = list(zip(cuts.tolist(), np.append(cuts[1:], len(bucket)).tolist(), strict=False))
@@ -164,16 +186,38 @@ def _read(table: pa.Table, k: bool = True) -> tuple[Entries, list[int]]:
     return Entries(*(columns[c] for c in _COLUMNS)), sizes
 
 
-def merge_scan(entries: Entries, place: np.ndarray) -> tuple[Entries, Entries, Entries]:
-    """Sort suffixes and read neighbours -> (those a smaller document has whole, those to compare by windows, the new level).
+def _together(parts: list[Entries]) -> Entries:
+    return parts[0] if len(parts) == 1 else Entries(*(np.concatenate([getattr(x, c) for x in parts]) for c in _COLUMNS))
+
+
+def _parts(hashes: np.ndarray, bits: int, size: int) -> Iterator[np.ndarray | slice]:
+    """Places of hashes of so many bits, about `size` at a time: equal ones together, parts in rising order."""
+    count = (len(hashes) // (2 * size)).bit_length()
+    if not count:
+        yield slice(None)
+        return
+    part = (hashes >> hashes.dtype.type(bits - count)) & hashes.dtype.type((1 << count) - 1)
+    for i in range(1 << count):
+        yield np.flatnonzero(part == i)
+
+
+def merge_scan(entries: Entries, place: np.ndarray, size: int = BUCKET_SUFFIXES) -> tuple[Entries, Entries, Entries]:
+    """Sort a bucket's suffixes, about `size` at a time, and read neighbours -> (those a smaller document has whole, those to compare by windows, the new level).
 
     place: 0 of the batch, 1 of a level that becomes part of the new one, 2 of a level that stays. Of a K-gram of one
     context a level keeps one suffix of its first document, of several contexts a mark; what has a mark was sent before.
     """
-    order = _order(entries.ord, entries.c, entries.k)
-    entries, place = entries.take(order), place[order]
-    n = len(entries)
-    if not n:
+    found = []
+    for at in _parts(entries.k, 32, size):
+        part, own = entries.take(at), place[at]
+        order = _order(part.ord, part.c, part.k)
+        found.append(_scanned(part.take(order), own[order]))
+    return tuple(map(_together, zip(*found, strict=True)))
+
+
+def _scanned(entries: Entries, place: np.ndarray) -> tuple[Entries, Entries, Entries]:
+    """merge_scan of sorted suffixes."""
+    if not len(entries):
         return entries, entries, entries
     gram = np.diff(entries.k, prepend=entries.k[0] - 1) != 0
     context = gram | (np.diff(entries.c, prepend=-1) != 0)
@@ -199,14 +243,14 @@ def merge_scan(entries: Entries, place: np.ndarray) -> tuple[Entries, Entries, E
 class SuffixFamily:
     """The levels so far, largest first, each as rows by bucket; batches come in rising order of their documents."""
 
-    def __init__(self, buckets: int, length: int = LENGTH):
-        self.buckets, self.length = buckets, length
+    def __init__(self, buckets: int, length: int = LENGTH, documents: int | None = None):
+        self.buckets, self.length, self.documents = buckets, length, documents or buckets
         self.levels: list[tuple[int, DataFrame, str]] = []
         self.folders: list[str] = []
 
     def _sampled(self, docs: DataFrame) -> DataFrame:
         """docs: ord, copy, text -> a task's suffixes, each K-gram's contexts merged before they leave it."""
-        buckets, length = self.buckets, self.length
+        buckets, length, documents = self.buckets, self.length, self.documents
         shift = np.uint64(64 - (buckets - 1).bit_length()) if buckets > 1 else None
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -219,12 +263,13 @@ class SuffixFamily:
                 k = (bucket << 32) | (grams & np.uint64(0xFFFFFFFF)).astype(np.int64)
                 every = Entries(k, context.astype(np.int64), ords, copies, lo, span)
                 held.clear()
-                removed, compare, level = merge_scan(every, np.zeros(len(k), dtype=np.int8))
+                every = every.take(_order(every.ord, every.c, every.k))
+                removed, compare, level = _scanned(every, np.zeros(len(k), dtype=np.int8))
                 # What stays of a document that has its own context again must stay as often: another may be smaller.
                 rest = _repeated_within(every, level)
                 for kind, rows in ((SUFFIX, rest), (REMOVED, removed), (COMPARE, compare)):
                     if len(rows):
-                        yield rows.rows(kind, buckets)
+                        yield rows.rows(kind, documents)
 
             for pieces in _pieces(batches, length):
                 data = np.frombuffer(b"".join(x for *_, x in pieces), np.uint8)
@@ -252,7 +297,7 @@ class SuffixFamily:
         rows = self._sampled(docs).withColumn("place", F.lit(0))
         for i, (_, level, _) in enumerate(reversed(self.levels)):
             rows = rows.unionByName(level.withColumn("place", F.lit(1 if i < merged else 2)))
-        buckets = self.buckets
+        documents = self.documents
 
         def scan(group: pa.Table) -> pa.Table:
             # What a task has settled by itself passes through.
@@ -264,8 +309,8 @@ class SuffixFamily:
             entries, sizes = _read(group)
             place = np.repeat(group["place"].to_numpy(), sizes)
             entries.k |= int(group["bucket"][0].as_py()) << 32
-            removed, compare, level = merge_scan(entries, place)
-            out = [x.rows(kind, buckets) for kind, x in ((SUFFIX, level), (REMOVED, removed), (COMPARE, compare))
+            removed, compare, level = merge_scan(entries, place, BUCKET_SUFFIXES)
+            out = [x.rows(kind, documents) for kind, x in ((SUFFIX, level), (REMOVED, removed), (COMPARE, compare))
                    if len(x) and not (last and kind == SUFFIX)]
             return pa.concat_tables([done, *(pa.Table.from_batches([x]).cast(done.schema) for x in out)])
 
@@ -279,9 +324,7 @@ class SuffixFamily:
 
 
 def _repeated_within(every: Entries, level: Entries) -> Entries:
-    """The level of a task with all suffixes of the first document of a context instead of one; marks stay as they are."""
-    order = _order(every.ord, every.c, every.k)
-    every = every.take(order)
+    """The level of a task with all (sorted) suffixes of the first document of a context instead of one; marks stay as they are."""
     at = np.searchsorted(level.k, every.k)
     own = (level.c[at] == every.c) & (level.ord[at] == every.ord)
     marks = np.flatnonzero(level.c == _SEVERAL)
@@ -328,11 +371,15 @@ def _values(data: bytes) -> np.ndarray:
 
 
 def by_document(found: DataFrame, length: int = LENGTH) -> DataFrame:
-    """Rows REMOVED and COMPARE -> ord, copy, starts, ends (removed), lo, span (to compare and not removed already)."""
+    """Rows REMOVED and COMPARE -> ord, copy, starts, ends (removed), lo, span (to compare and not removed already), windows."""
     def gather(group: pa.Table) -> pa.Table:
         entries, sizes = _read(group, k=False)
         compare = np.repeat(group["kind"].to_numpy() == COMPARE, sizes)
-        order = np.lexsort((entries.lo, entries.copy, entries.ord))
+        parts = _parts(_mixed(entries.ord.view(np.uint64), 60), 64, BUCKET_SUFFIXES)
+        return pa.concat_tables([some(entries.take(at), compare[at]) for at in parts if isinstance(at, slice) or len(at)])
+
+    def some(entries: Entries, compare: np.ndarray) -> pa.Table:
+        order = _order(entries.lo, entries.copy, entries.ord)
         entries = entries.take(order)
         new = np.ones(len(entries), dtype=bool)
         new[1:] = (np.diff(entries.ord) != 0) | (np.diff(entries.copy) != 0)
@@ -351,10 +398,11 @@ def by_document(found: DataFrame, length: int = LENGTH) -> DataFrame:
             "ord": entries.ord[new], "copy": entries.copy[new], "starts": _per_document(starts % stretch, cut, count),
             "ends": _per_document(ends - cut * stretch, cut, count),
             "lo": pc.if_else(some, _per_document(lo[left], rest, count), pa.scalar(None, pa.binary())),
-            "span": _per_document(entries.span[left], rest, count)})
+            "span": _per_document(entries.span[left], rest, count),
+            "windows": np.bincount(rest, entries.span[left] + 1, count).astype(np.int64)})
 
     return found.groupBy("bucket").applyInArrow(
-        gather, "ord long, copy long, starts binary, ends binary, lo binary, span binary")
+        gather, "ord long, copy long, starts binary, ends binary, lo binary, span binary, windows long")
 
 
 def _touched(docs: DataFrame, rows: DataFrame):
@@ -364,10 +412,11 @@ def _touched(docs: DataFrame, rows: DataFrame):
     return Bloom(keys, max(1, count), 0).has(F.col("ord")) if count * BITS_PER_KEY <= MAX_BITS else None
 
 
-def compare_windows(docs: DataFrame, rows: DataFrame, buckets: int, length: int = LENGTH) -> tuple[DataFrame, list[str]]:
+def compare_windows(docs: DataFrame, rows: DataFrame, documents: int, length: int = LENGTH) -> tuple[DataFrame, list[str]]:
     """Rows REMOVED: of the windows in rows' suffixes those that a smaller document has. And the folders they lie in."""
     touched = _touched(docs, rows)
     texts = (docs if touched is None else docs.where(touched)).select("ord", "copy", "text")
+    buckets = _buckets(rows.agg(F.coalesce(F.sum("windows"), F.lit(0))).head()[0], 4 * BUCKET_SUFFIXES)
     bits = (buckets - 1).bit_length()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -375,11 +424,10 @@ def compare_windows(docs: DataFrame, rows: DataFrame, buckets: int, length: int
         size = 0
 
         def flush() -> Iterator[pa.RecordBatch]:
-            every = Entries(*(np.concatenate([getattr(e, c) for e in held]) for c in _COLUMNS))
-            removed, rest = _smaller_elsewhere(every)
+            removed, rest = _smaller_elsewhere(_together(held))
             for kind, part in ((SUFFIX, rest), (REMOVED, removed)):
                 if len(part):
-                    yield part.rows(kind, buckets)
+                    yield part.rows(kind, documents)
 
         for pieces in _windowed(batches, length):
             held.append(_windows(pieces, bits, length))
@@ -390,16 +438,21 @@ def compare_windows(docs: DataFrame, rows: DataFrame, buckets: int, length: int
         if held:
             yield from flush()
 
-    sent, folder = stored_in(texts.join(rows.select("ord", "copy", "lo", "span"), ["ord", "copy"]).mapInArrow(run, _ROW),
-                             "windows", "kind")
-
     def scan(group: pa.Table) -> pa.Table:
-        removed, _ = _smaller_elsewhere(_read(group)[0])
-        return pa.Table.from_batches([removed.rows(REMOVED, buckets)]) if len(removed) else group.slice(0, 0)
-
-    met, own = stored_in(sent.where(F.col("kind") == SUFFIX).groupBy("bucket").applyInArrow(scan, _ROW), "met")
-    discard(docs.sparkSession, f"{folder}/kind={SUFFIX}")
-    return sent.where(F.col("kind") == REMOVED).unionByName(met), [folder, own]
+        # What a task has settled by itself passes through.
+        suffix = np.array(group["kind"].to_numpy() == SUFFIX)
+        done = group.filter(pa.array(~suffix))
+        group = group.filter(pa.array(suffix))
+        if not group.num_rows:
+            return done
+        entries = _read(group)[0]
+        removed = _together([_smaller_elsewhere(entries.take(at))[0] for at in _parts(entries.k, 32, BUCKET_SUFFIXES)])
+        return pa.concat_tables([done, pa.Table.from_batches([removed.rows(REMOVED, documents)]).cast(done.schema)]) if len(
+            removed) else done
+
+    sent = texts.join(rows.select("ord", "copy", "lo", "span"), ["ord", "copy"]).mapInArrow(run, _ROW)
+    met, folder = stored_in(sent.groupBy("bucket").applyInArrow(scan, _ROW), "met")
+    return met, [folder]
 
 
 def _spread(lo: np.ndarray, size: np.ndarray) -> np.ndarray:
@@ -496,8 +549,9 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", len
     shares = [i / batches for i in range(1, batches)]
     size, cuts = docs.agg(F.coalesce(F.sum(F.octet_length(text)), F.lit(0)),
                           F.percentile_approx(key, shares, 1000) if shares else F.array()).head()
-    buckets = 1 << max(0, (int(size) // (SAMPLED * BUCKET_SUFFIXES)).bit_length())
-    family = SuffixFamily(buckets, length)
+    buckets, documents = (_buckets(int(size) // SAMPLED, n * BUCKET_SUFFIXES) for n in (1, 8))
+    documents = max(documents, min(buckets, 16))
+    family = SuffixFamily(buckets, length, documents)
     edges = [None, *sorted(set(cuts or ())), None]
     found: list[DataFrame] = []
     for low, high in zip(edges, edges[1:], strict=False):
@@ -509,7 +563,7 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", len
         every = every.unionByName(more)
     per, folder = stored_in(by_document(every, length), "repeats")
     discard(docs.sparkSession, *(f"{f}/kind={COMPARE}" for f in family.folders))
-    windows, folders = compare_windows(rows, per.where(F.col("lo").isNotNull()), buckets, length)
+    windows, folders = compare_windows(rows, per.where(F.col("lo").isNotNull()), documents, length)
     discard(docs.sparkSession, folder)
     every = every.where(F.col("kind") == REMOVED).unionByName(windows)
     cuts, _ = stored_in(by_document(every, length).select("ord", "copy", "starts", "ends"), "cuts")

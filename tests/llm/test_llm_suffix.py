@@ -97,3 +97,22 @@ def test_levels_merge_geometrically(spark):
             for k in suffix.unsqueezed(r.k).tolist():
                 held[r.bucket, k] += 1
     assert held and max(held.values()) <= len(family.levels)
+
+
+def test_larger_buckets_send_fewer_rows(spark, monkeypatch):
+    # Every bucket sends rows to every bucket: with buckets of one size their number grows with the square of the input.
+    monkeypatch.setattr(suffix, "BUCKET_SUFFIXES", 6)
+    monkeypatch.setattr(suffix, "FEW", 4, raising=False)
+    sent, stored_in = Counter(), suffix.stored_in
+
+    def counted(df, name, *by):
+        found, folder = stored_in(df, name, *by)
+        rows = found.select("kind", "ord").collect() if "kind" in found.columns else []
+        sent.update(rows=len(rows), entries=sum(len(suffix.unsqueezed(r.ord)) for r in rows))
+        return found, folder
+
+    monkeypatch.setattr(suffix, "stored_in", counted)
+    rows = list(passages(9, 300))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    assert result(suffix.remove_repeats(docs)) == plain(rows)
+    assert sent["entries"] > 5 * sent["rows"]

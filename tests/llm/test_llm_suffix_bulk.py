@@ -43,3 +43,23 @@ def test_order_is_lexsort():
         keys = [rng.integers(0, n, 500) for n in (3, high, 40)]
         assert (suffix._order(*keys) == np.lexsort(keys)).all()
     assert len(suffix._order(*(np.empty(0, np.int64),) * 3)) == 0
+
+
+def test_scan_by_parts_is_scan_of_all():
+    rng = np.random.default_rng(6)
+    k, c, ords, lo = (rng.integers(0, n, 900) for n in (1 << 32, 3, 40, 10_000))
+    k = rng.choice(k[:150], 900)
+    c = np.where(rng.random(900) < 0.1, suffix._SEVERAL, c)
+    place = np.where(c == suffix._SEVERAL, rng.integers(1, 3, 900), rng.integers(0, 3, 900))
+    every = suffix.Entries(k, c, ords, np.zeros_like(k), lo, np.zeros_like(k))
+    plain = lambda e: [getattr(e, x).tolist() for x in ("k", "c", "ord", "copy", "lo", "span")]
+    for one, whole in zip(suffix.merge_scan(every, place, 20), suffix.merge_scan(every, place, 900), strict=True):
+        assert len(one) and plain(one) == plain(whole)
+
+
+def test_order_of_wide_keys():
+    rng = np.random.default_rng(7)
+    for _ in range(30):
+        wide = rng.integers(-(1 << 63), (1 << 63) - 1, 300)
+        keys = [wide, np.append(wide[:150], wide[:150]), rng.integers(-3, 3, 300), rng.choice([-(1 << 63), (1 << 63) - 1], 300)]
+        assert (suffix._order(*keys) == np.lexsort(keys)).all()
