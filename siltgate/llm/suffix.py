@@ -30,7 +30,7 @@ BATCHES = 4
 BUCKET_SUFFIXES, SAMPLED = 120_000, 15
 #: Every task and bucket sends a row to every bucket, so beyond FEW buckets they get larger instead of more, up to so many
 #: times as large; what lies in one is worked on by parts of about BUCKET_SUFFIXES.
-FEW, LARGER = 512, 16
+FEW, LARGER = 512, 8
 #: Bytes that are sampled in one go, and those whose suffixes a task sorts before it sends them on.
 PIECE, SORTED = 1 << 17, 4_000_000
 LAST_KEY = 2**63 - 1
@@ -259,7 +259,8 @@ class SuffixFamily:
 
             def flush() -> Iterator[pa.RecordBatch]:
                 grams, context, lo, span, ords, copies = (np.concatenate(x) for x in zip(*held, strict=True))
-                bucket = (grams >> shift).astype(np.int64) if shift is not None else np.zeros(len(grams), np.int64)
+                # What is sampled is what has small hashes, so those don't deal it evenly.
+                bucket = (_mixed(grams, 48) >> shift).astype(np.int64) if shift is not None else np.zeros(len(grams), np.int64)
                 k = (bucket << 32) | (grams & np.uint64(0xFFFFFFFF)).astype(np.int64)
                 every = Entries(k, context.astype(np.int64), ords, copies, lo, span)
                 held.clear()
@@ -549,8 +550,10 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", len
     shares = [i / batches for i in range(1, batches)]
     size, cuts = docs.agg(F.coalesce(F.sum(F.octet_length(text)), F.lit(0)),
                           F.percentile_approx(key, shares, 1000) if shares else F.array()).head()
-    buckets, documents = (_buckets(int(size) // SAMPLED, n * BUCKET_SUFFIXES) for n in (1, 8))
-    documents = max(documents, min(buckets, 16))
+    suffixes = int(size) // SAMPLED
+    buckets = _buckets(suffixes, 2 * BUCKET_SUFFIXES)
+    # Few suffixes are removed or compared, and what is known of them by document takes less memory.
+    documents = max(_buckets(suffixes // 4, 2 * BUCKET_SUFFIXES), min(buckets, 16))
     family = SuffixFamily(buckets, length, documents)
     edges = [None, *sorted(set(cuts or ())), None]
     found: list[DataFrame] = []

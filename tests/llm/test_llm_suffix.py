@@ -115,4 +115,13 @@ def test_larger_buckets_send_fewer_rows(spark, monkeypatch):
     rows = list(passages(9, 300))
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
     assert result(suffix.remove_repeats(docs)) == plain(rows)
-    assert sent["entries"] > 5 * sent["rows"]
+    assert sent["entries"] > 4 * sent["rows"]
+
+
+def test_suffixes_are_dealt_evenly(spark):
+    letters = np.random.default_rng(10).integers(97, 123, (20, 3000))
+    docs = spark.createDataFrame([(i, 0, "".join(map(chr, x))) for i, x in enumerate(letters)], "ord long, copy long, text string")
+    held = Counter()
+    for r in suffix.SuffixFamily(8)._sampled(docs).where("kind = 0").collect():
+        held[r.bucket] += len(suffix.unsqueezed(r.k))
+    assert len(held) == 8 and max(held.values()) < 1.3 * sum(held.values()) / 8
